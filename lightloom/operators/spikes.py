@@ -164,116 +164,160 @@ def judge(raw: np.ndarray, common: np.ndarray, broken: np.ndarray, m: SpikeModel
     return flagged
 
 
-def _kernel(m: SpikeModel):
+@dataclass(frozen=True)
+class Quantity:
+    """A measured quantity: the bound that no real reading passes, and whether its series share a frame's common factor."""
+
+    name: str
+    bound: float
+    included: bool = False  #: whether the bound itself is possible
+    common: bool = False
+
+    def impossible(self, x: np.ndarray) -> np.ndarray:
+        return np.isinf(x) | ((x < self.bound) if self.included else (x <= self.bound))
+
+
+PHOTOMETRY = (Quantity("flux", 0.0, common=True), Quantity("fwhm", 0.0), Quantity("airmass", 1.0, included=True))
+
+
+def _series(batch: pa.RecordBatch) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray]:
+    """A batch's columns by name, and its readings in order of series and frame: offsets, frames, values."""
+    col = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
+    offset = np.asarray(col["r"].offsets)
+    frame, value = (np.asarray(x)[offset[0] : offset[-1]] for x in col["r"].values.flatten())
+    offset = offset - offset[0]
+    order = np.lexsort((frame, np.repeat(np.arange(len(offset) - 1), np.diff(offset))))
+    return col, offset, frame[order], value[order]
+
+
+def _impossible(col: dict, series: np.ndarray, value: np.ndarray, quantities: tuple[Quantity, ...]) -> np.ndarray:
+    kind = np.asarray(col["kind"])[series]
+    bad = np.zeros(len(value), bool)
+    for k, q in enumerate(quantities):
+        own = kind == k
+        bad[own] = q.impossible(value[own])
+    return bad
+
+
+def _ratios(quantities: tuple[Quantity, ...]):
+    """Kernel: the readings of series that share a common factor, relative to their own median."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            col, offset, frame, value = _series(batch)
+            length = np.diff(offset)
+            series = np.repeat(np.arange(len(length)), length)
+            shared = np.array([q.common for q in quantities])[np.asarray(col["kind"])]
+            use = shared[series] & ~_impossible(col, series, value, quantities) & (value > 0)
+            series, frame, value = series[use], frame[use], value[use]
+            order = np.lexsort((value, series))
+            count = np.bincount(series, minlength=len(length))
+            start = np.cumsum(count) - count
+            some = count > 0
+            level = np.ones(len(length))
+            level[some] = value[order][start[some] + count[some] // 2]
+            row = pa.array(series)
+            columns = [col["kind"].take(row), col["night_id"].take(row), col["chunk"].take(row), pa.array(frame, pa.int32()), pa.array(value / level[series])]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "night_id", "chunk", "frame_index", "ratio"])
+
+    return run
+
+
+def _kernel(m: SpikeModel, quantities: tuple[Quantity, ...]):
+    names = pa.array([q.name for q in quantities])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            col = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
-            offset = np.asarray(col["frames"].offsets)
-            frame, value = np.asarray(col["frames"].values), np.asarray(col["readings"].values)
-            impossible = np.asarray(col["impossible"].values.to_numpy(zero_copy_only=False), dtype=bool)
-            factor_at = np.asarray(col["peer_frames"].offsets)
-            factor_frame, factor = np.asarray(col["peer_frames"].values), np.asarray(col["peer_factors"].values)
-            chunk = np.asarray(col["chunk"])
+            col, offset, frame, value = _series(batch)
             length = np.diff(offset)
+            series = np.repeat(np.arange(len(length)), length)
+            impossible = _impossible(col, series, value, quantities)
+            factor_at = np.asarray(col["peers"].offsets)
+            factor_frame, factor = (np.asarray(x) for x in col["peers"].values.flatten())
             common = np.ones(len(value))
             for r in np.flatnonzero(np.diff(factor_at)):
-                known = factor_frame[factor_at[r] : factor_at[r + 1]]
+                known, factors = (x[factor_at[r] : factor_at[r + 1]] for x in (factor_frame, factor))
+                order = np.argsort(known)
+                known, factors = known[order], factors[order]
                 at = slice(offset[r], offset[r + 1])
                 k = np.minimum(np.searchsorted(known, frame[at]), len(known) - 1)
-                common[at] = np.where(known[k] == frame[at], factor[factor_at[r] : factor_at[r + 1]][k], 1.0)
+                common[at] = np.where(known[k] == frame[at], factors[k], 1.0)
             hit = np.zeros(len(value), bool)
             for n in np.unique(length[length > 0]):
                 rows = np.flatnonzero(length == n)
                 for part in np.array_split(rows, max(1, len(rows) * int(n) // 100_000)):
                     at = offset[part][:, None] + np.arange(n)
                     hit[at] = judge(value[at], common[at], impossible[at], m)
-            series = np.repeat(np.arange(len(length)), length)
-            own = np.floor_divide(frame[offset[0] : offset[-1]], m.chunk) == chunk[series]
-            found = np.flatnonzero(hit[offset[0] : offset[-1]] & own)
+            own = np.floor_divide(frame, m.chunk) == np.asarray(col["chunk"])[series]
+            found = np.flatnonzero(hit & own)
             row = pa.array(series[found])
-            yield pa.RecordBatch.from_arrays(
-                [col["field"].take(row), col["night_id"].take(row), col["star_id"].take(row),
-                 pa.array(frame[offset[0] : offset[-1]][found], pa.int32()), col["aper"].take(row)],
-                names=["field", "night_id", "star_id", "frame_index", "aper"],
-            )
+            columns = [names.take(col["kind"].take(row)), *(col[n].take(row) for n in ("night_id", "star_id")), pa.array(frame[found], pa.int32()), col["aper"].take(row)]
+            yield pa.RecordBatch.from_arrays(columns, names=["field", "night_id", "star_id", "frame_index", "aper"])
 
     return run
 
 
 def readings(
-    df: DataFrame, field: str, night: Column, star: Column, aper: Column, frame: Column, value: Column, order: Column,
-    impossible: Column,
+    df: DataFrame, kind: int, night: Column, star: Column, aper: Column, frame: Column, value: Column, order: Column
 ) -> DataFrame:
     """One measured quantity as long rows; missing values stay, for the last loaded row of a key counts."""
     return df.select(
-        F.lit(field).alias("field"), night.cast("int").alias("night_id"), star.cast("long").alias("star_id"),
-        aper.cast("int").alias("aper"), frame.cast("int").alias("frame_index"),
-        order.cast("long").alias("ord"), value.cast("double").alias("value"), impossible.alias("impossible"),
+        F.lit(kind).alias("kind"), night.cast("int").alias("night_id"), star.cast("long").alias("star_id"),
+        aper.cast("int").alias("aper"), frame.cast("int").alias("frame_index"), order.cast("long").alias("ord"),
+        value.cast("double").alias("value"),
     )
 
 
-def implausible(readings: DataFrame, common_fields: tuple[str, ...] = ("flux",), m: SpikeModel = SpikeModel()) -> DataFrame:
+def implausible(readings: DataFrame, quantities: tuple[Quantity, ...] = PHOTOMETRY, m: SpikeModel = SpikeModel()) -> DataFrame:
     """Rows (field, night_id, star_id, frame_index, aper) of readings that cannot be real.
 
-    ``readings``: see ``readings``; fields in ``common_fields`` have each frame's common factor divided out.
-    Of several rows of a key the one with the greatest ``ord`` counts (ties: the greatest value); nulls and
-    NaN are left out after that, rows with a null key or frame before.  A series may be of any length: it
-    is judged in chunks of frames that see their neighbours, so no task holds more than a chunk of one
-    series, and the rows of a key are combined before the first shuffle.  Series shorter than
-    ``m.least`` have no scatter: only impossible and stuck readings are found there.
+    ``readings``: see ``readings``; ``kind`` counts in ``quantities``.  Of several rows of a key the one with the
+    greatest ``ord`` counts (ties: the greatest value); nulls and NaN are left out after that, rows with a null key
+    or frame before.  A series may be of any length: it is judged in chunks of frames that see their
+    neighbours, so no task holds more than a chunk of one series, and the rows of a key are combined before the
+    first shuffle.  Series shorter than ``m.least`` have no scatter: only impossible and stuck readings are
+    found there.
     """
-    key = ["field", "night_id", "star_id", "aper"]
+    key = ["kind", "night_id", "star_id", "aper"]
     last = (
-        readings.filter("night_id is not null and frame_index is not null and star_id is not null and aper is not null")
+        readings.dropna(subset=[*key, "frame_index"])
         .groupBy(*key, "frame_index")
-        .agg(F.max(F.struct("ord", "value", "impossible")).alias("last"))
-        .select(*key, "frame_index", F.col("last.value").alias("value"), F.col("last.impossible").alias("impossible"))
+        .agg(F.max(F.struct("ord", "value")).alias("last"))
+        .select(*key, "frame_index", F.col("last.value").alias("value"))
         .filter("value is not null and not isnan(value)")
     )
     f = F.col("frame_index")
     places = F.array_distinct(F.array(*(F.floor((f + d) / m.chunk).cast("int") for d in (-m.overlap, 0, m.overlap))))
     series = (
         last.withColumn("chunk", F.explode(places))
+        .repartition(*key, "chunk")
         .groupBy(*key, "chunk")
-        .agg(F.sort_array(F.collect_list(F.struct("frame_index", "value", "impossible"))).alias("r"))
+        .agg(F.collect_list(F.struct("frame_index", "value")).alias("r"))
     )
-    good = F.array_sort(F.transform(F.filter("r", lambda x: ~x["impossible"] & (x["value"] > 0)), lambda x: x["value"]))
-    level = F.try_element_at(good, (F.floor(F.size(good) / 2) + 1).cast("int"))
+    # One frame of one night is the largest group here; its rows meet unsorted, and the sketch is bounded.
+    at = ["kind", "night_id", "chunk"]
     peers = (
-        series.filter(F.col("field").isin(*common_fields))
-        .select("field", "night_id", "chunk", level.alias("level"), F.explode("r").alias("r"))
-        .filter("not r.impossible and level > 0")
-        .groupBy("field", "night_id", "chunk", F.col("r.frame_index").alias("frame_index"))
-        .agg(F.count("*").alias("n"), F.percentile_approx(F.col("r.value") / F.col("level"), 0.5).alias("factor"))
+        series.mapInArrow(_ratios(quantities), "kind int, night_id int, chunk int, frame_index int, ratio double")
+        .repartition(*at, "frame_index")
+        .groupBy(*at, "frame_index")
+        .agg(F.count("*").alias("n"), F.percentile_approx("ratio", 0.5, 1000).alias("factor"))
         .filter(f"n >= {m.peers} and factor > 0")
-        .groupBy("field", "night_id", "chunk")
-        .agg(F.sort_array(F.collect_list(F.struct("frame_index", "factor"))).alias("p"))
-        .select("field", "night_id", "chunk", F.col("p.frame_index").alias("peer_frames"), F.col("p.factor").alias("peer_factors"))
+        .groupBy(*at)
+        .agg(F.collect_list(F.struct("frame_index", "factor")).alias("peers"))
     )
-    none_i, none_d = F.array().cast("array<int>"), F.array().cast("array<double>")
+    none = F.array().cast("array<struct<frame_index:int,factor:double>>")
     return (
-        series.join(peers, ["field", "night_id", "chunk"], "left")
-        .select(
-            *key, "chunk", F.col("r.frame_index").alias("frames"), F.col("r.value").alias("readings"),
-            F.col("r.impossible").alias("impossible"), F.coalesce("peer_frames", none_i).alias("peer_frames"),
-            F.coalesce("peer_factors", none_d).alias("peer_factors"),
-        )
-        .mapInArrow(_kernel(m), FOUND)
-    )
+        series.join(peers, at, "left")
+        .select(*key, "chunk", "r", F.coalesce("peers", none).alias("peers"))
+        .mapInArrow(_kernel(m, quantities), FOUND)
+    )
 
 
 def implausible_photometry(epochs: DataFrame, frames: DataFrame, m: SpikeModel = SpikeModel()) -> DataFrame:
     """The flux of ``epochs`` and the fwhm and airmass of ``frames``, judged together; see ``implausible``."""
     c, none = F.col, F.lit(-1)
-
-    def bad(x: Column, least: Column) -> Column:
-        x = x.cast("double")
-        return F.coalesce((F.abs(x) == float("inf")) | least, F.lit(False))
-
-    flux = readings(epochs, "flux", c("night_id"), c("star_id"), c("aper"), c("frame_index"), c("flux"),
-                    F.unix_micros(c("loaded_at").cast("timestamp")), bad(c("flux"), c("flux") <= 0))
-    both = [
-        readings(frames, name, c("night_id"), none, none, c("frame_index"), c(name), c("frame_id"), bad(c(name), wrong))
-        for name, wrong in (("fwhm", c("fwhm") <= 0), ("airmass", c("airmass") < 1))
-    ]
-    return implausible(flux.unionByName(both[0]).unionByName(both[1]), m=m)
+    loaded = F.unix_micros(c("loaded_at").cast("timestamp"))
+    flux = readings(epochs, 0, c("night_id"), c("star_id"), c("aper"), c("frame_index"), c("flux"), loaded)
+    for kind, name in ((1, "fwhm"), (2, "airmass")):
+        flux = flux.unionByName(readings(frames, kind, c("night_id"), none, none, c("frame_index"), c(name), c("frame_id")))
+    return implausible(flux, m=m)
