@@ -287,7 +287,8 @@ def implausible(readings: DataFrame, quantities: tuple[Quantity, ...] = PHOTOMET
         .filter("value is not null and not isnan(value)")
     )
     f = F.col("frame_index")
-    places = F.array_distinct(F.array(*(F.floor((f + d) / m.chunk).cast("int") for d in (-m.overlap, 0, m.overlap))))
+    seen = (F.when(f >= 0, F.greatest(f - m.overlap, F.lit(0))).otherwise(f - m.overlap), f, f + m.overlap)
+    places = F.array_distinct(F.array(*(F.floor(x / m.chunk).cast("int") for x in seen)))
     series = (
         last.withColumn("chunk", F.explode(places))
         .repartition(*key, "chunk")
