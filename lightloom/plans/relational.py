@@ -467,10 +467,10 @@ def _(t: Inputs) -> DataFrame:
     return t.det.select("det_id", X.flag_bits(c("flags")).bitwiseAND(1 | 16 | 128).alias("bits"))
 
 
-@query("x9_duration_text", "SELECT shape_id, CASE WHEN t14_lower_limit THEN '≥ ' ELSE '' END || printf('%.2f h', t14_h) AS shown FROM shape WHERE t14_h IS NOT NULL AND t14_lower_limit IS NOT NULL")
+@query("x9_duration_text", "SELECT shape_id, CASE WHEN t14_lower_limit THEN '≥ ' ELSE '' END || printf('%.3f h', t14_h) AS shown FROM shape WHERE t14_h IS NOT NULL AND t14_lower_limit IS NOT NULL")
 def _(t: Inputs) -> DataFrame:
     return t.shape.filter("t14_h is not null and t14_lower_limit is not null").select(
-        "shape_id", F.concat(F.when(c("t14_lower_limit"), "≥ ").otherwise(""), F.format_string("%.2f h", "t14_h")).alias("shown")
+        "shape_id", F.concat(F.when(c("t14_lower_limit"), "≥ ").otherwise(""), F.format_string("%.3f h", "t14_h")).alias("shown")
     )
 
 

@@ -21,9 +21,9 @@ def r6(x: Column, name: str, digits: int = 6) -> Column:
     return F.round(x.cast("double"), digits).alias(name)
 
 
-@query("f1_finite_position", "SELECT obj_id, round(ra, 6) AS ra, round(dec, 6) AS dec FROM obj")
+@query("f1_finite_position", "SELECT obj_id, round(ra, 9) AS ra, round(dec, 9) AS dec FROM obj")
 def _(t: Inputs) -> DataFrame:
-    return t.obj.select("obj_id", r6(c("ra"), "ra"), r6(c("dec"), "dec"))
+    return t.obj.select("obj_id", r6(c("ra"), "ra", 9), r6(c("dec"), "dec", 9))
 
 
 @query("f2_presence_cut", """
