@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NORMAL, SPIKE, STUCK, RANGE = range(4)
+#: Least scatter relative to a series' median: readings are stored in single precision.
+RESOLUTION = 1e-6
 
 
 @dataclass(frozen=True)
@@ -73,7 +75,7 @@ def scatter(x: np.ndarray, moved: np.ndarray) -> np.ndarray:
         with warnings.catch_warnings():
             warnings.simplefilter("ignore", RuntimeWarning)
             s = 1.4826 / np.sqrt(2) * np.nanmedian(np.abs(d - np.nanmedian(d, axis=1, keepdims=True)), axis=1)
-    return np.maximum(np.nan_to_num(s, nan=np.inf), 1e-9 * np.abs(np.median(x, axis=1)) + 1e-300)
+    return np.maximum(np.nan_to_num(s, nan=np.inf), RESOLUTION * np.abs(np.median(x, axis=1)) + 1e-300)
 
 
 def posteriors(z: np.ndarray, same: np.ndarray, broken: np.ndarray, m: SpikeModel) -> np.ndarray:

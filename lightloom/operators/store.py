@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Rows of ``new`` replace those of ``old`` with the same key; the others stay.  Columns by name; absent ones null."""
-    kept = old.join(new.select(*key).distinct(), key, "left_anti")
+    kept = old.join(new.select(*key).distinct(), key, "left_anti").select(*old.columns)
     return kept.unionByName(new, allowMissingColumns=True)
 
 
