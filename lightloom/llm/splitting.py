@@ -24,12 +24,14 @@ _SENTENCE, _CLAUSE = ".!?…", ",;:"
 _WIDE_SENTENCE, _WIDE_CLAUSE = "。！？｡", "，；：、"
 
 
+def _lines(piece: str) -> int:
+    """Line ends in white space; a paragraph separator counts as two."""
+    return piece.count("\n") + piece.count("\r") - piece.count("\r\n") + piece.count("\u2028") + 2 * piece.count("\u2029")
+
+
 @lru_cache(maxsize=200_000)
 def _ending(piece: str) -> tuple[int, int]:
     """Strength of a boundary after this pre-token, as such and if white space follows."""
-    lines = piece.count("\n") + piece.count("\r") - piece.count("\r\n") + piece.count(" ") + piece.count(" ")
-    if lines:
-        return (6, 6) if lines > 1 or " " in piece else (5, 5)
     last = piece[-1]
     if last in _WIDE_SENTENCE:
         return 4, 4
@@ -46,6 +48,16 @@ def boundaries(pieces: list[str], ids: list[list[int]], get: Encoder, longest: i
     end = np.cumsum(count)
     blank = [p[0].isspace() for p in pieces[1:]]
     strength = np.fromiter((_ending(p)[b] for p, b in zip(pieces, blank)), np.int8, len(pieces) - 1)
+    lines = 0
+    for k, p in enumerate(pieces[:-1]):  # white space in several pre-tokens is one boundary, behind its last
+        if not p.isspace():
+            lines = 0
+            continue
+        lines += _lines(p)
+        if pieces[k + 1].isspace():
+            strength[k] = 1
+        elif lines:
+            strength[k] = 6 if lines > 1 else 5
     position = end[:-1]
     inner_at, inner = [], []
     for k in np.flatnonzero(count > longest):
