@@ -55,3 +55,12 @@ def broadcast_if_small(df: DataFrame, limit: int = 32 << 20) -> DataFrame:
 def missing(column: str) -> F.Column:
     """True where a number is null or NaN: both mean 'missing' in the store."""
     return F.col(column).isNull() | F.isnan(F.col(column).cast("double"))
+
+
+def spread(df: DataFrame, limit: int = 32 << 20) -> DataFrame:
+    """A small table (by the plan's estimated size) over all cores, for work that costs far more than moving its rows.
+
+    A small Parquet file is a single task; large tables are in enough files, and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if cores > 1 and plan_bytes(df) <= limit else df
