@@ -44,7 +44,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's estimate of a plan's size in bytes; what it cannot tell counts as huge."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = 32 << 20) -> DataFrame:
