@@ -22,6 +22,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from lightloom.session import spread
+
 #: Folder of the vocabulary files; a parameter of every operator, this is its default.
 TOKENIZERS = os.environ.get("LIGHTLOOM_TOKENIZERS", "/opt/tokenizers")
 #: Fixed value: the pre-token pattern published with the rank files.
@@ -207,5 +209,5 @@ def encode_corpus(
                     [key, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=[id_column, "ids"]
                 )
 
-    narrow = documents.select(id_column, documents[text_column].cast("string").alias("text"))
+    narrow = spread(documents.select(id_column, documents[text_column].cast("string").alias("text")))
     return narrow.mapInArrow(run, f"`{id_column}` {id_type}, " + ("ids array<int>" if lists else "n_tokens int"))

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lightloom.llm.bpe import Encoder, encoder, rank_file, text_slices
+from lightloom.session import spread
 
 _SENTENCE, _CLAUSE = ".!?…", ",;:"
 _WIDE_SENTENCE, _WIDE_CLAUSE = "。！？｡", "，；：、"
@@ -140,7 +141,7 @@ def split(
                     columns += [pa.array(lists, pa.list_(pa.int32())), pa.array(strings, pa.string())]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *columns], names=names)
 
-    narrow = documents.select(id_column, documents[text_column].cast("string").alias("text"))
+    narrow = spread(documents.select(id_column, documents[text_column].cast("string").alias("text")))
     more = ", ids array<int>, text string" if contents else ""
     return narrow.mapInArrow(run, f"`{id_column}` {id_type}, piece int, n_pieces int, start int, n_tokens int, n_overlap int{more}")
 
