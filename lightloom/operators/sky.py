@@ -69,6 +69,23 @@ def nearest_other(points: DataFrame, key: str, start: float = 20.0, rings: int =
     return found.select(F.col("l_id").alias(key), F.col("r_id").alias("other"), "sep_arcsec")
 
 
+def k_nearest(points: DataFrame, k: int, key: str, start: float = 20.0, rings: int = 3) -> DataFrame:
+    """(key, other, sep_arcsec, rank): the k nearest other rows, looked for in widening radii (each four times the last).
+
+    A row that finds fewer than k goes on to the next ring; after the last it keeps those found.
+    """
+    out, asked = None, points
+    for n in range(rings):
+        pairs = sky_join(asked, points, start * 4**n, key, key).filter("l_id <> r_id")
+        w = Window.partitionBy("l_id").orderBy("sep_arcsec", "r_id")
+        ranked = pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+        full = ranked.filter(F.col("rank") == k).select("l_id")
+        kept = ranked if n == rings - 1 else ranked.join(full, "l_id", "left_semi")
+        out = kept if out is None else out.unionByName(kept)
+        asked = asked.join(full.select(F.col("l_id").alias(key)), key, "left_anti")
+    return out.select(F.col("l_id").alias(key), F.col("r_id").alias("other"), "sep_arcsec", "rank")
+
+
 def cone(points: DataFrame, ra: float, dec: float, degrees: float) -> DataFrame:
     """Rows within a radius of a place; the band of declination reaches the scan as a pushed filter."""
     band = points.filter(F.col("dec").between(dec - degrees - 1e-9, dec + degrees + 1e-9))

@@ -16,13 +16,22 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     return kept.unionByName(new, allowMissingColumns=True)
 
 
-def with_surrogate(old: DataFrame, new: DataFrame, key: list[str], surrogate: str) -> DataFrame:
-    """``new`` with the surrogate ids that its keys already have; further keys are numbered on from the greatest."""
+def with_surrogate(old: DataFrame, new: DataFrame, key: list[str], surrogate: str, buckets: int = 1024) -> DataFrame:
+    """``new`` with the surrogate ids that its keys already have; further keys are numbered on from the greatest.
+
+    Fresh keys are numbered within hash buckets and the buckets' sizes added up, so no task sees all of them and a
+    recomputation numbers them alike.  Keys should be unique in ``new``.
+    """
     known = new.join(old.select(*key, surrogate), key, "left")
-    most = old.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("most"))
-    fresh = known.filter(F.col(surrogate).isNull()).drop(surrogate)
-    numbered = fresh.withColumn("n", F.row_number().over(Window.orderBy(*key))).crossJoin(F.broadcast(most))  # most: one row
-    numbered = numbered.withColumn(surrogate, (F.col("most") + F.col("n")).cast("long")).drop("n", "most")
+    most = old.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("__most"))
+    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets))
+    fresh = known.filter(F.col(surrogate).isNull()).drop(surrogate).withColumn("__b", bucket)
+    sizes = fresh.groupBy("__b").agg(F.count("*").alias("__n"))  # a row per bucket at most
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("__b", before.alias("__start")).crossJoin(most)
+    rank = F.row_number().over(Window.partitionBy("__b").orderBy(*key))
+    numbered = fresh.withColumn("__r", rank).join(F.broadcast(starts), "__b")
+    numbered = numbered.withColumn(surrogate, (F.col("__most") + F.col("__start") + F.col("__r")).cast("long")).drop("__b", "__r", "__start", "__most")
     return known.filter(F.col(surrogate).isNotNull()).unionByName(numbered)
 
 

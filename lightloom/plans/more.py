@@ -213,3 +213,149 @@ def _(t: Inputs) -> DataFrame:
     last = t.table("matched_epoch").groupBy("night_id").agg(F.max("loaded_at").alias("l"))
     late = last.join(t.night.select("night_id", "loaded_at"), "night_id").filter("l > loaded_at + INTERVAL 1 DAY").select("night_id")
     return t.det.join(late, "night_id", "left_semi").select("obj_id").distinct()
+
+
+_SEP = """degrees(2 * asin(least(1, sqrt((cos(radians(o.dec)) * cos(radians(o.ra)) - cos(radians(p.dec)) * cos(radians(p.ra))) ** 2
+    + (cos(radians(o.dec)) * sin(radians(o.ra)) - cos(radians(p.dec)) * sin(radians(p.ra))) ** 2 + (sin(radians(o.dec)) - sin(radians(p.dec))) ** 2) / 2))) * 3600"""
+
+
+@query("j9_k_nearest", f"""
+WITH n AS (SELECT o.obj_id, p.obj_id AS other, {_SEP} AS sep FROM obj o JOIN obj p ON p.obj_id <> o.obj_id AND p.dec BETWEEN o.dec - 0.09 AND o.dec + 0.09 WHERE {_SEP} <= 320),
+r AS (SELECT *, row_number() OVER (PARTITION BY obj_id ORDER BY sep, other) AS r FROM n) SELECT obj_id, other, r AS rank FROM r WHERE r <= 5""")
+def _(t: Inputs) -> DataFrame:
+    from lightloom.operators.sky import k_nearest
+
+    return k_nearest(t.obj.select("obj_id", "ra", "dec"), 5, "obj_id").select("obj_id", "other", "rank")
+
+
+@query("k11_review_restore", """
+WITH d AS (SELECT det_id, obj_id, tc_bjd_tdb AS t FROM det WHERE kind = 'transit' AND tc_bjd_tdb IS NOT NULL),
+v AS (SELECT DISTINCT review_id, obj_id, tc_bjd_tdb AS tc FROM detection_review_orphan WHERE kind = 'transit' AND tc_bjd_tdb IS NOT NULL AND NOT isnan(tc_bjd_tdb)),
+r AS (SELECT review_id, det_id, abs(t - tc) AS gap, row_number() OVER (PARTITION BY review_id ORDER BY abs(t - tc), det_id) AS r FROM v JOIN d USING (obj_id) WHERE abs(t - tc) <= 2),
+k AS (SELECT *, row_number() OVER (PARTITION BY det_id ORDER BY gap, review_id) AS k FROM r WHERE r = 1) SELECT review_id, det_id FROM k WHERE k = 1""")
+def _(t: Inputs) -> DataFrame:
+    """Verdicts back to the nearest event of the same object, each event taking its nearest one."""
+    v = t.table("detection_review_orphan").filter("kind = 'transit' and tc_bjd_tdb is not null and not isnan(tc_bjd_tdb)")
+    v = v.select("review_id", "obj_id", c("tc_bjd_tdb").alias("tc")).distinct()
+    v = v.withColumn("k", F.explode(F.array(*(F.floor(c("tc") / 2) + s for s in (-1, 0, 1)))))
+    d = t.det.filter("kind = 'transit' and tc_bjd_tdb is not null").select("det_id", "obj_id", c("tc_bjd_tdb").alias("t"), F.floor(c("tc_bjd_tdb") / 2).alias("k"))
+    near = v.join(d, ["obj_id", "k"]).withColumn("gap", F.abs(c("t") - c("tc"))).filter("gap <= 2")
+    first = near.groupBy("review_id").agg(F.min(F.struct("gap", "det_id")).alias("b")).select("review_id", "b.gap", "b.det_id")
+    return first.groupBy("det_id").agg(F.min(F.struct("gap", "review_id")).alias("b")).select("b.review_id", "det_id")
+
+
+_FLOOR = """
+st AS (SELECT night_id, star_id, median(flux) AS med FROM ep WHERE aper = 0 GROUP BY 1, 2),
+x AS (SELECT e.night_id, star_id, flux / med AS x FROM ep e JOIN st USING (night_id, star_id) WHERE aper = 0), xm AS (SELECT night_id, star_id, median(x) AS mx FROM x GROUP BY 1, 2),
+rm AS (SELECT night_id, star_id, 1.4826 * median(abs(x - mx)) AS rms FROM x JOIN xm USING (night_id, star_id) GROUP BY 1, 2),
+bn AS (SELECT night_id, star_id, rms, round(-2.5 * log10(med) / 2) AS bin FROM rm JOIN st USING (night_id, star_id) WHERE rms > 0),
+fl AS (SELECT night_id, bin, median(rms) AS floor FROM bn GROUP BY 1, 2)"""
+
+
+@query("g22_comparison_round", f"WITH {_FLOOR} SELECT night_id, star_id, round(rms / floor, 5) AS score FROM bn JOIN fl USING (night_id, bin) WHERE rms <= 2 * floor")
+def _(t: Inputs) -> DataFrame:
+    """One round of the choice of comparison stars: those not noisier than twice the floor of their brightness."""
+    one = t.ep.filter("aper = 0")
+    level = one.groupBy("night_id", "star_id").agg(R.median("flux").alias("med"))
+    x = one.join(level, ["night_id", "star_id"]).withColumn("x", c("flux") / c("med"))
+    rms = R.with_mad(x, ["night_id", "star_id"], "x", "rms").filter(c("rms") < float("inf")).select("night_id", "star_id", "rms")
+    b = rms.join(level, ["night_id", "star_id"]).withColumn("bin", F.round(-2.5 * F.log10("med") / 2))
+    floor = b.groupBy("night_id", "bin").agg(R.median("rms").alias("floor"))
+    return b.join(floor, ["night_id", "bin"]).filter("rms <= 2 * floor").select("night_id", "star_id", r6(c("rms") / c("floor"), "score", 5))
+
+
+@query("j11_match_nights")
+def _(t: Inputs) -> DataFrame:
+    """Stars of all nights of the richest target, tied into one list by place (each night sees its own objects)."""
+    from lightloom.operators.growing import match_nights
+
+    target = t.night.filter("removed_at is null").groupBy("target").agg(F.count("*").alias("n"), F.min("night_id").alias("f"))
+    best = target.orderBy(F.desc("n"), "f").limit(1)
+    nights = [r["night_id"] for r in t.night.filter("removed_at is null").join(best, "target").orderBy("night_id").select("night_id").collect()]
+    seen = t.ep.filter(c("night_id").isin(nights)).select("night_id", c("star_id").alias("star")).distinct()
+    return match_nights(seen.join(t.obj.select(c("obj_id").alias("star"), "ra", "dec"), "star"), nights)
+
+
+@query("g25_noise_floors")
+def _(t: Inputs) -> DataFrame:
+    """Extra variance of each brightness bin that makes the nights of its stars agree: median(d^2 / (s^2 + V)) = 0.45494."""
+    one = t.ep.filter("aper = 0")
+    error = 1.0857 * 1.2533 * R.median(c("fluxerr") / c("flux")) / F.sqrt(F.count("*"))
+    s = one.groupBy("star_id", "night_id").agg((-2.5 * F.log10(R.median("flux"))).alias("m"), (error**2).alias("v"))
+    w = Window.partitionBy("star_id").orderBy("night_id")
+    pairs = s.withColumns({"d": c("m") - F.lag("m").over(w), "s2": c("v") + F.lag("v").over(w), "bin": F.floor(c("m") / 2)}).filter("d is not null")
+    # The residual of 60 bisections is that of one exact percentile over candidates: V of each pair alone, taken at the median.
+    alone = F.greatest(c("d") ** 2 / 0.45494 - c("s2"), F.lit(0.0))
+    return pairs.groupBy("bin").agg(F.count("*").alias("n"), R.median(alone).alias("extra")).filter("n >= 5")
+
+
+@query("g14_verification_windows")
+def _(t: Inputs) -> DataFrame:
+    """The best peak of each star's power within 5 % of half, once and twice its catalogued period."""
+    from lightloom.plans.series import nightly, per_series
+
+    series = nightly(t).join(t.obj.filter("period > 0").select(c("obj_id").alias("star_id"), c("period").alias("p")), "star_id")
+
+    def run(rows: pd.DataFrame) -> dict | None:
+        if len(rows) < 6:
+            return None
+        x, y, e = (rows[k].to_numpy(float) for k in "tye")
+        best = None
+        for h in (0.5, 1.0, 2.0):
+            centre = 1 / (h * float(rows["p"].iloc[0]))
+            f = np.linspace(centre / 1.05, centre / 0.95, 500)
+            power = G.lomb_scargle(x, y, e, f)
+            k = int(np.argmax(power))
+            if best is None or power[k] > best["power"]:
+                best = {"harmonic": h, "found": float(1 / f[k]), "power": float(power[k])}
+        return best
+
+    return per_series(series, ["star_id"], run, "harmonic double, found double, power double")
+
+
+@query("g29_period_compatibility", """
+WITH e AS (SELECT obj_id, det_id, tc_bjd_tdb AS t FROM det WHERE kind = 'transit' AND tc_bjd_tdb IS NOT NULL),
+o AS (SELECT obj_id, period FROM obj WHERE period > 0), f AS (SELECT obj_id, min(t) AS t0 FROM e GROUP BY 1)
+SELECT e.obj_id, det_id, round(abs(((e.t - t0) / period + 0.5) % 1 - 0.5) * period, 5) AS off_days FROM e JOIN o USING (obj_id) JOIN f USING (obj_id)""")
+def _(t: Inputs) -> DataFrame:
+    """How far each event is from the ephemeris of its object's period through the first event."""
+    e = t.det.filter("kind = 'transit' and tc_bjd_tdb is not null").select("obj_id", "det_id", c("tc_bjd_tdb").alias("t"))
+    first = e.groupBy("obj_id").agg(F.min("t").alias("t0"))
+    p = e.join(t.obj.filter("period > 0").select("obj_id", "period"), "obj_id").join(first, "obj_id")
+    off = F.abs(X.phase(c("t"), c("t0"), c("period"), centred=True)) * c("period")
+    return p.select("obj_id", "det_id", r6(off, "off_days", 5))
+
+
+def tiles_of(counts: dict[tuple[int, int], int], least: int) -> dict[tuple[int, int], int]:
+    """Cells of a grid joined until every tile has ``least`` stars: the poorest tile goes to its poorest neighbour, and
+    tiles stay rectangles (what overlaps is absorbed).  ``counts`` has one entry per cell, not per star."""
+    boxes = [[x, y, x, y] for x, y in sorted(counts)]
+
+    def stars(b: list[int]) -> int:
+        return sum(n for (x, y), n in counts.items() if b[0] <= x <= b[2] and b[1] <= y <= b[3])
+
+    while len(boxes) > 1:
+        sizes = [stars(b) for b in boxes]
+        k = min(range(len(boxes)), key=lambda i: (sizes[i], i))
+        if sizes[k] >= least:
+            break
+        a = boxes[k]
+        gap = lambda b: max(b[0] - a[2], a[0] - b[2], 0) + max(b[1] - a[3], a[1] - b[3], 0)
+        m = min((i for i in range(len(boxes)) if i != k), key=lambda i: (gap(boxes[i]), sizes[i], i))
+        joined = [min(a[0], boxes[m][0]), min(a[1], boxes[m][1]), max(a[2], boxes[m][2]), max(a[3], boxes[m][3])]
+        rest = [b for i, b in enumerate(boxes) if i not in (k, m)]
+        while hit := [b for b in rest if b[0] <= joined[2] and b[2] >= joined[0] and b[1] <= joined[3] and b[3] >= joined[1]]:
+            for b in hit:
+                joined = [min(b[0], joined[0]), min(b[1], joined[1]), max(b[2], joined[2]), max(b[3], joined[3])]
+            rest = [b for b in rest if b not in hit]
+        boxes = sorted([*rest, joined])
+    return {cell: i for cell in counts for i, b in enumerate(boxes) if b[0] <= cell[0] <= b[2] and b[1] <= cell[1] <= b[3]}
+
+
+@query("g23_adaptive_tiles")
+def _(t: Inputs) -> DataFrame:
+    """Tiles of the sky of at least 50 objects, from 648 cells of ten degrees at most; objects meet their tile by cell."""
+    cell = t.obj.select("obj_id", F.floor(c("ra") / 10).cast("int").alias("x"), F.floor(F.least(c("dec") + 90, F.lit(179.999)) / 10).cast("int").alias("y"))
+    counts = {(r["x"], r["y"]): r["n"] for r in cell.groupBy("x", "y").agg(F.count("*").alias("n")).collect()}
+    tile = t.spark.createDataFrame([(x, y, k) for (x, y), k in tiles_of(counts, 50).items()], "x int, y int, tile int")
+    return cell.join(F.broadcast(tile), ["x", "y"]).groupBy("tile").agg(F.count("*").alias("n"), F.countDistinct("x", "y").alias("cells"))

@@ -352,13 +352,18 @@ def _(t: Inputs) -> DataFrame:
 @query("a42_bright_decile", """
 WITH r AS (SELECT obj_id, mag, row_number() OVER (ORDER BY mag, obj_id) AS k, count(*) OVER () AS n FROM obj WHERE mag IS NOT NULL) SELECT obj_id, round(mag, 4) AS mag FROM r WHERE k <= ceil(0.1 * n)""")
 def _(t: Inputs) -> DataFrame:
+    """The brightest tenth, ties by id: the bound is an exact percentile, and only rows at the bound are put in order."""
     rows = t.obj.filter("mag is not null").select("obj_id", "mag")
-    n = rows.agg(F.ceil(0.1 * F.count("*")).cast("int").alias("n"))
-    # The rank of the whole table needs one order; values below the decile's bound are few and known from an exact percentile.
-    bound = rows.agg(F.percentile("mag", F.lit(0.12)).alias("b"))
-    few = rows.crossJoin(F.broadcast(bound)).filter("mag <= b or b is null").drop("b")
-    rank = F.row_number().over(Window.orderBy("mag", "obj_id"))
-    return few.withColumn("k", rank).crossJoin(F.broadcast(n)).filter("k <= n").select("obj_id", r6(c("mag"), "mag", 4))
+    n = rows.agg(F.count("*").alias("n")).select(F.ceil(0.1 * c("n")).alias("k"), F.when(c("n") > 1, (F.ceil(0.1 * c("n")) - 1) / (c("n") - 1)).otherwise(0.0).alias("q"))
+    k, q = n.first() or (0, 0.0)
+    if not k:
+        return rows
+    bound = rows.agg(F.percentile("mag", F.lit(float(q))).alias("b"))
+    side = rows.crossJoin(F.broadcast(bound)).withColumn("off", F.round(c("mag") - c("b"), 9))  # bound: one row
+    below = side.filter("off < 0")
+    left = int(k) - below.count()
+    at = side.filter("off = 0").orderBy("obj_id").limit(max(left, 0))
+    return below.unionByName(at).select("obj_id", r6(c("mag"), "mag", 4))
 
 
 _GAPS = "d AS (SELECT night_id, bjd_tdb AS t, bjd_tdb - lag(bjd_tdb) OVER (PARTITION BY night_id ORDER BY bjd_tdb) AS d FROM fr WHERE bjd_tdb IS NOT NULL)"
