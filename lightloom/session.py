@@ -57,7 +57,7 @@ def missing(column: str) -> F.Column:
     return F.col(column).isNull() | F.isnan(F.col(column).cast("double"))
 
 
-def spread(df: DataFrame, limit: int = 32 << 20) -> DataFrame:
+def spread(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
     """A small table (by the plan's estimated size) over all cores, for work that costs far more than moving its rows.
 
     A small Parquet file is a single task; large tables are in enough files, and are left as they are.
