@@ -15,23 +15,29 @@ def median(x: Column | str) -> Column:
 def with_mad(df: DataFrame, by: list[str], x: str, out: str = "sigma") -> DataFrame:
     """(by, median, sigma, n): 1.4826 * the median absolute deviation; infinite where that is 0.
 
-    The medians are joined back by their keys; rows of one key are only ever aggregated, never collected.
+    The median comes from a window over the same keys as the aggregate after it, so rows are shuffled once; the rows of
+    one key pass through a buffer that spills.
     """
-    centre = df.groupBy(*by).agg(median(x).alias("median"), F.count(x).alias("n"))
-    spread = df.join(centre, by).groupBy(*by).agg(median(F.abs(F.col(x) - F.col("median"))).alias("mad"), F.first("median").alias("median"), F.first("n").alias("n"))
+    centred = df.withColumn("__m", median(x).over(Window.partitionBy(*by)))
+    spread = centred.groupBy(*by).agg(median(F.abs(F.col(x) - F.col("__m"))).alias("mad"), F.first("__m").alias("median"), F.count(x).alias("n"))
     return spread.select(*by, "median", F.when(F.col("mad") == 0, float("inf")).otherwise(MAD * F.col("mad")).alias(out), "n")
 
 
 def clipped_mean(df: DataFrame, by: list[str], x: str, sigma: str, clip: float = 3.0, rounds: int = 3) -> DataFrame:
-    """(by, mean, error, n): inverse-variance mean, clipped about the median residual by its MAD in fixed rounds."""
-    rows = df.filter(F.col(x).isNotNull() & (F.col(sigma) > 0)).withColumn("w", 1 / F.col(sigma) ** 2)
+    """(by, mean, error, n): inverse-variance mean, clipped about the median residual by its MAD in fixed rounds.
+
+    All rounds are windows over the same keys, so rows are shuffled and sorted once.
+    """
+    own = Window.partitionBy(*by)
+    rows = df.filter(F.col(x).isNotNull() & (F.col(sigma) > 0)).withColumn("__w", 1 / F.col(sigma) ** 2)
     for _ in range(rounds):
-        mean = rows.groupBy(*by).agg((F.sum(F.col("w") * F.col(x)) / F.sum("w")).alias("m"))
-        rows = rows.join(mean, by).withColumn("res", F.col(x) - F.col("m")).drop("m")
-        rows = rows.join(with_mad(rows, by, "res", "s").drop("n"), by)
-        rows = rows.filter(F.abs(F.col("res") - F.col("median")) <= clip * F.col("s")).drop("res", "median", "s")
+        mean = F.sum(F.col("__w") * F.col(x)).over(own) / F.sum("__w").over(own)
+        rows = rows.withColumn("__r", F.col(x) - mean)
+        rows = rows.withColumn("__r", F.abs(F.col("__r") - median("__r").over(own)))
+        rows = rows.withColumn("__s", MAD * median("__r").over(own))
+        rows = rows.filter((F.col("__s") == 0) | (F.col("__r") <= clip * F.col("__s"))).drop("__r", "__s")
     return rows.groupBy(*by).agg(
-        (F.sum(F.col("w") * F.col(x)) / F.sum("w")).alias("mean"), (1 / F.sqrt(F.sum("w"))).alias("error"), F.count("*").alias("n")
+        (F.sum(F.col("__w") * F.col(x)) / F.sum("__w")).alias("mean"), (1 / F.sqrt(F.sum("__w"))).alias("error"), F.count("*").alias("n")
     )
 
 
