@@ -23,15 +23,15 @@ def with_surrogate(old: DataFrame, new: DataFrame, key: list[str], surrogate: st
     recomputation numbers them alike.  Keys should be unique in ``new``.
     """
     known = new.join(old.select(*key, surrogate), key, "left")
-    most = old.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("__most"))
+    most = old.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0]
     bucket = F.pmod(F.xxhash64(*key), F.lit(buckets))
     fresh = known.filter(F.col(surrogate).isNull()).drop(surrogate).withColumn("__b", bucket)
     sizes = fresh.groupBy("__b").agg(F.count("*").alias("__n"))  # a row per bucket at most
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("__b", before.alias("__start")).crossJoin(most)
+    starts = sizes.select("__b", (before + most).alias("__start"))
     rank = F.row_number().over(Window.partitionBy("__b").orderBy(*key))
     numbered = fresh.withColumn("__r", rank).join(F.broadcast(starts), "__b")
-    numbered = numbered.withColumn(surrogate, (F.col("__most") + F.col("__start") + F.col("__r")).cast("long")).drop("__b", "__r", "__start", "__most")
+    numbered = numbered.withColumn(surrogate, (F.col("__start") + F.col("__r")).cast("long")).drop("__b", "__r", "__start")
     return known.filter(F.col(surrogate).isNotNull()).unionByName(numbered)
 
 

@@ -147,8 +147,8 @@ x AS (SELECT obj_id, mag, least(len(list_filter(list_sort(edge), lambda v: v <=
 SELECT bin, count(*) AS n, round(min(mag), 4) AS least, round(max(mag), 4) AS most FROM x GROUP BY 1""")
 def _(t: Inputs) -> DataFrame:
     rows = t.obj.filter("mag is not null")
-    edges = rows.agg(F.array_distinct(F.percentile("mag", F.array(*(F.lit(q / 4) for q in range(5))))).alias("edges"))
-    binned = rows.crossJoin(F.broadcast(edges)).select("mag", R.bin_of(c("mag"), c("edges")).cast("long").alias("bin"))  # edges: one row
+    edges = rows.agg(F.array_distinct(F.percentile("mag", F.array(*(F.lit(q / 4) for q in range(5)))))).first()[0] or [0.0, 0.0]
+    binned = rows.select("mag", R.bin_of(c("mag"), F.array(*map(F.lit, edges))).cast("long").alias("bin"))
     return binned.groupBy("bin").agg(F.count("*").alias("n"), r6(F.min("mag"), "least", 4), r6(F.max("mag"), "most", 4))
 
 
@@ -358,8 +358,8 @@ def _(t: Inputs) -> DataFrame:
     k, q = n.first() or (0, 0.0)
     if not k:
         return rows
-    bound = rows.agg(F.percentile("mag", F.lit(float(q))).alias("b"))
-    side = rows.crossJoin(F.broadcast(bound)).withColumn("off", F.round(c("mag") - c("b"), 9))  # bound: one row
+    bound = rows.agg(F.percentile("mag", F.lit(float(q)))).first()[0]
+    side = rows.withColumn("off", F.round(c("mag") - bound, 9))
     below = side.filter("off < 0")
     left = int(k) - below.count()
     at = side.filter("off = 0").orderBy("obj_id").limit(max(left, 0))

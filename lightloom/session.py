@@ -6,7 +6,6 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def local_session(cores: int = 8, memory: str = "8g", shuffle_partitions: int = 8) -> SparkSession:
@@ -47,16 +46,6 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, limit: int = 32 << 20) -> DataFrame:
-    """A broadcast hint, given only if the plan's estimated size is within ``limit``; else the plan as it is."""
-    return F.broadcast(df) if plan_bytes(df) <= limit else df
-
-
-def missing(column: str) -> F.Column:
-    """True where a number is null or NaN: both mean 'missing' in the store."""
-    return F.col(column).isNull() | F.isnan(F.col(column).cast("double"))
-
-
 def spread(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
     """A small table (by the plan's estimated size) over all cores, for work that costs far more than moving its rows.
 
