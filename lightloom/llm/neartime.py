@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lightloom.session import cut
+
 
 def _usable(df: DataFrame, entity: list[str], row_id: str, time: str, names: list[str]) -> DataFrame:
     kept = [F.col(e).alias(n) for e, n in zip(entity, names)]
@@ -54,12 +56,12 @@ def nearest_in_time(
         F.min(inside).alias("t2"), F.min_by("id", inside).alias("i2"),
         F.max(inside).alias("t3"), F.max_by("id", inside).alias("i3"), F.count(inside).alias("inside"),
     )
-    joined = lefts.join(best, [*e, "tick"])
+    joined = cut(lefts.join(best, [*e, "tick"]))  # a row per left record; read by both ways below
     near = [F.when(F.col(f"t{k}").isNotNull(), F.struct(F.abs(t - F.col(f"t{k}")).alias("gap"), F.col(f"i{k}").alias("id"))) for k in range(4)]
     sparse = joined.filter("inside <= 2").select(F.col("id").alias("left_id"), F.array_min(F.array_compact(F.array(*near))).alias("near"))
 
     # The exact way for ticks with more right times than the four kept.
-    crowded = best.filter("inside > 2")
+    crowded = joined.filter("inside > 2").select(*e, "tick", "t0", "i0", "t1", "i1").distinct()
     keys = crowded.select(*e, "tick")
     outside = [crowded.select(*e, "tick", F.col(f"t{k}").alias("t"), F.col(f"i{k}").alias("right")).dropna(subset=["t"]) for k in (0, 1)]
     within = rights.withColumn("tick", tick_of).join(keys, [*e, "tick"], "left_semi").select(*e, "tick", "t", F.col("id").alias("right"))
