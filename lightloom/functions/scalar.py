@@ -169,15 +169,37 @@ def chi2_sf(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series(chi2_sf_values(x.to_numpy(float), dof.fillna(0).to_numpy(int)))
 
 
-def binomial_sf(k: Column, n: Column, p: Column) -> Column:
-    """P(at least k of n) from the terms below k, which are few; for small k only."""
-    log_p, log_q = F.log(F.greatest(p, F.lit(1e-300))), F.log(F.greatest(1 - p, F.lit(1e-300)))
-
-    def step(acc: Column, j: Column) -> Column:
-        total, log_c = acc["total"], acc["log_c"]
-        j = j.cast("double")
-        term = F.exp(log_c + j * log_p + (n - j) * log_q)
-        return F.struct((total + term).alias("total"), (log_c + F.log(F.greatest(n - j, F.lit(1e-300))) - F.log(j + 1)).alias("log_c"))
-
-    below = F.aggregate(F.sequence(F.lit(0), F.greatest(k - 1, F.lit(0)).cast("int")), F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("log_c")), step)
-    return F.when(k <= 0, 1.0).when(p >= 1, 1.0).otherwise(F.greatest(F.lit(0.0), 1 - below["total"]))
+def binomial_sf_values(k: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """P(at least k of n) for any k, as the regularised incomplete beta function I_p(k, n - k + 1) by its continued fraction.
+
+    The fraction is taken on the side where it converges in about sqrt(n) steps; nan where an argument is missing.
+    """
+    k, n, p = (np.asarray(v, float) for v in (k, n, p))
+    known = np.isfinite(k) & np.isfinite(n) & np.isfinite(p)
+    p = np.clip(p, 0, 1)
+    out = np.where(known, np.where(k <= 0, 1.0, np.where(k > n, 0.0, p)), np.nan)
+    at = known & (k > 0) & (k <= n) & (p > 0) & (p < 1)
+    if not at.any():
+        return out
+    a, b, x = k[at], n[at] - k[at] + 1, p[at]
+    swap = x > (a + 1) / (a + b + 2)
+    a, b, x = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, 1 - x, x)
+    lgamma = np.vectorize(math.lgamma, otypes=[float])
+    front = np.exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * np.log(x) + b * np.log1p(-x)) / a
+    away = lambda v: np.where(np.abs(v) < 1e-300, 1e-300, v)
+    c, d = np.ones_like(x), 1 / away(1 - (a + b) * x / (a + 1))
+    h = d.copy()
+    for m in range(1, 100 + int(10 * math.sqrt(float(np.max(a + b))))):
+        even, odd = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        for term in (even, odd):
+            d, c = 1 / away(1 + term * d), away(1 + term / c)
+            h = h * d * c
+        if np.all(np.abs(d * c - 1) < 1e-15):
+            break
+    out[at] = np.clip(np.where(swap, 1 - front * h, front * h), 0, 1)
+    return out
+
+
+@F.pandas_udf(DoubleType())
+def binomial_sf(k: pd.Series, n: pd.Series, p: pd.Series) -> pd.Series:
+    return pd.Series(binomial_sf_values(k.to_numpy(float), n.to_numpy(float), p.to_numpy(float)))

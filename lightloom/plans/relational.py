@@ -311,7 +311,7 @@ WITH {_COINC} SELECT det_id, round(CASE WHEN n_similar = 0 OR p >= 1 THEN 1 WHEN
 FROM co WHERE n_similar <= 2""")
 def _(t: Inputs) -> DataFrame:
     p = X.binomial_sf(c("n_similar"), c("m"), c("p"))
-    return coincidences(t).filter("n_similar <= 2").select("det_id", r6(p, "p_chance", 5))
+    return coincidences(t).select("det_id", r6(p, "p_chance", 5))
 
 
 _MATCH = """
