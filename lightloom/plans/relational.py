@@ -24,16 +24,21 @@ _PAIRS = f"""{_CAT}, pairs AS (SELECT cat_id, obj_id, {_SEP.format(a='k', b='o')
   WHERE {_SEP.format(a='k', b='o')} <= 5)"""
 
 
-def decimal_places(t: Inputs) -> DataFrame:
-    """Catalogue rows whose place is written in decimal degrees."""
-    rows = t.table("catalog_source").select("cat_id", c("ra_text").try_cast("double").alias("ra"), c("dec_text").try_cast("double").alias("dec"))
+def places(t: Inputs) -> DataFrame:
+    """Catalogue rows that have a place, in degrees: decimal text as it is, sexagesimal right ascensions are hours."""
+
+    def degrees(text: str, unit: int) -> Column:
+        three = F.regexp_count(text, F.lit(r"[0-9]+(?:\.[0-9]*)?")) == 3
+        return F.coalesce(c(text).try_cast("double"), X.sexagesimal(c(text)) * F.when(three, unit).otherwise(1))
+
+    rows = t.table("catalog_source").select("cat_id", degrees("ra_text", 15).alias("ra"), degrees("dec_text", 1).alias("dec"))
     return rows.dropna(subset=["ra", "dec"])
 
 
 @query("j1_sky_nearest", f"""
 WITH {_PAIRS}, r AS (SELECT *, row_number() OVER (PARTITION BY cat_id ORDER BY sep, obj_id) AS r FROM pairs) SELECT cat_id, obj_id, round(sep, 4) AS sep FROM r WHERE r = 1""")
 def _(t: Inputs) -> DataFrame:
-    near = sky.nearest(sky.sky_join(decimal_places(t), t.obj, 5.0, "cat_id", "obj_id"))
+    near = sky.nearest(sky.sky_join(places(t), t.obj, 5.0, "cat_id", "obj_id"))
     return near.select(c("l_id").alias("cat_id"), c("r_id").alias("obj_id"), r6(c("sep_arcsec"), "sep", 4))
 
 
@@ -41,7 +46,7 @@ def _(t: Inputs) -> DataFrame:
 WITH {_PAIRS}, r AS (SELECT *, row_number() OVER (PARTITION BY cat_id ORDER BY sep, obj_id) AS r FROM pairs),
 w AS (SELECT *, row_number() OVER (PARTITION BY obj_id ORDER BY sep, cat_id) AS k FROM r WHERE r = 1) SELECT cat_id, obj_id FROM w WHERE k = 1""")
 def _(t: Inputs) -> DataFrame:
-    won = sky.closest_wins(sky.sky_join(decimal_places(t), t.obj, 5.0, "cat_id", "obj_id"))
+    won = sky.closest_wins(sky.sky_join(places(t), t.obj, 5.0, "cat_id", "obj_id"))
     return won.select(c("l_id").alias("cat_id"), c("r_id").alias("obj_id"))
 
 
@@ -64,7 +69,7 @@ def _(t: Inputs) -> DataFrame:
 @query("j6_radius_all", f"""
 WITH {_PAIRS} SELECT obj_id, count(*) AS n, list(cat_id ORDER BY cat_id) AS cats FROM pairs GROUP BY 1""")
 def _(t: Inputs) -> DataFrame:
-    pairs = sky.sky_join(decimal_places(t), t.obj, 5.0, "cat_id", "obj_id")
+    pairs = sky.sky_join(places(t), t.obj, 5.0, "cat_id", "obj_id")
     return pairs.groupBy(c("r_id").alias("obj_id")).agg(F.count("*").alias("n"), F.sort_array(F.collect_list("l_id")).alias("cats"))
 
 
