@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lightloom.operators import robust as R
-from lightloom.operators.sky import closest_wins, sky_join
-from lightloom.session import cut
+from lightloom.operators.regions import finite
 
 
 def _vectors(ra: np.ndarray, dec: np.ndarray) -> np.ndarray:
@@ -73,29 +74,50 @@ def match_frames(sources: DataFrame, arcsec: float = 1.0, presence: float = 0.0)
     return matched.join(seen.select("night_id", "star"), ["night_id", "star"], "left_semi")
 
 
-def match_nights(stars: DataFrame, nights: list[int], arcsec: float = 1.0) -> DataFrame:
-    """(night_id, star, global): stars of several nights, the anchor first, against a global list that grows by night.
+def match_sets(stars: DataFrame, arcsec: float = 1.0) -> DataFrame:
+    """(set, night_id, star, global): stars of every set's nights, in order of ``step``, against the set's list that grows.
 
-    One join per night of a set (a few), each cut off from the lineage of the last.
+    ``stars``: set, step, night_id, star, ra, dec; the night of the least step is the anchor.  A star that matches none of
+    the nights before becomes a new one, numbered on within its set.  Sets do not meet (small ones may share a task); rows come sorted, so a
+    task holds one night and the list of one set, however many nights there are.
     """
-    known = xref = None
-    for n in nights:
-        mine = stars.filter(F.col("night_id") == n).select("night_id", "star", "ra", "dec").dropna()
-        if known is None:
-            tied, fresh, most = None, mine, 0
-        else:
-            won = closest_wins(sky_join(mine, known, arcsec, "star", "global")).select(F.col("l_id").alias("star"), F.col("r_id").alias("global"))
-            tied = mine.join(won, "star").select("night_id", "star", "global")
-            fresh = mine.join(won, "star", "left_anti")
-            most = known.agg(F.coalesce(F.max("global") + 1, F.lit(0))).first()[0]
-        numbered = fresh.withColumn("global", F.row_number().over(Window.orderBy("star")).cast("long") - 1 + most)
-        numbered = cut(numbered)
-        rows = numbered.select("night_id", "star", "global")
-        rows = rows if tied is None else rows.unionByName(tied)
-        xref = rows if xref is None else xref.unionByName(rows)
-        grown = numbered.select("global", "ra", "dec")
-        known = grown if known is None else cut(known.unionByName(grown))
-    return xref
+
+    def nights(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []  # a night may go over several batches
+        for batch in batches:
+            new = batch["set"].ne(batch["set"].shift()) | batch["step"].ne(batch["step"].shift())
+            for _, part in batch.groupby(new.cumsum(), sort=False):
+                if held and (held[0]["set"].iloc[0], held[0]["step"].iloc[0]) != (part["set"].iloc[0], part["step"].iloc[0]):
+                    yield pd.concat(held)
+                    held = []
+                held.append(part)
+        if held:
+            yield pd.concat(held)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, ra, dec = None, np.zeros(0), np.zeros(0)
+        for night in nights(batches):
+            if night["set"].iloc[0] != at:
+                at, ra, dec = night["set"].iloc[0], np.zeros(0), np.zeros(0)
+            a, d = night["ra"].to_numpy(float), night["dec"].to_numpy(float)
+            star = closest(a, d, ra, dec, arcsec)
+            new = star < 0
+            star[new] = len(ra) + np.arange(new.sum())
+            ra, dec = np.concatenate([ra, a[new]]), np.concatenate([dec, d[new]])
+            yield night[["set", "night_id", "star"]].assign(**{"global": star})
+
+    kinds = dict(stars.dtypes)
+    placed = stars.select("set", "step", "night_id", "star", F.col("ra").cast("double"), F.col("dec").cast("double")).dropna()
+    placed = placed.filter(finite(F.col("ra")) & finite(F.col("dec")))
+    ordered = placed.repartition("set").sortWithinPartitions("set", "step", "night_id", "star")
+    return ordered.mapInPandas(run, f"set {kinds['set']}, night_id {kinds['night_id']}, star {kinds['star']}, global long")
+
+
+def match_nights(stars: DataFrame, nights: list[int], arcsec: float = 1.0) -> DataFrame:
+    """(night_id, star, global): stars of several nights, the anchor first, against one list that grows by night."""
+    step = F.array_position(F.array(*map(F.lit, nights)), F.col("night_id"))
+    ordered = stars.withColumns({"set": F.lit(0), "step": step}).filter("step > 0")
+    return match_sets(ordered, arcsec).select("night_id", "star", "global")
 
 
 def frame_offsets(places: DataFrame, reference: DataFrame, least: int = 20) -> DataFrame:

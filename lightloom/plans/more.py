@@ -266,14 +266,17 @@ def _(t: Inputs) -> DataFrame:
 
 @query("j11_match_nights")
 def _(t: Inputs) -> DataFrame:
-    """Stars of all nights of the richest target, tied into one list by place (each night sees its own objects)."""
-    from lightloom.operators.growing import match_nights
-
-    target = t.night.filter("removed_at is null").groupBy("target").agg(F.count("*").alias("n"), F.min("night_id").alias("f"))
-    best = target.orderBy(F.desc("n"), "f").limit(1)
-    nights = [r["night_id"] for r in t.night.filter("removed_at is null").join(best, "target").orderBy("night_id").select("night_id").collect()]
-    seen = t.ep.filter(c("night_id").isin(nights)).select("night_id", c("star_id").alias("star")).distinct()
-    return match_nights(seen.join(t.obj.select(c("obj_id").alias("star"), "ra", "dec"), "star"), nights)
+    """Stars of all nights of every target, tied into one list per target by place (each night sees its own objects).
+
+    ``global`` counts within a target; a night without a target is a set of its own.
+    """
+    from lightloom.operators.growing import match_sets
+
+    target = F.coalesce("target", F.concat(F.lit("night "), "night_id"))
+    nights = t.night.filter("removed_at is null").select(target.alias("set"), "night_id", c("night_id").alias("step"))
+    seen = t.ep.select("night_id", c("star_id").alias("star")).distinct().join(nights, "night_id")
+    tied = match_sets(seen.join(t.obj.select(c("obj_id").alias("star"), "ra", "dec"), "star"))
+    return tied.select(c("set").alias("target"), "night_id", "star", "global")
 
 
 @query("g25_noise_floors")
