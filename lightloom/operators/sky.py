@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lightloom.operators.regions import finite, unit_vector
+from lightloom.session import cut
 
 
 def separation_arcsec(ra1: Column, dec1: Column, ra2: Column, dec2: Column) -> Column:
@@ -59,7 +63,8 @@ def isolated(points: DataFrame, arcsec: float, key: str) -> DataFrame:
 def nearest_other(points: DataFrame, key: str, start: float = 20.0, rings: int = 3) -> DataFrame:
     """(id, other, sep_arcsec): the nearest other row, looked for in ``rings`` widening radii (each four times the last).
 
-    A row is asked again in the next ring only if it has found none, so the wide rings see few rows.
+    A row is asked again in the next ring only if it has found none, so the wide rings see few rows.  One that has none
+    in the last ring gets no row; ``k_nearest`` has no such bound.
     """
     found, asked = None, points
     for k in range(rings):
@@ -69,21 +74,57 @@ def nearest_other(points: DataFrame, key: str, start: float = 20.0, rings: int =
     return found.select(F.col("l_id").alias(key), F.col("r_id").alias("other"), "sep_arcsec")
 
 
-def k_nearest(points: DataFrame, k: int, key: str, start: float = 20.0, rings: int = 3) -> DataFrame:
-    """(key, other, sep_arcsec, rank): the k nearest other rows, looked for in widening radii (each four times the last).
+def k_nearest(points: DataFrame, k: int, key: str, start: float = 20.0, few: int = 256) -> DataFrame:
+    """(key, other, sep_arcsec, rank): the k nearest other rows, fewer only if the table has no more.
 
-    A row that finds fewer than k goes on to the next ring; after the last it keeps those found.
+    They are looked for in widening radii (each four times the last).  A row that finds fewer than k goes on to the next
+    ring; once at most ``few`` rows are open, or the radius covers half the sky, those are compared with all rows.
     """
-    out, asked = None, points
-    for n in range(rings):
-        pairs = sky_join(asked, points, start * 4**n, key, key).filter("l_id <> r_id")
-        w = Window.partitionBy("l_id").orderBy("sep_arcsec", "r_id")
-        ranked = pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    w = Window.partitionBy("l_id").orderBy("sep_arcsec", "r_id")
+    points = points.filter(finite(F.col("ra")) & finite(F.col("dec")))
+    out, asked, arcsec = None, points, start
+    while arcsec < 90 * 3600 and (out is None or asked.count() > few):
+        pairs = sky_join(asked, points, arcsec, key, key).filter("l_id <> r_id")
+        ranked = cut(pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
         full = ranked.filter(F.col("rank") == k).select("l_id")
-        kept = ranked if n == rings - 1 else ranked.join(full, "l_id", "left_semi")
+        kept = ranked.join(full, "l_id", "left_semi")
         out = kept if out is None else out.unionByName(kept)
-        asked = asked.join(full.select(F.col("l_id").alias(key)), key, "left_anti")
-    return out.select(F.col("l_id").alias(key), F.col("r_id").alias("other"), "sep_arcsec", "rank")
+        asked = cut(asked.join(full.select(F.col("l_id").alias(key)), key, "left_anti"))
+        arcsec *= 4
+    rest = farthest(asked, points, k, key).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return out.unionByName(rest).select(F.col("l_id").alias(key), F.col("r_id").alias("other"), "sep_arcsec", "rank")
+
+
+def farthest(asked: DataFrame, points: DataFrame, k: int, key: str, block: int = 64) -> DataFrame:
+    """(l_id, r_id, sep_arcsec): for each asked row the k nearest other points of each part of the points, at any distance.
+
+    Blocks of asked rows meet the batches of every part of the points; of each part only k candidates a row go on.
+    """
+    kind = dict(points.dtypes)[key]
+    rows = asked.select(F.struct(F.col(key).alias("id"), F.col("ra").cast("double").alias("ra"), F.col("dec").cast("double").alias("dec")).alias("p"))
+    held = rows.withColumn("b", F.floor(F.monotonically_increasing_id() / block)).groupBy("b").agg(F.collect_list("p").alias("ps"))
+    part = F.floor(F.monotonically_increasing_id() / 4096)
+    other = points.select(F.struct(F.col(key).alias("id"), F.col("ra").cast("double").alias("ra"), F.col("dec").cast("double").alias("dec")).alias("q"), part.alias("part"))
+    parts = other.groupBy("part").agg(F.collect_list("q").alias("qs"))
+
+    def vectors(at: list) -> np.ndarray:
+        ra, dec = np.radians([x["ra"] for x in at]), np.radians([x["dec"] for x in at])
+        return np.stack([np.cos(dec) * np.cos(ra), np.cos(dec) * np.sin(ra), np.sin(dec)], axis=1)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for ps, qs in zip(batch["ps"], batch["qs"]):
+                ids, others = np.array([x["id"] for x in ps]), np.array([x["id"] for x in qs])
+                u, v = vectors(ps), vectors(qs)
+                for i, one in enumerate(u):
+                    chord = np.sqrt(((v - one) ** 2).sum(axis=1))
+                    chord[others == ids[i]] = np.inf
+                    near = np.lexsort((others, chord))[:k]
+                    near = near[np.isfinite(chord[near])]
+                    sep = np.degrees(2 * np.arcsin(np.minimum(chord[near] / 2, 1))) * 3600
+                    yield pd.DataFrame({"l_id": ids[i], "r_id": others[near], "sep_arcsec": sep})
+
+    return held.crossJoin(parts).mapInPandas(run, f"l_id {kind}, r_id {kind}, sep_arcsec double")
 
 
 def cone(points: DataFrame, ra: float, dec: float, degrees: float) -> DataFrame:

@@ -225,7 +225,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY obj_id ORDER BY sep, other) AS r
 def _(t: Inputs) -> DataFrame:
     from lightloom.operators.sky import k_nearest
 
-    return k_nearest(t.obj.select("obj_id", "ra", "dec"), 5, "obj_id").select("obj_id", "other", "rank")
+    return k_nearest(t.obj.select("obj_id", "ra", "dec"), 25, "obj_id").select("obj_id", "other", "rank")
 
 
 @query("k11_review_restore", """

@@ -62,7 +62,7 @@ WITH n AS (SELECT o.obj_id, p.obj_id AS other, {_SEP.format(a='o', b='p')} AS se
 r AS (SELECT *, row_number() OVER (PARTITION BY obj_id ORDER BY sep, other) AS r FROM n)
 SELECT obj_id, other, round(log10(greatest(sep, 0.05)), 6) AS crowding FROM r WHERE r = 1""")
 def _(t: Inputs) -> DataFrame:
-    near = sky.nearest_other(t.obj.select("obj_id", "ra", "dec"), "obj_id")
+    near = sky.k_nearest(t.obj.select("obj_id", "ra", "dec"), 1, "obj_id")
     return near.select("obj_id", "other", r6(F.log10(F.greatest("sep_arcsec", F.lit(0.05))), "crowding"))
 
 
