@@ -1,11 +1,12 @@
 """Implausible readings of a measured series: spikes, stuck values, impossible values.
 
-Method: a hidden Markov model per series with the states normal, spike, stuck and out-of-range.  Its
-emissions are the reading's distance from the series' local level in units of the series' own
-scatter, whether the value repeats a neighbour's, and whether it breaks a hard bound.  The
-forward-backward probabilities choose the candidates and hard bounds decide what the definition fixes
-(impossible: at once; stuck: runs of at least ``run``; spike: groups of at most ``group`` readings that
-stand ``apart`` times the scatter from the readings on both sides).
+Method: a hidden Markov model per series whose emissions are of four kinds: normal, spike, stuck and out-of-range.
+They depend on the reading's distance from the series' local level in units of that series' own scatter, on whether the
+value repeats the one before, and on whether it breaks a hard bound.  Durations are part of the model: a spike has one to three
+states in a row and must end in a normal one, a stuck run at least five, and a longer change of level (which is
+normal) at least four.  The forward-backward probabilities assign the flags: a reading is stuck or of a spike
+where that kind's posterior exceeds ``posterior``, and hard bounds assign out-of-range.  A group of readings with a
+spike's posterior is then held to the definition, distance from the readings on both sides.
 
 A change that the other series of the same night show in the same frame (cloud) is divided out first.
 """
@@ -30,32 +31,68 @@ class SpikeModel:
     """Parameters of the model; the defaults are the production values."""
 
     apart: float = 10.0  #: distance of a spike from both sides, in scatters
-    member: float = 7.0  #: distance from the local level of every reading of a group, in scatters
     ramp: float = 5.0  #: least distance from the very next readings, so that slopes of longer changes are none
     group: int = 3  #: most readings of a spike
     run: int = 5  #: least readings of a stuck run
     half: int = 4  #: half width of the local level's running median
     least: int = 8  #: readings a series needs for a scatter
     peers: int = 5  #: series a frame needs for its common factor
-    chunk: int = 1024  #: frames of a series that are judged together
+    chunk: int = 1024  #: frames of a series that one row holds
     overlap: int = 64  #: frames of the neighbouring chunks that are seen as well
-    posterior: float = 0.5  #: probability of a state other than normal that makes a candidate
-    tails: float = 8.0  #: degrees of freedom of the normal state
-    stay: tuple[float, ...] = (0.985, 0.4, 0.85, 0.3)  #: probability of staying in each state
-    repeat: tuple[float, ...] = (0.02, 0.05, 0.98, 0.05)  #: probability of repeating a neighbour's value
+    ranks: int = 100_000  #: accuracy of the scatter of a series of more than one chunk, in ranks
+    posterior: float = 0.5  #: probability of a kind that assigns it
+    tails: float = 6.0  #: degrees of freedom of the normal emission
+    starts: tuple[float, float, float] = (0.02, 0.005, 0.005)  #: probability that a spike, longer change, stuck run begins
+    goes_on: float = 0.3  #: probability that a spike has one more reading
+    lasts: tuple[float, float] = (0.85, 0.9)  #: probability that a longer change, a stuck run goes on past its least length
+    repeats: float = 0.02  #: probability that a reading which is not stuck repeats the one before
 
 
 FOUND = "field string, night_id int, star_id bigint, frame_index int, aper int"
 
 
-def _transitions(m: SpikeModel) -> np.ndarray:
-    a = np.zeros((4, 4))
-    for k, p in enumerate(m.stay):
-        a[k] = (1 - p) / 3 if k == NORMAL else (1 - p) * 0.1
-        if k != NORMAL:
-            a[k, NORMAL] = (1 - p) * 0.8
-        a[k, k] = p
-    return a
+@dataclass(frozen=True)
+class Chain:
+    """The model's states: one of normal, ``group`` of a spike, ``group`` + 1 of a longer change, ``run`` of a stuck run."""
+
+    move: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    spike: slice
+    change: slice
+    stuck: slice
+
+    @classmethod
+    def of(cls, m: SpikeModel) -> Chain:
+        spike = slice(1, 1 + m.group)
+        change = slice(spike.stop, spike.stop + m.group + 1)
+        stuck = slice(change.stop, change.stop + m.run)
+        n = stuck.stop
+        begin = np.zeros(n)
+        begin[[spike.start, change.start, stuck.start]] = m.starts
+        a = np.zeros((n, n))
+        a[0] = begin
+        a[0, 0] = 1 - begin.sum()
+        leave = begin / begin.sum() * 0.1  # what follows at once on something else
+        leave[0] = 0.9
+        after = leave.copy()
+        after[spike.start] = 0  # a spike ends before the next one begins
+        after /= after.sum()
+        for k in range(spike.start, spike.stop):
+            on = m.goes_on if k + 1 < spike.stop else 0.0
+            a[k] = (1 - on) * after
+            if on:
+                a[k, k + 1] += on
+        for part, stays in ((change, m.lasts[0]), (stuck, m.lasts[1])):
+            for k in range(part.start, part.stop - 1):
+                a[k, k + 1] = 1
+            a[part.stop - 1] = (1 - stays) * leave
+            a[part.stop - 1, part.stop - 1] += stays
+        first, last = np.zeros(n), np.ones(n)
+        first[[0, change.stop - 1, stuck.start]] = 0.95, 0.03, 0.02  # a change may have begun before
+        last[spike] = 0  # a spike has readings on both sides
+        last[stuck.start : stuck.stop - 1] = 0  # a stuck run is whole
+        return cls(a, first, last, spike, change, stuck)
 
 
 def local_level(x: np.ndarray, half: int) -> np.ndarray:
@@ -78,85 +115,95 @@ def scatter(x: np.ndarray, moved: np.ndarray) -> np.ndarray:
     return np.maximum(np.nan_to_num(s, nan=np.inf), RESOLUTION * np.abs(np.median(x, axis=1)) + 1e-300)
 
 
-def posteriors(z: np.ndarray, same: np.ndarray, broken: np.ndarray, m: SpikeModel) -> np.ndarray:
-    """Forward-backward probabilities (rows, time, state) of equally long series."""
-    rows, n = z.shape
+def posteriors(z: np.ndarray, linked: np.ndarray, broken: np.ndarray, m: SpikeModel) -> np.ndarray:
+    """Forward-backward probabilities (rows, time, kind) of equally long series; ``linked`` tells whether a reading repeats the one before.
+
+    An out-of-range reading is known by its bound and says nothing of the others: the chain passes over it.
+    """
+    c, (rows, n) = Chain.of(m), z.shape
     a = np.abs(z)
-    p = np.empty((rows, n, 4))
     usual = 0.4 * (1 + a * a / m.tails) ** (-(m.tails + 1) / 2)
-    broad = 1 / (2 * np.maximum(a, 5) * np.log(1e5 / 5))
-    p[:, :, NORMAL] = usual
-    p[:, :, SPIKE] = np.where(a > 5, broad, 1e-6)
-    p[:, :, STUCK] = 0.5 * usual + 0.5 * broad
-    for k, repeats in enumerate(m.repeat):
-        p[:, :, k] *= np.where(same, repeats, 1 - repeats) if k != STUCK else np.where(same, repeats, 1e-6)
-    p[:, :, RANGE] = 0
-    p[broken] = (1e-12, 1e-12, 1e-12, 1)
-    move = _transitions(m)
-    first = np.array([0.97, 0.01, 0.01, 0.01])
+    broad = 1 / (2 * np.maximum(a, 5) * np.log(1e5 / 5))  # any far level is as likely on a scale of ratios
+    other = np.where(linked, m.repeats, 1 - m.repeats)
+    again, fresh = np.where(linked, 0.98, 1e-9), np.where(linked, 1e-6, 0.98)
+    p = np.empty((rows, n, len(c.move)))
+    p[:, :, 0] = usual * other
+    p[:, :, c.spike] = (np.where(a > 5, broad, 1e-6) * other)[:, :, None]
+    p[:, :, c.change] = (broad * np.clip((a / 5) ** 2, 0.1, 1) * other)[:, :, None]
+    any_level = 0.5 * usual + 0.5 * broad
+    p[:, :, c.stuck] = (any_level * again)[:, :, None]
+    p[:, :, c.stuck.start] = any_level * fresh
     ahead, back = np.empty_like(p), np.empty_like(p)
-    f = first * p[:, 0]
-    ahead[:, 0] = f / f.sum(axis=1, keepdims=True)
-    for t in range(1, n):
-        f = (ahead[:, t - 1] @ move) * p[:, t]
-        ahead[:, t] = f / f.sum(axis=1, keepdims=True)
-    back[:, -1] = 1
-    for t in range(n - 2, -1, -1):
-        b = (back[:, t + 1] * p[:, t + 1]) @ move.T
-        back[:, t] = b / b.sum(axis=1, keepdims=True)
+    start = np.ones(rows, bool)  # nothing but out-of-range readings so far
+    f = np.tile(c.first, (rows, 1))
+    for t in range(n):
+        new = np.where(start[:, None], f, f @ c.move) * p[:, t]
+        total = new.sum(axis=1, keepdims=True)
+        new = np.where(total > 0, new / np.where(total > 0, total, 1), c.first)
+        f = np.where(broken[:, t, None], f, new)
+        start &= broken[:, t]
+        ahead[:, t] = f
+    b = np.tile(c.last, (rows, 1))
+    for t in range(n - 1, -1, -1):
+        back[:, t] = b
+        new = (b * p[:, t]) @ c.move.T
+        total = new.sum(axis=1, keepdims=True)
+        b = np.where(broken[:, t, None], b, new / np.where(total > 0, total, 1))
     g = ahead * back
-    return g / g.sum(axis=2, keepdims=True)
-
-
-def run_lengths(linked: np.ndarray) -> np.ndarray:
-    """Length of each reading's run, where ``linked`` tells whether a reading continues the one before."""
-    n = linked.shape[1] + 1
-    start = np.concatenate([np.ones((len(linked), 1), bool), ~linked], axis=1)
-    name = np.cumsum(start.ravel()) - 1
-    return np.bincount(name)[name].reshape(-1, n)
+    total = g.sum(axis=2)
+    out = np.zeros((rows, n, 4))
+    share = np.where(total > 0, 1 / np.where(total > 0, total, 1), 0)
+    out[:, :, SPIKE] = g[:, :, c.spike].sum(axis=2) * share
+    out[:, :, STUCK] = g[:, :, c.stuck].sum(axis=2) * share
+    out[:, :, NORMAL] = 1 - out[:, :, SPIKE] - out[:, :, STUCK]
+    out[broken] = (0, 0, 0, 1)
+    return out
+
+
+def prepared(raw: np.ndarray, common: np.ndarray, broken: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Series without their common factor, whether each reading repeats the one before, and which steps tell of the scatter."""
+    n = raw.shape[1]
+    linked = np.zeros_like(broken)
+    linked[:, 1:] = (raw[:, 1:] == raw[:, :-1]) & ~broken[:, 1:]
+    # Impossible values take no part in level and scatter: the reading before (else after) stands in.
+    with np.errstate(all="ignore"):
+        x = np.where(broken, np.nan, raw / common)
+    if broken.any():
+        before = np.maximum.accumulate(np.where(broken, -1, np.arange(n)), axis=1)
+        after = np.minimum.accumulate(np.where(broken, n, np.arange(n))[:, ::-1], axis=1)[:, ::-1]
+        x = np.take_along_axis(x, np.clip(np.where(before >= 0, before, after), 0, n - 1), axis=1)
+        x[broken.all(axis=1)] = 0
+    return x, linked, ~linked[:, 1:] & ~broken[:, 1:] & ~broken[:, :-1]
 
 
-def judge(raw: np.ndarray, common: np.ndarray, broken: np.ndarray, m: SpikeModel) -> np.ndarray:
-    """Flags of equally long series (rows, time); ``common`` holds the factors to divide out."""
+def judge(raw: np.ndarray, common: np.ndarray, broken: np.ndarray, m: SpikeModel, known: np.ndarray | None = None) -> np.ndarray:
+    """Flags of equally long series (rows, time); ``common`` holds the factors to divide out, ``known`` scatters where the series has more chunks."""
     flagged = broken.copy()
-    rows, n = raw.shape
+    n = raw.shape[1]
     if n < 2:
         return flagged
-    linked = (raw[:, 1:] == raw[:, :-1]) & ~broken[:, 1:]
-    same = np.zeros_like(broken)
-    same[:, 1:] |= linked
-    same[:, :-1] |= linked
-    # Impossible values take no part in level and scatter: the reading before (else after) stands in.
-    x = np.where(broken, np.nan, raw / common)
-    if broken.any():
-        seen = np.where(broken, -1, np.arange(n))
-        before = np.maximum.accumulate(seen, axis=1)
-        after = np.where(broken, n, np.arange(n))[:, ::-1]
-        after = np.minimum.accumulate(after, axis=1)[:, ::-1]
-        pick = np.where(before >= 0, before, after)
-        x = np.take_along_axis(x, np.clip(pick, 0, n - 1), axis=1)
-        x[broken.all(axis=1)] = 0
-    moved = ~linked & ~broken[:, 1:] & ~broken[:, :-1]
+    x, linked, moved = prepared(raw, common, broken)
     s = scatter(x, moved)
-    z = (x - local_level(x, m.half)) / s[:, None]
-    if n >= m.least:
+    if known is not None:
+        s = np.where(np.isnan(known), s, np.maximum(known, RESOLUTION * np.abs(np.median(x, axis=1)) + 1e-300))
+    enough = n >= m.least
+    z = (x - local_level(x, m.half)) / s[:, None] if enough else np.zeros_like(x)
+    if enough:
         # Once more with far readings bridged, so that a group does not shift its neighbours' level.
         far = np.abs(z) > m.apart
         for r in np.flatnonzero(far.any(axis=1) & ~far.all(axis=1)):
             near = np.flatnonzero(~far[r])
             bridged = np.interp(np.arange(n), near, x[r, near])[None]
             z[r] = (x[r] - local_level(bridged, m.half)[0]) / s[r]
-    candidate = (1 - posteriors(z, same, broken, m)[:, :, NORMAL]) > m.posterior
-    flagged |= candidate & (run_lengths(linked) >= m.run)
-    if n < m.least:
-        return flagged
-    # Spikes: maximal groups of candidates that are neither impossible nor part of a stuck run.
-    for r in np.flatnonzero((candidate & ~flagged & (np.abs(z) > m.member)).any(axis=1)):
+    kinds = posteriors(z, linked, broken, m)
+    flagged |= kinds[:, :, STUCK] > m.posterior
+    spike = kinds[:, :, SPIKE] > m.posterior
+    for r in np.flatnonzero(spike.any(axis=1)):
         keep = np.flatnonzero(~broken[r])
-        v, hit = x[r, keep], (candidate[r] & ~flagged[r] & (np.abs(z[r]) > m.member))[keep]
-        edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
+        v = x[r, keep]
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], spike[r, keep], [False]]).astype(np.int8)))
         for i, j in zip(edge[::2], edge[1::2]):
-            if j - i > m.group or i == 0 or j == len(v):
+            if i == 0 or j == len(v):
                 continue
             sides = np.array([np.median(v[max(0, i - 3) : i]), np.median(v[j : j + 3])])
             nearest = np.array([v[i - 1], v[j]])
@@ -225,6 +272,46 @@ def _ratios(quantities: tuple[Quantity, ...]):
     return run
 
 
+def _relative(col: dict, offset: np.ndarray, frame: np.ndarray) -> np.ndarray:
+    """The common factor of every reading, 1 where its frame has none."""
+    common = np.ones(len(frame))
+    factor_at = np.asarray(col["peers"].offsets)
+    factor_frame, factor = (np.asarray(x) for x in col["peers"].values.flatten())
+    for r in np.flatnonzero(np.diff(factor_at)):
+        known, factors = (x[factor_at[r] : factor_at[r + 1]] for x in (factor_frame, factor))
+        order = np.argsort(known)
+        known, factors = known[order], factors[order]
+        at = slice(offset[r], offset[r + 1])
+        k = np.minimum(np.searchsorted(known, frame[at]), len(known) - 1)
+        common[at] = np.where(known[k] == frame[at], factors[k], 1.0)
+    return common
+
+
+def _steps(m: SpikeModel, quantities: tuple[Quantity, ...]):
+    """Kernel: the successive differences of every series that tell of its scatter, each from the chunk of its later reading."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            col, offset, frame, value = _series(batch)
+            series = np.repeat(np.arange(len(offset) - 1), np.diff(offset))
+            impossible, common = _impossible(col, series, value, quantities), _relative(col, offset, frame)
+            rows, steps = [], []
+            for r in range(len(offset) - 1):
+                at = slice(offset[r], offset[r + 1])
+                if at.stop - at.start < 2:
+                    continue
+                x, _, moved = prepared(value[at][None], common[at][None], impossible[at][None])
+                own = np.floor_divide(frame[at][1:], m.chunk) == col["chunk"][r].as_py()
+                d = np.diff(x[0])[own & moved[0]]
+                rows.append(np.full(len(d), r))
+                steps.append(d)
+            row = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
+            names = ["kind", "night_id", "star_id", "aper"]
+            yield pa.RecordBatch.from_arrays([*(col[n].take(row) for n in names), pa.array(np.concatenate(steps) if steps else np.zeros(0))], names=[*names, "d"])
+
+    return run
+
+
 def _kernel(m: SpikeModel, quantities: tuple[Quantity, ...]):
     names = pa.array([q.name for q in quantities])
 
@@ -233,23 +320,14 @@ def _kernel(m: SpikeModel, quantities: tuple[Quantity, ...]):
             col, offset, frame, value = _series(batch)
             length = np.diff(offset)
             series = np.repeat(np.arange(len(length)), length)
-            impossible = _impossible(col, series, value, quantities)
-            factor_at = np.asarray(col["peers"].offsets)
-            factor_frame, factor = (np.asarray(x) for x in col["peers"].values.flatten())
-            common = np.ones(len(value))
-            for r in np.flatnonzero(np.diff(factor_at)):
-                known, factors = (x[factor_at[r] : factor_at[r + 1]] for x in (factor_frame, factor))
-                order = np.argsort(known)
-                known, factors = known[order], factors[order]
-                at = slice(offset[r], offset[r + 1])
-                k = np.minimum(np.searchsorted(known, frame[at]), len(known) - 1)
-                common[at] = np.where(known[k] == frame[at], factors[k], 1.0)
+            impossible, common = _impossible(col, series, value, quantities), _relative(col, offset, frame)
+            known = np.asarray(col["scatter"], dtype=float)
             hit = np.zeros(len(value), bool)
             for n in np.unique(length[length > 0]):
                 rows = np.flatnonzero(length == n)
                 for part in np.array_split(rows, max(1, len(rows) * int(n) // 100_000)):
                     at = offset[part][:, None] + np.arange(n)
-                    hit[at] = judge(value[at], common[at], impossible[at], m)
+                    hit[at] = judge(value[at], common[at], impossible[at], m, known[part])
             own = np.floor_divide(frame, m.chunk) == np.asarray(col["chunk"])[series]
             found = np.flatnonzero(hit & own)
             row = pa.array(series[found])
@@ -276,14 +354,14 @@ def implausible(readings: DataFrame, quantities: tuple[Quantity, ...] = PHOTOMET
     ``readings``: see ``readings``; ``kind`` counts in ``quantities``.  Of several rows of a key the one with the
     greatest ``ord`` counts (ties: the greatest value); nulls and NaN are left out after that, rows with a null key
     or frame before.  A series may be of any length: it is judged in chunks of frames that see their
-    neighbours, so no task holds more than a chunk of one series, and the rows of a key are combined before the
-    first shuffle.  Series shorter than ``m.least`` have no scatter: only impossible and stuck readings are
-    found there.
+    neighbours, with the scatter of the whole series, so no task holds more than a chunk of one series, and the rows of
+    a key are combined before the first shuffle.  Series shorter than ``m.least`` have no scatter: only impossible and
+    stuck readings are found there.
     """
-    key = ["kind", "night_id", "star_id", "aper"]
+    key, at = ["kind", "night_id", "star_id", "aper"], ["kind", "night_id", "chunk"]
+    usable = readings.dropna(subset=[*key, "frame_index"])
     last = (
-        readings.dropna(subset=[*key, "frame_index"])
-        .groupBy(*key, "frame_index")
+        usable.groupBy(*key, "frame_index")
         .agg(F.max(F.struct("ord", "value")).alias("last"))
         .select(*key, "frame_index", F.col("last.value").alias("value"))
         .filter("value is not null and not isnan(value)")
@@ -298,7 +376,6 @@ def implausible(readings: DataFrame, quantities: tuple[Quantity, ...] = PHOTOMET
         .agg(F.collect_list(F.struct("frame_index", "value")).alias("r"))
     )
     # One frame of one night is the largest group here; its rows meet unsorted, and the sketch is bounded.
-    at = ["kind", "night_id", "chunk"]
     peers = (
         series.mapInArrow(_ratios(quantities), "kind int, night_id int, chunk int, frame_index int, ratio double")
         .repartition(*at, "frame_index")
@@ -308,12 +385,19 @@ def implausible(readings: DataFrame, quantities: tuple[Quantity, ...] = PHOTOMET
         .groupBy(*at)
         .agg(F.collect_list(F.struct("frame_index", "factor")).alias("peers"))
     )
+    # Nights of more than one chunk; what is known of a night's chunks meets the series in one join.
+    chunks = usable.select("kind", "night_id", F.floor(f / m.chunk).cast("int").alias("chunk")).distinct()
+    long = chunks.join(chunks.groupBy("kind", "night_id").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), ["kind", "night_id"], "left_semi")
+    side = peers.join(long.withColumn("long", F.lit(True)), at, "full")
     none = F.array().cast("array<struct<frame_index:int,factor:double>>")
-    return (
-        series.join(peers, at, "left")
-        .select(*key, "chunk", "r", F.coalesce("peers", none).alias("peers"))
-        .mapInArrow(_kernel(m, quantities), FOUND)
-    )
+    joined = series.join(side, at, "left").select(*key, "chunk", "r", F.coalesce("peers", none).alias("peers"), "long")
+    whole = joined.filter("long is null").drop("long").withColumn("scatter", F.lit(None).cast("double"))
+    parts = joined.filter("long").drop("long")
+    steps = parts.mapInArrow(_steps(m, quantities), "kind int, night_id int, star_id bigint, aper int, d double")
+    middle = steps.groupBy(*key).agg(F.percentile_approx("d", 0.5, m.ranks).alias("m"))
+    off = steps.join(middle, key).groupBy(*key).agg(F.percentile_approx(F.abs(F.col("d") - F.col("m")), 0.5, m.ranks).alias("mad"))
+    parts = parts.join(off.select(*key, (F.col("mad") * (1.4826 / np.sqrt(2))).alias("scatter")), key, "left")
+    return whole.unionByName(parts).mapInArrow(_kernel(m, quantities), FOUND)
 
 
 def implausible_photometry(epochs: DataFrame, frames: DataFrame, m: SpikeModel = SpikeModel()) -> DataFrame:

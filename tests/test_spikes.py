@@ -5,7 +5,8 @@ import datetime as dt
 import numpy as np
 
 
-from lightloom.operators.spikes import SpikeModel, implausible_photometry, judge, posteriors, run_lengths
+from lightloom.operators import spikes
+from lightloom.operators.spikes import NORMAL, RANGE, SPIKE, STUCK, SpikeModel, implausible_photometry, judge, posteriors
 
 EPOCHS = "night_id int, star_id long, frame_index int, aper int, flux double, fluxerr double, loaded_at timestamp, field string, r int, ord long"
 FRAMES = "night_id int, frame_index int, frame_id long, airmass float, fwhm float, chunk int"
@@ -101,7 +102,43 @@ def test_brute_force():
         assert (got[r] == want).all()
 
 
-def test_probabilities_and_runs():
-    g = posteriors(np.array([[0.0, 0.5, 30.0, -0.2]]), np.zeros((1, 4), bool), np.array([[False, False, False, True]]), SpikeModel())
-    assert np.allclose(g.sum(axis=2), 1) and g[0].argmax(axis=1).tolist() == [0, 0, 1, 3]
-    assert run_lengths(np.array([[True, True, False, True]])).tolist() == [[3, 3, 3, 2, 2]]
+def test_scatter_is_that_of_the_whole_series(spark):
+    """A quiet part of a noisy series is judged by the series' scatter, in whichever chunk it lies."""
+    rng = np.random.default_rng(5)
+    noise = np.where(np.arange(600) < 200, 0.001, 0.02)
+    x = 1000 * (1 + noise * rng.standard_normal(600))[None]
+    x[0, 50] *= 1.05  # far for the quiet part, not for the series
+    x[0, 400] *= 2
+    for m in (SpikeModel(), SpikeModel(chunk=100, overlap=32)):
+        assert found(spark, table(spark, x), m=m) == {("flux", 1, 100, 400, 0)}
+
+
+def test_probabilities():
+    z = np.zeros((1, 12))
+    z[0, 2], z[0, 5:9] = 30, 25  # a spike, and a change that is too long for one
+    no = np.zeros((1, 12), bool)
+    g = posteriors(z, no, no, SpikeModel())
+    assert np.allclose(g.sum(axis=2), 1)
+    assert g[0].argmax(axis=1).tolist() == [SPIKE if t == 2 else NORMAL for t in range(12)]
+    for n, kind in ((4, NORMAL), (5, STUCK)):  # a run of four values is none, one of five is
+        linked = no.copy()
+        linked[0, 3 : 2 + n] = True
+        g = posteriors(np.zeros((1, 12)), linked, no, SpikeModel())
+        assert g[0].argmax(axis=1).tolist() == [kind if 2 <= t < 2 + n else NORMAL for t in range(12)]
+    broken = no.copy()
+    broken[0, 3] = True
+    assert posteriors(z, no, broken, SpikeModel())[0].argmax(axis=1).tolist()[:5] == [NORMAL, NORMAL, SPIKE, RANGE, NORMAL]
+
+
+def test_flags_come_from_the_probabilities(monkeypatch):
+    """Without the model's verdict nothing but the impossible is flagged, and with everything a spike no group is one."""
+    x = 1000 * (1 + 0.01 * np.random.default_rng(6).standard_normal((1, 40)))
+    x[0, 10], x[0, 20:26], x[0, 30] = 2000, x[0, 20], -1
+    broken = x < 0
+    want = judge(x, np.ones_like(x), broken, SpikeModel())
+    assert np.flatnonzero(want[0]).tolist() == [10, *range(20, 26), 30]
+    for kind in (NORMAL, SPIKE):
+        only = np.zeros((1, 40, 4))
+        only[:, :, kind] = 1
+        monkeypatch.setattr(spikes, "posteriors", lambda *_, only=only: only)
+        assert np.flatnonzero(judge(x, np.ones_like(x), broken, SpikeModel())[0]).tolist() == [30]
