@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lightloom.session import cut
+
 NORMAL, SPIKE, STUCK, RANGE = range(4)
 #: Least scatter relative to a series' median: readings are stored in single precision.
 RESOLUTION = 1e-6
@@ -348,18 +350,9 @@ def readings(
     )
 
 
-def implausible(readings: DataFrame, quantities: tuple[Quantity, ...] = PHOTOMETRY, m: SpikeModel = SpikeModel()) -> DataFrame:
-    """Rows (field, night_id, star_id, frame_index, aper) of readings that cannot be real.
-
-    ``readings``: see ``readings``; ``kind`` counts in ``quantities``.  Of several rows of a key the one with the
-    greatest ``ord`` counts (ties: the greatest value); nulls and NaN are left out after that, rows with a null key
-    or frame before.  A series may be of any length: it is judged in chunks of frames that see their
-    neighbours, with the scatter of the whole series, so no task holds more than a chunk of one series, and the rows of
-    a key are combined before the first shuffle.  Series shorter than ``m.least`` have no scatter: only impossible and
-    stuck readings are found there.
-    """
+def _grouped(usable: DataFrame, quantities: tuple[Quantity, ...], m: SpikeModel) -> DataFrame:
+    """One row per series and chunk: its readings, and the common factors of its night's frames."""
     key, at = ["kind", "night_id", "star_id", "aper"], ["kind", "night_id", "chunk"]
-    usable = readings.dropna(subset=[*key, "frame_index"])
     last = (
         usable.groupBy(*key, "frame_index")
         .agg(F.max(F.struct("ord", "value")).alias("last"))
@@ -385,14 +378,30 @@ def implausible(readings: DataFrame, quantities: tuple[Quantity, ...] = PHOTOMET
         .groupBy(*at)
         .agg(F.collect_list(F.struct("frame_index", "factor")).alias("peers"))
     )
-    # Nights of more than one chunk; what is known of a night's chunks meets the series in one join.
-    chunks = usable.select("kind", "night_id", F.floor(f / m.chunk).cast("int").alias("chunk")).distinct()
-    long = chunks.join(chunks.groupBy("kind", "night_id").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), ["kind", "night_id"], "left_semi")
-    side = peers.join(long.withColumn("long", F.lit(True)), at, "full")
     none = F.array().cast("array<struct<frame_index:int,factor:double>>")
-    joined = series.join(side, at, "left").select(*key, "chunk", "r", F.coalesce("peers", none).alias("peers"), "long")
-    whole = joined.filter("long is null").drop("long").withColumn("scatter", F.lit(None).cast("double"))
-    parts = joined.filter("long").drop("long")
+    return series.join(peers, at, "left").select(*key, "chunk", "r", F.coalesce("peers", none).alias("peers"))
+
+
+def implausible(readings: DataFrame, quantities: tuple[Quantity, ...] = PHOTOMETRY, m: SpikeModel = SpikeModel()) -> DataFrame:
+    """Rows (field, night_id, star_id, frame_index, aper) of readings that cannot be real.
+
+    ``readings``: see ``readings``; ``kind`` counts in ``quantities``.  Of several rows of a key the one with the
+    greatest ``ord`` counts (ties: the greatest value); nulls and NaN are left out after that, rows with a null key
+    or frame before.  A series may be of any length: it is judged in chunks of frames that see their
+    neighbours, with the scatter of the whole series, so no task holds more than a chunk of one series, and the rows of
+    a key are combined before the first shuffle.  Series shorter than ``m.least`` have no scatter: only impossible and
+    stuck readings are found there.
+    """
+    key, night = ["kind", "night_id", "star_id", "aper"], ["kind", "night_id"]
+    usable = readings.dropna(subset=[*key, "frame_index"])
+    # Nights of more than one chunk, where a series' scatter has to be put together; in all others a row has all of it.
+    of = F.floor(F.col("frame_index") / m.chunk)
+    long = usable.groupBy(*night).agg(F.min(of).alias("a"), F.max(of).alias("b")).filter("a < b").select(*night)
+    if long.isEmpty():
+        return _grouped(usable, quantities, m).withColumn("scatter", F.lit(None).cast("double")).mapInArrow(_kernel(m, quantities), FOUND)
+    long = cut(long)
+    whole = _grouped(usable.join(long, night, "left_anti"), quantities, m).withColumn("scatter", F.lit(None).cast("double"))
+    parts = cut(_grouped(usable.join(long, night, "left_semi"), quantities, m))
     steps = parts.mapInArrow(_steps(m, quantities), "kind int, night_id int, star_id bigint, aper int, d double")
     middle = steps.groupBy(*key).agg(F.percentile_approx("d", 0.5, m.ranks).alias("m"))
     off = steps.join(middle, key).groupBy(*key).agg(F.percentile_approx(F.abs(F.col("d") - F.col("m")), 0.5, m.ranks).alias("mad"))
