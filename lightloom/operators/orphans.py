@@ -9,6 +9,10 @@ mask is anti-joined on its non-null columns, under the declared match semantics:
 * ``full``: a key is wholly null (refers to nothing) or wholly given; a mixed one is an orphan at once.
 
 A parent counts from ``since`` until it is removed; a reference made before that is an orphan too.
+
+All masks go through one anti-join: a reference asks, by its mask, for the values of its non-null columns, a parent row
+answers every mask on that mask's columns, and the mask is part of the join's key.  So both sides are read once, however
+many masks there are.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import product
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,25 +34,60 @@ class Parent:
     since: str | None = None
     removed: str | None = None
 
-    def live(self, parts: dict[int, str]) -> DataFrame:
-        """Distinct values of some key columns, by the part (k0, k1, ...) they answer, with the time from which they exist."""
+    def life(self) -> tuple[DataFrame, Column]:
+        """The rows that are not removed, and the time from which each exists."""
         rows = self.rows.filter(F.col(self.removed).isNull()) if self.removed else self.rows
-        named = [F.col(column).alias(f"k{p}") for p, column in parts.items()]
-        since = F.col(self.since).cast("timestamp") if self.since else F.timestamp_micros(F.lit(-(1 << 60)))
-        keys = [f"k{p}" for p in parts]
-        return rows.select(*named, since.alias("since")).dropna(subset=keys).groupBy(*keys).agg(F.min("since").alias("since"))
-
+        return rows, F.col(self.since).cast("timestamp") if self.since else F.timestamp_micros(F.lit(-(1 << 60)))
 
-def _without_parent(refs: DataFrame, parent: DataFrame, parts: tuple[int, ...]) -> DataFrame:
-    """Anti-join of references on the given parts; a reference older than its parent has none.
 
-    The parent side has one row per key, so a key that many references share multiplies nothing, and a hot
-    key's references are split by the skew handling of the sort-merge join.
-    """
-    r, p = refs.alias("r"), parent.alias("p")
-    same = reduce(lambda a, b: a & b, (F.col(f"r.k{k}") == F.col(f"p.k{k}") for k in parts))
-    known = F.col("r.at").isNull() | F.col("p.since").isNull() | (F.col("p.since") <= F.col("r.at"))
-    return r.join(p, same & known, "left_anti")
+@dataclass(frozen=True)
+class Ask:
+    """What a null mask makes a reference ask for: the columns that together must be in a parent."""
+
+    mask: str
+    have: tuple[int, ...]
+    part: str
+
+    @property
+    def name(self) -> str:
+        return f"{self.mask}>{self.part}"
+
+
+def asks_of(key: tuple[str, ...], match: str) -> tuple[list[Ask], list[Ask]]:
+    """By mask: what is anti-joined, and what is an orphan at once."""
+    asks, at_once = [], []
+    for given in product((True, False), repeat=len(key)):
+        mask, have = "".join("x" if g else "-" for g in given), tuple(p for p, g in enumerate(given) if g)
+        whole = Ask(mask, have, "+".join(key[p] for p in have))
+        if not have or (match == "simple" and len(have) < len(key)):
+            continue
+        if match == "each":
+            asks += [Ask(mask, (p,), key[p]) for p in have]
+        elif match == "full" and len(have) < len(key):
+            at_once.append(whole)
+        else:
+            asks.append(whole)
+    return asks, at_once
+
+
+def _columns(ask: Ask, values: list[Column], types: list[str]) -> list[Column]:
+    """The key columns of an ask, null where it does not look."""
+    return [(v if p in ask.have else F.lit(None)).cast(t).alias(f"k{p}") for p, (v, t) in enumerate(zip(values, types))]
+
+
+def _answers(parents: tuple[Parent, ...], asks: list[Ask], match: str) -> DataFrame:
+    """(ask, k0, k1, ..., since): a row per ask and key that a parent answers, aggregated before its shuffle."""
+    kinds = [dict(q.rows.dtypes) for q in parents]
+    types = [kinds[p][q.key[0]] for p, q in enumerate(parents)] if match == "each" else [kinds[0][c] for c in parents[0].key]
+    out = []
+    for n, parent in enumerate(parents):
+        rows, since = parent.life()
+        own = [a for a in asks if match != "each" or a.have == (n,)]
+        values = [F.col(parent.key[0 if match == "each" else p]) for p in range(len(types))]
+        known = [F.when(sum((values[p].isNull().cast("int") for p in a.have), F.lit(0)) == 0, F.struct(F.lit(a.name).alias("ask"), *_columns(a, values, types))) for a in own]
+        answered = rows.select(since.alias("since"), F.explode(F.array_compact(F.array(*known))).alias("a")).select("a.*", "since")
+        out.append(answered.groupBy("ask", *(f"k{p}" for p in range(len(types)))).agg(F.min("since").alias("since")))
+    return reduce(DataFrame.unionByName, out)
 
 
 def orphans(
@@ -68,31 +107,24 @@ def orphans(
     if len(parents) != (len(key) if match == "each" else 1):
         raise ValueError("one parent per part for 'each', one parent for all parts otherwise")
     moment = F.col(at).cast("timestamp") if at else F.lit(None).cast("timestamp")
-    parts = tuple(range(len(key)))
+    parts, kinds = range(len(key)), dict(refs.dtypes)
     keyed = refs.select(F.col(id_column).alias("ref_id"), *(F.col(c).alias(f"k{p}") for p, c in enumerate(key)), moment.alias("at"))
     keyed = keyed.withColumn("mask", F.concat(*(F.when(F.col(f"k{p}").isNull(), "-").otherwise("x") for p in parts)))
-
-    def told(df: DataFrame, part: str) -> DataFrame:
-        return df.select("ref_id", "mask", F.lit(part).alias("part"), "at")
-
-    out = []
-    if match == "each":
-        # A part's masks share one anti-join: its result is the same in each of them.
-        for p in parts:
-            given = keyed.filter(F.substring("mask", p + 1, 1) == "x")
-            out.append(told(_without_parent(given, parents[p].live({p: parents[p].key[0]}), (p,)), key[p]))
-    else:
-        for given in product((True, False), repeat=len(key)):
-            have = tuple(p for p in parts if given[p])
-            group = keyed.filter(F.col("mask") == "".join("x" if g else "-" for g in given))
-            if not have or (match == "simple" and len(have) < len(key)):
-                continue
-            name = "+".join(key[p] for p in have)
-            if match == "full" and len(have) < len(key):
-                out.append(told(group, name))
-            else:
-                out.append(told(_without_parent(group, parents[0].live({p: parents[0].key[p] for p in have}), have), name))
-    return reduce(DataFrame.unionByName, out).distinct()
+    asks, at_once = asks_of(key, match)
+    types = [kinds[c] for c in key]
+    values = [F.col(f"k{p}") for p in parts]
+    asked = [F.when(F.col("mask") == a.mask, F.struct(F.lit(a.name).alias("ask"), F.lit(a.part).alias("part"), *_columns(a, values, types))) for a in asks]
+    grouped = keyed.select("ref_id", "mask", "at", F.explode(F.array_compact(F.array(*asked))).alias("a")).select("ref_id", "mask", "at", "a.*")
+    # One row per key on the parents' side, so a key that many references share multiplies nothing, and a hot key's
+    # references are split by the skew handling of the sort-merge join.
+    r, p = grouped.alias("r"), _answers(parents, asks, match).alias("p")
+    same = reduce(lambda x, y: x & y, (F.col(f"r.k{k}").eqNullSafe(F.col(f"p.k{k}")) for k in parts), F.col("r.ask") == F.col("p.ask"))
+    in_time = F.col("r.at").isNull() | F.col("p.since").isNull() | (F.col("p.since") <= F.col("r.at"))
+    out = r.join(p, same & in_time, "left_anti").select("ref_id", "mask", "part", "at")
+    if at_once:
+        mixed = [F.when(F.col("mask") == a.mask, F.lit(a.part)) for a in at_once]
+        out = out.unionByName(keyed.withColumn("part", F.coalesce(*mixed)).filter("part is not null").select("ref_id", "mask", "part", "at"))
+    return out.distinct()
 
 
 def review_orphans(reviews: DataFrame, objects: DataFrame, nights: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from lightloom.operators.orphans import Parent, orphans, review_orphans
+from lightloom.operators.orphans import Parent, asks_of, orphans, review_orphans
 
 
 def day(n):
@@ -41,3 +41,15 @@ def test_match_semantics(spark):
         run("other")
     with pytest.raises(ValueError):
         orphans(refs, "id", ("a", "b"), (Parent(parent, ("x",)),))
+
+
+def test_every_mask_meets_its_own_columns_in_one_join(spark):
+    parent = spark.createDataFrame([(1, 1), (2, 2)], "x int, y int")
+    refs = spark.createDataFrame([(1, 1, 2), (2, 1, None), (3, None, 9)], "id int, a int, b int")
+    sides = (Parent(parent.select("x"), ("x",)), Parent(parent.select("y"), ("y",)))
+    for match, parents in (("each", sides), ("partial", (Parent(parent, ("x", "y")),))):
+        plan = orphans(refs, "id", ("a", "b"), parents, match)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join LeftAnti") == 1
+    assert [(a.mask, a.part) for a in asks_of(("a", "b"), "each")[0]] == [("xx", "a"), ("xx", "b"), ("x-", "a"), ("-x", "b")]
+    assert [(a.mask, a.part) for a in asks_of(("a", "b"), "partial")[0]] == [("xx", "a+b"), ("x-", "a"), ("-x", "b")]
+    assert {tuple(r)[:3] for r in orphans(refs, "id", ("a", "b"), sides).collect()} == {(3, "-x", "b")}
