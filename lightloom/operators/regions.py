@@ -1,24 +1,25 @@
 """Points near other points, and the regions that contain a point, on the sphere.
 
-Regions: every outline becomes a polygon in the plane of right ascension and declination that contains
-it (circles: steps of declination bands, so that caps over a pole and outlines through 0 h need no special case),
-polygons are triangulated by ear clipping, and the triangles are distributed through a bounding-volume hierarchy.
-Points descend the hierarchy, candidate triangles are tested exactly, and the assignments of a point
-that lies on the shared border of several triangles of one region are made one.  An exact test of the outline
-itself (angular distance, box limits) follows.
-
-Neighbours: points go to cells of a grid in space; one side of the pair is put into each of the few cells that its
-ball touches, the other into its own, so every pair meets once.  No pole and no seam of the coordinates
-exists there.
+Everything is an outline in a plane.  A region becomes a polygon in the plane of right ascension and declination that contains
+it (circles: steps of declination bands, so that caps over a pole and outlines through 0 h need no special case); the
+neighbourhood of a point becomes a square that contains it on a face of the cube around the sphere (no pole and no
+seam of the coordinates exists there).  Polygons are triangulated by ear clipping, and the triangles are distributed
+through a bounding-volume hierarchy: a quadtree of boxes over the plane, in which a triangle belongs to the few nodes that
+it meets on the level whose boxes are about its own size.  Points descend through the levels that hold triangles.
+
+Triangles and points are both rows and meet by an equi-join on the node, so nothing is sent whole to a worker; Spark
+broadcasts one side only where it has measured it to be small.  Candidate triangles are tested exactly, then the
+outline itself (angular distance, box limits), and what a point on the shared border of several triangles of one outline
+is assigned is made one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,147 +100,124 @@ def box_outline(ra_from: float, ra_to: float, dec_from: float, dec_to: float) ->
     return np.array([[a, c], [b, c], [b, d], [a, d]])
 
 
-@dataclass(frozen=True)
-class Hierarchy:
-    """Triangles in leaves of a binary tree of bounding boxes; node k's children are left[k] and left[k] + 1."""
-
-    triangle: np.ndarray
-    owner: np.ndarray
-    box: np.ndarray
-    left: np.ndarray
-    span: np.ndarray
-
-    @classmethod
-    def build(cls, triangle: np.ndarray, owner: np.ndarray, leaf: int = 4) -> Hierarchy:
-        """Splits at the median of the longer side of the centres' extent."""
-        order = np.arange(len(triangle))
-        low, high = (triangle.min(1), triangle.max(1)) if len(triangle) else (np.zeros((0, 2)), np.zeros((0, 2)))
-        centre = (low + high) / 2
-        box, left, span = [[0.0] * 4], [-1], [(0, len(order))]
-        todo = [0] if len(order) else []
-        while todo:
-            k = todo.pop()
-            a, b = span[k]
-            at = order[a:b]
-            box[k] = [*low[at].min(0), *high[at].max(0)]
-            if b - a <= leaf:
-                continue
-            axis = int(np.argmax(np.ptp(centre[at], axis=0)))
-            order[a:b] = at[np.argsort(centre[at, axis], kind="stable")]
-            middle = (a + b) // 2
-            left[k] = len(box)
-            for part in ((a, middle), (middle, b)):
-                todo.append(len(box))
-                box.append([0.0] * 4)
-                left.append(-1)
-                span.append(part)
-        return cls(triangle[order], owner[order], np.array(box), np.array(left), np.array(span))
-
-    def containing(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(point number, owner) of every point in a triangle, borders included, each pair once."""
-        pairs, todo = [], [(0, np.arange(len(x)))] if len(self.triangle) else []
-        while todo:
-            k, at = todo.pop()
-            x0, y0, x1, y1 = self.box[k]
-            px, py = x[at], y[at]
-            at = at[(px >= x0) & (px <= x1) & (py >= y0) & (py <= y1)]
-            if not len(at):
-                continue
-            if self.left[k] >= 0:
-                todo += [(self.left[k], at), (self.left[k] + 1, at)]
-                continue
-            for t in range(*self.span[k]):
-                (ax, ay), (bx, by), (cx, cy) = self.triangle[t]
-                px, py = x[at], y[at]
-                inside = (
-                    ((bx - ax) * (py - ay) - (by - ay) * (px - ax) >= 0)
-                    & ((cx - bx) * (py - by) - (cy - by) * (px - bx) >= 0)
-                    & ((ax - cx) * (py - cy) - (ay - cy) * (px - cx) >= 0)
-                )
-                pairs.append(np.stack([at[inside], np.full(inside.sum(), self.owner[t])], 1))
-        if not pairs:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        both = np.unique(np.concatenate(pairs), axis=0)
-        return both[:, 0], both[:, 1]
-
-
-def region_hierarchy(regions: list[dict]) -> Hierarchy:
-    """The triangles of all regions, and their images one turn east and west where those can meet [0, 360)."""
-    triangles, owners = [], []
-    for k, r in enumerate(regions):
-        if r["outline"] == "circle":
-            ring = circle_outline(r["ra_centre"], r["dec_centre"], r["radius_deg"])
-        elif r["outline"] == "box":
-            ring = box_outline(r["ra_from"], r["ra_to"], r["dec_from"], r["dec_to"])
-        else:
-            ring = np.array(r["vertices"], float)
-        t = clip_ears(ring)
-        for turn in (-720.0, -360.0, 0.0, 360.0, 720.0):
-            moved = t + np.array([turn, 0.0])
-            meets = (moved[:, :, 0].max(1) >= 0) & (moved[:, :, 0].min(1) < 360)
-            triangles.append(moved[meets])
-            owners.append(np.full(meets.sum(), k))
-    if not triangles:
-        return Hierarchy.build(np.zeros((0, 3, 2)), np.zeros(0, np.int64))
-    return Hierarchy.build(np.concatenate(triangles), np.concatenate(owners))
-
-
-def _within(r: dict, ra: np.ndarray, dec: np.ndarray) -> np.ndarray:
-    """The exact test of an outline; its border belongs to it."""
+#: Deepest level of the quadtree; triangles too small for it stay on it.
+DEEPEST = 30
+CORNERS = ("ax", "ay", "bx", "by", "cx", "cy")
+
+
+def _side(level: Column, width: float) -> Column:
+    return width / F.pow(F.lit(2.0), level)
+
+
+def nodes_of_triangles(triangles: DataFrame, width: float, parts: int) -> DataFrame:
+    """``triangles`` (chart, the corners, more) with the nodes (level, i, j) that each meets; a node's box is at least 1 / ``parts`` of its size.
+
+    A plane's coordinates span ``width``.  Boxes of the triangle's bounding box that lie wholly beyond one of its edges are left out.
+    """
+    x, y = ([F.col(k) for k in CORNERS if k.endswith(axis)] for axis in "xy")
+    size = F.greatest(F.greatest(*x) - F.least(*x), F.greatest(*y) - F.least(*y))
+    level = F.floor(F.log2(F.lit(width * parts) / F.greatest(size, F.lit(width * 2.0**-40))))
+    t = triangles.withColumn("level", F.greatest(F.lit(0), F.least(F.lit(DEEPEST), level)).cast("int"))
+    side = _side(F.col("level"), width)
+    t = t.withColumn("i", F.explode(F.sequence(F.floor(F.least(*x) / side), F.floor(F.greatest(*x) / side))))
+    t = t.withColumn("j", F.explode(F.sequence(F.floor(F.least(*y) / side), F.floor(F.greatest(*y) / side))))
+    x0, y0 = F.col("i") * side, F.col("j") * side
+
+    def reaches(a: str, b: str) -> Column:
+        """Whether the box's corner farthest to the left of an edge is not right of it."""
+        dx, dy = F.col(f"{b}x") - F.col(f"{a}x"), F.col(f"{b}y") - F.col(f"{a}y")
+        far = dx * (F.when(dx > 0, y0 + side).otherwise(y0) - F.col(f"{a}y")) - dy * (F.when(dy > 0, x0).otherwise(x0 + side) - F.col(f"{a}x"))
+        return far >= -1e-9 * side * (F.abs(dx) + F.abs(dy))
+
+    return t.filter(reaches("a", "b") & reaches("b", "c") & reaches("c", "a"))
+
+
+def in_triangles(triangles: DataFrame, points: DataFrame, width: float, parts: int = 2, levels: list[int] | None = None) -> DataFrame:
+    """Triangles (chart, the corners, more) with the points (chart, px, py, more) that lie in them, borders included.
+
+    The levels that hold triangles are looked up (they are 31 at most) where they are not given.
+    """
+    held = nodes_of_triangles(triangles, width, parts)
+    if levels is None:
+        levels = sorted(r[0] for r in held.select("level").distinct().collect())
+    at = points.withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
+    side = _side(F.col("level"), width)
+    at = at.withColumns({"i": F.floor(F.col("px") / side), "j": F.floor(F.col("py") / side)})
+
+    def left(a: str, b: str) -> Column:
+        return (F.col(f"{b}x") - F.col(f"{a}x")) * (F.col("py") - F.col(f"{a}y")) - (F.col(f"{b}y") - F.col(f"{a}y")) * (F.col("px") - F.col(f"{a}x")) >= 0
+
+    met = held.join(at, ["chart", "level", "i", "j"])
+    return met.filter(left("a", "b") & left("b", "c") & left("c", "a")).drop("chart", "level", "i", "j", *CORNERS)
+
+
+#: The numbers that an outline needs.
+NEEDS = {"circle": ("ra_centre", "dec_centre", "radius_deg"), "box": ("ra_from", "ra_to", "dec_from", "dec_to"), "polygon": ("vertices",)}
+_NUMBERS = (*NEEDS["circle"], *NEEDS["box"])
+
+
+def region_triangles(r: dict) -> np.ndarray:
+    """Triangles (n, 3, 2) of a region's polygon, and their images turned by 360 degrees where those can meet [0, 360)."""
     if r["outline"] == "circle":
-        a, d, a0, d0 = np.radians(ra), np.radians(dec), np.radians(r["ra_centre"]), np.radians(r["dec_centre"])
-        h = np.sin((d - d0) / 2) ** 2 + np.cos(d) * np.cos(d0) * np.sin((a - a0) / 2) ** 2
-        return np.degrees(2 * np.arcsin(np.sqrt(np.clip(h, 0, 1)))) <= r["radius_deg"] + BORDER
-    if r["outline"] == "box":
-        width = (r["ra_to"] - r["ra_from"]) % 360.0
-        if width == 0 and r["ra_to"] != r["ra_from"]:
-            width = 360.0
-        east = np.mod(ra - r["ra_from"], 360.0)
-        return ((east <= width + BORDER) | (east >= 360 - BORDER)) & (dec >= r["dec_from"] - BORDER) & (dec <= r["dec_to"] + BORDER)
-    return np.ones(len(ra), bool)
-
-
-def regions_containing(
-    points: DataFrame, regions: DataFrame, point_id: str = "obj_id", ra: str = "ra", dec: str = "dec", most: int = 100_000
-) -> DataFrame:
+        ring = circle_outline(r["ra_centre"], r["dec_centre"], r["radius_deg"])
+    elif r["outline"] == "box":
+        ring = box_outline(r["ra_from"], r["ra_to"], r["dec_from"], r["dec_to"])
+    else:
+        ring = np.array([list(v) for v in r["vertices"]], float)
+    t = clip_ears(ring)
+    moved = np.concatenate([t + np.array([turn, 0.0]) for turn in (-720.0, -360.0, 0.0, 360.0, 720.0)])
+    return moved[(moved[:, :, 0].max(1) >= 0) & (moved[:, :, 0].min(1) < 360)]
+
+
+def _clip_regions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Kernel: the triangles of each region, with what the exact test of its outline needs."""
+    for batch in batches:
+        for r in batch.to_dict("records"):
+            t = region_triangles(r)
+            rows = pd.DataFrame(t.reshape(len(t), 6), columns=list(CORNERS))
+            yield rows.assign(region_id=r["region_id"], outline=r["outline"], **{n: r[n] for n in _NUMBERS})
+
+
+def within_outline(ra: Column, dec: Column) -> Column:
+    """The exact test of a circle or box by its columns; its border belongs to it.  A polygon is its triangles."""
+    a, d, a0, d0 = F.radians(ra), F.radians(dec), F.radians("ra_centre"), F.radians("dec_centre")
+    h = F.pow(F.sin((d - d0) / 2), 2) + F.cos(d) * F.cos(d0) * F.pow(F.sin((a - a0) / 2), 2)
+    circle = F.degrees(2 * F.asin(F.sqrt(F.least(F.lit(1.0), h)))) <= F.col("radius_deg") + BORDER
+    turn = F.lit(360.0)
+    width = F.pmod(F.col("ra_to") - F.col("ra_from"), turn)
+    width = F.when((width == 0) & (F.col("ra_to") != F.col("ra_from")), turn).otherwise(width)
+    east = F.pmod(ra - F.col("ra_from"), turn)
+    box = ((east <= width + BORDER) | (east >= 360 - BORDER)) & dec.between(F.col("dec_from") - BORDER, F.col("dec_to") + BORDER)
+    return F.when(F.col("outline") == "circle", circle).when(F.col("outline") == "box", box).otherwise(True)
+
+
+def regions_containing(points: DataFrame, regions: DataFrame, point_id: str = "obj_id", ra: str = "ra", dec: str = "dec") -> DataFrame:
     """Rows (region_id, point_id), one for each region that contains a point.
 
     ``regions``: region_id, outline ('circle', 'box' or, with a column ``vertices``, 'polygon') and its numbers as in
-    the table sky_region.  Their number is checked against ``most``, for the hierarchy of their triangles is sent
-    to every worker; points are only streamed past it (no shuffle, nothing collected).  Points without a position
-    and regions without an id or a needed number are in no row; a repeated point gives each of its rows once per
-    repetition; any right ascension is taken modulo 360.
+    the table sky_region; there may be any number of them.  Points without an id or a position and regions without an id
+    or a needed number are in no row; repeated points and regions count once; any right ascension is taken modulo
+    360; empty tables give an empty result.  Other columns are not read.
     """
-    listed = [r.asDict(recursive=True) for r in regions.limit(most + 1).collect()]
-    if len(listed) > most:
-        raise ValueError(f"more than {most} regions: split them by declination and call once per part")
-    needs = {"circle": ("ra_centre", "dec_centre", "radius_deg"), "box": ("ra_from", "ra_to", "dec_from", "dec_to"), "polygon": ("vertices",)}
-
-    def given(v: object) -> bool:
-        return v is not None and not (isinstance(v, float) and not np.isfinite(v))
-
-    listed = [r for r in listed if r.get("region_id") is not None and r.get("outline") in needs and all(given(r.get(n)) for n in needs[r["outline"]])]
-    tree = region_hierarchy(listed)
-    ids = np.array([r["region_id"] for r in listed], np.int64)
-    id_type = dict(points.dtypes)[point_id]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.asarray(batch.column(k), dtype=float) for k in (1, 2))
-            turned = np.mod(x, 360.0)
-            turned = np.where(turned >= 360.0, 0.0, turned)
-            at, owner = tree.containing(turned, y)
-            keep = np.zeros(len(at), bool)
-            for k in np.unique(owner):
-                own = np.flatnonzero(owner == k)
-                keep[own] = _within(listed[k], x[at[own]], y[at[own]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[owner[keep]] if len(ids) else np.zeros(0, np.int64)), batch.column(0).take(pa.array(at[keep]))],
-                names=["region_id", "point_id"],
-            )
-
-    where = points.select(F.col(point_id).alias("point_id"), F.col(ra).cast("double").alias("ra"), F.col(dec).cast("double").alias("dec"))
-    return where.filter(finite(F.col("ra")) & finite(F.col("dec"))).mapInArrow(run, f"region_id bigint, point_id {id_type}")
+    there = set(regions.columns)
+    given = [F.col(n).cast("double").alias(n) if n in there else F.lit(None).cast("double").alias(n) for n in _NUMBERS]
+    shape = F.col("vertices").cast("array<array<double>>") if "vertices" in there else F.lit(None).cast("array<array<double>>")
+    listed = regions.select(F.col("region_id").cast("long").alias("region_id"), "outline", *given, shape.alias("vertices"))
+    known = F.lit(False)
+    for outline, needs in NEEDS.items():
+        ok = F.col("vertices").isNotNull() if outline == "polygon" else F.lit(True)
+        for n in needs if outline != "polygon" else ():
+            ok = ok & finite(F.col(n))
+        known = known | ((F.col("outline") == outline) & ok)
+    listed = listed.filter(F.col("region_id").isNotNull() & known).distinct()
+    numbers = ", ".join(f"{n} double" for n in (*CORNERS, *_NUMBERS))
+    triangles = listed.mapInPandas(_clip_regions, f"region_id long, outline string, {numbers}").withColumn("chart", F.lit(0))
+    x, y = F.col(ra).cast("double"), F.col(dec).cast("double")
+    turned = F.pmod(x, F.lit(360.0))
+    at = points.filter(F.col(point_id).isNotNull() & finite(x) & finite(y)).select(
+        F.col(point_id).alias("point_id"), x.alias("pra"), F.when(turned >= 360, 0.0).otherwise(turned).alias("px"), y.alias("py"), F.lit(0).alias("chart")
+    )
+    return in_triangles(triangles, at, 360.0).filter(within_outline(F.col("pra"), F.col("py"))).select("region_id", "point_id").distinct()
 
 
 def unit_vector(ra: Column, dec: Column) -> tuple[Column, Column, Column]:
@@ -247,17 +225,35 @@ def unit_vector(ra: Column, dec: Column) -> tuple[Column, Column, Column]:
     return F.cos(d) * F.cos(a), F.cos(d) * F.sin(a), F.sin(d)
 
 
-def pairs_within(
-    points: DataFrame, arcsec: float, point_id: str = "obj_id", ra: str = "ra", dec: str = "dec", cell: float = 4.0
-) -> DataFrame:
+def on_faces(half: float) -> Column:
+    """Array of (chart, px, py, own): a unit vector (x, y, z) on each face of the cube on which it lies, or within ``half`` beyond its edge."""
+    v = [F.col(n) for n in "xyz"]
+    most = F.greatest(*map(F.abs, v))
+    out = []
+    for axis in range(3):
+        p, q = (v[k] for k in range(3) if k != axis)
+        for sign in (1, -1):
+            ahead = sign * v[axis]
+            u, w = p / ahead, q / ahead
+            near = (ahead > 0.5) & (F.abs(u) <= 1 + half) & (F.abs(w) <= 1 + half)
+            # On an edge the first axis has the point.
+            own = reduce(lambda a, b: a & b, (F.abs(k) < most for k in v[:axis]), ahead == most)
+            out.append(F.when(near, F.struct(F.lit(2 * axis + (sign < 0)).alias("chart"), u.alias("px"), w.alias("py"), own.alias("own"))))
+    return F.array_compact(F.array(*out))
+
+
+def pairs_within(points: DataFrame, arcsec: float, point_id: str = "obj_id", ra: str = "ra", dec: str = "dec") -> DataFrame:
     """Rows (id_a, id_b, sep_arcsec) of every two points at most ``arcsec`` apart, id_a < id_b.
 
-    ``cell`` is a grid cell's side in units of the distance.  A crowded cell's rows are split over tasks by the
-    skew handling of the sort-merge join; what it gives is part of the result, never a list within one row.
-    Points without id or position have no neighbours; of repeated rows of an id each position counts once.
+    Each point's neighbourhood is a square of two triangles (the two ears of a convex polygon of four corners), all of one
+    size and so on one level of the hierarchy.  A crowded node's rows are split over tasks by the skew handling of the
+    sort-merge join; what it gives is part of the result, never a list within one row.  Points without id or position
+    have no neighbours; of repeated rows of an id each position counts once.
     """
-    r = 2 * np.sin(np.radians(arcsec / 3600) / 2) * (1 + 1e-9) + 1e-15
-    side = cell * r
+    chord = 2 * np.sin(np.radians(arcsec / 3600) / 2) * (1 + 1e-9) + 1e-15
+    half = 3.05 * np.tan(min(np.radians(arcsec / 3600), 0.2)) + 1e-12  # a face stretches small angles threefold at most
+    if arcsec > 3600:
+        raise ValueError("a neighbourhood of one degree at most")
     x, y, z = unit_vector(F.col("ra"), F.col("dec"))
     at = (
         points.select(F.col(point_id).alias("id"), F.col(ra).cast("double").alias("ra"), F.col(dec).cast("double").alias("dec"))
@@ -265,18 +261,17 @@ def pairs_within(
         .distinct()
         .select("id", x.alias("x"), y.alias("y"), z.alias("z"))
     )
-    own = {f"c{n}": F.floor(F.col(n) / side) for n in "xyz"}
-    spread = {f"c{n}": F.sequence(F.floor((F.col(n) - r) / side), F.floor((F.col(n) + r) / side)) for n in "xyz"}
-    a = at.select("id", "x", "y", "z", *(v.alias(k) for k, v in spread.items()))
-    for k in spread:
-        a = a.withColumn(k, F.explode(k))
-    b = at.select("id", "x", "y", "z", *(v.alias(k) for k, v in own.items()))
-    a, b = (df.select(*spread, *(F.col(n).alias(s + n) for n in ("id", "x", "y", "z"))) for s, df in (("a_", a), ("b_", b)))
+    placed = at.withColumn("f", F.explode(on_faces(half))).select("id", "x", "y", "z", "f.*")
+    own = placed.filter("own").select("chart", "px", "py", *(F.col(n).alias(f"b_{n}") for n in ("id", "x", "y", "z")))
+    corner = [(F.col("px") + i * half, F.col("py") + j * half) for i, j in ((-1, -1), (1, -1), (1, 1), (-1, 1))]
+    ears = [F.struct(*(c.alias(n) for n, c in zip(CORNERS, (*corner[0], *corner[k], *corner[k + 1])))) for k in (1, 2)]
+    squares = placed.select("chart", *(F.col(n).alias(f"a_{n}") for n in ("id", "x", "y", "z")), F.explode(F.array(*ears)).alias("t")).select("*", "t.*").drop("t")
+    level = min(DEEPEST, int(np.floor(np.log2(4.0 / (2 * half)))))
     chord2 = sum(((F.col(f"a_{n}") - F.col(f"b_{n}")) ** 2 for n in "xyz"), F.lit(0.0))
     sep = F.degrees(2 * F.asin(F.least(F.sqrt(chord2) / 2, F.lit(1.0)))) * 3600
     return (
-        a.join(b, [*spread])
-        .filter((F.col("a_id") < F.col("b_id")) & (chord2 <= r * r))
+        in_triangles(squares, own, 4.0, 1, [level])
+        .filter((F.col("a_id") < F.col("b_id")) & (chord2 <= chord * chord))
         .select(F.col("a_id").alias("id_a"), F.col("b_id").alias("id_b"), sep.alias("sep_arcsec"))
         .filter(F.col("sep_arcsec") <= arcsec * (1 + 1e-9))
         .groupBy("id_a", "id_b")
@@ -287,6 +282,6 @@ def pairs_within(
 def around_objects(objects: DataFrame, regions: DataFrame, arcsec: float = 5.0) -> DataFrame:
     """Rows (relation, key_a, key_b): 'near' pairs of objects and the regions objects are 'inside'."""
     near = pairs_within(objects, arcsec).select(F.lit("near").alias("relation"), F.col("id_a").alias("key_a"), F.col("id_b").alias("key_b"))
-    inside = regions_containing(objects, regions).distinct()
+    inside = regions_containing(objects, regions)
     inside = inside.select(F.lit("inside").alias("relation"), F.col("region_id").alias("key_a"), F.col("point_id").alias("key_b"))
     return near.unionByName(inside)

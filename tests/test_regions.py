@@ -1,9 +1,6 @@
 import numpy as np
-import pytest
 
-from lightloom.operators.regions import (
-    Hierarchy, _within, around_objects, box_outline, circle_outline, clip_ears, pairs_within, region_hierarchy, regions_containing,
-)
+from lightloom.operators.regions import around_objects, box_outline, circle_outline, clip_ears, pairs_within, regions_containing
 
 NAN = float("nan")
 SCHEMA = "region_id long, outline string, ra_centre double, dec_centre double, radius_deg double, ra_from double, ra_to double, dec_from double, dec_to double, ra double"
@@ -35,20 +32,25 @@ def test_triangles_cover_polygons():
         assert np.isclose(np.abs((b - a)[:, 0] * (c - a)[:, 1] - (b - a)[:, 1] * (c - a)[:, 0]).sum() / 2, area)
 
 
-def test_candidates_miss_no_point():
+def contains(r, ra, dec):
+    """Brute force: the definition of a circle and a box."""
+    if r[1] == "circle":
+        a, d, a0, d0 = np.radians(ra), np.radians(dec), np.radians(r[2]), np.radians(r[3])
+        h = np.sin((d - d0) / 2) ** 2 + np.cos(d) * np.cos(d0) * np.sin((a - a0) / 2) ** 2
+        return np.degrees(2 * np.arcsin(np.sqrt(np.clip(h, 0, 1)))) <= r[4] + 1e-9
+    east = np.mod(ra - r[5], 360.0)
+    return ((east <= (r[6] - r[5]) % 360 + 1e-9) | (east >= 360 - 1e-9)) & (dec >= r[7] - 1e-9) & (dec <= r[8] + 1e-9)
+
+
+def test_regions_against_brute_force(spark):
     rng = np.random.default_rng(0)
-    ra, dec = rng.uniform(0, 360, 40000), np.degrees(np.arcsin(rng.uniform(-1, 1, 40000)))
-    ra = np.concatenate([ra, rng.uniform(0, 360, 4000), rng.uniform(-3, 3, 4000) % 360])
-    dec = np.concatenate([dec, rng.uniform(84, 90, 2000), rng.uniform(-90, -84, 2000), rng.uniform(-75, 60, 4000)])
-    listed = [dict(zip([x.split()[0] for x in SCHEMA.split(", ")], r)) for r in REGIONS]
-    tree = region_hierarchy(listed)
-    at, owner = tree.containing(ra, dec)
-    have = set(zip(at.tolist(), owner.tolist()))
-    assert len(have) == len(at)
-    for k, r in enumerate(listed):
-        inside = np.flatnonzero(_within(r, ra, dec))
-        assert all((i, k) in have for i in inside.tolist()), r
-    assert Hierarchy.build(np.zeros((0, 3, 2)), np.zeros(0, int)).containing(ra, dec)[0].size == 0
+    ra, dec = rng.uniform(-360, 720, 8000), np.degrees(np.arcsin(rng.uniform(-1, 1, 8000)))
+    ra = np.concatenate([ra, rng.uniform(0, 360, 1500), rng.uniform(-3, 3, 2000), rng.uniform(358, 361, 500)])
+    dec = np.concatenate([dec, rng.uniform(84, 90, 750), rng.uniform(-90, -84, 750), rng.uniform(-75, 60, 2000), rng.uniform(-71, -68, 500)])
+    df = spark.createDataFrame([(i, float(a), float(d)) for i, (a, d) in enumerate(zip(ra, dec))], "obj_id long, ra double, dec double")
+    got = [tuple(r) for r in regions_containing(df, rows(spark).repartition(3)).collect()]
+    want = {(r[0], i) for r in REGIONS for i in np.flatnonzero(contains(r, ra, dec)).tolist()}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 2000
 
 
 def test_containing(spark):
@@ -59,8 +61,6 @@ def test_containing(spark):
     assert got == sorted([(1, 1), (4, 1), (6, 2), (7, 2), (6, 3), (6, 6), (9, 7), (2, 8)])
     assert regions_containing(df, rows(spark).limit(0)).count() == 0
     assert regions_containing(df.limit(0), rows(spark)).count() == 0
-    with pytest.raises(ValueError):
-        regions_containing(df, rows(spark), most=3)
 
 
 def test_polygon_borders_count_once(spark):
@@ -86,3 +86,21 @@ def test_around_objects(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0), (2, 359.9999, 0.0)], "obj_id long, ra double, dec double")
     got = {tuple(r) for r in around_objects(df, rows(spark)).collect()}
     assert got == {("near", 1, 2), ("inside", 6, 1), ("inside", 7, 1), ("inside", 6, 2), ("inside", 7, 2)}
+
+
+def test_repeated_and_incomplete_rows(spark):
+    listed = rows(spark).unionByName(rows(spark)).unionByName(spark.createDataFrame([circle(50, NAN, 0.0, 90.0), (51, None, *REGIONS[0][2:]), (None, *REGIONS[0][1:]), (52, "heap", *REGIONS[0][2:])], SCHEMA))
+    df = spark.createDataFrame([(1, 5.0, 89.0), (1, 5.0, 89.0), (None, 5.0, 89.0)], "obj_id long, ra double, dec double")
+    assert sorted(tuple(r) for r in regions_containing(df, listed).collect()) == [(1, 1), (4, 1)]
+
+
+def test_pairs_on_edges_of_faces(spark):
+    """Neighbours across the edges and corners of the cube's faces."""
+    step = 1.2e-3
+    at = [(a + i * step, d + j * step) for a, d in ((45.0, 0.0), (135.0, 10.0), (45.0, 35.2643897), (225.0, -35.2643897), (0.0, 45.0), (90.0, -45.0)) for i in range(-2, 3) for j in range(-2, 3)]
+    df = spark.createDataFrame([(k, float(a), float(d)) for k, (a, d) in enumerate(at)], "obj_id long, ra double, dec double")
+    a, d = np.radians(np.array(at)).T
+    v = np.stack([np.cos(d) * np.cos(a), np.cos(d) * np.sin(a), np.sin(d)], 1)
+    sep = np.degrees(2 * np.arcsin(np.minimum(1, np.linalg.norm(v[:, None] - v[None], axis=2) / 2))) * 3600
+    want = {(i, j) for i, j in zip(*np.where(sep <= 5)) if i < j}
+    assert {(r["id_a"], r["id_b"]) for r in pairs_within(df, 5.0).collect()} == want and len(want) > 200
