@@ -2,10 +2,11 @@
 
 Method: balanced sampling by the cube method.  Every document of a source is expected the same number of
 uses; whole uses are given outright, the fractional rest is its inclusion probability.  The flight phase moves
-the probabilities of three documents at a time along the null space of the balancing constraints (documents,
-tokens) until one of them becomes 0 or 1.  It runs in chunks of each source at once; the at most two undecided
-documents of each chunk meet in the next, smaller flight, until at most two are left of a source: the landing
-problem, decided by trying its four outcomes.  A few documents held back from the last flight make up what it leaves.
+the probabilities along the null space of the balancing constraints (documents, tokens) until one more of them becomes 0
+or 1: first for the largest documents, each against all others at once, then for three documents at a time.  It runs in
+chunks of each source at once; the at most two undecided documents of each chunk meet in the next, smaller flight, until at
+most two are left of a source.  These are the landing problem: of all ways to draw its outcomes that keep both inclusion
+probabilities, the one with the least expected distance from both totals.
 
 Scale: chunks are bounded whatever a source's share of all rows; undecided documents shrink by a factor of
 ``CHUNK`` / 2 per level; only totals per source of a mix reach the driver.  Every choice comes from hashes of
@@ -26,18 +27,57 @@ from lightloom.session import cut
 
 #: Documents of one source that fly together, about.
 CHUNK = 20_000
-#: Documents of a source that the last flight holds back for the landing (at most half of it), and how many of these are fitted in.
-SPARE, LANDS = 256, (24, 64, 128, 256)
+#: Largest documents of a chunk that are decided against all others, so that what is left for the landing is small.
+HEAVY = 512
 #: Rows that a table of targets may have: it is planned on the driver.
 TARGETS = 100_000
 _TINY = 1e-9
 
 
-def flight(prob: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
-    """Probabilities after the flight: all but at most two are 0 or 1, sums and token sums kept."""
-    p = prob.astype(float).tolist()
-    x = (size / max(float(size.mean()), 1e-12)).tolist() if len(size) else []
-    draw = np.random.default_rng(seed).random(len(p) + 3).tolist()
+def _open(p: np.ndarray) -> np.ndarray:
+    return np.flatnonzero((p > _TINY) & (p < 1 - _TINY))
+
+
+def heavy_flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator, heavy: int) -> None:
+    """Decides the ``heavy`` largest documents, in place: each moves along the null-space vector nearest to itself alone.
+
+    What one large document gains or loses is spread over all others, in proportion to the room that each has.
+    """
+    for a in np.argsort(-x, kind="stable")[:heavy].tolist():
+        while _TINY < p[a] < 1 - _TINY:
+            rest = _open(p)
+            rest = rest[rest != a]
+            if len(rest) < 3:
+                return
+            room, size = np.minimum(p[rest], 1 - p[rest]), x[rest]
+            s0, s1, s2 = room.sum(), (room * size).sum(), (room * size * size).sum()
+            spread = s0 * s2 - s1 * s1
+            if spread <= 1e-12 * s0 * s2:  # all others of one size: only a document of that size can be exchanged with them
+                if abs(x[a] - s1 / s0) > 1e-9 * max(x[a], 1e-12):
+                    break
+                u = -room / s0
+            else:
+                k0, k1 = (s2 - s1 * x[a]) / spread, (s0 * x[a] - s1) / spread
+                u = -room * (k0 + k1 * size)
+            with np.errstate(divide="ignore"):
+                up = min(1 - p[a], np.where(u > 0, (1 - p[rest]) / u, np.where(u < 0, -p[rest] / u, np.inf)).min())
+                down = min(p[a], np.where(u > 0, p[rest] / u, np.where(u < 0, (p[rest] - 1) / u, np.inf)).min())
+            go = up if rng.random() * (up + down) < down else -down
+            p[a] += go
+            p[rest] += go * u
+            for i in (a, *rest[(p[rest] < _TINY) | (p[rest] > 1 - _TINY)].tolist()):
+                if not _TINY < p[i] < 1 - _TINY:
+                    p[i] = round(p[i])
+
+
+def flight(prob: np.ndarray, size: np.ndarray, seed: int, heavy: int = HEAVY) -> np.ndarray:
+    """Probabilities after the flight: all but at most two are 0 or 1, sums and token sums kept, and each one's expectation too."""
+    rng = np.random.default_rng(seed)
+    start = prob.astype(float).copy()
+    scaled = size / max(float(size.mean()), 1e-12) if len(size) else size
+    heavy_flight(start, scaled, rng, heavy)
+    p, x = start.tolist(), scaled.tolist()
+    draw = rng.random(len(p) + 3).tolist()
     held: list[int] = []
     step = 0
     for new in range(len(p)):
@@ -71,40 +111,32 @@ def flight(prob: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
     return np.array(p)
 
 
-def landing(prob: np.ndarray, size: np.ndarray, held_back: np.ndarray, seed: int) -> np.ndarray:
-    """Decides the few documents that the flight left undecided and those held back from it.
+def landing(prob: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
+    """Decides the at most two documents that the flight left, keeping their inclusion probabilities.
 
-    For each outcome of the former (two at most), the probabilities of the latter are scaled to make up what is then
-    amiss; some of them fly by themselves and the rest are used as they fit, the largest first.  Of all outcomes and
-    sizes of that rest, the result counts that is nearest to the tokens (ten times as important) and to the
-    number of documents that all stand for.
+    The outcomes' chances have, with both probabilities given, one degree of freedom: the chance that both are used.  The
+    expected distance from the totals (tokens count ten times as much as documents) is linear in it, so the best
+    is one of its ends.
     """
-    open_ = np.setdiff1d(np.flatnonzero((prob > _TINY) & (prob < 1 - _TINY)), held_back)
-    total, docs = max((prob * size).sum(), _TINY), max(prob.sum(), _TINY)
-    best, least = prob, math.inf
-    for bits in range(1 << len(open_)):
-        base = prob.astype(float).copy()
-        base[open_] = [bits >> k & 1 for k in range(len(open_))]
-        base[held_back] = 0
-        due = total - (base * size).sum()
-        stands = max((prob[held_back] * size[held_back]).sum(), _TINY)
-        for rest in sorted({min(n, len(held_back)) for n in LANDS}):
-            q = base.copy()
-            flies, fits = held_back[: len(held_back) - rest], held_back[len(held_back) - rest :]
-            q[flies] = flight(np.clip(prob[flies] * max(due, 0) / stands, 0, 1), size[flies], seed)
-            q[flies] = np.round(q[flies])
-            left = total - (q * size).sum()
-            order = sorted(fits.tolist(), key=lambda i: -size[i])
-            for i in order:
-                if size[i] <= left:
-                    q[i], left = 1.0, left - size[i]
-            last = min((i for i in order if not q[i]), key=lambda i: abs(left - size[i]), default=None)
-            if last is not None and abs(left - size[last]) < abs(left):
-                q[last] = 1.0
-            cost = 10 * abs((q * size).sum() - total) / total + abs(q.sum() - docs) / docs
-            if cost < least:
-                best, least = q, cost
-    return best
+    q = prob.astype(float).copy()
+    left = _open(q)
+    draw = np.random.default_rng(seed + 1).random()
+    if len(left) == 1:
+        q[left] = float(draw < q[left[0]])
+    elif len(left) == 2:
+        (a, b), (p, r) = size[left], q[left]
+        total, docs = max(float((prob * size).sum()), _TINY), max(float(prob.sum()), _TINY)
+        cost = {(i, j): 10 * abs(i * a + j * b - p * a - r * b) / total + abs(i + j - p - r) / docs for i in (0, 1) for j in (0, 1)}
+        both = min((max(0.0, p + r - 1), min(p, r)), key=lambda w: w * (cost[1, 1] + cost[0, 0] - cost[1, 0] - cost[0, 1]))
+        chance = {(1, 1): both, (1, 0): p - both, (0, 1): r - both, (0, 0): 1 - p - r + both}
+        for outcome, w in chance.items():
+            q[left] = outcome
+            draw -= w
+            if draw < 0:
+                break
+    elif len(left):
+        raise ValueError("the flight leaves two documents at most")
+    return q
 
 
 _UNITS = "mix_name string, source string, doc_id bigint, n_tokens int, whole int, prob double"
@@ -115,12 +147,9 @@ def _fly(last: bool):
         # The largest first, so that like documents are weighed against each other.
         g = group.sort_values(["n_tokens", "place", "doc_id"], ascending=[False, True, True], kind="stable")
         seed = int(np.bitwise_xor.reduce(g["place"].to_numpy(np.int64)) & 0x7FFFFFFF)
-        size, p = g["n_tokens"].to_numpy(float), g["prob"].to_numpy(float).copy()
-        spare = np.argsort(g["place"].to_numpy(), kind="stable")[: min(SPARE, len(g) // 2)] if last else np.zeros(0, int)
-        flies = np.ones(len(g), bool)
-        flies[spare] = False
-        p[flies] = flight(p[flies], size[flies], seed)
-        return g.assign(prob=landing(p, size, spare, seed) if last else p)[["mix_name", "source", "doc_id", "n_tokens", "whole", "prob"]]
+        size = g["n_tokens"].to_numpy(float)
+        p = flight(g["prob"].to_numpy(float), size, seed)
+        return g.assign(prob=landing(p, size, seed) if last else p)[["mix_name", "source", "doc_id", "n_tokens", "whole", "prob"]]
 
     return run
 
@@ -155,8 +184,9 @@ def _targets(mix_target: DataFrame) -> list[dict]:
 def _draw(documents: DataFrame, mix_target: DataFrame, tokenizer: str, folder: str | None, tokens: float | None) -> tuple[DataFrame, list[dict]]:
     spark = documents.sparkSession
     targets = _targets(mix_target)
-    wanted = sorted({t["source"] for t in targets})
-    kept = documents.filter(F.col("source").isin(wanted)).filter("doc_id is not null and text is not null")
+    # As many sources as targets at most, whose number is checked.
+    wanted = spark.createDataFrame(sorted((t["source"],) for t in targets), "source string").distinct()
+    kept = documents.filter("doc_id is not null and text is not null").join(F.broadcast(wanted), "source", "left_semi")
     # Counting rides on the id column: the source comes along as a part of it.
     keyed = kept.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), "source").alias("key"), "text")
     counted = encode_corpus(keyed, "key", "text", tokenizer, folder, lists=False).select("key.doc_id", "key.source", "n_tokens")

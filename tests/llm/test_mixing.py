@@ -23,13 +23,32 @@ def test_flight_keeps_inclusion_probabilities():
     assert np.abs(mean - 0.35).max() < 0.06
 
 
-def test_landing_meets_the_tokens():
+def test_large_documents_are_decided_in_flight():
     rng = np.random.default_rng(2)
-    size = np.sort(rng.lognormal(6, 1, 400).round())[::-1]
-    p = np.full(400, 0.4)
-    p[100:] = flight(p[100:], size[100:], 3)
-    q = landing(p, size, np.arange(100), 3)
-    assert set(np.unique(q)) <= {0.0, 1.0} and abs((q * size).sum() - (p * size).sum()) < 0.001 * (p * size).sum()
+    size = np.sort(rng.lognormal(6, 1.5, 3000).round())[::-1]
+    for seed in range(20):
+        q = flight(np.full(3000, 0.4), size, seed)
+        left = np.flatnonzero((q > 0) & (q < 1))
+        assert len(left) <= 2 and (size[left] <= size[511]).all()
+        done = landing(q, size, seed)
+        assert set(np.unique(done)) <= {0.0, 1.0}
+        assert abs((done * size).sum() - 0.4 * size.sum()) <= size[left].sum() and abs(done.sum() - 1200) <= 2
+
+
+def test_whole_draw_keeps_inclusion_probabilities():
+    size = np.sort(np.random.default_rng(4).lognormal(3, 1.5, 30))[::-1]
+    prob = np.linspace(0.1, 0.9, 30)
+    mean = np.mean([landing(flight(prob, size, s), size, s) for s in range(3000)], axis=0)
+    assert np.abs(mean - prob).max() < 0.045
+
+
+def test_landing_outcomes():
+    size = np.array([10.0, 7.0, 3.0])
+    mean = np.mean([landing(np.array([0.3, 0.6, 1.0]), size, s) for s in range(4000)], axis=0)
+    assert np.abs(mean - [0.3, 0.6, 1.0]).max() < 0.03
+    # Nearly equal documents with probabilities of 1 in all: one of the two, never both or none.
+    assert {landing(np.array([0.4, 0.6]), np.array([5.0, 5.0]), s).sum() for s in range(200)} == {1.0}
+    assert landing(np.zeros(0), np.zeros(0), 1).size == 0
 
 
 def docs(spark):
