@@ -22,8 +22,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from lightloom.session import spread
-
 #: Folder of the vocabulary files; a parameter of every operator, this is its default.
 TOKENIZERS = os.environ.get("LIGHTLOOM_TOKENIZERS", "/opt/tokenizers")
 #: Fixed value: the pre-token pattern published with the rank files.
@@ -187,7 +185,7 @@ def encode_corpus(
     """One row per document row: the id and ``ids`` (array<int>), or only ``n_tokens`` if not ``lists``.
 
     A narrow transformation: no shuffle, nothing collected, nothing broadcast; workers read the rank file
-    themselves.  Only the two named columns are read, so further columns of any name do no harm.  Null ids
+    themselves.  The scan's partitions are the tasks, at every size: one file of one row group is one task.  Only the two named columns are read, so further columns of any name do no harm.  Null ids
     are kept, repeated rows are encoded each, an empty table gives an empty table.
     """
     path = rank_file(tokenizer, folder)
@@ -209,5 +207,5 @@ def encode_corpus(
                     [key, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=[id_column, "ids"]
                 )
 
-    narrow = spread(documents.select(id_column, documents[text_column].cast("string").alias("text")))
+    narrow = documents.select(id_column, documents[text_column].cast("string").alias("text"))
     return narrow.mapInArrow(run, f"`{id_column}` {id_type}, " + ("ids array<int>" if lists else "n_tokens int"))

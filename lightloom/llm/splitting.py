@@ -19,7 +19,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lightloom.llm.bpe import Encoder, encoder, rank_file, text_slices
-from lightloom.session import spread
 
 _SENTENCE, _CLAUSE = ".!?…", ",;:"
 _WIDE_SENTENCE, _WIDE_CLAUSE = "。！？｡", "，；：、"
@@ -43,8 +42,8 @@ def _ending(piece: str) -> tuple[int, int]:
     return 1, 4 if last in _SENTENCE else 3 if last in _CLAUSE else 2
 
 
-def boundaries(pieces: list[str], ids: list[list[int]], get: Encoder, longest: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """Token positions at which a text may be cut, and their strengths; inside only of pre-tokens of many tokens."""
+def boundaries(pieces: list[str], ids: list[list[int]], get: Encoder, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Token positions at which a text may be cut, and their strengths; inside only of pre-tokens of more than ``longest`` tokens."""
     count = np.fromiter(map(len, ids), np.int64, len(ids))
     end = np.cumsum(count)
     blank = [p[0].isspace() for p in pieces[1:]]
@@ -95,6 +94,12 @@ def bisect(n: int, position: np.ndarray, strength: np.ndarray, most: int) -> lis
     return sorted(cuts)
 
 
+def readable(piece: bytes) -> str:
+    """A piece's text from its first whole character on."""
+    start = next((k for k, b in enumerate(piece[:4]) if b & 0xC0 != 0x80), 0)
+    return piece[start:].decode("utf-8", "replace")
+
+
 def split(
     documents: DataFrame, limit: int = 1024, overlap: int = 64, id_column: str = "doc_id", text_column: str = "text",
     tokenizer: str = "byte_bpe_50k", folder: str | None = None, short: bool = False, contents: bool = True,
@@ -102,14 +107,15 @@ def split(
     """(id, piece, n_pieces, start, n_tokens, n_overlap[, ids, text]): the pieces of every text of more than ``limit`` tokens.
 
     ``start`` is the piece's first own token; its first ``n_overlap`` tokens are the last of the piece before.  The ids of
-    all pieces without their overlaps, joined, are the ids of the text.  ``text`` is the piece's bytes as UTF-8 (an
-    overlap may begin inside a character, which then reads U+FFFD).  With ``short`` other texts come as one piece too;
+    all pieces without their overlaps, joined, are the ids of the text.  ``text`` is the piece's bytes as UTF-8; where an
+    overlap begins inside a character, from the next character on (``ids`` has all of it).  With ``short`` other texts come as one piece too;
     without ``contents`` the last two columns are left out.  Null and empty texts have no pieces; repeated rows
     are split each; no shuffle, other columns are not read.
     """
     if not 0 <= overlap < limit // 2:
         raise ValueError("the overlap must be less than half the limit")
-    path, id_type = rank_file(tokenizer, folder), dict(documents.dtypes)[id_column]
+    path, id_type, most = rank_file(tokenizer, folder), dict(documents.dtypes)[id_column], limit - overlap
+    longest = min(64, most // 2)  # a stretch of more than ``most`` tokens has a place to cut
     names = [id_column, "piece", "n_pieces", "start", "n_tokens", "n_overlap", *(["ids", "text"] if contents else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +133,7 @@ def split(
                     if n <= limit and not short:
                         continue
                     flat = list(chain.from_iterable(ids))
-                    cuts = [0, n] if n <= limit else bisect(n, *boundaries(pieces, ids, get), limit - overlap)
+                    cuts = [0, n] if n <= limit else bisect(n, *boundaries(pieces, ids, get, longest), most)
                     for m, (a, b) in enumerate(zip(cuts, cuts[1:])):
                         back = min(overlap, a)
                         rows.append(first + k)
@@ -135,13 +141,13 @@ def split(
                         if contents:
                             own = flat[a - back : b]
                             lists.append(own)
-                            strings.append(b"".join([get.table[t] for t in own]).decode("utf-8", "replace"))
+                            strings.append(readable(b"".join([get.table[t] for t in own])))
                 columns = [pa.array([r[c] for r in numbers], pa.int32()) for c in range(5)]
                 if contents:
                     columns += [pa.array(lists, pa.list_(pa.int32())), pa.array(strings, pa.string())]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *columns], names=names)
 
-    narrow = spread(documents.select(id_column, documents[text_column].cast("string").alias("text")))
+    narrow = documents.select(id_column, documents[text_column].cast("string").alias("text"))
     more = ", ids array<int>, text string" if contents else ""
     return narrow.mapInArrow(run, f"`{id_column}` {id_type}, piece int, n_pieces int, start int, n_tokens int, n_overlap int{more}")
 

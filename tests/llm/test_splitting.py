@@ -55,3 +55,22 @@ def test_found_and_options(docs, spark):
     assert split(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         split(docs, 100, 60)
+
+
+@pytest.mark.parametrize("limit, overlap", [(8, 2), (8, 0), (32, 8), (40, 0), (64, 31)])
+def test_small_limits(spark, limit, overlap):
+    get = encoder(rank_file())
+    texts = {1: "a" * 200, 2: PARAGRAPH * 3, 3: "👩‍🚀" * 60, 4: "観測した。" * 30, 5: "=" * 500, 6: " \n" * 90}
+    by = {}
+    for r in split(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), limit, overlap).collect():
+        by.setdefault(r["doc_id"], []).append(r)
+    assert set(by) == {k for k, v in texts.items() if len(get.encode(v)) > limit} >= {2, 3, 4, 6}
+    for k, rows in by.items():
+        rows.sort(key=lambda r: r["piece"])
+        assert all(r["n_tokens"] <= limit for r in rows)
+        assert [t for r in rows for t in r["ids"][r["n_overlap"] :]] == get.encode(texts[k])
+
+
+def test_texts_are_not_damaged(docs):
+    for r in split(docs, 256, 16).collect():
+        assert r["text"] in (TEXTS.get(r["doc_id"]) or "y" * 9000) and "\ufffd" not in r["text"]
