@@ -1,6 +1,6 @@
 """Numeric kernels over one series, in numpy: fits, box search, periodograms, trapezoids.
 
-They are called from grouped Arrow functions (``operators.series``); each takes arrays of one series and returns plain
+They are called from grouped Arrow functions (``plans.series``); each takes arrays of one series and returns plain
 numbers, never raises on degenerate input, and answers None or NaN where a series is too short.
 """
 
@@ -42,98 +42,182 @@ def clip_outliers(y: np.ndarray, window: int = 15, sigma: float = 6.0) -> np.nda
     return np.abs(r) <= sigma * mad if mad > 0 else np.ones(len(y), bool)
 
 
-def box_search(t: np.ndarray, y: np.ndarray, e: np.ndarray, durations: np.ndarray | None = None, nuisance: np.ndarray | None = None) -> dict | None:
-    """The box-shaped dip of greatest signal to noise, fitted jointly with slow drifts over a grid of times and durations.
+#: Box search: durations in days, least points in a box and on each side of a step, least part of a box within the data.
+DURATIONS = np.linspace(0.4, 2.5, 15) / 24
+LEAST_IN, LEAST_SIDE, LEAST_COVERAGE, STEP_GAIN = 5, 10, 0.5, 3.0
+
+
+class Joint:
+    """The joint fit of slow drifts and one more term, for any term that is an indicator of a stretch of time.
 
-    By the Frisch-Waugh-Lovell theorem the joint fit of a box needs only its sums of weight, weighted flux and weighted
-    nuisance terms, so a whole grid costs one pass of prefix sums.  ``durations`` in days.
+    By the Frisch-Waugh-Lovell theorem such a term needs only its sums of weight, weighted residual and weighted drift
+    terms, so a whole grid costs one pass of prefix sums.
     """
+
+    def __init__(self, t: np.ndarray, y: np.ndarray, e: np.ndarray, extra: np.ndarray | None = None):
+        self.t, self.w = t, 1 / e**2
+        self.x = drifts(t) if extra is None else np.concatenate([drifts(t), extra], axis=1)
+        self.fit = weighted_fit(self.x, y, self.w)
+        if self.fit is None:
+            return
+        beta, self.cov, self.chi2 = self.fit
+        self.r = y - self.x @ beta  # orthogonal to x in w: a term's covariance with y is that with r
+        zero = np.zeros((1, self.x.shape[1]))
+        self.sums = np.concatenate([[0], np.cumsum(self.w)]), np.concatenate([[0], np.cumsum(self.w * self.r)]), np.concatenate([zero, np.cumsum(self.w[:, None] * self.x, axis=0)])
+
+    def terms(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(coefficient, information) of the indicators of points i to j; the gain in chi-squared is coefficient**2 * information."""
+        sw, sr, sx = (s[j] - s[i] for s in self.sums)
+        information = sw - np.einsum("...p,pq,...q->...", sx, self.cov, sx)
+        good = information > 1e-9 * np.maximum(sw, 1e-300)
+        return np.where(good, sr / np.where(good, information, 1), 0.0), np.where(good, information, 0.0)
+
+    def without(self, i: int, j: int) -> np.ndarray:
+        """Residuals of the joint fit with the indicator of points i to j."""
+        c, _ = self.terms(np.array(i), np.array(j))
+        term = np.zeros(len(self.t))
+        term[i:j] = 1
+        return self.r - float(c) * (term - self.x @ (self.cov @ (self.x.T @ (self.w * term))))
+
+
+def _ready(t: np.ndarray, y: np.ndarray, e: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """Finite, unclipped points in order of time, and their places; None if fewer than ``least``."""
     order = np.argsort(t, kind="stable")
-    t, y, e = t[order], y[order], e[order]
-    good = np.isfinite(t) & np.isfinite(y) & np.isfinite(e) & (e > 0)
-    if good.sum() < 12:
+    order = order[np.isfinite(t[order]) & np.isfinite(y[order]) & np.isfinite(e[order]) & (e[order] > 0)]
+    if len(order) < least:
         return None
-    extra = nuisance[order] if nuisance is not None else np.zeros((len(t), 0))
-    good[good] &= clip_outliers(y[good])
-    t, y, e, extra = t[good], y[good], e[good], extra[good]
-    w = 1 / e**2
-    x = np.concatenate([drifts(t), extra], axis=1)
-    fit = weighted_fit(x, y, w)
-    if fit is None:
+    order = order[clip_outliers(y[order])]
+    return (t[order], y[order], e[order], order) if len(order) >= least else None
+
+
+def box_search(
+    t: np.ndarray, y: np.ndarray, e: np.ndarray, durations: np.ndarray | None = None, nuisance: np.ndarray | None = None, least: int = 20
+) -> dict | None:
+    """The box-shaped dip of greatest signal to noise, fitted jointly with slow drifts over a grid of times and durations.
+
+    Boxes wholly within the data that a single step (at their middle or an edge) explains as well are left out, so that a
+    step does not hide a dip elsewhere.  Signal to noise is divided by
+    the red noise at the duration, taken from what the best dip leaves; as the best dip depends on it in turn, both are
+    repeated until they agree, three times at most.  ``durations`` in days; None with fewer than ``least`` good points.
+    """
+    ready = _ready(t, y, e, least)
+    if ready is None:
         return None
-    beta, cov, chi2 = fit
-    n, p = x.shape
-    r = y - x @ beta  # orthogonal to x in w: the box's covariance with y is that with r
-    durations = np.linspace(0.4, 2.5, 15) / 24 if durations is None else durations
-    cw = np.concatenate([[0], np.cumsum(w)])
-    cr = np.concatenate([[0], np.cumsum(w * r)])
-    cx = np.concatenate([np.zeros((1, p)), np.cumsum(w[:, None] * x, axis=0)])
-    centre = np.arange(t[0] - durations.max() / 2, t[-1] + durations.max() / 2, durations.min() / 4)
-    best = None
-    for d in durations:
-        i, j = np.searchsorted(t, centre - d / 2, "left"), np.searchsorted(t, centre + d / 2, "right")
-        covered = (np.minimum(centre + d / 2, t[-1]) - np.maximum(centre - d / 2, t[0])) / d
-        bw, br, bx = cw[j] - cw[i], cr[j] - cr[i], cx[j] - cx[i]
-        left = bw - np.einsum("ij,jk,ik->i", bx, cov, bx)
-        ok = (j - i >= 5) & (covered >= 0.5) & (left > 1e-9 * np.maximum(bw, 1e-300)) & (j - i <= n - 5)
-        with np.errstate(all="ignore"):
-            depth = -br / left
-            s2 = np.maximum(chi2 - depth**2 * left, 1e-12) / max(n - p - 1, 1)
-            snr = np.where(ok, depth / np.sqrt(s2 / left), -np.inf)
-        k = int(np.argmax(snr))
-        if np.isfinite(snr[k]) and (best is None or snr[k] > best["snr"]):
-            best = {"snr": float(snr[k]), "depth": float(depth[k]), "tc": float(centre[k]), "duration_h": float(d * 24), "n_in": int(j[k] - i[k]),
-                    "coverage": float(min(covered[k], 1.0)), "chi2_box": float(chi2 - depth[k] ** 2 * left[k])}
-    if best is None:
+    t, y, e, order = ready
+    fit = Joint(t, y, e, None if nuisance is None else nuisance[order])
+    n, spare = len(t), len(t) - fit.x.shape[1] - 1
+    if fit.fit is None or spare < 1:
+        return None
+    d = (DURATIONS if durations is None else durations)[:, None]
+    centre = np.arange(t[0] - d.max() / 2, t[-1] + d.max() / 2 + d.min() / 4, d.min() / 4)[None, :]
+    low, high = centre - d / 2, centre + d / 2
+    i, j = np.searchsorted(t, low, "left"), np.searchsorted(t, high, "right")
+    covered = np.clip(np.minimum(high, t[-1]) - np.maximum(low, t[0]), 0, None) / d
+    c, info = fit.terms(i, np.maximum(i, j))
+    left = fit.chi2 - c * c * info
+    # The gain of a step at each data point; a box is compared with those at its edges and middle.
+    at = np.arange(n + 1)
+    step, step_info = fit.terms(at, np.full(n + 1, n))
+    gain = np.where((at >= LEAST_SIDE) & (at <= n - LEAST_SIDE), step * step * step_info, -np.inf)
+    steps = np.maximum.reduce([gain[np.searchsorted(t, np.clip(x, t[0], t[-1]))] for x in (low, np.broadcast_to(centre, low.shape), high)])
+    full = covered >= 0.999
+    like_step = full & (fit.chi2 - steps - left <= STEP_GAIN)
+    ok = (j - i >= LEAST_IN) & (covered >= LEAST_COVERAGE) & (c < 0) & (info > 0) & (left > 0) & ~like_step
+    if not ok.any():
         return None
-    a, b = best["tc"] - best["duration_h"] / 48, best["tc"] + best["duration_h"] / 48
-    steps = []
-    for at in (a, best["tc"], b):
-        step = (t >= at).astype(float)
-        if min(step.sum(), n - step.sum()) >= 10:
-            f = weighted_fit(np.column_stack([x, step]), y, w)
-            steps.append(f[2] if f else chi2)
-    edge = 0.25 * best["duration_h"] / 24
+    white = np.where(ok, -c * np.sqrt(info * spare / np.where(left > 0, left, 1)), -np.inf)
+    best, beta = np.unravel_index(int(np.argmax(white)), white.shape), np.ones(len(d))
+    for _ in range(3):
+        rest = fit.without(int(i[best]), int(j[best]))
+        beta = np.array([red_noise(rest, t, x) for x in d[:, 0]])
+        again = np.unravel_index(int(np.argmax(white / beta[:, None])), white.shape)
+        if again == best:
+            break
+        best = again
+    k, tc, wide = best[0], float(centre[0, best[1]]), float(d[best[0], 0])
+    edge = 0.25 * wide
     flags = {
-        "EDGE": a - t[0] < edge or t[-1] - b < edge, "TOO_DEEP": best["depth"] > 0.3, "FEW_POINTS": best["n_in"] < 8,
-        "PARTIAL": best["coverage"] < 0.999, "STEP_LIKE": bool(steps) and best["coverage"] >= 0.999 and min(steps) - best["chi2_box"] <= 3,
+        "EDGE": low[best] <= t[0] + edge or high[best] >= t[-1] - edge, "TOO_DEEP": -c[best] > 0.3, "FEW_POINTS": j[best] - i[best] < 8, "HIGH_BETA": beta[k] > 3, "PARTIAL": not full[best],
+        "STEP_LIKE": bool(like_step[best]),
+    }
+    return {
+        "snr": float(white[best] / beta[k]), "depth": float(-c[best]), "tc": tc, "duration_h": wide * 24, "n_in": int(j[best] - i[best]), "coverage": float(min(covered[best], 1.0)),
+        "beta": float(beta[k]), "error": float(np.sqrt(left[best] / spare / info[best])), "gain": float(fit.chi2 - left[best]), "flags": "|".join(k for k, v in flags.items() if v),
     }
-    best["flags"] = "|".join(k for k, v in flags.items() if v)
-    best["beta"] = red_noise(r[(t < a) | (t > b)], best["n_in"])
-    return best
 
 
-def red_noise(r: np.ndarray, size: int) -> float:
-    """Scatter of means of ``size`` successive residuals over what white noise would give; 1 at least."""
-    n = len(r) // max(size, 1)
-    if n < 8:
+def box_depth(t: np.ndarray, y: np.ndarray, e: np.ndarray, tc: float, duration_h: float, least: int = 20) -> tuple[float, float]:
+    """(depth, error) of a box given in time and duration, fitted jointly with slow drifts; NaN where the data cannot tell."""
+    ready = _ready(t, y, e, least)
+    if ready is None:
+        return math.nan, math.nan
+    t, y, e, _ = ready
+    fit = Joint(t, y, e)
+    i, j = (int(np.searchsorted(t, tc + s * duration_h / 48, side)) for s, side in ((-1, "left"), (1, "right")))
+    spare = len(t) - fit.x.shape[1] - 1
+    if fit.fit is None or spare < 1 or j - i < 1:
+        return math.nan, math.nan
+    c, info = (float(v) for v in fit.terms(np.array(i), np.array(j)))
+    return (-c, math.sqrt(max(fit.chi2 - c * c * info, 0) / spare / info)) if info > 0 else (math.nan, math.nan)
+
+
+def red_noise(r: np.ndarray, t: np.ndarray, width: float, least: int = 8) -> float:
+    """Scatter of residuals' means over stretches of ``width`` days, over what white noise would give; 1 at least (Pont et al. 2006)."""
+    one = 1.4826 * np.median(np.abs(r - np.median(r))) if len(r) else 0.0
+    if len(r) < 4 or width <= 0 or one <= 0:
         return 1.0
-    m = r[: n * size].reshape(n, size).mean(axis=1)
-    one = 1.4826 * np.median(np.abs(r - np.median(r)))
-    return float(max(1.0, 1.4826 * np.median(np.abs(m - np.median(m))) / max(one / math.sqrt(size), 1e-300)))
+    k = ((t - t[0]) / width).astype(int)
+    n = np.bincount(k)
+    some = n > 0
+    if some.sum() < least:
+        return 1.0
+    m = np.bincount(k, r)[some] / n[some]
+    return float(max(1.0, 1.4826 * np.median(np.abs(m - np.median(m))) / (one / math.sqrt(n[some].mean()))))
+
 
+def _trig_sums(t: np.ndarray, h: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of h * cos and h * sin of 2 pi f t over a uniform grid of frequencies.
 
-def lomb_scargle(t: np.ndarray, y: np.ndarray, e: np.ndarray, f: np.ndarray, chunk: int = 2048) -> np.ndarray:
-    """Generalised (floating mean, weighted) Lomb-Scargle power in [0, 1] at frequencies ``f`` (Zechmeister & Kuerster 2009)."""
+    Few terms are summed as they are; many are spread to a time grid of sixteen points per shortest period by cubic
+    weights and transformed at once (Press & Rybicki 1989).
+    """
+    if len(t) * len(f) <= 20_000_000 or len(f) < 64:
+        c, s = np.empty(len(f)), np.empty(len(f))
+        for a in range(0, len(f), 2048):
+            arg = 2 * np.pi * np.outer(f[a : a + 2048], t)
+            c[a : a + 2048], s[a : a + 2048] = np.cos(arg) @ h, np.sin(arg) @ h
+        return c, s
+    size = 1 << int(np.ceil(np.log2(16 * len(f))))
+    x = np.mod(t * (f[1] - f[0]), 1.0) * size
+    first = np.floor(x).astype(np.int64) - 1
+    d = x - first
+    weights = (-(d - 1) * (d - 2) * (d - 3) / 6, d * (d - 2) * (d - 3) / 2, -d * (d - 1) * (d - 3) / 2, d * (d - 1) * (d - 2) / 6)
+    value = h * np.exp(2j * np.pi * f[0] * t)
+    grid = np.zeros(size, complex)
+    for k, w in enumerate(weights):
+        cell = (first + k) % size
+        grid += np.bincount(cell, value.real * w, size) + 1j * np.bincount(cell, value.imag * w, size)
+    out = np.fft.ifft(grid)[: len(f)] * size
+    return out.real, out.imag
+
+
+def lomb_scargle(t: np.ndarray, y: np.ndarray, e: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """Generalised (floating mean, weighted) Lomb-Scargle power in [0, 1] at uniform frequencies ``f`` (Zechmeister & Kuerster 2009)."""
     w = 1 / e**2
     w = w / w.sum()
     yc = y - (w * y).sum()
     yy = (w * yc * yc).sum()
-    if yy <= 0:
+    if yy <= 0 or not len(f):
         return np.zeros(len(f))
-    out = np.empty(len(f))
     t = t - t.min()
-    for a in range(0, len(f), chunk):
-        arg = 2 * np.pi * np.outer(f[a : a + chunk], t)
-        c, s = np.cos(arg), np.sin(arg)
-        mc, ms = c @ w, s @ w
-        yc_c, yc_s = c @ (w * yc), s @ (w * yc)
-        cc, ss, cs = (c * c) @ w - mc * mc, (s * s) @ w - ms * ms, (c * s) @ w - mc * ms
-        d = cc * ss - cs * cs
-        with np.errstate(all="ignore"):
-            p = (ss * yc_c**2 + cc * yc_s**2 - 2 * cs * yc_c * yc_s) / (yy * d)
-        out[a : a + chunk] = np.where(d > 1e-12, np.clip(p, 0, 1), 0.0)
-    return out
+    mc, ms = _trig_sums(t, w, f)
+    yc_c, yc_s = _trig_sums(t, w * yc, f)
+    c2, s2 = _trig_sums(2 * t, w, f)  # of the doubled angle
+    cc, ss, cs = (1 + c2) / 2 - mc * mc, (1 - c2) / 2 - ms * ms, s2 / 2 - mc * ms
+    d = cc * ss - cs * cs
+    with np.errstate(all="ignore"):
+        p = (ss * yc_c**2 + cc * yc_s**2 - 2 * cs * yc_c * yc_s) / (yy * d)
+    return np.where(d > 1e-9, np.clip(p, 0, 1), 0.0)
 
 
 def baluev_fap(power: float, n: int, fmax: float, t: np.ndarray, e: np.ndarray) -> float:
@@ -149,94 +233,228 @@ def baluev_fap(power: float, n: int, fmax: float, t: np.ndarray, e: np.ndarray)
     return float(min(1.0, max(0.0, single + tau - single * tau))) if tau < 50 else 1.0
 
 
-def frequencies(t: np.ndarray, shortest: float, longest: float, over: int = 10, most: int = 200_000) -> np.ndarray:
-    span = max(np.ptp(t), 1e-9)
+#: Points that a grid of frequencies may have; beyond, its step is widened and the result says so.
+MOST_FREQUENCIES = 200_000
+
+
+def frequencies(t: np.ndarray, shortest: float, longest: float, over: int = 10, most: int = MOST_FREQUENCIES) -> tuple[np.ndarray, bool]:
+    """(grid, coarsened): from the longest period within the span to the shortest, ``over`` points a resolution element."""
+    span = max(np.ptp(t), 1e-9) if len(t) else 1e-9
     low, high = 1 / min(longest, span), 1 / shortest
-    n = min(most, int((high - low) * over * span) + 1)
-    return np.linspace(low, high, max(n, 2)) if high > low else np.zeros(0)
+    if high <= low:
+        return np.zeros(0), False
+    n = int((high - low) * over * span) + 1
+    return np.linspace(low, high, max(min(n, most), 2)), n > most
 
 
-def best_period(t: np.ndarray, y: np.ndarray, e: np.ndarray, shortest: float = 0.05, longest: float = 100.0, most: int = 200_000) -> dict | None:
+def best_period(t: np.ndarray, y: np.ndarray, e: np.ndarray, shortest: float = 0.02, longest: float = 100.0, most: int = MOST_FREQUENCIES) -> dict | None:
+    """The highest peak of the periodogram, its false-alarm probability, and the highest one that is not within a hundredth of it."""
     if len(t) < 6:
         return None
-    f = frequencies(t, shortest, longest, most=most)
+    f, coarsened = frequencies(t, shortest, longest, most=most)
     if not len(f):
         return None
     p = lomb_scargle(t, y, e, f)
     k = int(np.argmax(p))
     far = np.abs(f - f[k]) > 0.01 * f[k]
     second = int(np.flatnonzero(far)[np.argmax(p[far])]) if far.any() else k
-    return {"period": float(1 / f[k]), "power": float(p[k]), "fap": baluev_fap(float(p[k]), len(t), float(f[-1]), t, e), "second": float(1 / f[second])}
+    return {"period": float(1 / f[k]), "power": float(p[k]), "fap": baluev_fap(float(p[k]), len(t), float(f[-1]), t, e), "second": float(1 / f[second]), "coarsened": coarsened}
 
 
-def box_period(t: np.ndarray, y: np.ndarray, e: np.ndarray, periods: np.ndarray, durations: np.ndarray, bins: int = 200) -> dict | None:
+#: Harmonics of a known period at which a measured one may be found.
+HARMONICS = (0.5, 1.0, 2.0)
+
+
+def window_peak(f: np.ndarray, power: np.ndarray, period: float, width: float, long: float = math.inf) -> tuple[tuple[int, float] | None, str]:
+    """((grid index, harmonic) or None, status): the best local maximum within ``width`` of a period's harmonics.
+
+    A maximum on the grid's end is no peak for windows about periods beyond ``long``.
+    """
+    padded = np.concatenate([[-np.inf], power, [-np.inf]])
+    best, seen = None, False
+    for h in HARMONICS:
+        a, b = np.searchsorted(f, 1 / (period * h * (1 + width)), "left"), np.searchsorted(f, 1 / (period * h * (1 - width)), "right")
+        if a >= b:
+            continue
+        seen = True
+        k = a + int(np.argmax(power[a:b]))
+        if period * h > long and k in (0, len(f) - 1):
+            continue
+        if power[k] >= max(padded[k], padded[k + 2]) and (best is None or power[k] > power[best[0]]):
+            best = (k, h)
+    return best, "verified" if best else "no_peak_in_window" if seen else "lit_period_outside_grid"
+
+
+def aliases(t: np.ndarray, y: np.ndarray, e: np.ndarray, f: np.ndarray, power: np.ndarray, k: int, most: int = 5) -> tuple[list[float], list[float]]:
+    """(periods, powers) of what the peak at ``f[k]`` may stand for instead, the strongest first.
+
+    One cycle a day more and less always belong; two a day and the next peaks, at least a resolution element from all
+    others, fill up to ``most``.
+    """
+    apart, taken = 1 / max(np.ptp(t), 1e-9), [float(f[k])]
+
+    def take(wanted: list[float], gap: float, room: int) -> list[float]:
+        out = []
+        for g in wanted:
+            if len(out) < room and f[0] <= g <= f[-1] and all(abs(g - h) > gap for h in taken):
+                out.append(g)
+                taken.append(g)
+        return out
+
+    day = take([abs(f[k] + s) for s in (1.0, -1.0)], 1e-9, 2)
+    room = max(most - len(day), 0)
+    others = take([abs(f[k] + s) for s in (2.0, -2.0)], 1e-9, 2)
+    tops = np.flatnonzero((power[1:-1] > power[:-2]) & (power[1:-1] >= power[2:])) + 1
+    others += take(f[tops[np.argsort(-power[tops], kind="stable")][: 200 + room]].tolist(), apart, room)
+    strength = {g: float(lomb_scargle(t, y, e, np.array([g]))[0]) for g in (*day, *others)}
+    kept = sorted([*day, *sorted(others, key=lambda g: -strength[g])[:room]], key=lambda g: -strength[g])
+    return [1 / g for g in kept], [strength[g] for g in kept]
+
+
+def phase_stats(t: np.ndarray, period: float, bins: int = 20) -> tuple[float, float]:
+    """(share of phase bins with a point, cycles that the data span)."""
+    k = np.minimum((np.mod(t - t.min(), period) / period * bins).astype(int), bins - 1)
+    return len(np.unique(k)) / bins, float(np.ptp(t) / period)
+
+
+def period_estimate(
+    t: np.ndarray, y: np.ndarray, e: np.ndarray, night: np.ndarray, known: float | None = None, known_err: float = 0.0, guess: float | None = None, tied: bool = False,
+    shortest: float = 0.02, longest: float = 100.0, long: float = 1.0, window: float = 0.05, guided: float = 0.2,
+) -> dict:
+    """The period of a star over its nights, and how it compares with a known one.
+
+    The peak is the highest of all, or with a guess or a known period the highest within its windows.  A period beyond ``long`` days
+    cannot be measured on nights that each have their own level (``tied`` says that they do not).  All others are refined by a
+    Fourier series with an offset per night.  ``status``: verified, no_literature, no_peak_in_window,
+    lit_period_outside_grid, long_period_needs_tie or insufficient_data.
+    """
+    none = dict.fromkeys(("period", "period_err", "power", "fap", "harmonic", "delta", "delta_err", "coverage", "n_cycles"), None)
+    out = none | {"n_nights": len(np.unique(night)), "alias_periods": None, "alias_powers": None, "coarsened": False}
+    f, coarsened = frequencies(t, shortest, longest)
+    if len(t) < 6 or not len(f):
+        return out | {"status": "insufficient_data"}
+    out["coarsened"] = coarsened
+    power = lomb_scargle(t, y, e, f)
+    k, harmonic, status = int(np.argmax(power)), None, "no_literature"
+    if guess:
+        best, status = window_peak(f, power, guess, guided, long)
+        if best is None:
+            return out | {"status": status}
+        k = best[0]
+    elif known:
+        best, status = window_peak(f, power, known, window, long)
+        k, harmonic = best or (k, None)
+    period = float(1 / f[k])
+    if out["n_nights"] >= 2:
+        out["alias_periods"], out["alias_powers"] = aliases(t, y, e, f, power, k)
+    out |= {"power": float(power[k])}
+    if period > long and not tied:
+        coverage, cycles = phase_stats(t, period)
+        return out | {"period": period, "coverage": coverage, "n_cycles": cycles, "status": "long_period_needs_tie"}
+    fine = refine_period(t, y, e, period, night=None if period > long else night)
+    error = None
+    if fine is not None:
+        period, error = fine["period"], fine["period_err"]
+    if guess and known:
+        off = [abs(period / h - known) / known for h in HARMONICS]
+        near = int(np.argmin(off))
+        harmonic, status = (HARMONICS[near], "verified") if off[near] <= window else (None, "no_peak_in_window")
+    elif guess:
+        status = "no_literature"
+    if known and harmonic:
+        out |= {"harmonic": harmonic, "delta": period / harmonic - known, "delta_err": None if error is None else math.hypot(error / harmonic, known_err)}
+    coverage, cycles = phase_stats(t, period)
+    return out | {"period": period, "period_err": error, "fap": baluev_fap(out["power"], len(t), float(f[-1]), t, e), "coverage": coverage, "n_cycles": cycles, "status": status}
+
+
+def box_period(t: np.ndarray, y: np.ndarray, e: np.ndarray, periods: np.ndarray, durations: np.ndarray, bins: int = 200, chunk: int = 256) -> dict | None:
     """Box least squares over folded bins: period, duration and start of greatest signal to noise (Kovacs et al. 2002)."""
-    if len(t) < 20:
+    if len(t) < 20 or not len(periods):
         return None
     w = 1 / e**2
     r = y - (w * y).sum() / w.sum()
-    total = w.sum()
+    total, since = w.sum(), t - t.min()
+    chunk = max(1, min(chunk, 4_000_000 // len(t)))
     best = None
-    for p in periods:
-        k = np.minimum((np.mod(t - t.min(), p) / p * bins).astype(int), bins - 1)
-        bw, br = np.bincount(k, w, bins), np.bincount(k, w * r, bins)
-        cw, cr = (np.concatenate([[0], np.cumsum(np.tile(v, 2))]) for v in (bw, br))
+    for a in range(0, len(periods), chunk):
+        p = periods[a : a + chunk, None]
+        cell = np.minimum((np.mod(since / p, 1.0) * bins).astype(np.int64), bins - 1) + np.arange(len(p))[:, None] * bins
+        bw, br = (np.bincount(cell.ravel(), np.broadcast_to(v, cell.shape).ravel(), len(p) * bins).reshape(-1, bins) for v in (w, w * r))
+        cw, cr = (np.concatenate([np.zeros((len(p), 1)), np.cumsum(np.concatenate([v, v], axis=1), axis=1)], axis=1) for v in (bw, br))
         for d in durations:
-            q = max(1, round(d / p * bins))
-            if q >= bins // 2:
-                continue
-            sw, sr = cw[q : q + bins] - cw[:bins], cr[q : q + bins] - cr[:bins]
-            with np.errstate(all="ignore"):
-                depth = -sr / sw - sr / (total - sw)
-                snr = np.where((sw > 0) & (sw < total), depth * np.sqrt(sw * (total - sw) / total), -np.inf)
-            m = int(np.argmax(snr))
-            if best is None or snr[m] > best["snr"]:
-                best = {"snr": float(snr[m]), "period": float(p), "depth": float(depth[m]), "duration_h": float(d * 24), "t0": float(t.min() + (m + q / 2) / bins * p)}
+            wide = np.maximum(1, np.rint(d / p[:, 0] * bins).astype(int))
+            for q in np.unique(wide[wide < bins // 2]):
+                rows = np.flatnonzero(wide == q)
+                sw, sr = cw[rows, q : q + bins] - cw[rows, :bins], cr[rows, q : q + bins] - cr[rows, :bins]
+                with np.errstate(all="ignore"):
+                    depth = -sr / sw - sr / (total - sw)
+                    snr = np.where((sw > 0) & (sw < total), depth * np.sqrt(sw * (total - sw) / total), -np.inf)
+                i, m = np.unravel_index(int(np.argmax(snr)), snr.shape)
+                if best is None or snr[i, m] > best["snr"]:
+                    period = float(p[rows[i], 0])
+                    best = {"snr": float(snr[i, m]), "period": period, "depth": float(depth[i, m]), "duration_h": float(d * 24), "t0": float(t.min() + (m + q / 2) / bins * period)}
     return best
 
 
-def refine_period(t: np.ndarray, y: np.ndarray, e: np.ndarray, period: float, terms: int = 2, rounds: int = 8) -> dict | None:
-    """Frequency of a Fourier series fitted by Gauss-Newton within half a resolution element, with its error."""
+def refine_period(t: np.ndarray, y: np.ndarray, e: np.ndarray, period: float, terms: int = 2, rounds: int = 8, night: np.ndarray | None = None) -> dict | None:
+    """Frequency of a Fourier series fitted by Gauss-Newton within half a resolution element, with its error.
+
+    ``night`` names each point's night: every night then has its own level (its weighted mean is taken from all columns).
+    """
     w, span = 1 / e**2, max(np.ptp(t), 1e-9)
+    if night is None:
+        night = np.zeros(len(t), int)
+    _, group = np.unique(night, return_inverse=True)
+    levels = int(group.max()) + 1 if len(group) else 0
+    total = np.bincount(group, w)
+
+    def level(v: np.ndarray) -> np.ndarray:
+        v = v if v.ndim == 2 else v[:, None]
+        return v - np.stack([(np.bincount(group, w * c) / total)[group] for c in v.T], axis=1)
+
+    z = level(y)[:, 0]
+    spare = len(t) - levels - 2 * terms - 1
+    if spare < 1:
+        return None
     f0 = f = 1 / period
     d = t - t.mean()
     for _ in range(rounds):
         arg = 2 * np.pi * f * d
-        x = np.column_stack([np.ones(len(t))] + [g(k * arg) for k in range(1, terms + 1) for g in (np.cos, np.sin)])
-        fit = weighted_fit(x, y, w)
+        raw = np.column_stack([g(k * arg) for k in range(1, terms + 1) for g in (np.cos, np.sin)])
+        fit = weighted_fit(level(raw), z, w)
         if fit is None:
             return None
         b = fit[0]
-        slope = sum(2 * np.pi * k * d * (-b[2 * k - 1] * np.sin(k * arg) + b[2 * k] * np.cos(k * arg)) for k in range(1, terms + 1))
-        full = weighted_fit(np.column_stack([x, slope]), y, w)
+        slope = sum(2 * np.pi * k * d * (-b[2 * k - 2] * np.sin(k * arg) + b[2 * k - 1] * np.cos(k * arg)) for k in range(1, terms + 1))
+        full = weighted_fit(level(np.column_stack([raw, slope])), z, w)
         if full is None:
             return None
         beta, cov, chi2 = full
         f = float(np.clip(f + beta[-1], f0 - 0.5 / span, f0 + 0.5 / span))
         if abs(beta[-1]) < 1e-10:
             break
-    sf = math.sqrt(max(cov[-1, -1], 0) * max(1.0, chi2 / max(len(t) - x.shape[1] - 1, 1)))
+    sf = math.sqrt(max(cov[-1, -1], 0) * max(1.0, chi2 / spare))
     return {"period": 1 / f, "period_err": sf / f**2, "chi2": chi2}
 
 
 def trapezoid_fit(t: np.ndarray, y: np.ndarray, e: np.ndarray, tc: float, total: float, depth: float, rounds: int = 60) -> dict | None:
-    """Trapezoid dip on a sloping level by damped least squares; times in days.  Parameters: tc, T14, depth, ingress share."""
+    """Trapezoid dip on a constant level by damped least squares; times in days.  Parameters: tc, T14, depth, ingress share, level."""
     near = np.abs(t - tc) <= max(1.5 * total, total + 1 / 24)
     t, y, e = t[near], y[near], e[near]
     if len(t) < 8:
         return None
-    low = np.array([tc - total, 0.2 * total, 0.0, 0.02, -np.inf, -np.inf])
-    high = np.array([tc + total, 3 * total, 1.0, 0.5, np.inf, np.inf])
-    q = np.array([tc, total, max(depth, 1e-5), 0.2, float(np.median(y[np.abs(t - tc) > total / 2])) if (np.abs(t - tc) > total / 2).any() else 1.0, 0.0])
+    low = np.array([tc - total / 2, 0.2 * total, 0.0, 0.0, -np.inf])
+    high = np.array([tc + total / 2, 3 * total, 1.0, 0.5, np.inf])
+    out = np.abs(t - tc) > total / 2
+    q = np.array([tc, total, max(depth, 1e-5), 0.2, float(np.median(y[out])) if out.any() else 1.0])
 
     def model(q: np.ndarray) -> np.ndarray:
-        shape = np.clip((q[1] / 2 - np.abs(t - q[0])) / max(q[3] * q[1], 1e-9), 0, 1)
-        return q[4] + q[5] * (t - tc) - q[2] * shape
+        return q[4] - q[2] * np.clip((q[1] / 2 - np.abs(t - q[0])) / max(q[3] * q[1], 1e-3 * q[1]), 0, 1)
 
-    size = np.array([total * 1e-3, total * 1e-3, 1e-5, 1e-3, 1e-6, 1e-4])
-    damp, r = 1e-2, (y - model(q)) / e
+    size = np.array([total * 1e-3, total * 1e-3, 1e-5, 1e-3, 1e-6])
+    damp, r, done = 1e-2, (y - model(q)) / e, False
     for _ in range(rounds):
-        j = np.column_stack([(model(q + np.eye(6)[k] * size[k]) - model(q - np.eye(6)[k] * size[k])) / (2 * size[k]) / e for k in range(6)])
+        j = np.column_stack([(model(q + np.eye(5)[k] * size[k]) - model(q - np.eye(5)[k] * size[k])) / (2 * size[k]) / e for k in range(5)])
         a, g = j.T @ j, j.T @ r
         try:
             step = np.linalg.solve(a + damp * np.diag(np.maximum(np.diag(a), 1e-12)), g)
@@ -247,34 +465,61 @@ def trapezoid_fit(t: np.ndarray, y: np.ndarray, e: np.ndarray, tc: float, total:
         if (rn @ rn) < (r @ r):
             done = (r @ r) - (rn @ rn) < 1e-8 * (r @ r)
             q, r, damp = new, rn, damp / 3
-            if done:
-                break
         else:
             damp *= 4
-            if damp > 1e8:
-                break
-    chi2r = float(r @ r) / max(len(t) - 6, 1)
-    try:
-        err = np.sqrt(np.maximum(np.diag(np.linalg.pinv(j.T @ j)), 0) * max(1.0, chi2r))
-    except np.linalg.LinAlgError:
-        err = np.full(6, np.nan)
+            done = damp > 1e8
+        if done:
+            break
+    chi2r = float(r @ r) / max(len(t) - 5, 1)
+    norm = np.linalg.norm(j, axis=0)
+    scaled = j / np.where(norm > 0, norm, 1)
+    cov = np.linalg.pinv(scaled.T @ scaled) / np.outer(np.where(norm > 0, norm, 1), np.where(norm > 0, norm, 1)) * max(1.0, chi2r)
+    err = np.where((np.diag(cov) > 0) & (norm > 0), np.sqrt(np.maximum(np.diag(cov), 0)), np.nan)  # what the data do not constrain has none
     return {"tc": float(q[0]), "tc_err": float(err[0]), "t14_h": float(q[1] * 24), "t14_err": float(err[1] * 24), "depth": float(q[2]), "depth_err": float(err[2]),
-            "ingress_frac": float(q[3]), "chi2_red": chi2r, "n_points": len(t)}
+            "ingress_frac": float(q[3]), "chi2_red": chi2r, "n_points": len(t), "converged": bool(done)}
+
+
+def incompleteness(t: np.ndarray, tc: float, total: float, flags: str = "") -> dict:
+    """Whether a dip is seen only in part, why, how long it is seen, and whether both its ends are; ``total`` in days.
+
+    It is in part where its flags say so, where an end falls outside the night, or into a gap of more than twice the
+    median spacing.  A gap in the middle is none.
+    """
+    why = [f"flag {x}" for x in ("EDGE", "PARTIAL") if x in (flags or "").split("|")]
+    t = np.sort(t[np.isfinite(t)])
+    ends, seen = [tc - total / 2, tc + total / 2], [True, True]
+    if len(t):
+        usual = float(np.median(np.diff(t))) if len(t) > 1 else 0.0
+        for side, (name, beyond) in enumerate((("ingress", "before the first epoch"), ("egress", "after the last epoch"))):
+            x = ends[side]
+            if (x < t[0]) if side == 0 else (x > t[-1]):
+                why.append(f"truncated: predicted {name} {beyond}")
+                seen[side], ends[side] = False, float(t[0] if side == 0 else t[-1])
+                continue
+            k = int(np.searchsorted(t, x))
+            if usual > 0 and 0 < k < len(t) and t[k - 1] < x < t[k] and t[k] - t[k - 1] > 2 * usual:
+                why.append(f"gap covers {name}")
+                seen[side], ends[side] = False, float(t[k] if side == 0 else t[k - 1])
+        ends = [max(ends[0], float(t[0])), min(ends[1], float(t[-1]))]
+    return {"t14_lower_limit": bool(why), "reason": "; ".join(why), "span_h": max(ends[1] - ends[0], 0.0) * 24, "ends_seen": all(seen)}
+
+
+def standard(x: np.ndarray) -> np.ndarray:
+    """A series about its median in units of its robust scatter, cut at five; zero where it has none."""
+    x = x - np.median(x)
+    s = 1.4826 * np.median(np.abs(x))
+    return np.clip(x / s, -5, 5) if s > 0 else np.zeros(len(x))
 
 
-def common_trends(cube: np.ndarray, most: int = 3, variance: float = 0.95) -> tuple[np.ndarray, np.ndarray]:
-    """Principal components over frames (k, frames) of normalised series (stars, frames), and their shares of the variance.
+def principal(gram: np.ndarray, most: int = 3, variance: float = 0.95) -> tuple[np.ndarray, np.ndarray]:
+    """Principal components over frames (k, frames) from the sum of the stars' products of frames, and their shares of the variance.
 
-    NaN counts as 0 after clipping at five deviations; as many components as reach ``variance``, ``most`` at most.
-    Signs are fixed by making each component's largest value positive.
+    As many components as reach ``variance``, ``most`` at most; each one's largest value is positive.
     """
-    x = cube - np.nanmedian(cube, axis=1, keepdims=True)
-    s = 1.4826 * np.nanmedian(np.abs(x), axis=1, keepdims=True)
-    x = np.clip(np.where(s > 0, x / np.where(s > 0, s, 1), 0), -5, 5)
-    x = np.nan_to_num(x)
-    _, d, v = np.linalg.svd(x, full_matrices=False)
-    share = d**2 / max((d**2).sum(), 1e-300)
-    k = min(most, int(np.searchsorted(np.cumsum(share), variance)) + 1, len(d))
-    v = v[:k]
+    value, vector = np.linalg.eigh(gram)
+    value, vector = np.maximum(value[::-1], 0), vector[:, ::-1].T
+    share = value / max(value.sum(), 1e-300)
+    k = min(most, int(np.searchsorted(np.cumsum(share), variance)) + 1, len(value))
+    v = vector[:k]
     sign = np.sign(v[np.arange(k), np.abs(v).argmax(axis=1)])
     return v * np.where(sign == 0, 1, sign)[:, None], share[:k]

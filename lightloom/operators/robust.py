@@ -83,3 +83,15 @@ def islands(df: DataFrame, by: list[str], order: str, on: Column) -> DataFrame:
     rank = df.select(*by, F.col(order).alias("o"), on.alias("on"), F.row_number().over(w).alias("r")).filter("on")
     group = F.col("r") - F.row_number().over(Window.partitionBy(*by).orderBy("o"))
     return rank.withColumn("g", group).groupBy(*by, "g").agg(F.min("o").alias("first"), F.max("o").alias("last"), F.count("*").alias("n")).drop("g")
+
+
+def counts_within(df: DataFrame, by: str, key: str, t: str, half: str) -> DataFrame:
+    """(by, key, n): how many other rows of the same group lie within each row's own half width of its time.
+
+    Starts, times and ends stand in one order and a running sum is read off at both ends: no pair is formed.
+    """
+    at = lambda x, k: df.select(by, key, x.alias("x"), F.lit(k).alias("k"))
+    marks = at(F.col(t) - F.col(half), 0).unionByName(at(F.col(t), 1)).unionByName(at(F.col(t) + F.col(half), 2))
+    w = Window.partitionBy(by).orderBy("x", "k").rowsBetween(Window.unboundedPreceding, 0)
+    seen = marks.withColumn("seen", F.sum((F.col("k") == 1).cast("long")).over(w)).filter("k <> 1")
+    return seen.groupBy(by, key).agg((F.sum(F.when(F.col("k") == 2, F.col("seen")).otherwise(-F.col("seen"))) - 1).alias("n"))

@@ -133,11 +133,12 @@ def cone(points: DataFrame, ra: float, dec: float, degrees: float) -> DataFrame:
     return band.filter(separation_arcsec(F.col("ra"), F.col("dec"), F.lit(ra), F.lit(dec)) <= degrees * 3600)
 
 
-def gnomonic(ra: Column, dec: Column, ra0: float, dec0: float) -> tuple[Column, Column]:
+def gnomonic(ra: Column, dec: Column, ra0: Column | float, dec0: Column | float) -> tuple[Column, Column]:
     """Tangent-plane coordinates in degrees about a centre."""
-    d, a, d0 = F.radians(dec), F.radians(ra - ra0), math.radians(dec0)
-    cos_c = math.sin(d0) * F.sin(d) + math.cos(d0) * F.cos(d) * F.cos(a)
-    return F.degrees(F.cos(d) * F.sin(a) / cos_c), F.degrees((math.cos(d0) * F.sin(d) - math.sin(d0) * F.cos(d) * F.cos(a)) / cos_c)
+    ra0, d0 = (F.radians(F.lit(x)) for x in (ra0, dec0))
+    d, a = F.radians(dec), F.radians(ra) - ra0
+    cos_c = F.sin(d0) * F.sin(d) + F.cos(d0) * F.cos(d) * F.cos(a)
+    return F.degrees(F.cos(d) * F.sin(a) / cos_c), F.degrees((F.cos(d0) * F.sin(d) - F.sin(d0) * F.cos(d) * F.cos(a)) / cos_c)
 
 
 def numbered_names(df: DataFrame, name: str, key: str) -> DataFrame:

@@ -24,13 +24,6 @@ def _(t: Inputs) -> DataFrame:
     return n.filter("low >= 3 and low >= 3 * high")
 
 
-@query("f17_f20_tristate_filters", "SELECT obj_id FROM obj WHERE known AND obj_class IN ('VAR', 'EXOP+VAR') AND mag BETWEEN 10 AND 16")
-def _(t: Inputs) -> DataFrame:
-    from lightloom.plans.search import Filters, predicate
-
-    return t.obj.filter(predicate(Filters(known=True, classes=("VAR", "EXOP+VAR"), mag_min=10, mag_max=16))).select("obj_id")
-
-
 @query("j31_best_run", """
 WITH n AS (SELECT obj_id, mn_run_id, count(*) AS n, max(loaded_at) AS l FROM det WHERE mn_run_id IS NOT NULL GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY obj_id ORDER BY n DESC, l DESC, mn_run_id DESC) AS r FROM n) SELECT obj_id, mn_run_id, n FROM r WHERE r = 1""")
@@ -44,16 +37,9 @@ def _(t: Inputs) -> DataFrame:
 WITH e AS (SELECT det_id, night_id, tc_bjd_tdb AS t, duration_h / 48 AS h FROM det WHERE kind = 'transit' AND snr >= 5 AND tc_bjd_tdb IS NOT NULL AND duration_h > 0 AND night_id IS NOT NULL)
 SELECT a.det_id, count(*) AS n FROM e a JOIN e b ON a.night_id = b.night_id AND a.det_id <> b.det_id AND abs(a.t - b.t) <= a.h GROUP BY 1""")
 def _(t: Inputs) -> DataFrame:
-    # Counts of events in a time window, by a range frame over the night's order: no pair is formed.
     e = t.det.filter("kind = 'transit' and snr >= 5 and tc_bjd_tdb is not null and duration_h > 0 and night_id is not null")
     e = e.select("det_id", "night_id", c("tc_bjd_tdb").alias("t"), (c("duration_h") / 48).alias("h"))
-    marks = e.select("night_id", "det_id", (c("t") - c("h")).alias("x"), F.lit(0).alias("k")).unionByName(
-        e.select("night_id", "det_id", "t", F.lit(1).alias("k")).withColumnRenamed("t", "x")
-    ).unionByName(e.select("night_id", "det_id", (c("t") + c("h")).alias("x"), F.lit(2).alias("k")))
-    w = Window.partitionBy("night_id").orderBy("x", "k").rowsBetween(Window.unboundedPreceding, 0)
-    seen = marks.withColumn("seen", F.sum((c("k") == 1).cast("long")).over(w)).filter("k <> 1")
-    n = seen.groupBy("det_id").agg((F.sum(F.when(c("k") == 2, c("seen")).otherwise(-c("seen"))) - 1).alias("n"))
-    return n.filter("n > 0")
+    return R.counts_within(e, "night_id", "det_id", "t", "h").select("det_id", "n").filter("n > 0")
 
 
 @query("a41_magnitude_histogram", "SELECT floor(mag * 2) / 2 AS bin, count(*) AS n FROM obj WHERE mag IS NOT NULL GROUP BY 1")
@@ -159,13 +145,6 @@ def _(t: Inputs) -> DataFrame:
     return f.select("frame_id", part(r"^n(\d+)_").alias("night"), part(r"_(\d+)\.").alias("number"))
 
 
-@query("x10_x11_effective_status", """
-SELECT det_id, CASE WHEN status IN ('CONFIRMED', 'REJECTED') THEN status WHEN contains(coalesce(flags, ''), 'EDGE') THEN 'DOUBTFUL' ELSE 'UNCONFIRMED' END AS effective FROM det""")
-def _(t: Inputs) -> DataFrame:
-    s = F.when(c("status").isin("CONFIRMED", "REJECTED"), c("status")).when(F.coalesce("flags", F.lit("")).contains("EDGE"), "DOUBTFUL")
-    return t.det.select("det_id", s.otherwise("UNCONFIRMED").alias("effective"))
-
-
 @query("x14_infer_catalogue", """
 SELECT obj_id, CASE WHEN starts_with(trim(gaia_id), 'Gaia DR3 ') THEN 'Gaia DR3' WHEN nullif(trim(gaia_id), '') IS NOT NULL THEN 'Gaia' END AS catalogue FROM sky_object""")
 def _(t: Inputs) -> DataFrame:
@@ -173,11 +152,11 @@ def _(t: Inputs) -> DataFrame:
     return t.table("sky_object").select("obj_id", F.when(g.startswith("Gaia DR3 "), "Gaia DR3").when(g != "", "Gaia").alias("catalogue"))
 
 
-@query("x2_chord_angle", "SELECT obj_id, round(degrees(2 * asin(least(1, sqrt((cos(radians(dec)) * cos(radians(ra)) - 1) ** 2 + (cos(radians(dec)) * sin(radians(ra))) ** 2 + sin(radians(dec)) ** 2) / 2))), 7) AS angle FROM obj")
+@query("x2_chord_angle", "SELECT obj_id, round(degrees(2 * asin(least(1, sqrt((cos(radians(dec)) * cos(radians(ra)) - 1) ** 2 + (cos(radians(dec)) * sin(radians(ra))) ** 2 + sin(radians(dec)) ** 2) / 2))), 7) AS angle FROM pos")
 def _(t: Inputs) -> DataFrame:
     from lightloom.operators.sky import separation_arcsec
 
-    return t.obj.select("obj_id", r6(separation_arcsec(c("ra"), c("dec"), F.lit(0.0), F.lit(0.0)) / 3600, "angle", 7))
+    return t.pos.select("obj_id", r6(separation_arcsec(c("ra"), c("dec"), F.lit(0.0), F.lit(0.0)) / 3600, "angle", 7))
 
 
 @query("x24_chi2_probability", """
@@ -194,10 +173,10 @@ def _(t: Inputs) -> DataFrame:
 
 
 @query("x23_polynomial_terms", """
-SELECT obj_id, round((ra - 180) ** 2, 5) AS "xi^2", round((ra - 180) * dec, 5) AS "xi*eta", round(dec ** 2, 5) AS "eta^2" FROM obj""")
+SELECT obj_id, round((ra - 180) ** 2, 5) AS "xi^2", round((ra - 180) * dec, 5) AS "xi*eta", round(dec ** 2, 5) AS "eta^2" FROM pos""")
 def _(t: Inputs) -> DataFrame:
     xi, eta = c("ra") - 180, c("dec")
-    return t.obj.select("obj_id", r6(xi**2, "xi^2", 5), r6(xi * eta, "xi*eta", 5), r6(eta**2, "eta^2", 5))
+    return t.pos.select("obj_id", r6(xi**2, "xi^2", 5), r6(xi * eta, "xi*eta", 5), r6(eta**2, "eta^2", 5))
 
 
 @query("j28_light_curves", f"""
@@ -220,12 +199,12 @@ _SEP = """degrees(2 * asin(least(1, sqrt((cos(radians(o.dec)) * cos(radians(o.ra
 
 
 @query("j9_k_nearest", f"""
-WITH n AS (SELECT o.obj_id, p.obj_id AS other, {_SEP} AS sep FROM obj o JOIN obj p ON p.obj_id <> o.obj_id AND p.dec BETWEEN o.dec - 0.09 AND o.dec + 0.09 WHERE {_SEP} <= 320),
-r AS (SELECT *, row_number() OVER (PARTITION BY obj_id ORDER BY sep, other) AS r FROM n) SELECT obj_id, other, r AS rank FROM r WHERE r <= 5""")
+WITH n AS (SELECT o.obj_id, p.obj_id AS other, {_SEP} AS sep FROM pos o JOIN pos p ON p.obj_id <> o.obj_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY obj_id ORDER BY sep, other) AS r FROM n) SELECT obj_id, other, r AS rank FROM r WHERE r <= 25""")
 def _(t: Inputs) -> DataFrame:
     from lightloom.operators.sky import k_nearest
 
-    return k_nearest(t.obj.select("obj_id", "ra", "dec"), 25, "obj_id").select("obj_id", "other", "rank")
+    return k_nearest(t.pos.select("obj_id", "ra", "dec"), 25, "obj_id").select("obj_id", "other", "rank")
 
 
 @query("k11_review_restore", """
@@ -275,7 +254,7 @@ def _(t: Inputs) -> DataFrame:
     target = F.coalesce("target", F.concat(F.lit("night "), "night_id"))
     nights = t.night.filter("removed_at is null").select(target.alias("set"), "night_id", c("night_id").alias("step"))
     seen = t.ep.select("night_id", c("star_id").alias("star")).distinct().join(nights, "night_id")
-    tied = match_sets(seen.join(t.obj.select(c("obj_id").alias("star"), "ra", "dec"), "star"))
+    tied = match_sets(seen.join(t.pos.select(c("obj_id").alias("star"), "ra", "dec"), "star"))
     return tied.select(c("set").alias("target"), "night_id", "star", "global")
 
 
@@ -292,30 +271,6 @@ def _(t: Inputs) -> DataFrame:
     return pairs.groupBy("bin").agg(F.count("*").alias("n"), R.median(alone).alias("extra")).filter("n >= 5")
 
 
-@query("g14_verification_windows")
-def _(t: Inputs) -> DataFrame:
-    """The best peak of each star's power within 5 % of half, once and twice its catalogued period."""
-    from lightloom.plans.series import nightly, per_series
-
-    series = nightly(t).join(t.obj.filter("period > 0").select(c("obj_id").alias("star_id"), c("period").alias("p")), "star_id")
-
-    def run(rows: pd.DataFrame) -> dict | None:
-        if len(rows) < 6:
-            return None
-        x, y, e = (rows[k].to_numpy(float) for k in "tye")
-        best = None
-        for h in (0.5, 1.0, 2.0):
-            centre = 1 / (h * float(rows["p"].iloc[0]))
-            f = np.linspace(centre / 1.05, centre / 0.95, 500)
-            power = G.lomb_scargle(x, y, e, f)
-            k = int(np.argmax(power))
-            if best is None or power[k] > best["power"]:
-                best = {"harmonic": h, "found": float(1 / f[k]), "power": float(power[k])}
-        return best
-
-    return per_series(series, ["star_id"], run, "harmonic double, found double, power double")
-
-
 @query("g29_period_compatibility", """
 WITH e AS (SELECT obj_id, det_id, tc_bjd_tdb AS t FROM det WHERE kind = 'transit' AND tc_bjd_tdb IS NOT NULL),
 o AS (SELECT obj_id, period FROM obj WHERE period > 0), f AS (SELECT obj_id, min(t) AS t0 FROM e GROUP BY 1)
@@ -358,7 +313,7 @@ def tiles_of(counts: dict[tuple[int, int], int], least: int) -> dict[tuple[int,
 @query("g23_adaptive_tiles")
 def _(t: Inputs) -> DataFrame:
     """Tiles of the sky of at least 50 objects, from 648 cells of ten degrees at most; objects meet their tile by cell."""
-    cell = t.obj.select("obj_id", F.floor(c("ra") / 10).cast("int").alias("x"), F.floor(F.least(c("dec") + 90, F.lit(179.999)) / 10).cast("int").alias("y"))
+    cell = t.pos.select("obj_id", F.floor(c("ra") / 10).cast("int").alias("x"), F.floor(F.least(c("dec") + 90, F.lit(179.999)) / 10).cast("int").alias("y"))
     counts = {(r["x"], r["y"]): r["n"] for r in cell.groupBy("x", "y").agg(F.count("*").alias("n")).collect()}
     tile = t.spark.createDataFrame([(x, y, k) for (x, y), k in tiles_of(counts, 50).items()], "x int, y int, tile int")
     return cell.join(F.broadcast(tile), ["x", "y"]).groupBy("tile").agg(F.count("*").alias("n"), F.countDistinct("x", "y").alias("cells"))

@@ -20,9 +20,10 @@ _N = "CASE WHEN isnan({0}) OR isinf({0}) THEN NULL ELSE {0}::DOUBLE END AS {0}"
 INPUTS = {
     "fr": "SELECT frame_id, night_id, frame_index, file_name, date_obs, exptime::DOUBLE AS exptime, n_sources, kept, "
     + ", ".join(_N.format(c) for c in ("bjd_tdb", "airmass", "fwhm")) + " FROM frame",
-    "obj": "SELECT obj_id, name, ((ra % 360) + 360) % 360 AS ra, dec, gaia_id, CASE WHEN isnan(mean_mag) OR mean_mag > 40 THEN NULL ELSE mean_mag::DOUBLE END AS mag, "
+    "obj": "SELECT obj_id, name, CASE WHEN NOT isnan(ra) AND NOT isinf(ra) THEN ((ra % 360) + 360) % 360 END AS ra, CASE WHEN NOT isnan(dec) AND NOT isinf(dec) THEN dec END AS dec, gaia_id, CASE WHEN isnan(mean_mag) OR mean_mag > 40 THEN NULL ELSE mean_mag::DOUBLE END AS mag, "
     "n_nights, obj_class, CASE WHEN isnan(period) THEN NULL ELSE period END AS period, known, known_name, known_type, status, loaded_at, updated_at, removed_at "
-    "FROM sky_object WHERE ra IS NOT NULL AND dec IS NOT NULL AND NOT isnan(ra) AND NOT isnan(dec)",
+    "FROM sky_object",
+    "pos": "SELECT * FROM obj WHERE ra IS NOT NULL AND dec IS NOT NULL",
     "ep": "SELECT night_id, star_id, frame_index, aper, flux, fluxerr, snr::DOUBLE AS snr, flags FROM (SELECT *, row_number() OVER "
     "(PARTITION BY night_id, star_id, frame_index, aper ORDER BY loaded_at DESC, flux DESC NULLS LAST) AS rn FROM matched_epoch) "
     "WHERE rn = 1 AND flux > 0 AND NOT isnan(flux) AND NOT isinf(flux) AND fluxerr > 0 AND NOT isnan(fluxerr) AND NOT isinf(fluxerr)",
@@ -50,13 +51,18 @@ class Inputs:
 
     @property
     def obj(self) -> DataFrame:
+        """All objects, also those without a place."""
         mag, p = F.col("mean_mag").cast("double"), F.col("period")
-        rows = self.table("sky_object").filter("ra is not null and dec is not null and not isnan(ra) and not isnan(dec)")
-        return rows.select(
-            "obj_id", "name", F.pmod("ra", F.lit(360.0)).alias("ra"), "dec", "gaia_id", F.when(~F.isnan(mag) & (mag <= 40), mag).alias("mag"),
+        return self.table("sky_object").select(
+            "obj_id", "name", F.pmod(clean(F.col("ra")), F.lit(360.0)).alias("ra"), clean(F.col("dec")).alias("dec"), "gaia_id", F.when(~F.isnan(mag) & (mag <= 40), mag).alias("mag"),
             "n_nights", "obj_class", F.when(~F.isnan(p), p).alias("period"), "known", "known_name", "known_type", "status", "loaded_at", "updated_at", "removed_at",
         )
 
+    @property
+    def pos(self) -> DataFrame:
+        """Objects that have a place."""
+        return self.obj.dropna(subset=["ra", "dec"])
+
     @property
     def ep(self) -> DataFrame:
         key = ["night_id", "star_id", "frame_index", "aper"]
@@ -83,12 +89,14 @@ class Inputs:
 
 
 def with_inputs(sql: str) -> str:
-    """SQL preceded by the named inputs that it uses."""
-    used = [f"{n} AS ({q})" for n, q in INPUTS.items() if re.search(rf"\b(?:FROM|JOIN)\s+{n}\b", sql)]
-    sql = sql.strip()
+    """SQL preceded by the named inputs that it uses, and by those that these use."""
+    text, used = sql.strip(), []
+    for n, q in reversed(INPUTS.items()):
+        if any(re.search(rf"\b(?:FROM|JOIN)\s+{n}\b", x) for x in (text, *used)):
+            used.append(f"{n} AS ({q})")
     if not used:
-        return sql
-    return f"WITH {', '.join(used)}" + (", " + sql[5:] if sql.upper().startswith("WITH ") else " " + sql)
+        return text
+    return f"WITH {', '.join(reversed(used))}" + (", " + text[5:] if text.upper().startswith("WITH ") else " " + text)
 
 
 def query(name: str, sql: str | None = None) -> Callable:

@@ -18,9 +18,11 @@ c = F.col
 _SEP = """degrees(2 * asin(least(1, sqrt((cos(radians({a}.dec)) * cos(radians({a}.ra)) - cos(radians({b}.dec)) * cos(radians({b}.ra))) ** 2
     + (cos(radians({a}.dec)) * sin(radians({a}.ra)) - cos(radians({b}.dec)) * sin(radians({b}.ra))) ** 2
     + (sin(radians({a}.dec)) - sin(radians({b}.dec))) ** 2) / 2))) * 3600"""
-_CAT = """cat AS (SELECT cat_id, try_cast(ra_text AS DOUBLE) AS ra, try_cast(dec_text AS DOUBLE) AS dec FROM catalog_source
-  WHERE try_cast(ra_text AS DOUBLE) IS NOT NULL AND try_cast(dec_text AS DOUBLE) IS NOT NULL)"""
-_PAIRS = f"""{_CAT}, pairs AS (SELECT cat_id, obj_id, {_SEP.format(a='k', b='o')} AS sep FROM cat k JOIN obj o ON o.dec BETWEEN k.dec - 0.0014 AND k.dec + 0.0014
+_PART = r"regexp_extract_all({0}, '[0-9]+(?:\.[0-9]*)?')"
+_DEGREES = "coalesce(try_cast({0} AS DOUBLE), (CASE WHEN ltrim({0}) LIKE '-%' THEN -1 ELSE 1 END) * CASE len(" + _PART + ") WHEN 1 THEN " + _PART + "[1]::DOUBLE" \
+    " WHEN 3 THEN {1} * (" + _PART + "[1]::DOUBLE + " + _PART + "[2]::DOUBLE / 60 + " + _PART + "[3]::DOUBLE / 3600) END)"
+_CAT = f"""cat AS (SELECT * FROM (SELECT cat_id, {_DEGREES.format('ra_text', 15)} AS ra, {_DEGREES.format('dec_text', 1)} AS dec FROM catalog_source) WHERE ra IS NOT NULL AND dec IS NOT NULL)"""
+_PAIRS = f"""{_CAT}, pairs AS (SELECT cat_id, obj_id, {_SEP.format(a='k', b='o')} AS sep FROM cat k JOIN pos o ON o.dec BETWEEN k.dec - 0.0014 AND k.dec + 0.0014
   WHERE {_SEP.format(a='k', b='o')} <= 5)"""
 
 
@@ -38,7 +40,7 @@ def places(t: Inputs) -> DataFrame:
 @query("j1_sky_nearest", f"""
 WITH {_PAIRS}, r AS (SELECT *, row_number() OVER (PARTITION BY cat_id ORDER BY sep, obj_id) AS r FROM pairs) SELECT cat_id, obj_id, round(sep, 4) AS sep FROM r WHERE r = 1""")
 def _(t: Inputs) -> DataFrame:
-    near = sky.nearest(sky.sky_join(places(t), t.obj, 5.0, "cat_id", "obj_id"))
+    near = sky.nearest(sky.sky_join(places(t), t.pos, 5.0, "cat_id", "obj_id"))
     return near.select(c("l_id").alias("cat_id"), c("r_id").alias("obj_id"), r6(c("sep_arcsec"), "sep", 4))
 
 
@@ -46,40 +48,39 @@ def _(t: Inputs) -> DataFrame:
 WITH {_PAIRS}, r AS (SELECT *, row_number() OVER (PARTITION BY cat_id ORDER BY sep, obj_id) AS r FROM pairs),
 w AS (SELECT *, row_number() OVER (PARTITION BY obj_id ORDER BY sep, cat_id) AS k FROM r WHERE r = 1) SELECT cat_id, obj_id FROM w WHERE k = 1""")
 def _(t: Inputs) -> DataFrame:
-    won = sky.closest_wins(sky.sky_join(places(t), t.obj, 5.0, "cat_id", "obj_id"))
+    won = sky.closest_wins(sky.sky_join(places(t), t.pos, 5.0, "cat_id", "obj_id"))
     return won.select(c("l_id").alias("cat_id"), c("r_id").alias("obj_id"))
 
 
-@query("j4_isolated", f"""SELECT obj_id FROM obj o WHERE NOT EXISTS (SELECT 1 FROM obj p WHERE p.obj_id <> o.obj_id
+@query("j4_isolated", f"""SELECT obj_id FROM pos o WHERE NOT EXISTS (SELECT 1 FROM pos p WHERE p.obj_id <> o.obj_id
   AND p.dec BETWEEN o.dec - 0.0028 AND o.dec + 0.0028 AND {_SEP.format(a='o', b='p')} <= 10)""")
 def _(t: Inputs) -> DataFrame:
-    return sky.isolated(t.obj.select("obj_id", "ra", "dec"), 10.0, "obj_id").select("obj_id")
+    return sky.isolated(t.pos.select("obj_id", "ra", "dec"), 10.0, "obj_id").select("obj_id")
 
 
 @query("j5_nearest_other", f"""
-WITH n AS (SELECT o.obj_id, p.obj_id AS other, {_SEP.format(a='o', b='p')} AS sep FROM obj o JOIN obj p ON p.obj_id <> o.obj_id
-  AND p.dec BETWEEN o.dec - 0.09 AND o.dec + 0.09 WHERE {_SEP.format(a='o', b='p')} <= 320),
+WITH n AS (SELECT o.obj_id, p.obj_id AS other, {_SEP.format(a='o', b='p')} AS sep FROM pos o JOIN pos p ON p.obj_id <> o.obj_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY obj_id ORDER BY sep, other) AS r FROM n)
 SELECT obj_id, other, round(log10(greatest(sep, 0.05)), 6) AS crowding FROM r WHERE r = 1""")
 def _(t: Inputs) -> DataFrame:
-    near = sky.k_nearest(t.obj.select("obj_id", "ra", "dec"), 1, "obj_id")
+    near = sky.k_nearest(t.pos.select("obj_id", "ra", "dec"), 1, "obj_id")
     return near.select("obj_id", "other", r6(F.log10(F.greatest("sep_arcsec", F.lit(0.05))), "crowding"))
 
 
 @query("j6_radius_all", f"""
 WITH {_PAIRS} SELECT obj_id, count(*) AS n, list(cat_id ORDER BY cat_id) AS cats FROM pairs GROUP BY 1""")
 def _(t: Inputs) -> DataFrame:
-    pairs = sky.sky_join(places(t), t.obj, 5.0, "cat_id", "obj_id")
+    pairs = sky.sky_join(places(t), t.pos, 5.0, "cat_id", "obj_id")
     return pairs.groupBy(c("r_id").alias("obj_id")).agg(F.count("*").alias("n"), F.sort_array(F.collect_list("l_id")).alias("cats"))
 
 
 @query("j8_x21_dilution", f"""
-WITH n AS (SELECT o.obj_id, p.mag AS pm, o.mag AS om, {_SEP.format(a='o', b='p')} AS sep, p.obj_id AS other FROM obj o JOIN obj p ON p.obj_id <> o.obj_id
+WITH n AS (SELECT o.obj_id, p.mag AS pm, o.mag AS om, {_SEP.format(a='o', b='p')} AS sep, p.obj_id AS other FROM pos o JOIN pos p ON p.obj_id <> o.obj_id
   AND p.dec BETWEEN o.dec - 0.006 AND o.dec + 0.006 WHERE {_SEP.format(a='o', b='p')} <= 20),
 r AS (SELECT *, row_number() OVER (PARTITION BY obj_id ORDER BY sep, other) AS r FROM n)
 SELECT obj_id, round(10 ** (-0.4 * (pm - om)) / (1 + 10 ** (-0.4 * (pm - om))), 6) AS dilution FROM r WHERE r = 1 AND pm IS NOT NULL AND om IS NOT NULL""")
 def _(t: Inputs) -> DataFrame:
-    near = sky.nearest(sky.sky_join(t.obj, t.obj, 20.0, "obj_id", "obj_id").filter("l_id <> r_id"))
+    near = sky.nearest(sky.sky_join(t.pos, t.pos, 20.0, "obj_id", "obj_id").filter("l_id <> r_id"))
     mags = t.obj.filter("mag is not null").select("obj_id", "mag")
     own, other = mags.select(c("obj_id").alias("l_id"), c("mag").alias("om")), mags.select(c("obj_id").alias("r_id"), c("mag").alias("pm"))
     ratio = X.flux_of(c("pm") - c("om"))
@@ -87,18 +88,20 @@ def _(t: Inputs) -> DataFrame:
 
 
 @query("j14_cone", f"""
-WITH k AS (SELECT 331.58 AS ra, 60.75 AS dec) SELECT obj_id FROM obj o, k WHERE {_SEP.format(a='o', b='k')} <= 0.5 * 3600""")
+WITH k AS (SELECT 331.58 AS ra, 60.75 AS dec) SELECT obj_id FROM pos o, k WHERE {_SEP.format(a='o', b='k')} <= 0.5 * 3600""")
 def _(t: Inputs) -> DataFrame:
-    return sky.cone(t.obj, 331.58, 60.75, 0.5).select("obj_id")
+    return sky.cone(t.pos, 331.58, 60.75, 0.5).select("obj_id")
 
 
 @query("x3_gnomonic", """
-WITH k AS (SELECT obj_id, radians(dec) AS d, radians(ra - 331.58) AS a, radians(60.75) AS d0 FROM obj WHERE ra BETWEEN 329 AND 334 AND dec BETWEEN 59 AND 62)
+WITH m AS (SELECT floor(ra / 15) AS tx, floor(dec / 15) AS ty, obj_id, radians(dec) AS d, radians(ra - (floor(ra / 15) * 15 + 7.5)) AS a, radians(greatest(-85, least(85, floor(dec / 15) * 15 + 7.5))) AS d0 FROM pos)
 SELECT obj_id, round(degrees(cos(d) * sin(a) / (sin(d0) * sin(d) + cos(d0) * cos(d) * cos(a))), 6) AS xi,
-  round(degrees((cos(d0) * sin(d) - sin(d0) * cos(d) * cos(a)) / (sin(d0) * sin(d) + cos(d0) * cos(d) * cos(a))), 6) AS eta FROM k""")
+  round(degrees((cos(d0) * sin(d) - sin(d0) * cos(d) * cos(a)) / (sin(d0) * sin(d) + cos(d0) * cos(d) * cos(a))), 6) AS eta FROM m""")
 def _(t: Inputs) -> DataFrame:
-    xi, eta = sky.gnomonic(c("ra"), c("dec"), 331.58, 60.75)
-    return t.obj.filter(c("ra").between(329, 334) & c("dec").between(59, 62)).select("obj_id", r6(xi, "xi"), r6(eta, "eta"))
+    """Every object in the tangent plane of its field's centre (fields of 15 degrees)."""
+    ra0, dec0 = F.floor(c("ra") / 15) * 15 + 7.5, F.greatest(F.lit(-85.0), F.least(F.lit(85.0), F.floor(c("dec") / 15) * 15 + 7.5))
+    xi, eta = sky.gnomonic(c("ra"), c("dec"), ra0, dec0)
+    return t.pos.select("obj_id", r6(xi, "xi"), r6(eta, "eta"))
 
 
 @query("a21_a22_star_nights", """
@@ -261,31 +264,41 @@ def _(t: Inputs) -> DataFrame:
 
 
 _EVENTS = """
-ev AS (SELECT det_id, night_id, tc_bjd_tdb AS tc, duration_h / 24 AS w, abs(depth) AS d FROM det WHERE night_id IS NOT NULL AND tc_bjd_tdb IS NOT NULL AND duration_h > 0 AND abs(depth) > 0)"""
+ev AS (SELECT det_id, night_id, tc_bjd_tdb AS tc, duration_h / 24 AS w, abs(depth) AS d, duration_h / 24 / snr AS e, coalesce(regexp_matches(flags, '(^|[|])(EDGE|PARTIAL)([|]|$)'), false) AS low
+  FROM det WHERE night_id IS NOT NULL AND tc_bjd_tdb IS NOT NULL AND duration_h > 0 AND abs(depth) > 0 AND snr > 0)"""
+#: Classes of ln duration that are told apart: factors of 1.5 from a minute to a month.
+_CLASSES = 12
 
 
 def events(t: Inputs) -> DataFrame:
-    usable = "night_id is not null and tc_bjd_tdb is not null and duration_h > 0 and abs(depth) > 0"
-    return t.det.filter(usable).select("det_id", "night_id", c("tc_bjd_tdb").alias("tc"), (c("duration_h") / 24).alias("w"), F.abs("depth").alias("d"))
+    """Timed events of nights: duration in days, depth, error of the time (duration over signal to noise), whether the duration is only a minimum."""
+    usable = "night_id is not null and tc_bjd_tdb is not null and duration_h > 0 and abs(depth) > 0 and snr > 0"
+    w = c("duration_h") / 24
+    return t.det.filter(usable).select(
+        "det_id", "night_id", c("tc_bjd_tdb").alias("tc"), w.alias("w"), F.abs("depth").alias("d"), (w / c("snr")).alias("e"), X.has_token(c("flags"), "EDGE", "PARTIAL").alias("low")
+    )
 
 
 def lookalikes(t: Inputs) -> DataFrame:
     """Pairs of events of one night alike in duration and depth, with their time window and its share of the night.
 
-    Events fall into classes of ln duration and ln depth no finer than the similarity, so a pair is only formed
-    in the same or a neighbouring class: the join has three equality keys, whatever a night's share of all events.
+    A minimum duration is like every longer one.  Events fall into classes of ln duration and ln depth no finer than the
+    similarity, so a pair is only formed in the same or a neighbouring class of depth and a class of duration that can be alike:
+    the join has three equality keys, whatever a night's share of all events.
     """
-    e = events(t).withColumns({"kw": F.floor(F.log("w") / F.log(F.lit(1.5))), "kd": F.floor(F.log("d") / F.log(F.lit(2.0)))})
-    around = [F.explode(F.array(*(c(k) + s for s in (-1, 0, 1)))).alias(k) for k in ("kw", "kd")]
-    a = e.select("night_id", c("det_id").alias("i"), c("tc").alias("ti"), c("w").alias("wi"), c("d").alias("di"), around[0], "kd")
-    a = a.select("night_id", "i", "ti", "wi", "di", "kw", around[1])
-    b = e.select("night_id", c("det_id").alias("j"), c("tc").alias("tj"), c("w").alias("wj"), c("d").alias("dj"), "kw", "kd")
-    near = a.join(b, ["night_id", "kw", "kd"]).filter(
-        "i <> j and abs(ln(wi / wj)) < ln(1.5D) and abs(ln(di / dj)) < ln(2D)"
-    )
+    kind = F.greatest(F.lit(-_CLASSES), F.least(F.lit(_CLASSES), F.floor(F.log(c("w") * 24) / F.log(F.lit(1.5))))).cast("int")
+    e = events(t).withColumns({"kw": kind, "kd": F.floor(F.log("d") / F.log(F.lit(2.0)))})
+    one = [c("det_id").alias("i"), c("tc").alias("ti"), c("w").alias("wi"), c("d").alias("di"), c("e").alias("ei"), c("low").alias("li")]
+    # Classes at hand take any partner, longer ones too if the own duration is a minimum, shorter ones only such minima.
+    looks = F.transform(F.sequence(F.lit(-_CLASSES), F.lit(_CLASSES)), lambda k: F.struct(k.alias("kw"), ((F.abs(k - c("kw")) <= 1) | (c("low") & (k > c("kw")))).alias("any")))
+    looks = F.filter(looks, lambda x: x["any"] | (x["kw"] <= c("kw") + 1))
+    a = e.select("night_id", *one, F.explode(looks).alias("l"), "kd").select("night_id", "i", "ti", "wi", "di", "ei", "li", "l.kw", "l.any", F.explode(F.array(*(c("kd") + s for s in (-1, 0, 1)))).alias("kd"))
+    b = e.select("night_id", c("det_id").alias("j"), c("tc").alias("tj"), c("w").alias("wj"), c("d").alias("dj"), c("e").alias("ej"), c("low").alias("lj"), "kw", "kd")
+    alike = "i <> j and abs(ln(di / dj)) < ln(2D) and (abs(ln(wi / wj)) < ln(1.5D) or (li and ln(wi / wj) <= ln(1.5D)) or (lj and ln(wj / wi) <= ln(1.5D)))"
+    near = a.join(b, ["night_id", "kw", "kd"]).filter("any or lj").filter(alike)
     span = events(t).groupBy("night_id").agg(F.min("tc").alias("e0"), F.max("tc").alias("e1")).join(cadence(t), "night_id", "left")
     span = span.select("night_id", F.least("e0", "t_first").alias("lo"), F.greatest("e1", "t_last").alias("hi"), F.coalesce("cadence", F.lit(0.0)).alias("cadence"))
-    win = F.greatest(0.1 * F.least("wi", "wj"), c("cadence"))
+    win = F.greatest(0.1 * F.least("wi", "wj"), 2 * F.hypot("ei", "ej"), c("cadence"))
     share = (F.least(c("ti") + win, c("hi")) - F.greatest(c("ti") - win, c("lo"))) / (c("hi") - c("lo"))
     share = F.when(c("hi") > c("lo"), F.least(F.lit(1.0), F.greatest(F.lit(0.0), share))).otherwise(1.0)
     return near.join(span, "night_id").select("night_id", "i", "j", (F.abs(c("ti") - c("tj")) <= win).alias("close"), share.alias("share"))
@@ -295,33 +308,43 @@ _COINC = f"""{_EVENTS},
 d0 AS (SELECT night_id, bjd_tdb AS t, bjd_tdb - lag(bjd_tdb) OVER (PARTITION BY night_id ORDER BY bjd_tdb) AS d FROM fr WHERE bjd_tdb IS NOT NULL),
 cad AS (SELECT night_id, min(t) AS t0, max(t) AS t1, median(d) AS cad FROM d0 GROUP BY 1),
 sp AS (SELECT e.night_id, least(min(tc), any_value(t0)) AS lo, greatest(max(tc), any_value(t1)) AS hi, coalesce(any_value(cad), 0) AS cad FROM ev e LEFT JOIN cad USING (night_id) GROUP BY 1),
-pr AS (SELECT a.night_id, a.det_id AS i, greatest(0.1 * least(a.w, b.w), cad) AS win, abs(a.tc - b.tc) AS dt, a.tc, lo, hi FROM ev a JOIN ev b ON a.night_id = b.night_id AND a.det_id <> b.det_id JOIN sp ON sp.night_id = a.night_id
-  WHERE abs(ln(a.w / b.w)) < ln(1.5) AND abs(ln(a.d / b.d)) < ln(2)),
+pr AS (SELECT a.night_id, a.det_id AS i, greatest(0.1 * least(a.w, b.w), 2 * sqrt(a.e ** 2 + b.e ** 2), cad) AS win, abs(a.tc - b.tc) AS dt, a.tc, lo, hi FROM ev a JOIN ev b ON a.night_id = b.night_id AND a.det_id <> b.det_id JOIN sp ON sp.night_id = a.night_id
+  WHERE (abs(ln(a.w / b.w)) < ln(1.5) OR (a.low AND ln(a.w / b.w) <= ln(1.5)) OR (b.low AND ln(b.w / a.w) <= ln(1.5))) AND abs(ln(a.d / b.d)) < ln(2)),
 ps AS (SELECT night_id, i, dt <= win AS close, CASE WHEN hi > lo THEN least(1, greatest(0, (least(tc + win, hi) - greatest(tc - win, lo)) / (hi - lo))) ELSE 1 END AS share FROM pr),
-co AS (SELECT night_id, i AS det_id, count(*) FILTER (WHERE close) AS n_similar, count(*) AS m, avg(share) AS p FROM ps GROUP BY 1, 2)"""
+co AS (SELECT ev.night_id, det_id, count(*) FILTER (WHERE close) AS n_similar, count(i) AS m, coalesce(avg(share), 0) AS p FROM ev LEFT JOIN ps ON i = det_id AND ps.night_id = ev.night_id GROUP BY 1, 2),
+ch AS (SELECT *, CASE WHEN n_similar = 0 OR p >= 1 THEN 1 ELSE greatest(0, 1 - list_sum(list_transform(range(0, n_similar), lambda k: exp(lgamma(m + 1) - lgamma(k + 1) - lgamma(m - k + 1) + k * ln(p) + (m - k) * ln(1 - p))))) END AS p_chance FROM co)"""
 
 
 def coincidences(t: Inputs) -> DataFrame:
+    """Every timed event: look-alikes of its night at its time (n_similar), at any time (m), their mean chance to be at its time (p)."""
     g = lookalikes(t).groupBy("night_id", c("i").alias("det_id"))
-    return g.agg(F.count_if("close").alias("n_similar"), F.count("*").alias("m"), F.avg("share").alias("p"))
+    g = g.agg(F.count_if("close").alias("n_similar"), F.count("*").alias("m"), F.avg("share").alias("p"))
+    zero = F.lit(0).cast("long")
+    return events(t).select("night_id", "det_id").join(g, ["night_id", "det_id"], "left").select(
+        "night_id", "det_id", F.coalesce("n_similar", zero).alias("n_similar"), F.coalesce("m", zero).alias("m"), F.coalesce("p", F.lit(0.0)).alias("p")
+    )
+
+
+def chances(t: Inputs) -> DataFrame:
+    """``coincidences`` with the chance of so many look-alikes, and whether that rejects the event: three at least, by chance in one of a thousand."""
+    p = F.when(c("n_similar") > 0, X.binomial_sf(c("n_similar"), c("m"), c("p"))).otherwise(1.0)
+    return coincidences(t).withColumn("p_chance", p).withColumn("rejected", (c("n_similar") >= 3) & (c("p_chance") < 1e-3))
 
 
-@query("j23_g13_coincidence", f"WITH {_COINC} SELECT night_id, det_id, n_similar, m, round(m * p, 5) AS n_expected FROM co")
+@query("j23_g13_coincidence", f"""
+WITH {_COINC} SELECT night_id, det_id, n_similar, m, round(m * p, 5) AS n_expected, round(p_chance, 5) AS p_chance, n_similar >= 3 AND p_chance < 1e-3 AS rejected FROM ch""")
 def _(t: Inputs) -> DataFrame:
-    return coincidences(t).select("night_id", "det_id", "n_similar", "m", r6(c("m") * c("p"), "n_expected", 5))
+    return chances(t).select("night_id", "det_id", "n_similar", "m", r6(c("m") * c("p"), "n_expected", 5), r6(c("p_chance"), "p_chance", 5), "rejected")
 
 
-@query("x25_coincidence_chance", f"""
-WITH {_COINC} SELECT det_id, round(CASE WHEN n_similar = 0 OR p >= 1 THEN 1 WHEN n_similar = 1 THEN 1 - (1 - p) ** m ELSE 1 - (1 - p) ** m - m * p * (1 - p) ** (m - 1) END, 5) AS p_chance
-FROM co WHERE n_similar <= 2""")
+@query("x25_coincidence_chance", f"WITH {_COINC} SELECT det_id, round(p_chance, 5) AS p_chance FROM ch")
 def _(t: Inputs) -> DataFrame:
-    p = X.binomial_sf(c("n_similar"), c("m"), c("p"))
-    return coincidences(t).select("det_id", r6(p, "p_chance", 5))
+    return chances(t).select("det_id", r6(c("p_chance"), "p_chance", 5))
 
 
 _MATCH = """
 ok AS (SELECT shape_id, obj_id, tc, depth, t14_h, t14_lower_limit FROM shape WHERE converged AND tc IS NOT NULL AND depth > 0 AND t14_h > 0),
-zs AS (SELECT a.shape_id AS a, b.shape_id AS b, abs(a.tc - b.tc) AS dt, (a.depth - b.depth) / (0.05 * 0.5 * (a.depth + b.depth)) AS zd,
+zs AS (SELECT a.obj_id, a.shape_id AS a, b.shape_id AS b, abs(a.tc - b.tc) AS dt, (a.depth - b.depth) / (0.05 * 0.5 * (a.depth + b.depth)) AS zd,
   CASE WHEN a.t14_lower_limit AND b.t14_lower_limit THEN NULL WHEN a.t14_lower_limit THEN greatest(a.t14_h - b.t14_h, 0) WHEN b.t14_lower_limit THEN greatest(b.t14_h - a.t14_h, 0) ELSE a.t14_h - b.t14_h END
     / (0.1 * 0.5 * (a.t14_h + b.t14_h)) AS zt FROM ok a JOIN ok b ON a.obj_id = b.obj_id AND a.shape_id < b.shape_id),
 pr AS (SELECT * FROM zs WHERE abs(zd) <= 3 AND coalesce(abs(zt) <= 3, true))"""
@@ -398,9 +421,9 @@ def _(t: Inputs) -> DataFrame:
 
 
 @query("j33_tiles", """
-WITH x AS (SELECT floor(ra / 10)::INT AS tx, floor((dec + 90) / 10)::INT AS ty FROM obj) SELECT tx, ty, count(*) AS n FROM x GROUP BY 1, 2""")
+WITH x AS (SELECT floor(ra / 10)::INT AS tx, floor((dec + 90) / 10)::INT AS ty FROM pos) SELECT tx, ty, count(*) AS n FROM x GROUP BY 1, 2""")
 def _(t: Inputs) -> DataFrame:
-    return t.obj.groupBy(F.floor(c("ra") / 10).cast("int").alias("tx"), F.floor((c("dec") + 90) / 10).cast("int").alias("ty")).agg(F.count("*").alias("n"))
+    return t.pos.groupBy(F.floor(c("ra") / 10).cast("int").alias("tx"), F.floor((c("dec") + 90) / 10).cast("int").alias("ty")).agg(F.count("*").alias("n"))
 
 
 @query("o1_o3_sorted_page", "SELECT obj_id, round(mag, 4) AS mag FROM obj ORDER BY mag DESC NULLS LAST, obj_id LIMIT 50 OFFSET 25")
@@ -445,11 +468,11 @@ def _(t: Inputs) -> DataFrame:
 
 
 @query("x4_object_names", """
-WITH u AS (SELECT obj_id, floor((ra / 15) * 36000 + 0.5)::BIGINT AS r, floor(abs(dec) * 3600 + 0.5)::BIGINT AS d, dec FROM obj)
+WITH u AS (SELECT obj_id, floor((ra / 15) * 36000 + 0.5)::BIGINT AS r, floor(abs(dec) * 3600 + 0.5)::BIGINT AS d, dec FROM pos)
 SELECT obj_id, 'RP J' || lpad((r // 36000 % 24)::VARCHAR, 2, '0') || lpad((r // 600 % 60)::VARCHAR, 2, '0') || lpad((r % 600 // 10)::VARCHAR, 2, '0') || '.' || (r % 10)::VARCHAR
   || CASE WHEN dec < 0 THEN '-' ELSE '+' END || lpad((d // 3600)::VARCHAR, 2, '0') || lpad((d // 60 % 60)::VARCHAR, 2, '0') || lpad((d % 60)::VARCHAR, 2, '0') AS made FROM u""")
 def _(t: Inputs) -> DataFrame:
-    return t.obj.select("obj_id", X.object_name(c("ra"), c("dec")).alias("made"))
+    return t.pos.select("obj_id", X.object_name(c("ra"), c("dec")).alias("made"))
 
 
 @query("x5_sexagesimal", r"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -10,119 +10,252 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lightloom.functions import kernels as G
+from lightloom.functions import scalar as X
 from lightloom.operators import robust as R
 from lightloom.plans.registry import ORACLE, QUERIES, Inputs, query  # noqa: F401
-from lightloom.plans.statistics import normalised
+from lightloom.plans.statistics import normalised, r6
 
 c = F.col
+#: Epochs of a star within so many days are averaged: a twentieth of the shortest period that is looked for.
+BIN = 0.001
+#: Nights and epochs that a star must have for a period.
+NIGHTS, EPOCHS = 2, 20
 
 
 def per_series(df: DataFrame, key: list[str], run: Callable[[pd.DataFrame], dict | None], schema: str, order: str = "t") -> DataFrame:
-    """One row per group for which ``run`` (of the rows in order) gives a result.  Groups are single series of a night, or
-    one row per night of a star, so their size does not grow with the store."""
-    names = [x.split()[0] for x in schema.split(",")]
+    """One row per group for which ``run`` (of the rows in order) gives a result.  Groups are single series of a night, or a
+    star's epochs averaged within ``BIN``, so their size is bounded by time and not by the number of rows."""
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def grouped(rows: pd.DataFrame) -> pd.DataFrame:
         got = run(rows.sort_values(order, kind="stable"))
         if got is None:
-            return pd.DataFrame({n: [] for n in [*key, *names]})
+            return pd.DataFrame({n: pd.Series([], dtype=object) for n in [*key, *names]})
         return pd.DataFrame([{k: rows[k].iloc[0] for k in key} | {n: got[n] for n in names}])
 
     types = dict(df.dtypes)
     return df.groupBy(*key).applyInPandas(grouped, ", ".join(f"{k} {types[k]}" for k in key) + ", " + schema)
 
 
+def good_frames(t: Inputs) -> DataFrame:
+    return t.fr.filter("bjd_tdb is not null and kept").select("night_id", "frame_index", c("bjd_tdb").alias("t"))
+
+
 def night_series(t: Inputs) -> DataFrame:
-    """(night_id, star_id, t, y, e): normalised flux against time, of the first aperture and good frames."""
-    frames = t.fr.filter("bjd_tdb is not null and kept").select("night_id", "frame_index", c("bjd_tdb").alias("t"))
-    x = normalised(t).filter("aper = 0").select("night_id", "star_id", "frame_index", c("x").alias("y"), c("s").alias("e"))
-    return x.join(frames, ["night_id", "frame_index"]).select("night_id", "star_id", "t", "y", "e")
+    """(night_id, star_id, aper, t, y, e): normalised flux against time, of good frames."""
+    x = normalised(t).select("night_id", "star_id", "aper", "frame_index", c("x").alias("y"), c("s").alias("e"))
+    return x.join(good_frames(t), ["night_id", "frame_index"]).select("night_id", "star_id", "aper", "t", "y", "e")
+
 
+def combined(t: Inputs) -> DataFrame:
+    """(star_id, night_id, frame_index, t, y, e): all epochs of stars seen on several nights, relative to their median of the night."""
+    one = t.ep.filter("aper = 0")
+    level = one.groupBy("night_id", "star_id").agg(R.median("flux").alias("m"))
+    several = level.groupBy("star_id").agg(F.count("*").alias("n")).filter(f"n >= {NIGHTS}").select("star_id")
+    frames = t.fr.filter("bjd_tdb is not null").select("night_id", "frame_index", c("bjd_tdb").alias("t"))
+    x = one.join(level.join(several, "star_id", "left_semi"), ["night_id", "star_id"]).join(frames, ["night_id", "frame_index"])
+    return x.select("star_id", "night_id", "frame_index", "t", (c("flux") / c("m")).alias("y"), (c("fluxerr") / c("m")).alias("e"))
 
-def nightly(t: Inputs) -> DataFrame:
-    """(star_id, t, y, e): a star's nightly medians, normalised; one row per night."""
-    frames = t.fr.filter("bjd_tdb is not null").groupBy("night_id").agg(R.median("bjd_tdb").alias("t"))
-    s = t.ep.filter("aper = 0").groupBy("star_id", "night_id").agg(R.median("flux").alias("f"), (R.median("fluxerr") / F.sqrt(F.count("*"))).alias("e"))
-    level = s.groupBy("star_id").agg(R.median("f").alias("m"))
-    return s.join(level, "star_id").join(frames, "night_id").select("star_id", "t", (c("f") / c("m")).alias("y"), (c("e") / c("m")).alias("e"))
+
+def long_series(t: Inputs) -> DataFrame:
+    """``combined`` with the epochs of each star and night averaged within ``BIN``, of stars that have epochs enough."""
+    w = 1 / c("e") ** 2
+    mean = lambda x: F.sum(w * c(x)) / F.sum(w)
+    out = combined(t).groupBy("star_id", "night_id", F.floor(c("t") / BIN).alias("b")).agg(mean("t").alias("t"), mean("y").alias("y"), (1 / F.sqrt(F.sum(w))).alias("e"))
+    enough = out.groupBy("star_id").agg(F.count("*").alias("n")).filter(f"n >= {EPOCHS}").select("star_id")
+    return out.join(enough, "star_id", "left_semi").drop("b")
 
 
 def _arrays(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(rows[k].to_numpy(float) for k in "tye")  # type: ignore[return-value]
 
 
-_BOX = "snr double, depth double, tc double, duration_h double, n_in int, coverage double, beta double, flags string"
+_BOX = "aper int, snr double, depth double, tc double, duration_h double, n_in int, coverage double, beta double, gain double, depths array<double>, errors array<double>, flags string"
+
 
+def dips(t: Inputs) -> DataFrame:
+    """The best dip of every star and night, in the aperture of least scatter, with its depth in the other apertures at the same time.
 
-@query("g1_g2_g4_box_search")
+    Apertures that disagree by more than three deviations are flagged.
+    """
+
+    def run(rows: pd.DataFrame) -> dict | None:
+        parts = {int(a): _arrays(g) for a, g in rows.groupby("aper", sort=True)}
+        spread = {a: np.median(np.abs(y - np.median(y))) for a, (_, y, _) in parts.items()}
+        best = min(parts, key=lambda a: (spread[a], a))
+        got = G.box_search(*parts[best])
+        if got is None:
+            return None
+        depth, error = zip(*((got["depth"], got["error"]) if a == best else G.box_depth(*parts[a], got["tc"], got["duration_h"]) for a in sorted(parts)))
+        told = [(d, s) for d, s in zip(depth, error) if np.isfinite(d) and np.isfinite(s) and s > 0]
+        chi2 = sum(((d - got["depth"]) / s) ** 2 for d, s in told)
+        flags = [got["flags"], "APERTURE_INCONSISTENT" if len(told) >= 2 and chi2 / (len(told) - 1) > 9 else ""]
+        return got | {"aper": best, "depths": list(depth), "errors": list(error), "flags": "|".join(x for x in flags if x)}
+
+    return per_series(night_series(t), ["night_id", "star_id"], run, _BOX)
+
+
+@query("g1_g2_g3_g4_box_search")
 def box_search(t: Inputs) -> DataFrame:
-    return per_series(night_series(t), ["night_id", "star_id"], lambda rows: G.box_search(*_arrays(rows)), _BOX)
+    """Dips with what they share with other stars of their night, their class, and whether they are candidates."""
+    found = dips(t)
+    strong = found.filter("snr >= 5").select("night_id", "star_id", c("tc").alias("t"), (c("duration_h") / 48).alias("h"))
+    pool = strong.groupBy("night_id").agg(F.count("*").alias("pool"))
+    near = R.counts_within(strong, "night_id", "star_id", "t", "h").withColumnRenamed("n", "n_near")
+    out = found.join(near, ["night_id", "star_id"], "left").join(pool, "night_id", "left").withColumn("n_near", F.coalesce("n_near", F.lit(0).cast("long")))
+    shared = (c("pool") >= 2) & (c("n_near") >= 2) & (c("n_near") / (c("pool") - 1) >= 0.3)
+    out = out.withColumn("flags", F.when(F.coalesce(shared, F.lit(False)), F.concat_ws("|", F.when(c("flags") != "", c("flags")), F.lit("SHARED_EPOCH"))).otherwise(c("flags")))
+    bits = X.flag_bits(c("flags"))
+    candidate = (c("snr") >= 6) & ~X.has_token(c("flags"), "STEP_LIKE", "TOO_DEEP", "FEW_POINTS")
+    return out.drop("pool").withColumns({"tier": X.tier(bits), "candidate": candidate})
 
 
 @query("g5_common_trends")
 def _(t: Inputs) -> DataFrame:
-    """Common trends of each night from its star-by-frame matrix, up to 400 stars a block so that no group is unbounded."""
-    block = F.pmod(F.xxhash64("star_id"), F.lit(1_000_000_007))
-    counts = t.ep.filter("aper = 0").groupBy("night_id").agg(F.ceil(F.approx_count_distinct("star_id") / 400).alias("blocks"))
-    x = normalised(t).filter("aper = 0").join(counts, "night_id").withColumn("block", F.pmod(block, c("blocks")).cast("int"))
+    """Common trends of each night: the eigenvectors of the sum, over all its stars, of each star's products of frames.
+
+    Sums of stars add up, so a night may have any number of them; what meets is a matrix of frames.
+    """
+    x = normalised(t).filter("aper = 0").groupBy("night_id", "star_id").agg(F.collect_list(F.struct("frame_index", "x")).alias("r"))
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for night, stars in batch.groupby("night_id"):
+                series = [{p["frame_index"]: p["x"] for p in r} for r in stars["r"]]
+                frames = sorted(set().union(*series))
+                place = {f: k for k, f in enumerate(frames)}
+                z = np.zeros((len(series), len(frames)))
+                for row, s in zip(z, series):
+                    row[[place[f] for f in s]] = G.standard(np.array(list(s.values()), float))
+                yield pd.DataFrame({"night_id": [night], "n": [len(series)], "frames": [frames], "gram": [(z.T @ z).ravel()]})
+
+    def merged(rows: pd.DataFrame) -> pd.DataFrame:
+        frames = sorted({f for fs in rows["frames"] for f in fs})
+        place, gram = {f: k for k, f in enumerate(frames)}, np.zeros((len(frames), len(frames)))
+        for fs, g in zip(rows["frames"], rows["gram"]):
+            at = [place[f] for f in fs]
+            gram[np.ix_(at, at)] += np.asarray(g).reshape(len(at), len(at))
+        if min(len(frames), int(rows["n"].sum())) < 4:
+            return pd.DataFrame({n: pd.Series([], dtype=object) for n in ("night_id", "k", "share", "frames", "trend")})
+        v, share = G.principal(gram)
+        return pd.DataFrame([{"night_id": rows["night_id"].iloc[0], "k": k, "share": float(share[k]), "frames": frames, "trend": v[k].tolist()} for k in range(len(v))])
+
+    sums = x.mapInPandas(partial, "night_id int, n long, frames array<int>, gram array<double>")
+    return sums.groupBy("night_id").applyInPandas(merged, "night_id int, k int, share double, frames array<int>, trend array<double>")
 
-    def grouped(rows: pd.DataFrame) -> pd.DataFrame:
-        cube = rows.pivot_table(index="star_id", columns="frame_index", values="x")
-        if min(cube.shape) < 4:
-            return pd.DataFrame({n: [] for n in ("night_id", "block", "k", "share", "frames", "trend")})
-        v, share = G.common_trends(cube.to_numpy(float))
-        frames = [int(f) for f in cube.columns]
-        return pd.DataFrame([{"night_id": rows["night_id"].iloc[0], "block": rows["block"].iloc[0], "k": k, "share": float(share[k]), "frames": frames, "trend": v[k].tolist()} for k in range(len(v))])
 
-    schema = "night_id int, block int, k int, share double, frames array<int>, trend array<double>"
-    return x.select("night_id", "block", "star_id", "frame_index", "x").groupBy("night_id", "block").applyInPandas(grouped, schema)
+_VARIABLE = "n long, rms_robust double, rms_std double, chi2 double, eta double, eta_significance double, slope double, slope_significance double, eclipse_share double, ls_period double, ls_power double, ls_fap double, class string"
 
 
 @query("g6_g7_night_periods")
 def _(t: Inputs) -> DataFrame:
+    """How every star varies within a night: scatter, smoothness, slope, eclipses, period; and the class that these make."""
+
     def run(rows: pd.DataFrame) -> dict | None:
-        a = _arrays(rows)
-        if len(rows) < 20:
+        x, y, e = _arrays(rows)
+        n = len(rows)
+        if n < 20:
             return None
-        return G.best_period(*a, shortest=10 / 1440, longest=2 * max(np.ptp(a[0]), 0.02))
-
-    return per_series(night_series(t), ["night_id", "star_id"], run, "period double, power double, fap double, second double")
+        r, d = y - np.median(y), np.diff(y)
+        robust, std = 1.4826 * float(np.median(np.abs(r))), float(y.std())
+        eta = float((d * d).sum() / max(n * std * std, 1e-300))
+        fit = G.weighted_fit(np.column_stack([np.ones(n), x - np.median(x)]), y, 1 / e**2)
+        slope, significance = (float(fit[0][1]), float(fit[0][1] / np.sqrt(max(fit[1][1, 1], 1e-300)))) if fit else (np.nan, 0.0)
+        low = r < -3 * robust
+        got = G.best_period(x, y, e, shortest=10 / 1440, longest=2 * max(np.ptp(x), 0.02)) or {"period": np.nan, "power": np.nan, "fap": 1.0}
+        smooth = (2 - eta) / np.sqrt(4 / (n + 1))
+        excess = robust / max(float(np.median(e)), 1e-300)
+        periodic, eclipses = got["fap"] <= 1e-3, low.mean() >= 0.01 and (r > 3 * robust).sum() < low.sum()
+        kind = "eclipsing" if eclipses and smooth > 3 else "periodic" if periodic and smooth > 3 else "trend" if abs(significance) > 3 and smooth > 3 else "irregular" if excess > 3 or smooth > 3 else "quiet"
+        return {"n": n, "rms_robust": robust, "rms_std": std, "chi2": float((r * r / e**2).sum()), "eta": eta, "eta_significance": float(smooth), "slope": slope, "slope_significance": significance,
+                "eclipse_share": float(low.mean()), "ls_period": got["period"], "ls_power": got["power"], "ls_fap": got["fap"], "class": kind}
+
+    return per_series(night_series(t).filter("aper = 0"), ["night_id", "star_id"], run, _VARIABLE)
 
 
 @query("g7_g9_combined_periods")
 def _(t: Inputs) -> DataFrame:
     def run(rows: pd.DataFrame) -> dict | None:
         a = _arrays(rows)
-        got = G.best_period(*a, shortest=0.5, longest=100, most=50_000)
-        fine = got and G.refine_period(*a, got["period"])
+        got = G.best_period(*a)
+        fine = got and G.refine_period(*a, got["period"], night=rows["night_id"].to_numpy())
         return got and got | {"refined": fine["period"] if fine else float("nan"), "error": fine["period_err"] if fine else float("nan")}
 
-    return per_series(nightly(t), ["star_id"], run, "period double, power double, fap double, refined double, error double")
+    return per_series(long_series(t), ["star_id"], run, "period double, power double, fap double, second double, coarsened boolean, refined double, error double")
 
 
 @query("g8_box_periods")
 def _(t: Inputs) -> DataFrame:
+    """The best periodic dip of every star over its nights: 0.2 to 30 days, ten periods a resolution element, half an hour to five hours."""
+
     def run(rows: pd.DataFrame) -> dict | None:
         a = _arrays(rows)
-        span = np.ptp(a[0]) if len(rows) else 0
-        if span < 1:
+        span = np.ptp(a[0])
+        f, coarsened = G.frequencies(a[0], 0.2, min(30.0, span / 1.5))
+        got = G.box_period(*a, 1 / f, np.linspace(0.5, 4.75, 10) / 24) if len(f) else None
+        if got is None:
             return None
-        periods = 1 / np.linspace(1 / min(30.0, span / 1.5), 1 / 0.8, 2000)
-        return G.box_period(*a, periods, np.array([1.0, 2.0, 3.0]) / 24)
+        inside = np.abs(np.mod(a[0] - got["t0"] + got["period"] / 2, got["period"]) - got["period"] / 2) <= got["duration_h"] / 48
+        return got | {"coarsened": coarsened, "nights_in": len(set(rows["night_id"].to_numpy()[inside].tolist()))}
+
+    return per_series(long_series(t), ["star_id"], run, "snr double, period double, depth double, duration_h double, t0 double, coarsened boolean, nights_in int")
+
+
+_ESTIMATE = ("n_nights int, status string, period double, period_err double, power double, fap double, harmonic double, delta double, delta_err double, coverage double, n_cycles double, coarsened boolean, "
+             "alias_periods array<double>, alias_powers array<double>")
 
-    return per_series(nightly(t), ["star_id"], run, "snr double, period double, depth double, duration_h double, t0 double")
 
+@query("g14_g15_o6_period_estimates")
+def _(t: Inputs) -> DataFrame:
+    """The period of every star over its nights, refined, compared with its catalogued one, and what it may stand for instead."""
+    known = t.obj.filter("period > 0").select(c("obj_id").alias("star_id"), c("period").alias("known"))
+
+    def run(rows: pd.DataFrame) -> dict | None:
+        p = rows["known"].iloc[0]
+        p = float(p) if p == p and p is not None else None
+        return G.period_estimate(*_arrays(rows), rows["night_id"].to_numpy(), p, 1e-4 * p if p else 0.0)
+
+    return per_series(long_series(t).join(known, "star_id", "left"), ["star_id"], run, _ESTIMATE)
 
-@query("g10_trapezoids")
+
+@query("g10_g11_trapezoids")
 def _(t: Inputs) -> DataFrame:
-    """Trapezoids at the best dip of each series of a night that stands out by six sigma."""
+    """Trapezoids at the best dip of each series of a night that stands out by six sigma, and whether it is seen only in part."""
 
     def run(rows: pd.DataFrame) -> dict | None:
         a = _arrays(rows)
         dip = G.box_search(*a)
         if dip is None or dip["snr"] < 6:
             return None
-        return G.trapezoid_fit(*a, dip["tc"], dip["duration_h"] / 24, dip["depth"])
+        fit = G.trapezoid_fit(*a, dip["tc"], dip["duration_h"] / 24, dip["depth"])
+        return fit and fit | G.incompleteness(a[0], fit["tc"], fit["t14_h"] / 24, dip["flags"])
+
+    schema = ("tc double, tc_err double, t14_h double, t14_err double, depth double, depth_err double, ingress_frac double, chi2_red double, n_points int, converged boolean, t14_lower_limit boolean, reason string, "
+              "span_h double, ends_seen boolean")
+    return per_series(night_series(t).filter("aper = 0"), ["night_id", "star_id"], run, schema)
 
-    schema = "tc double, tc_err double, t14_h double, t14_err double, depth double, depth_err double, ingress_frac double, chi2_red double, n_points int"
-    return per_series(night_series(t), ["night_id", "star_id"], run, schema)
+
+@query("g11_n12_seen_span", """
+WITH d0 AS (SELECT night_id, bjd_tdb AS t, bjd_tdb - lag(bjd_tdb) OVER (PARTITION BY night_id ORDER BY bjd_tdb) AS d FROM fr WHERE bjd_tdb IS NOT NULL),
+n AS (SELECT night_id, min(t) AS a, max(t) AS b, median(d) AS u FROM d0 GROUP BY 1), g AS (SELECT night_id, t - d AS g0, t AS g1 FROM d0 JOIN n USING (night_id) WHERE d > 2 * u),
+e AS (SELECT det_id, d.night_id, tc_bjd_tdb - duration_h / 48 AS i, tc_bjd_tdb + duration_h / 48 AS o, a, b FROM det d JOIN n ON n.night_id = d.night_id WHERE kind = 'transit' AND tc_bjd_tdb IS NOT NULL AND duration_h > 0)
+SELECT e.det_id, i < a AS early, o > b AS late, coalesce(bool_or(i > g0 AND i < g1), false) AND i >= a AS gap_in, coalesce(bool_or(o > g0 AND o < g1), false) AND o <= b AS gap_out,
+  round(greatest(0, least(o, b, coalesce(min(CASE WHEN o > g0 AND o < g1 AND o <= b THEN g0 END), o)) - greatest(i, a, coalesce(max(CASE WHEN i > g0 AND i < g1 AND i >= a THEN g1 END), i))) * 24, 5) AS span_h
+FROM e LEFT JOIN g ON g.night_id = e.night_id AND ((i > g0 AND i < g1) OR (o > g0 AND o < g1)) GROUP BY e.det_id, i, o, a, b""")
+def _(t: Inputs) -> DataFrame:
+    """How much of every transit its night shows: ends before the first or after the last frame, or in a gap of twice the median spacing."""
+    from pyspark.sql import Window
+
+    from lightloom.plans.statistics import cadence
+
+    nights = cadence(t)
+    at = Window.partitionBy("night_id").orderBy("bjd_tdb")
+    steps = t.fr.filter("bjd_tdb is not null").withColumn("g0", F.lag("bjd_tdb").over(at)).join(nights.select("night_id", "cadence"), "night_id")
+    gaps = steps.filter("bjd_tdb - g0 > 2 * cadence").groupBy("night_id").agg(F.collect_list(F.struct("g0", c("bjd_tdb").alias("g1"))).alias("gaps"))  # of one night's frames
+    e = t.det.filter("kind = 'transit' and tc_bjd_tdb is not null and duration_h > 0").join(nights, "night_id").join(gaps, "night_id", "left")
+    e = e.withColumns({"i": c("tc_bjd_tdb") - c("duration_h") / 48, "o": c("tc_bjd_tdb") + c("duration_h") / 48})
+    early, late = c("i") < c("t_first"), c("o") > c("t_last")
+    holding = lambda x: F.get(F.filter(c("gaps"), lambda g: (g["g0"] < x) & (x < g["g1"])), F.lit(0))
+    e = e.withColumns({"gi": F.when(~early, holding(c("i"))), "go": F.when(~late, holding(c("o")))})
+    begin, end = F.greatest("i", "t_first", "gi.g1"), F.least("o", "t_last", "go.g0")
+    return e.select("det_id", early.alias("early"), late.alias("late"), c("gi").isNotNull().alias("gap_in"), c("go").isNotNull().alias("gap_out"), r6(F.greatest(F.lit(0.0), end - begin) * 24, "span_h", 5))

@@ -21,9 +21,9 @@ def r6(x: Column, name: str, digits: int = 6) -> Column:
     return F.round(x.cast("double"), digits).alias(name)
 
 
-@query("f1_finite_position", "SELECT obj_id, round(ra, 9) AS ra, round(dec, 9) AS dec FROM obj")
+@query("f1_finite_position", "SELECT obj_id, round(ra, 9) AS ra, round(dec, 9) AS dec FROM pos")
 def _(t: Inputs) -> DataFrame:
-    return t.obj.select("obj_id", r6(c("ra"), "ra", 9), r6(c("dec"), "dec", 9))
+    return t.pos.select("obj_id", r6(c("ra"), "ra", 9), r6(c("dec"), "dec", 9))
 
 
 @query("f2_presence_cut", """
@@ -55,11 +55,11 @@ def _pool(t: Inputs, snr: float, clean_flags: bool) -> DataFrame:
         F.bool_and(c("flags") == 0).alias("unflagged"), F.median("snr").alias("snr"), F.count("*").alias("n")
     )
     star = star.filter((c("snr") >= snr) & (c("unflagged") if clean_flags else F.lit(True)))
-    alone = sky.isolated(t.obj.select("obj_id", "ra", "dec"), 5.0, "obj_id").select(c("obj_id").alias("star_id"))
+    alone = sky.isolated(t.pos.select("obj_id", "ra", "dec"), 5.0, "obj_id").select(c("obj_id").alias("star_id"))
     return star.join(alone, "star_id", "left_semi") if clean_flags else star
 
 
-_ALONE = """alone AS (SELECT obj_id FROM obj o WHERE NOT EXISTS (SELECT 1 FROM obj p WHERE p.obj_id <> o.obj_id
+_ALONE = """alone AS (SELECT obj_id FROM pos o WHERE NOT EXISTS (SELECT 1 FROM pos p WHERE p.obj_id <> o.obj_id
   AND p.dec BETWEEN o.dec - 0.0014 AND o.dec + 0.0014
   AND degrees(2 * asin(least(1, sqrt((cos(radians(o.dec)) * cos(radians(o.ra)) - cos(radians(p.dec)) * cos(radians(p.ra))) ** 2
     + (cos(radians(o.dec)) * sin(radians(o.ra)) - cos(radians(p.dec)) * sin(radians(p.ra))) ** 2

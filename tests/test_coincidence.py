@@ -22,15 +22,16 @@ def test_chance_of_any_count():
 
 
 def test_events_with_many_lookalikes_stay(spark, data):
-    """Every event that has look-alikes has a chance; those with at most two keep the SQL's."""
+    """Every timed event has a chance, however many look-alikes it has, and it is the SQL's and the exact one."""
     got = {r["det_id"]: r["p_chance"] for r in entry.queries()["x25_coincidence_chance"](spark, data).collect()}
     seen = {r["det_id"]: r for r in entry.queries()["j23_g13_coincidence"](spark, data).collect()}
     assert got.keys() == seen.keys() and max(r["n_similar"] for r in seen.values()) >= 3
     c = duckdb.connect()
     for name in ("detection", "frame"):
         c.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{data}/{name}.parquet')")
-    few = dict(c.execute(entry.oracle_sql()["x25_coincidence_chance"]).fetchall())
-    assert few.keys() == {k for k, r in seen.items() if r["n_similar"] <= 2} and all(abs(got[k] - v) < 1.1e-5 for k, v in few.items())
-    for k in seen.keys() - few.keys():
-        n, m = seen[k]["n_similar"], seen[k]["m"]
-        assert abs(got[k] - exact(n, m, seen[k]["n_expected"] / m)) < 1e-3
+    told = dict(c.execute(entry.oracle_sql()["x25_coincidence_chance"]).fetchall())
+    assert told.keys() == seen.keys() and all(abs(got[k] - v) < 1.1e-5 for k, v in told.items())
+    for k, r in seen.items():
+        n, m = r["n_similar"], r["m"]
+        assert abs(got[k] - (exact(n, m, r["n_expected"] / m) if m else 1)) < 1e-3
+        assert r["rejected"] == (n >= 3 and got[k] < 1e-3) or abs(got[k] - 1e-3) < 1e-5
