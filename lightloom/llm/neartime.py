@@ -4,10 +4,12 @@ Method: tick expansion.  Right records are exploded to every tick of ``tolerance
 tolerance; each (entity, tick) keeps the nearest right record before the tick, the nearest after it and the
 first and last inside it; left records then equi-join on their own tick and choose the nearest of
 these four.  That is exact while a tick holds at most two right times.  The few denser ticks take an exact
-way: within such a tick, left and right records are sorted together and the neighbours read off.
+way: such a tick is cut into ``PARTS`` stretches, within each the distinct left and right times are sorted together and the
+neighbours read off, and what a stretch lacks on one side comes from the next stretch that has any.
 
 Scale: the expansion is a constant number of rows per right record, an (entity, tick) is one row of constant
-size whatever the entity's share of all rows, the join never multiplies left rows, and no group is collected.
+size whatever the entity's share of all rows, the join never multiplies left rows, and no group is collected.  Of a
+crowded tick only distinct times are sorted, each stretch by itself.
 """
 
 from __future__ import annotations
@@ -18,6 +20,10 @@ from pyspark.sql import functions as F
 from lightloom.session import cut
 
 
+#: Stretches of a crowded tick.
+PARTS = 256
+
+
 def _usable(df: DataFrame, entity: list[str], row_id: str, time: str, names: list[str]) -> DataFrame:
     kept = [F.col(e).alias(n) for e, n in zip(entity, names)]
     t = F.col(time).cast("double")
@@ -38,7 +44,7 @@ def nearest_in_time(
     columns are used, so others may clash.
     """
     e = [f"e{k}" for k in range(len(entity))]
-    width = tolerance / ticks
+    width = max(tolerance / ticks, 1e-9)  # a tolerance of 0 pairs equal times
     tick_of: Column = F.floor(F.col("t") / width)
     lefts = _usable(left, entity, left_id, left_time, e).distinct().withColumn("tick", tick_of)
     rights = (
@@ -61,23 +67,29 @@ def nearest_in_time(
     sparse = joined.filter("inside <= 2").select(F.col("id").alias("left_id"), F.array_min(F.array_compact(F.array(*near))).alias("near"))
 
     # The exact way for ticks with more right times than the four kept.
-    crowded = joined.filter("inside > 2").select(*e, "tick", "t0", "i0", "t1", "i1").distinct()
-    keys = crowded.select(*e, "tick")
-    outside = [crowded.select(*e, "tick", F.col(f"t{k}").alias("t"), F.col(f"i{k}").alias("right")).dropna(subset=["t"]) for k in (0, 1)]
-    within = rights.withColumn("tick", tick_of).join(keys, [*e, "tick"], "left_semi").select(*e, "tick", "t", F.col("id").alias("right"))
-    asked = joined.filter("inside > 2").select(*e, "tick", "t", F.col("id").alias("left"))
+    crowded = joined.filter("inside > 2")
+    keys = crowded.select(*e, "tick", "t0", "i0", "t1", "i1").distinct()
+    outside = [keys.select(*e, "tick", F.col(f"t{k}").alias("t"), F.col(f"i{k}").alias("right")).dropna(subset=["t"]) for k in (0, 1)]
+    within = rights.withColumn("tick", tick_of).join(keys.select(*e, "tick"), [*e, "tick"], "left_semi").select(*e, "tick", "t", F.col("id").alias("right"))
+    asked = crowded.select(*e, "tick", "t").distinct()
     line = within.unionByName(outside[0]).unionByName(outside[1]).unionByName(asked, allowMissingColumns=True)
-    seen = F.when(F.col("right").isNotNull(), F.struct("t", "right"))
+    place, seen = [*e, "tick", "part"], F.when(F.col("right").isNotNull(), F.struct("t", "right"))
+    line = line.withColumns({"part": F.floor(F.col("t") / (width / PARTS)), "seen": seen})
     rows = (Window.unboundedPreceding, Window.currentRow)
-    w = Window.partitionBy(*e, "tick")
-    dense = (
-        line.withColumn("seen", seen)
-        .withColumn("a", F.last("seen", ignorenulls=True).over(w.orderBy("t", F.col("right").isNull()).rowsBetween(*rows)))
+    w = Window.partitionBy(*place)
+    near = (
+        line.withColumn("a", F.last("seen", ignorenulls=True).over(w.orderBy("t", F.col("right").isNull()).rowsBetween(*rows)))
         .withColumn("b", F.last("seen", ignorenulls=True).over(w.orderBy(F.desc("t"), F.col("right").isNull()).rowsBetween(*rows)))
-        .filter("left is not null")
+        .filter("right is null")
     )
-    sides = [F.when(F.col(x).isNotNull(), F.struct(F.abs(t - F.col(x)["t"]).alias("gap"), F.col(x)["right"].alias("id"))) for x in "ab"]
-    crowd = dense.select(F.col("left").alias("left_id"), F.array_min(F.array_compact(F.array(*sides))).alias("near"))
+    ends = line.groupBy(*place).agg(F.max("seen").alias("hi"), F.min("seen").alias("lo"))
+    order = Window.partitionBy(*e, "tick").orderBy("part")
+    before = F.last("hi", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.first("lo", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    near = near.join(ends.select(*place, before.alias("before"), after.alias("after")), place)
+    sides = [F.when(F.col(x).isNotNull(), F.struct(F.abs(t - F.col(x)["t"]).alias("gap"), F.col(x)["right"].alias("id"))) for x in ("a", "b", "before", "after")]
+    answered = near.select(*e, "tick", "t", F.array_min(F.array_compact(F.array(*sides))).alias("near"))
+    crowd = crowded.select(*e, "tick", "t", F.col("id").alias("left_id")).join(answered, [*e, "tick", "t"]).select("left_id", "near")
     return (
         sparse.unionByName(crowd)
         .select("left_id", F.col("near.id").alias("right_id"), F.col("near.gap").alias("gap"))

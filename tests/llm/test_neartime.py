@@ -50,3 +50,15 @@ def test_query(spark):
     dets = spark.createDataFrame([(11, 5, 3, "transit", 100.04), (11, 5, 3, "transit", 100.04), (12, 5, 3, "variable", 100.001)], "det_id long, obj_id long, night_id int, kind string, tc_bjd_tdb double")
     frames = spark.createDataFrame([(21, 3, 100.035), (22, 3, 100.2), (23, 4, 100.04)], "frame_id long, night_id int, bjd_tdb double")
     assert sorted(tuple(r) for r in lost_partners(shapes, dets, frames).collect()) == [("detection_frame", 11, 21), ("shape_detection", 1, 11)]
+
+
+def test_crowded_ticks_and_no_tolerance(spark):
+    """Thousands of times within one tick, in lumps and alone, and equal times only."""
+    rng = random.Random(4)
+    left = [(i, 1, 5.0 + rng.choice([0.001, 0.002, 0.0051]) + rng.random() * 1e-4, 0, "") for i in range(300)]
+    right = [(1000 + i, 1, 5.0 + rng.choice([0.0005, 0.002, 0.006]) + rng.random() * 1e-4, 0) for i in range(3000)] + [(9000, 1, 5.0045, 0)]
+    got = {r["left_id"]: r["right_id"] for r in nearest_in_time(spark.createDataFrame(left, L), spark.createDataFrame(right, R), ["star"], "id", "t", "id", "t", 0.05).collect()}
+    assert got == brute(left, right, 0.05)
+    same = [(i, 1, 2454100.0 + i * 0.25, 0, "") for i in range(50)], [(1000 + i, 1, 2454100.0 + i * 0.5, 0) for i in range(50)]
+    got = {r["left_id"]: r["right_id"] for r in nearest_in_time(spark.createDataFrame(same[0], L), spark.createDataFrame(same[1], R), ["star"], "id", "t", "id", "t", 0.0).collect()}
+    assert got == {i: 1000 + i // 2 for i in range(0, 50, 2)}
