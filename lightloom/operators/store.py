@@ -1,12 +1,15 @@
 """Changes of the store as plans from old and new rows to the new version of a table, and their idempotent writing.
 
-Parquet has no MERGE, so each operation gives the whole new version (or the partitions that change); ``swap_write``
-puts it in place in one step, and doing it again changes nothing.
+Parquet has no MERGE, so each operation gives the whole new version, or the partitions that change.  ``publish`` writes a
+version to a folder of its own and then moves one pointer to it, so readers (``published``) see one version or the other;
+doing it again changes nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -66,9 +69,9 @@ def fill(old: DataFrame, new: DataFrame, key: str, columns: list[str], only_null
 
 
 def swap_write(df: DataFrame, path: str, partition: str | None = None) -> None:
-    """Writes the new version beside the old one and exchanges them; readers see one or the other.
+    """Writes a table at a plain path: beside the old one, then exchanged by two renames, between which there is none.
 
-    With ``partition`` only the partitions in ``df`` are replaced (dynamic overwrite).
+    With ``partition`` only the partitions in ``df`` are replaced (dynamic overwrite).  See ``publish`` for readers that go on.
     """
     spark = df.sparkSession
     if partition:
@@ -83,3 +86,50 @@ def swap_write(df: DataFrame, path: str, partition: str | None = None) -> None:
         fs.rename(as_path(path), as_path(former))
     fs.rename(as_path(fresh), as_path(path))
     fs.delete(as_path(former), True)
+
+
+POINTER = "_current"
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and what turns names under it into its paths."""
+    root, at = path.rstrip("/"), spark._jvm.org.apache.hadoop.fs.Path
+    return at(root).getFileSystem(spark._jsc.hadoopConfiguration()), lambda name: at(f"{root}/{name}")
+
+
+def version_of(spark: SparkSession, path: str) -> str | None:
+    """The name of the published version's folder; None where nothing is published."""
+    fs, at = _files(spark, path)
+    if not fs.exists(at(POINTER)):
+        return None
+    stream = fs.open(at(POINTER))
+    try:
+        return bytes(stream.readAllBytes()).decode().strip()
+    finally:
+        stream.close()
+
+
+def published(spark: SparkSession, path: str) -> DataFrame | None:
+    name = version_of(spark, path)
+    return spark.read.parquet(f"{path.rstrip('/')}/{name}") if name else None
+
+
+def publish(df: DataFrame, path: str) -> None:
+    """Makes ``df`` the table's version: written whole first, then the pointer is replaced by one atomic rename.
+
+    The version before stays for readers that have begun; older ones are removed.
+    """
+    spark, name = df.sparkSession, f"v-{uuid.uuid4().hex}"
+    fs, at = _files(spark, path)
+    before = version_of(spark, path)
+    df.write.parquet(f"{path.rstrip('/')}/{name}")
+    stream = fs.create(at(f"{POINTER}.{name}"), True)
+    stream.write(bytearray(name.encode()))
+    stream.close()
+    jvm = spark._jvm
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(at(f"{POINTER}.{name}"), at(POINTER), over)
+    for found in fs.listStatus(at("")):
+        if found.getPath().getName().startswith("v-") and found.getPath().getName() not in (name, before):
+            fs.delete(found.getPath(), True)

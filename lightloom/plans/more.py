@@ -207,22 +207,6 @@ def _(t: Inputs) -> DataFrame:
     return k_nearest(t.pos.select("obj_id", "ra", "dec"), 25, "obj_id").select("obj_id", "other", "rank")
 
 
-@query("k11_review_restore", """
-WITH d AS (SELECT det_id, obj_id, tc_bjd_tdb AS t FROM det WHERE kind = 'transit' AND tc_bjd_tdb IS NOT NULL),
-v AS (SELECT DISTINCT review_id, obj_id, tc_bjd_tdb AS tc FROM detection_review_orphan WHERE kind = 'transit' AND tc_bjd_tdb IS NOT NULL AND NOT isnan(tc_bjd_tdb)),
-r AS (SELECT review_id, det_id, abs(t - tc) AS gap, row_number() OVER (PARTITION BY review_id ORDER BY abs(t - tc), det_id) AS r FROM v JOIN d USING (obj_id) WHERE abs(t - tc) <= 2),
-k AS (SELECT *, row_number() OVER (PARTITION BY det_id ORDER BY gap, review_id) AS k FROM r WHERE r = 1) SELECT review_id, det_id FROM k WHERE k = 1""")
-def _(t: Inputs) -> DataFrame:
-    """Verdicts back to the nearest event of the same object, each event taking its nearest one."""
-    v = t.table("detection_review_orphan").filter("kind = 'transit' and tc_bjd_tdb is not null and not isnan(tc_bjd_tdb)")
-    v = v.select("review_id", "obj_id", c("tc_bjd_tdb").alias("tc")).distinct()
-    v = v.withColumn("k", F.explode(F.array(*(F.floor(c("tc") / 2) + s for s in (-1, 0, 1)))))
-    d = t.det.filter("kind = 'transit' and tc_bjd_tdb is not null").select("det_id", "obj_id", c("tc_bjd_tdb").alias("t"), F.floor(c("tc_bjd_tdb") / 2).alias("k"))
-    near = v.join(d, ["obj_id", "k"]).withColumn("gap", F.abs(c("t") - c("tc"))).filter("gap <= 2")
-    first = near.groupBy("review_id").agg(F.min(F.struct("gap", "det_id")).alias("b")).select("review_id", "b.gap", "b.det_id")
-    return first.groupBy("det_id").agg(F.min(F.struct("gap", "review_id")).alias("b")).select("b.review_id", "det_id")
-
-
 _FLOOR = """
 st AS (SELECT night_id, star_id, median(flux) AS med FROM ep WHERE aper = 0 GROUP BY 1, 2),
 x AS (SELECT e.night_id, star_id, flux / med AS x FROM ep e JOIN st USING (night_id, star_id) WHERE aper = 0), xm AS (SELECT night_id, star_id, median(x) AS mx FROM x GROUP BY 1, 2),

@@ -183,12 +183,13 @@ def _(t: Inputs) -> DataFrame:
 
 @query("f9_noise_cut", f"""
 WITH {_STATS}, cand AS (SELECT DISTINCT night_id, obj_id AS star_id FROM det WHERE kind = 'transit' AND night_id IS NOT NULL)
-SELECT s.night_id, s.star_id FROM stats s LEFT JOIN cand USING (night_id, star_id)
-WHERE s.aper = 0 AND ((s.n >= 20 AND s.expected <= 0.05) OR cand.star_id IS NOT NULL)""")
+SELECT s.night_id, s.star_id FROM stats s JOIN night g ON g.night_id = s.night_id LEFT JOIN cand ON cand.night_id = s.night_id AND cand.star_id = s.star_id
+WHERE s.aper = 0 AND ((s.n >= greatest(20, ceil(0.5 * n_kept)) AND s.expected <= 0.05) OR cand.star_id IS NOT NULL)""")
 def _(t: Inputs) -> DataFrame:
     chosen = t.det.filter("kind = 'transit' and night_id is not null").select("night_id", c("obj_id").alias("star_id"), F.lit(True).alias("cand")).distinct()
-    stats = star_stats(t).filter("aper = 0").join(chosen, ["night_id", "star_id"], "left")
-    return stats.filter("(n >= 20 and expected <= 0.05) or coalesce(cand, false)").select("night_id", "star_id")
+    least = t.night.select("night_id", F.greatest(F.lit(20), F.ceil(0.5 * c("n_kept"))).alias("least"))
+    stats = star_stats(t).filter("aper = 0").join(least, "night_id").join(chosen, ["night_id", "star_id"], "left")
+    return stats.filter("(n >= least and expected <= 0.05) or coalesce(cand, false)").select("night_id", "star_id")
 
 
 @query("a12_a13_best_aperture", f"WITH {_STATS} SELECT night_id, star_id, arg_min(aper, rms + aper * 1e-12) AS best, round(min(rms), 6) AS rms FROM stats GROUP BY 1, 2")

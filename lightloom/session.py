@@ -39,17 +39,3 @@ def cut(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint(eager=True)
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of a plan's size in bytes; what it cannot tell counts as huge."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
-    """A small table (by the plan's estimated size) over all cores, for work that costs far more than moving its rows.
-
-    A small Parquet file is a single task; large tables are in enough files, and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if cores > 1 and plan_bytes(df) <= limit else df

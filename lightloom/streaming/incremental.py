@@ -1,13 +1,12 @@
 """Incremental work on Structured Streaming: a request queue and tables that follow newly arrived files.
 
-Every batch writes by key and whole (``store.upsert`` and a swap), so a batch that runs again after a failure
-changes nothing: with the checkpoint that is exactly once.
+A batch changes only the buckets of keys that it holds and marks its rows with its number, so a batch that runs again after a
+failure, wherever that struck, leaves the keys that it had finished as they are: with the checkpoint that is exactly once.
 """
 
 from __future__ import annotations
 
 import os
-import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -18,11 +17,20 @@ from pyspark.sql.types import StructType
 
 from lightloom.operators.store import swap_write, upsert
 from lightloom.plans.registry import ORACLE, QUERIES, Inputs, query  # noqa: F401
+from lightloom.plans.results import requests as requests_of
+from lightloom.session import cut
+
+
+#: Buckets of keys of a table that is merged into; a batch rewrites those that it has keys of.
+BUCKETS = 64
 
 
 def workspace(spark: SparkSession) -> str:
-    """A new folder within the shared one that ``spark.checkpoint.dir`` names; where none is set, a local temporary one."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """A new folder within the shared one that ``spark.checkpoint.dir`` names; a local temporary one only on a single machine."""
+    context = spark.sparkContext
+    shared = context.getConf().get("spark.checkpoint.dir", None)
+    if shared is None and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="stream-")
 
 
@@ -39,34 +47,56 @@ def follow(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoin
 
 
 def merge_into(path: str, key: list[str], combine: Callable[[DataFrame, DataFrame | None], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A batch function that replaces the keys of ``combine(batch, old)`` in the table at ``path``.
+    """A batch function that replaces the keys of ``combine(batch, old)`` in the table at ``path``; ``combine`` sees the old rows of those buckets.
 
-    A batch's number is written beside the table; one that is there already is left out.
+    Keys that this batch has written already, before a failure, are left out.  Only buckets with keys of the batch are written.
     """
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
         there = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-        old = spark.read.parquet(path) if there else None
-        if old is not None and old.filter(F.col("batch") >= number).limit(1).count():
-            return
-        new = combine(batch, None if old is None else old.drop("batch")).withColumn("batch", F.lit(number).cast("long"))
-        swap_write(new if old is None else upsert(old, new, key), path)
+        bucket = F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int")
+        batch = batch.withColumn("bucket", bucket)
+        old = None
+        if there:
+            touched = batch.select("bucket").distinct()  # BUCKETS rows at most
+            old = spark.read.parquet(path).join(F.broadcast(touched), "bucket", "left_semi")
+            done = old.filter(F.col("batch") >= number).select(*key)
+            batch = batch.join(done, key, "left_anti")
+        fresh = combine(batch.drop("bucket"), None if old is None else old.drop("batch", "bucket"))
+        fresh = fresh.withColumns({"batch": F.lit(number).cast("long"), "bucket": bucket})
+        swap_write(cut(fresh if old is None else upsert(old, fresh, key)), path, "bucket")
 
     return run
 
 
+def merged(spark: SparkSession, path: str) -> DataFrame:
+    """A table that is merged into, without its marks."""
+    return spark.read.parquet(path).drop("batch", "bucket")
+
+
+def claim(requests: DataFrame, most: int) -> DataFrame:
+    """The queue with its first ``most`` queued requests, by (requested_at, req_id), running; one writer holds the queue."""
+    first = requests.filter("status = 'queued'").orderBy("requested_at", "req_id").limit(most).select("req_id", F.lit(True).alias("__mine"))
+    out = requests.join(first, "req_id", "left").withColumn("status", F.when(F.col("__mine"), "running").otherwise(F.col("status")))
+    return out.select(*requests.columns)
+
+
+def recover(requests: DataFrame) -> DataFrame:
+    """The queue after a restart: what was running is queued again, in its old place."""
+    return requests.withColumn("status", F.when(F.col("status") == "running", "queued").otherwise(F.col("status")))
+
+
 def process_requests(requests: DataFrame, handle: Callable[[DataFrame], DataFrame], path: str) -> Callable[[DataFrame, int], None]:
-    """A batch function of the queue: requests in order of (requested_at, req_id), of each object the last one counts.
+    """A batch function of the queue: ``handle`` turns a batch of requests into rows (req_id, ...) of results.
 
-    ``handle`` turns a batch of requests into rows (req_id, ...) of results; requests without a result come out as failed.
+    Requests without a result come out as failed.  A micro-batch is claimed whole; for a bounded claim see ``claim``.
     """
 
     def combine(batch: DataFrame, old: DataFrame | None) -> DataFrame:
         done = handle(batch).withColumn("status", F.lit("done"))
-        out = batch.join(done, "req_id", "left").withColumn("status", F.coalesce("status", F.lit("failed")))
-        return out
+        return batch.join(done, "req_id", "left").withColumn("status", F.coalesce("status", F.lit("failed")))
 
     return merge_into(path, ["req_id"], combine)
 
@@ -91,7 +121,7 @@ def _(t: Inputs) -> DataFrame:
     path, source = f"{place}/nights", f"{t.folder}/frame.parquet"
     stream = files(t.spark, source if os.path.isdir(source) else source + "*", t.table("frame").schema)
     follow(stream.select("night_id", "frame_index"), merge_into(path, ["night_id"], _add), f"{place}/checkpoint").awaitTermination()
-    return t.spark.read.parquet(path).drop("batch")
+    return merged(t.spark, path)
 
 
 @query("t1_t3_request_queue", """
@@ -102,8 +132,16 @@ def _(t: Inputs) -> DataFrame:
     requests = files(t.spark, f"{place}/requests", t.spark.read.parquet(f"{place}/requests").schema)
     handle = lambda batch: batch.filter("tc_bjd_tdb is not null").select("req_id")
     follow(requests, process_requests(requests, handle, f"{place}/results"), f"{place}/checkpoint").awaitTermination()
-    return t.spark.read.parquet(f"{place}/results").select("req_id", "status")
+    return merged(t.spark, f"{place}/results").select("req_id", "status")
+
+
+@query("t1_claim_in_order", """
+WITH q AS (SELECT req_id, status, row_number() OVER (PARTITION BY status ORDER BY requested_at, req_id) AS r FROM rr) SELECT req_id, CASE WHEN status = 'queued' AND r <= 5 THEN 'running' ELSE status END AS status FROM q""")
+def _(t: Inputs) -> DataFrame:
+    return claim(requests_of(t), 5).select("req_id", "status")
 
 
-def remove(place: str) -> None:
-    shutil.rmtree(place, ignore_errors=True)
+@query("t3_recovery", "SELECT req_id, status FROM rr")
+def _(t: Inputs) -> DataFrame:
+    """A claim that a crash cut short leaves no request behind."""
+    return recover(claim(requests_of(t), 5)).select("req_id", "status")

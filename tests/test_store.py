@@ -73,3 +73,34 @@ def test_sources(spark, tmp_path):
         tables.map_columns(spark.range(1), {"a": "b"})
     (tmp_path / "list.txt").write_text(f"# inputs\n{tmp_path}/a.csv\n\n{tmp_path}/*.csv\n")
     assert tables.expand_inputs([f"@{tmp_path}/list.txt"]) == [f"{tmp_path}/a.csv"]
+
+
+def test_published_versions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert store.published(spark, path) is None
+    store.publish(spark.range(3), path)
+    first = store.published(spark, path)
+    store.publish(first.unionByName(spark.range(10, 12)), path)
+    assert store.published(spark, path).count() == 5 and first.count() == 3
+    store.publish(spark.range(1), path)
+    assert store.published(spark, path).count() == 1 and len(list((tmp_path / "t").glob("v-*"))) == 2
+
+
+def test_batches_repeat_after_a_failure(spark, tmp_path):
+    """A batch that had written some of its keys adds nothing to them when it runs again."""
+    from lightloom.streaming.incremental import claim, merge_into, merged, recover
+
+    def add(batch, old):
+        new = batch.groupBy("k").agg(F.sum("n").alias("n"))
+        return new if old is None else new.unionByName(old.join(new.select("k"), "k", "left_semi")).groupBy("k").agg(F.sum("n").alias("n"))
+
+    path = str(tmp_path / "m")
+    run = merge_into(path, ["k"], add)
+    batch = lambda *r: spark.createDataFrame(r, "k int, n long")
+    run(batch((1, 1), (2, 1), (2, 4)), 0)
+    run(batch((2, 10)), 1)  # what a second batch wrote before it failed
+    run(batch((2, 10), (3, 7)), 1)
+    assert rows(merged(spark, path).select("k", "n")) == [(1, 1), (2, 15), (3, 7)]
+    queue = spark.createDataFrame([(1, 5, "queued"), (2, 3, "queued"), (3, 9, "done"), (4, 3, "queued")], "req_id int, requested_at int, status string")
+    assert rows(claim(queue, 2).select("req_id", "status")) == [(1, "queued"), (2, "running"), (3, "done"), (4, "running")]
+    assert rows(recover(claim(queue, 2))) == rows(queue)
