@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,37 @@ def median(x: Column | str) -> Column:
     return F.percentile(x, F.lit(0.5))
 
 
+def exact_quantiles(df: DataFrame, by: list[str], x: str, qs: list[float], accuracy: int = 10_000) -> DataFrame:
+    """(by, n, q): the exact, linearly interpolated quantiles of each key as an array, for keys that may hold any share of all rows.
+
+    A bounded sketch, whose error in ranks is known, gives values that enclose each quantile; the rows below are counted,
+    and only distinct values in between, a few ten-thousandths of the rows, are put in order with their numbers.  All but those
+    combine before their shuffle, and no buffer holds a key's values.  Null and NaN are left out.
+    """
+    keys = by or ["__all"]
+    rows = df.select(*by, F.col(x).cast("double").alias("__x")).filter(F.col("__x").isNotNull() & ~F.isnan("__x"))
+    rows = rows if by else rows.withColumn("__all", F.lit(0))
+    slack = 3 / accuracy
+    around = [p for q in qs for p in (max(q - slack, 0.0), min(q + slack, 1.0))]
+    ends = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile_approx("__x", [float(p) for p in around], accuracy).alias("__p"))
+    met = rows.join(ends, keys)
+    few = F.col("n") <= accuracy  # of so few rows, all: a rank may be a large part of them
+    low = lambda i: F.when(few, -math.inf).otherwise(F.col("__p")[2 * i])
+    high = lambda i: F.when(few, math.inf).otherwise(F.col("__p")[2 * i + 1])
+    under = met.groupBy(*keys).agg(F.first("n").alias("n"), *(F.count_if(F.col("__x") < low(i)).alias(f"__b{i}") for i in range(len(qs))))
+    inside = F.array_compact(F.array(*(F.when(F.col("__x").between(low(i), high(i)), F.lit(i)) for i in range(len(qs)))))
+    counted = met.select(*keys, "__x", F.explode(inside).alias("__i")).groupBy(*keys, "__i", "__x").agg(F.count("*").alias("__c"))
+    run = F.sum("__c").over(Window.partitionBy(*keys, "__i").orderBy("__x"))
+    placed = counted.withColumn("__r", run).join(under, keys)
+    below = F.element_at(F.array(*(F.col(f"__b{i}") for i in range(len(qs)))), F.col("__i") + 1)
+    rank = F.element_at(F.array(*(F.lit(float(q)) for q in qs)), F.col("__i") + 1) * (F.col("n") - 1)
+    at = lambda r: F.min(F.when(below + F.col("__r") > r, F.col("__x")))
+    both = placed.groupBy(*keys, "__i").agg(F.first("n").alias("n"), at(F.floor(rank)).alias("__a"), at(F.ceil(rank)).alias("__z"), F.first(rank - F.floor(rank)).alias("__f"))
+    value = F.col("__a") + (F.col("__z") - F.col("__a")) * F.col("__f")
+    out = both.groupBy(*keys).agg(F.first("n").alias("n"), F.array(*(F.max(F.when(F.col("__i") == i, value)) for i in range(len(qs)))).alias("q"))
+    return out if by else out.drop("__all")
+
+
 def with_mad(df: DataFrame, by: list[str], x: str, out: str = "sigma") -> DataFrame:
     """(by, median, sigma, n): 1.4826 * the median absolute deviation; infinite where that is 0.
 

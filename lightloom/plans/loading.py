@@ -38,7 +38,7 @@ def match_stars(stars: DataFrame, objects: DataFrame, arcsec: float = 1.0) -> Da
 @query("d3_match_stars", f"""
 WITH {_CAT}, pairs AS (SELECT cat_id, obj_id, {_SEP.format(a='k', b='o')} AS sep FROM cat k JOIN pos o ON o.dec BETWEEN k.dec - 0.0003 AND k.dec + 0.0003 WHERE {_SEP.format(a='k', b='o')} <= 1),
 near AS (SELECT *, row_number() OVER (PARTITION BY cat_id ORDER BY sep, obj_id) AS r FROM pairs), won AS (SELECT *, row_number() OVER (PARTITION BY obj_id ORDER BY sep, cat_id) AS k FROM near WHERE r = 1),
-fresh AS (SELECT cat_id, {_NAME} AS base FROM (SELECT cat_id, dec, floor((((ra % 360) + 360) % 360 / 15) * 3600 * 10 + 0.5)::BIGINT AS r, floor(abs(dec) * 3600 + 0.5)::BIGINT AS d FROM cat WHERE cat_id NOT IN (SELECT cat_id FROM won WHERE k = 1))),
+fresh AS (SELECT cat_id, {_NAME} AS base FROM (SELECT cat_id, dec, floor(((CASE WHEN ra % 360 < 0 THEN (ra % 360 + 360) % 360 ELSE ra % 360 END) / 15) * 3600 * 10 + 0.5)::BIGINT AS r, floor(abs(dec) * 3600 + 0.5)::BIGINT AS d FROM cat WHERE cat_id NOT IN (SELECT cat_id FROM won WHERE k = 1))),
 named AS (SELECT cat_id, base, row_number() OVER (PARTITION BY base ORDER BY cat_id) + CASE WHEN base IN (SELECT name FROM pos) THEN 1 ELSE 0 END AS n FROM fresh)
 SELECT cat.cat_id AS star, won.obj_id, base || CASE WHEN n > 1 THEN '-' || n::VARCHAR ELSE '' END AS name FROM cat LEFT JOIN won ON won.cat_id = cat.cat_id AND k = 1 LEFT JOIN named ON named.cat_id = cat.cat_id""")
 def _(t: Inputs) -> DataFrame:

@@ -242,7 +242,10 @@ def _(t: Inputs) -> DataFrame:
     return tied.select(c("set").alias("target"), "night_id", "star", "global")
 
 
-@query("g25_noise_floors")
+@query("g25_noise_floors", """
+WITH s AS (SELECT star_id, night_id, -2.5 * log10(median(flux)) AS m, (1.0857 * 1.2533 * median(fluxerr / flux) / sqrt(count(*))) ** 2 AS v FROM ep WHERE aper = 0 GROUP BY 1, 2),
+p AS (SELECT floor(m / 2)::BIGINT AS bin, m - lag(m) OVER w AS d, v + lag(v) OVER w AS s2 FROM s WINDOW w AS (PARTITION BY star_id ORDER BY night_id))
+SELECT bin, count(*) AS n, round(quantile_cont(greatest(d * d / 0.45494 - s2, 0), 0.5), 8) AS extra FROM p WHERE d IS NOT NULL GROUP BY 1 HAVING count(*) >= 5""")
 def _(t: Inputs) -> DataFrame:
     """Extra variance of each brightness bin that makes the nights of its stars agree: median(d^2 / (s^2 + V)) = 0.45494."""
     one = t.ep.filter("aper = 0")
@@ -252,7 +255,7 @@ def _(t: Inputs) -> DataFrame:
     pairs = s.withColumns({"d": c("m") - F.lag("m").over(w), "s2": c("v") + F.lag("v").over(w), "bin": F.floor(c("m") / 2)}).filter("d is not null")
     # The residual of 60 bisections is that of one exact percentile over candidates: V of each pair alone, taken at the median.
     alone = F.greatest(c("d") ** 2 / 0.45494 - c("s2"), F.lit(0.0))
-    return pairs.groupBy("bin").agg(F.count("*").alias("n"), R.median(alone).alias("extra")).filter("n >= 5")
+    return R.exact_quantiles(pairs.withColumn("alone", alone), ["bin"], "alone", [0.5]).filter("n >= 5").select("bin", "n", r6(c("q")[0], "extra", 8))
 
 
 @query("g29_period_compatibility", """

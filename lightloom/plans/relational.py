@@ -125,8 +125,8 @@ def _(t: Inputs) -> DataFrame:
 
 @query("a24_ordered_set_median", "SELECT kind, round(quantile_cont(snr, 0.5), 4) AS snr FROM det WHERE snr IS NOT NULL GROUP BY 1")
 def _(t: Inputs) -> DataFrame:
-    t.det.createOrReplaceTempView("det_rows")
-    return t.spark.sql("SELECT kind, round(percentile_cont(0.5) WITHIN GROUP (ORDER BY snr), 4) AS snr FROM det_rows WHERE snr IS NOT NULL GROUP BY kind")
+    """Few kinds hold all rows, so no buffer may hold a kind's."""
+    return R.exact_quantiles(t.det, ["kind"], "snr", [0.5]).select("kind", r6(c("q")[0], "snr", 4))
 
 
 @query("a25_string_agg", "SELECT obj_id, string_agg(DISTINCT kind, ', ' ORDER BY kind) AS kinds FROM det GROUP BY 1")

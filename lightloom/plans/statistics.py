@@ -147,7 +147,8 @@ x AS (SELECT obj_id, mag, least(len(list_filter(list_sort(edge), lambda v: v <=
 SELECT bin, count(*) AS n, round(min(mag), 4) AS least, round(max(mag), 4) AS most FROM x GROUP BY 1""")
 def _(t: Inputs) -> DataFrame:
     rows = t.obj.filter("mag is not null")
-    edges = rows.agg(F.array_distinct(F.percentile("mag", F.array(*(F.lit(q / 4) for q in range(5)))))).first()[0] or [0.0, 0.0]
+    found = R.exact_quantiles(rows, [], "mag", [q / 4 for q in range(5)]).select(F.array_distinct("q")).first()  # five numbers
+    edges = found[0] if found else [0.0, 0.0]
     binned = rows.select("mag", R.bin_of(c("mag"), F.array(*map(F.lit, edges))).cast("long").alias("bin"))
     return binned.groupBy("bin").agg(F.count("*").alias("n"), r6(F.min("mag"), "least", 4), r6(F.max("mag"), "most", 4))
 
@@ -359,7 +360,7 @@ def _(t: Inputs) -> DataFrame:
     k, q = n.first() or (0, 0.0)
     if not k:
         return rows
-    bound = rows.agg(F.percentile("mag", F.lit(float(q)))).first()[0]
+    bound = R.exact_quantiles(rows, [], "mag", [float(q)]).first()["q"][0]
     side = rows.withColumn("off", F.round(c("mag") - bound, 9))
     below = side.filter("off < 0")
     left = int(k) - below.count()
@@ -426,4 +427,4 @@ SELECT bin, count(*) AS n, round(median(log10(rms)), 6) AS floor FROM b GROUP BY
 def _(t: Inputs) -> DataFrame:
     level = t.ep.groupBy(*STAR).agg(R.median("flux").alias("med"))
     b = star_stats(t).filter("rms > 0").join(level, STAR).select(F.round(-2.5 * F.log10("med")).alias("bin"), "rms")
-    return b.groupBy("bin").agg(F.count("*").alias("n"), r6(R.median(F.log10("rms")), "floor")).filter("n >= 5")
+    return R.exact_quantiles(b.withColumn("y", F.log10("rms")), ["bin"], "y", [0.5]).filter("n >= 5").select("bin", "n", r6(c("q")[0], "floor"))

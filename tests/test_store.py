@@ -1,5 +1,6 @@
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,3 +105,16 @@ def test_batches_repeat_after_a_failure(spark, tmp_path):
     queue = spark.createDataFrame([(1, 5, "queued"), (2, 3, "queued"), (3, 9, "done"), (4, 3, "queued")], "req_id int, requested_at int, status string")
     assert rows(claim(queue, 2).select("req_id", "status")) == [(1, "queued"), (2, "running"), (3, "done"), (4, "running")]
     assert rows(recover(claim(queue, 2))) == rows(queue)
+
+
+def test_exact_quantiles(spark):
+    rng = np.random.default_rng(0)
+    data = {"a": rng.normal(size=5000), "b": np.repeat([1.0, 2.0, 3.0], [4000, 10, 1]), "c": np.array([7.0]), "d": np.arange(4.0)}
+    df = spark.createDataFrame([(g, float(v)) for g, x in data.items() for v in x] + [("a", None), ("a", float("nan")), ("e", None)], "g string, x double")
+    qs = [0.0, 0.1, 0.5, 0.98, 1.0]
+    for accuracy in (100, 10_000):  # a coarse sketch makes wide brackets, the result is the same
+        got = {r["g"]: r for r in robust.exact_quantiles(df, ["g"], "x", qs, accuracy).collect()}
+        assert got.keys() == data.keys() and all(np.allclose(got[g]["q"], np.quantile(x, qs)) and got[g]["n"] == len(x) for g, x in data.items())
+    everything = np.concatenate(list(data.values()))
+    assert np.allclose(robust.exact_quantiles(df, [], "x", qs).first()["q"], np.quantile(everything, qs))
+    assert robust.exact_quantiles(df.limit(0), ["g"], "x", qs).count() == 0
