@@ -21,16 +21,17 @@ def main(arguments: list[str] | None = None) -> int:
     sql.add_argument("folder")
     sql.add_argument("text")
     given = parser.parse_args(arguments)
-    from lightloom.plans import registry, search, series  # noqa: F401 - they register their queries
+    from lightloom.plans import choice, loading, more, quality, registry, search, series  # noqa: F401 - they register their queries
 
+    queries = registry.QUERIES | quality.QUERIES
     if given.verb == "list":
-        print("\n".join(sorted(registry.QUERIES)))
+        print("\n".join(sorted(queries)))
         return 0
     spark = SparkSession.builder.getOrCreate()
     if given.verb == "run":
-        if given.name not in registry.QUERIES:
+        if given.name not in queries:
             parser.error(f"no query {given.name}")
-        rows = registry.QUERIES[given.name](spark, given.folder)
+        rows = queries[given.name](spark, given.folder)
         search.write_csv(rows, given.out) if given.csv else rows.write.mode("overwrite").parquet(given.out)
         return 0
     for p in sorted(Path(given.folder).glob("*.parquet")):

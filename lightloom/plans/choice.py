@@ -44,6 +44,42 @@ def _(t: Inputs) -> DataFrame:
     return t.pos.select("obj_id").join(best, "obj_id", "left").select("obj_id", c("b").isNotNull().alias("known_variable"), "b.cat_id", "b.var_type", r6(c("b.sep"), "sep", 4))
 
 
+@query("j30_majority_mapping", "WITH " + _NEAR.format(5) + """, x AS (SELECT DISTINCT cat_id AS g, night_id, near.obj_id FROM near JOIN sn ON sn.obj_id = near.obj_id), a AS (SELECT g, min(night_id) AS anchor FROM x GROUP BY 1),
+v AS (SELECT g, obj_id, count(*) AS n, bool_or(night_id = anchor) AS at_anchor FROM x JOIN a USING (g) GROUP BY 1, 2), w AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY n DESC, at_anchor DESC, obj_id) AS r, count(*) OVER (PARTITION BY g) AS claims FROM v)
+SELECT g, obj_id, n, claims, (SELECT count(DISTINCT night_id) FROM x WHERE x.g = w.g) - n AS conflicts FROM w WHERE r = 1""")
+def _(t: Inputs) -> DataFrame:
+    """Which object each catalogue star is, by the nights in which one of the objects near it was seen: most nights, else the first night's, else
+    the least id; nights that only others claim are in conflict."""
+    near = near_catalogue(t, 5.0).select(c("cat_id").alias("g"), "obj_id").distinct()
+    x = near.join(star_nights(t).select("obj_id", "night_id"), "obj_id")
+    whole = x.groupBy("g").agg(F.min("night_id").alias("anchor"), F.countDistinct("night_id").alias("nights"), F.countDistinct("obj_id").alias("claims"))
+    v = x.join(whole, "g").groupBy("g", "obj_id", "nights", "claims").agg(F.count("*").alias("n"), F.bool_or(c("night_id") == c("anchor")).alias("at_anchor"))
+    best = v.groupBy("g", "nights", "claims").agg(F.max(F.struct("n", "at_anchor", (-c("obj_id")).alias("o"))).alias("b"))
+    return best.select("g", (-c("b.o")).alias("obj_id"), "b.n", "claims", (c("nights") - c("b.n")).alias("conflicts"))
+
+
+@query("a12_a13_aperture_of_bins", """
+WITH st AS (SELECT night_id, star_id, aper, median(flux) AS med FROM ep GROUP BY 1, 2, 3), x AS (SELECT e.night_id, e.star_id, e.aper, flux / med AS x, med FROM ep e JOIN st USING (night_id, star_id, aper)),
+m AS (SELECT night_id, star_id, aper, median(x) AS mx, any_value(med) AS med FROM x GROUP BY 1, 2, 3), s AS (SELECT x.night_id, x.star_id, x.aper, 1.4826 * median(abs(x - mx)) AS rms, any_value(m.med) AS med FROM x JOIN m USING (night_id, star_id, aper) GROUP BY 1, 2, 3),
+b AS (SELECT night_id, star_id, aper, rms, round(-2.5 * log10(med))::BIGINT AS bin FROM s), k AS (SELECT night_id, bin, aper, median(rms) AS r FROM b WHERE rms > 0 GROUP BY 1, 2, 3),
+best AS (SELECT night_id, bin, arg_min(aper, (r, aper)) AS aper FROM k GROUP BY 1, 2), own AS (SELECT night_id, star_id, min(bin) AS bin FROM b GROUP BY 1, 2),
+n AS (SELECT own.night_id, star_id, best.aper, row_number() OVER (PARTITION BY own.night_id, star_id ORDER BY abs(best.bin - own.bin), best.bin) AS r FROM own JOIN best ON best.night_id = own.night_id) SELECT night_id, star_id, aper FROM n WHERE r = 1""")
+def _(t: Inputs) -> DataFrame:
+    """Each star's aperture: the one of least median scatter among the stars of its night and brightness, or of the nearest brightness (the brighter
+    of two) that tells."""
+    from lightloom.operators import robust as R
+    from lightloom.plans.statistics import STAR, normalised, star_stats
+
+    level = normalised(t).groupBy(*STAR).agg(F.first("med").alias("med"))
+    b = star_stats(t).select(*STAR, "rms").join(level, STAR).withColumn("bin", F.round(-2.5 * F.log10("med")).cast("long"))
+    k = b.filter("rms > 0").groupBy("night_id", "bin", "aper").agg(R.median("rms").alias("r"))
+    best = k.groupBy("night_id", "bin").agg(F.min(F.struct("r", "aper")).alias("m"))
+    bins = best.groupBy("night_id").agg(F.collect_list(F.struct("bin", c("m.aper").alias("aper"))).alias("bins"))  # a few bins a night
+    own = b.groupBy("night_id", "star_id").agg(F.min("bin").alias("bin")).join(bins, "night_id")
+    near = F.array_min(F.transform("bins", lambda x: F.struct(F.abs(x["bin"] - c("bin")).alias("off"), x["bin"].alias("b"), x["aper"].alias("aper"))))
+    return own.select("night_id", "star_id", near["aper"].alias("aper"))
+
+
 @query("j12_stars_of_first_nights", """
 WITH n AS (SELECT target, night_id, dense_rank() OVER (PARTITION BY target ORDER BY night_id) AS r, count(*) OVER (PARTITION BY target) AS k FROM night WHERE target IS NOT NULL)
 SELECT target, obj_id FROM sn JOIN n USING (night_id) WHERE r <= 2 AND k >= 2 GROUP BY 1, 2 HAVING count(*) = 2""")
