@@ -74,26 +74,53 @@ s AS (SELECT star_id, night_id, -2.5 * log10(median(flux)) AS m, (1.0857 * 1.253
 k AS (SELECT * FROM s WHERE star_id IN (SELECT star_id FROM s GROUP BY 1 HAVING count(*) >= 2)), z0 AS (SELECT DISTINCT night_id, 0.0 AS z FROM k)"""
 
 
-def _tie_sql(rounds: int) -> str:
+def _tied(rounds: int) -> str:
     sql = _TIE
     for i in range(rounds):
         sql += f""", m{i} AS (SELECT star_id, sum((m - z) / v) / sum(1 / v) AS mean FROM k JOIN z{i} USING (night_id) GROUP BY 1),
 z{i + 1} AS (SELECT night_id, sum((m - mean) / v) / sum(1 / v) AS z FROM k JOIN m{i} USING (star_id) GROUP BY 1)"""
-    return f"WITH {sql} SELECT night_id, round(z, 5) AS zero_point FROM z{rounds}"
+    return sql
 
 
-@query("g24_night_zero_points", _tie_sql(3))
-def _(t: Inputs) -> DataFrame:
-    """Zero points that tie nights by their common stars: star means and night offsets in turn, from sums only."""
+def tie(t: Inputs, rounds: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(star_id, night_id, m, v) of stars seen on several nights, and (night_id, z): zero points that tie their nights.
+
+    Star means and night offsets in turn, from sums only.
+    """
     one = t.ep.filter("aper = 0")
     error = 1.0857 * 1.2533 * R.median(c("fluxerr") / c("flux")) / F.sqrt(F.count("*"))
     s = one.groupBy("star_id", "night_id").agg((-2.5 * F.log10(R.median("flux"))).alias("m"), (error**2 + 0.003**2).alias("v"))
     k = s.withColumn("n", F.count("*").over(Window.partitionBy("star_id"))).filter("n >= 2").drop("n")
     z = k.select("night_id").distinct().withColumn("z", F.lit(0.0))
-    for _ in range(3):
+    for _ in range(rounds):
         mean = k.join(z, "night_id").groupBy("star_id").agg((F.sum((c("m") - c("z")) / c("v")) / F.sum(1 / c("v"))).alias("mean"))
         z = k.join(mean, "star_id").groupBy("night_id").agg((F.sum((c("m") - c("mean")) / c("v")) / F.sum(1 / c("v"))).alias("z"))
-    return z.select("night_id", r6(c("z"), "zero_point", 5))
+    return k, z
+
+
+@query("g24_night_zero_points", f"WITH {_tied(3)} SELECT night_id, round(z, 5) AS zero_point FROM z3")
+def _(t: Inputs) -> DataFrame:
+    return tie(t)[1].select("night_id", r6(c("z"), "zero_point", 5))
+
+
+@query("g27_g28_tied_means", f"WITH {_tied(3)} SELECT star_id, night_id, round(m - z, 5) AS mean, round(sqrt(v), 6) AS err FROM k JOIN z3 USING (night_id)")
+def _(t: Inputs) -> DataFrame:
+    """Nightly means of every star on the scale that ties the nights, with their errors over the floor."""
+    k, z = tie(t)
+    return k.join(z, "night_id").select("star_id", "night_id", r6(c("m") - c("z"), "mean", 5), r6(F.sqrt("v"), "err"))
+
+
+@query("j13_on_common_axis", """
+WITH n AS (SELECT target, night_id FROM night WHERE target IS NOT NULL), s AS (SELECT star_id, night_id, -2.5 * log10(median(flux)) AS m FROM ep WHERE aper = 0 GROUP BY 1, 2),
+st AS (SELECT DISTINCT target, star_id FROM s JOIN n USING (night_id))
+SELECT target, st.star_id, list(n.night_id ORDER BY n.night_id) AS nights, list(round(m, 5) ORDER BY n.night_id) AS mags FROM st JOIN n USING (target) LEFT JOIN s ON s.star_id = st.star_id AND s.night_id = n.night_id GROUP BY 1, 2""")
+def _(t: Inputs) -> DataFrame:
+    """Each star's magnitudes on the axis of all nights of its target, null where a night has no such star: a target's nights are one array."""
+    axis = t.night.filter("target is not null").groupBy("target").agg(F.sort_array(F.collect_set("night_id")).alias("nights"))
+    s = t.ep.filter("aper = 0").groupBy("star_id", "night_id").agg((-2.5 * F.log10(R.median("flux"))).alias("m"))
+    own = s.join(t.night.select("night_id", "target").filter("target is not null"), "night_id")
+    own = own.groupBy("target", "star_id").agg(F.map_from_entries(F.collect_list(F.struct("night_id", F.round("m", 5)))).alias("v"))
+    return own.join(axis, "target").select("target", "star_id", "nights", F.transform("nights", lambda n: F.try_element_at("v", n)).alias("mags"))
 
 
 @query("g21_frame_outliers")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lightloom.functions import kernels as G
 from lightloom.functions import scalar as X
 from lightloom.operators import robust as R
+from lightloom.plans.more import _tied, tie
 from lightloom.plans.registry import ORACLE, QUERIES, Inputs, query  # noqa: F401
 from lightloom.plans.statistics import normalised, r6
 
@@ -57,15 +58,28 @@ def combined(t: Inputs) -> DataFrame:
     return x.select("star_id", "night_id", "frame_index", "t", (c("flux") / c("m")).alias("y"), (c("fluxerr") / c("m")).alias("e"))
 
 
-def long_series(t: Inputs) -> DataFrame:
-    """``combined`` with the epochs of each star and night averaged within ``BIN``, of stars that have epochs enough."""
+def long_series(t: Inputs, epochs: DataFrame | None = None) -> DataFrame:
+    """``combined``, or other epochs, with the epochs of each star and night averaged within ``BIN``, of stars that have epochs enough."""
     w = 1 / c("e") ** 2
     mean = lambda x: F.sum(w * c(x)) / F.sum(w)
-    out = combined(t).groupBy("star_id", "night_id", F.floor(c("t") / BIN).alias("b")).agg(mean("t").alias("t"), mean("y").alias("y"), (1 / F.sqrt(F.sum(w))).alias("e"))
+    out = (combined(t) if epochs is None else epochs).groupBy("star_id", "night_id", F.floor(c("t") / BIN).alias("b")).agg(mean("t").alias("t"), mean("y").alias("y"), (1 / F.sqrt(F.sum(w))).alias("e"))
     enough = out.groupBy("star_id").agg(F.count("*").alias("n")).filter(f"n >= {EPOCHS}").select("star_id")
     return out.join(enough, "star_id", "left_semi").drop("b")
 
 
+def tied(t: Inputs) -> DataFrame:
+    """(star_id, night_id, frame_index, t, y, e): epochs in magnitudes on the scale that ties the nights, of stars seen on several.
+
+    An epoch's own error and that of its night's mean add up.
+    """
+    k, z = tie(t)
+    level = t.ep.filter("aper = 0").groupBy("night_id", "star_id").agg(R.median("flux").alias("med"))
+    frames = t.fr.filter("bjd_tdb is not null").select("night_id", "frame_index", c("bjd_tdb").alias("t"))
+    x = t.ep.filter("aper = 0").join(level, ["night_id", "star_id"]).join(k, ["night_id", "star_id"]).join(z, "night_id").join(frames, ["night_id", "frame_index"])
+    error = F.hypot(2.5 / np.log(10) * c("fluxerr") / c("flux"), F.sqrt("v"))
+    return x.select("star_id", "night_id", "frame_index", "t", (c("m") - c("z") - 2.5 * F.log10(c("flux") / c("med"))).alias("y"), error.alias("e"))
+
+
 def _arrays(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(rows[k].to_numpy(float) for k in "tye")  # type: ignore[return-value]
 
@@ -218,6 +232,27 @@ def _(t: Inputs) -> DataFrame:
     return per_series(long_series(t).join(known, "star_id", "left"), ["star_id"], run, _ESTIMATE)
 
 
+@query("g15_tied_period_estimates")
+def _(t: Inputs) -> DataFrame:
+    """The same over tied magnitudes, which also show what is slower than a night."""
+    known = t.obj.filter("period > 0").select(c("obj_id").alias("star_id"), c("period").alias("known"))
+
+    def run(rows: pd.DataFrame) -> dict | None:
+        p = rows["known"].iloc[0]
+        p = float(p) if p == p and p is not None else None
+        return G.period_estimate(*_arrays(rows), rows["night_id"].to_numpy(), p, 1e-4 * p if p else 0.0, tied=True)
+
+    return per_series(long_series(t, tied(t)).join(known, "star_id", "left"), ["star_id"], run, _ESTIMATE)
+
+
+@query("g16_g31_tied_series", f"""
+WITH {_tied(3)}, md AS (SELECT night_id, star_id, median(flux) AS med FROM ep WHERE aper = 0 GROUP BY 1, 2)
+SELECT e.star_id, e.night_id, e.frame_index, round(bjd_tdb, 6) AS bjd_tdb, round(m - z - 2.5 * log10(flux / med), 5) AS mag, round(sqrt((2.5 / ln(10) * fluxerr / flux) ** 2 + v), 6) AS err
+FROM ep e JOIN md ON md.night_id = e.night_id AND md.star_id = e.star_id JOIN k ON k.night_id = e.night_id AND k.star_id = e.star_id JOIN z3 ON z3.night_id = e.night_id JOIN fr f ON f.night_id = e.night_id AND f.frame_index = e.frame_index WHERE e.aper = 0 AND bjd_tdb IS NOT NULL""")
+def _(t: Inputs) -> DataFrame:
+    return tied(t).select("star_id", "night_id", "frame_index", r6(c("t"), "bjd_tdb"), r6(c("y"), "mag", 5), r6(c("e"), "err"))
+
+
 @query("g10_g11_trapezoids")
 def _(t: Inputs) -> DataFrame:
     """Trapezoids at the best dip of each series of a night that stands out by six sigma, and whether it is seen only in part."""

@@ -150,3 +150,13 @@ def test_incompleteness():
     gap = G.incompleteness(t[(t < 0.055) | (t > 0.065)], 0.1, 0.08)
     assert gap["reason"] == "gap covers ingress" and not gap["ends_seen"] and gap["span_h"] < 1.92
     assert not G.incompleteness(t[(t < 0.09) | (t > 0.11)], 0.1, 0.08)["t14_lower_limit"]
+
+
+def test_long_periods_need_tied_nights():
+    """A period of days, which nights of their own level hide, is found and refined where the nights are tied."""
+    rng = np.random.default_rng(11)
+    t = np.concatenate([k + rng.uniform(0, 0.4) + np.sort(rng.uniform(0, 0.4, 30)) for k in range(20)])
+    y, night = 12 + 0.1 * np.sin(2 * np.pi * t / 3.1) + 0.004 * rng.standard_normal(len(t)), np.repeat(np.arange(20), 30)
+    got = G.period_estimate(t, y, np.full(len(t), 0.004), night, known=3.1, known_err=0.001, tied=True)
+    assert got["status"] == "verified" and got["harmonic"] == 1.0 and abs(got["period"] / 3.1 - 1) < 2e-3 and got["period_err"] > 0
+    assert G.period_estimate(t, y, np.full(len(t), 0.004), night, tied=False)["status"] in ("long_period_needs_tie", "no_literature")
