@@ -1,12 +1,12 @@
 """Mixing sources to target shares of a corpus's tokens.
 
 Method: balanced sampling by the cube method.  Every document of a source is expected the same number of
-uses; whole uses are given outright, the fractional rest is its inclusion probability.  The flight phase moves
+uses (but for documents that are larger than all that is to be drawn); whole uses are given outright, the fractional rest is its inclusion probability.  The flight phase moves
 the probabilities along the null space of the balancing constraints (documents, tokens) until one more of them becomes 0
 or 1: first for the largest documents, each against all others at once, then for three documents at a time.  It runs in
-chunks of each source at once; the at most two undecided documents of each chunk meet in the next, smaller flight, until at
-most two are left of a source.  These are the landing problem: of all ways to draw its outcomes that keep both inclusion
-probabilities, the one with the least expected distance from both totals.
+chunks of each source at once; the at most two undecided documents of each chunk meet in the next, smaller flight.  The last one
+stops when ``LEAVE`` documents of a source are open.  These are the landing problem: the constraint on documents is
+given up and they fly on by tokens alone, the largest first, until one, as a rule the smallest, is drawn by its probability.
 
 Scale: chunks are bounded whatever a source's share of all rows; undecided documents shrink by a factor of
 ``CHUNK`` / 2 per level; only totals per source of a mix reach the driver.  Every choice comes from hashes of
@@ -29,6 +29,8 @@ from lightloom.session import cut
 CHUNK = 20_000
 #: Largest documents of a chunk that are decided against all others, so that what is left for the landing is small.
 HEAVY = 512
+#: Documents of a source that the last flight leaves to the landing.
+LEAVE = 64
 #: Rows that a table of targets may have: it is planned on the driver.
 TARGETS = 100_000
 _TINY = 1e-9
@@ -38,7 +40,20 @@ def _open(p: np.ndarray) -> np.ndarray:
     return np.flatnonzero((p > _TINY) & (p < 1 - _TINY))
 
 
-def heavy_flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator, heavy: int) -> None:
+def _move(p: np.ndarray, a: int, rest: np.ndarray, u: np.ndarray, rng: np.random.Generator) -> None:
+    """One step of ``a`` by 1 and the rest by ``u``, up or down as far as a probability reaches 0 or 1, each with the chance that keeps all expectations."""
+    with np.errstate(divide="ignore"):
+        up = min(1 - p[a], np.where(u > 0, (1 - p[rest]) / u, np.where(u < 0, -p[rest] / u, np.inf)).min())
+        down = min(p[a], np.where(u > 0, p[rest] / u, np.where(u < 0, (p[rest] - 1) / u, np.inf)).min())
+    go = up if rng.random() * (up + down) < down else -down
+    p[a] += go
+    p[rest] += go * u
+    for i in (a, *rest[(p[rest] < _TINY) | (p[rest] > 1 - _TINY)].tolist()):
+        if not _TINY < p[i] < 1 - _TINY:
+            p[i] = round(p[i])
+
+
+def heavy_flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator, heavy: int, leave: int) -> None:
     """Decides the ``heavy`` largest documents, in place: each moves along the null-space vector nearest to itself alone.
 
     What one large document gains or loses is spread over all others, in proportion to the room that each has.
@@ -47,7 +62,7 @@ def heavy_flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator, heavy:
         while _TINY < p[a] < 1 - _TINY:
             rest = _open(p)
             rest = rest[rest != a]
-            if len(rest) < 3:
+            if len(rest) < max(3, leave):
                 return
             room, size = np.minimum(p[rest], 1 - p[rest]), x[rest]
             s0, s1, s2 = room.sum(), (room * size).sum(), (room * size * size).sum()
@@ -59,23 +74,16 @@ def heavy_flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator, heavy:
             else:
                 k0, k1 = (s2 - s1 * x[a]) / spread, (s0 * x[a] - s1) / spread
                 u = -room * (k0 + k1 * size)
-            with np.errstate(divide="ignore"):
-                up = min(1 - p[a], np.where(u > 0, (1 - p[rest]) / u, np.where(u < 0, -p[rest] / u, np.inf)).min())
-                down = min(p[a], np.where(u > 0, p[rest] / u, np.where(u < 0, (p[rest] - 1) / u, np.inf)).min())
-            go = up if rng.random() * (up + down) < down else -down
-            p[a] += go
-            p[rest] += go * u
-            for i in (a, *rest[(p[rest] < _TINY) | (p[rest] > 1 - _TINY)].tolist()):
-                if not _TINY < p[i] < 1 - _TINY:
-                    p[i] = round(p[i])
-
-
-def flight(prob: np.ndarray, size: np.ndarray, seed: int, heavy: int = HEAVY) -> np.ndarray:
-    """Probabilities after the flight: all but at most two are 0 or 1, sums and token sums kept, and each one's expectation too."""
+            _move(p, a, rest, u, rng)
+
+
+def flight(prob: np.ndarray, size: np.ndarray, seed: int, heavy: int = HEAVY, leave: int = 2) -> np.ndarray:
+    """Probabilities after the flight: all but at most ``leave`` are 0 or 1, sums and token sums kept, and each one's expectation too."""
     rng = np.random.default_rng(seed)
     start = prob.astype(float).copy()
     scaled = size / max(float(size.mean()), 1e-12) if len(size) else size
-    heavy_flight(start, scaled, rng, heavy)
+    heavy_flight(start, scaled, rng, heavy, leave)
+    many = len(_open(start))
     p, x = start.tolist(), scaled.tolist()
     draw = rng.random(len(p) + 3).tolist()
     held: list[int] = []
@@ -85,7 +93,7 @@ def flight(prob: np.ndarray, size: np.ndarray, seed: int, heavy: int = HEAVY) ->
             p[new] = round(p[new])
             continue
         held.append(new)
-        while len(held) == 3:
+        while len(held) == 3 and many > leave:
             a, b, c = held
             # The null space of the rows (1, 1, 1) and (x_a, x_b, x_c).
             u = (x[c] - x[b], x[a] - x[c], x[b] - x[a])
@@ -103,39 +111,33 @@ def flight(prob: np.ndarray, size: np.ndarray, seed: int, heavy: int = HEAVY) ->
             for i, v in zip(held, u):
                 q = p[i] + go * v
                 if q < _TINY or q > 1 - _TINY:
-                    p[i] = 0.0 if q < 0.5 else 1.0
+                    p[i], many = 0.0 if q < 0.5 else 1.0, many - 1
                 else:
                     p[i] = q
                     rest.append(i)
             held = rest
-    return np.array(p)
+        if many <= leave:
+            break
+    return np.where(np.abs(np.array(p) - 0.5) > 0.5 - _TINY, np.round(p), p) if p else np.zeros(0)
 
 
 def landing(prob: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
-    """Decides the at most two documents that the flight left, keeping their inclusion probabilities.
+    """Decides the few documents that the flight left: by tokens alone, the largest first, each against all that are still open.
 
-    The outcomes' chances have, with both probabilities given, one degree of freedom: the chance that both are used.  The
-    expected distance from the totals (tokens count ten times as much as documents) is linear in it, so the best
-    is one of its ends.
+    Every document keeps its inclusion probability.  The last one is drawn by itself, so the tokens are off by part of its size.
     """
-    q = prob.astype(float).copy()
-    left = _open(q)
-    draw = np.random.default_rng(seed + 1).random()
-    if len(left) == 1:
-        q[left] = float(draw < q[left[0]])
-    elif len(left) == 2:
-        (a, b), (p, r) = size[left], q[left]
-        total, docs = max(float((prob * size).sum()), _TINY), max(float(prob.sum()), _TINY)
-        cost = {(i, j): 10 * abs(i * a + j * b - p * a - r * b) / total + abs(i + j - p - r) / docs for i in (0, 1) for j in (0, 1)}
-        both = min((max(0.0, p + r - 1), min(p, r)), key=lambda w: w * (cost[1, 1] + cost[0, 0] - cost[1, 0] - cost[0, 1]))
-        chance = {(1, 1): both, (1, 0): p - both, (0, 1): r - both, (0, 0): 1 - p - r + both}
-        for outcome, w in chance.items():
-            q[left] = outcome
-            draw -= w
-            if draw < 0:
+    q, rng = prob.astype(float).copy(), np.random.default_rng(seed + 1)
+    x = size / max(float(size.mean()), 1e-12) if len(size) else size
+    for a in sorted(_open(q).tolist(), key=lambda i: -x[i]):
+        while _TINY < q[a] < 1 - _TINY:
+            rest = _open(q)
+            rest = rest[rest != a]
+            room = np.minimum(q[rest], 1 - q[rest]) * x[rest]
+            total = float((room * x[rest]).sum())
+            if total <= 1e-12:
+                q[a] = float(rng.random() < q[a])
                 break
-    elif len(left):
-        raise ValueError("the flight leaves two documents at most")
+            _move(q, a, rest, -x[a] * room / total, rng)
     return q
 
 
@@ -148,7 +150,7 @@ def _fly(last: bool):
         g = group.sort_values(["n_tokens", "place", "doc_id"], ascending=[False, True, True], kind="stable")
         seed = int(np.bitwise_xor.reduce(g["place"].to_numpy(np.int64)) & 0x7FFFFFFF)
         size = g["n_tokens"].to_numpy(float)
-        p = flight(g["prob"].to_numpy(float), size, seed)
+        p = flight(g["prob"].to_numpy(float), size, seed, leave=LEAVE if last else 2)
         return g.assign(prob=landing(p, size, seed) if last else p)[["mix_name", "source", "doc_id", "n_tokens", "whole", "prob"]]
 
     return run
@@ -193,9 +195,15 @@ def _draw(documents: DataFrame, mix_target: DataFrame, tokenizer: str, folder: s
     counted = cut(counted.groupBy("doc_id").agg(F.min("source").alias("source"), F.max("n_tokens").alias("n_tokens")).filter("n_tokens > 0"))
     sums = counted.groupBy("source").agg(F.count("*").alias("d"), F.sum("n_tokens").alias("t")).collect()  # a row per source of a mix
     planned = plan_shares({r["source"]: (r["d"], r["t"]) for r in sums}, targets, tokens)
-    live = [(t["mix_name"], t["source"], int(t["uses"] + _TINY), max(0.0, t["uses"] - int(t["uses"] + _TINY))) for t in planned if t["uses"] > 0]
-    shares = spark.createDataFrame(live, "mix_name string, source string, whole int, prob double")
-    units = counted.join(F.broadcast(shares), "source").select("mix_name", "source", "doc_id", "n_tokens", "whole", "prob")
+    live = [(t["mix_name"], t["source"], int(t["uses"] + _TINY), max(0.0, t["uses"] - int(t["uses"] + _TINY)), t["available"]) for t in planned if t["uses"] > 0]
+    shares = spark.createDataFrame([(*x[:4], x[3] * x[4]) for x in live], "mix_name string, source string, whole int, prob double, goal double")
+    units = counted.join(F.broadcast(shares), "source")
+    # A document of more tokens than all that a source's fractional part stands for has no place in it: the others share it.
+    small = F.col("n_tokens") <= F.col("goal")
+    room = units.groupBy("mix_name", "source").agg(F.sum(F.when(small, F.col("n_tokens"))).alias("room"))  # a row per target
+    enough = F.coalesce(F.col("room") >= F.col("goal"), F.lit(False))
+    prob = F.when(~enough, F.col("prob")).when(small, F.col("goal") / F.col("room")).otherwise(0.0)
+    units = units.join(F.broadcast(room), ["mix_name", "source"]).select("mix_name", "source", "doc_id", "n_tokens", "whole", prob.alias("prob"))
     most = max((t["docs"] for t in planned), default=0)
     settled, level = [units.filter(f"prob <= {_TINY}").withColumn("prob", F.lit(0.0))], 0
     units = units.filter(f"prob > {_TINY}")

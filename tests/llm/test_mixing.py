@@ -46,11 +46,23 @@ def test_landing_outcomes():
     size = np.array([10.0, 7.0, 3.0])
     mean = np.mean([landing(np.array([0.3, 0.6, 1.0]), size, s) for s in range(4000)], axis=0)
     assert np.abs(mean - [0.3, 0.6, 1.0]).max() < 0.03
-    # Nearly equal documents with probabilities of 1 in all: one of the two, never both or none.
+    # Equal documents with probabilities of 1 in all: one of the two, never both or none.
     assert {landing(np.array([0.4, 0.6]), np.array([5.0, 5.0]), s).sum() for s in range(200)} == {1.0}
     assert landing(np.zeros(0), np.zeros(0), 1).size == 0
 
 
+def test_few_documents_of_very_different_sizes_meet_the_tokens():
+    size = np.sort(np.random.default_rng(5).lognormal(5, 1.2, 300).round())[::-1]
+    goal = 0.06 * size.sum()
+    size = size[size <= goal / 2]
+    prob = np.full(len(size), goal / size.sum())
+    draws = np.array([landing(flight(prob, size, s, leave=64), size, s) for s in range(400)])
+    assert set(np.unique(draws)) <= {0.0, 1.0}
+    off = np.abs(draws @ size / goal - 1)
+    assert np.median(off) < 0.05 and off.mean() < 0.1
+    assert abs(draws.mean() - prob[0]) < 0.01 and np.abs(draws.mean(axis=0) - prob).max() < 0.06
+
+
 def docs(spark):
     rng = np.random.default_rng(3)
     rows = [(k, "star " * int(rng.integers(1, 60)), "ab"[k % 2] if k % 10 else "small", "", 0.0) for k in range(600)]
@@ -89,3 +101,11 @@ def test_plan():
     rows = [{"mix_name": "m", "source": s, "target_share": w, "max_repeats": r} for s, w, r in (("a", 0.5, 1), ("b", 0.5, 2))]
     got = {t["source"]: t["uses"] for t in plan_shares({"a": (5, 1000), "b": (5, 100)}, rows)}
     assert got == {"a": 0.2, "b": 2.0}
+
+
+def test_documents_larger_than_the_share(spark):
+    """A source's giant is longer than all that a small mix takes of it: the others make up the share."""
+    rows = [(k, "star " * 20, "a", "", 0.0) for k in range(400)] + [(999, "star " * 90_000, "a", "", 0.0)] + [(2000 + k, "star " * 20, "b", "", 0.0) for k in range(40)]
+    t = spark.createDataFrame([("m", "a", 0.5, 1), ("m", "b", 0.5, 1)], TARGETS)
+    report = {r["source"]: r for r in mix_report(spark.createDataFrame(rows, DOCS), t).collect()}
+    assert abs(report["a"]["actual_share"] - 0.5) < 0.01 and report["a"]["docs_used"] == pytest.approx(40, abs=1)
