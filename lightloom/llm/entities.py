@@ -14,8 +14,8 @@ The result carries the posterior as confidence.
 Similarities that cannot be computed are missing and count for neither class.  A differing number proves nothing
 (it may come from another numbering), so low agreement of numbers is missing too.
 
-A key that many things share makes no pairs by itself: of such things a row's magnitude tells which are nearest, and those are
-its candidates, with the number of things farther off as their competitors (``nearest_by_magnitude``).
+All things that share a key with a row are its candidates, however many they are.  In the fit, though not among the candidates
+of a row, the pairs of a key that many things share count together as one: such a key is no evidence of what pairs are like.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lightloom.operators.regions import finite, unit_vector
@@ -55,10 +55,10 @@ class Matching:
 
     radius: float = 8.0  #: arcseconds within which a place makes a candidate
     far: float = 10.0  #: separations beyond count as this
-    shared: int = 50  #: things of one name or number stretch up to which all are candidates; beyond, the nearest by magnitude
+    shared: int = 50  #: things of one name or number stretch up to which each pair counts fully in the fit; beyond, they count as one
     packed: int = 1000  #: the same for things in one cell of the sky
     stretch: int = 9  #: digits of a number at either end that make a candidate
-    longer: tuple[int, ...] = (12, 15, 18)  #: digits of the heads that are looked at where a shorter head is shared by too many
+    block: int = 1000  #: things of one key that a task meets at once
     claim: float = 0.05  #: posterior from which a row counts as claiming a thing
     agree: float = 0.8  #: agreement of numbers below this is missing
     weight: float = 25.0  #: rows that the prior of each Gaussian counts as
@@ -143,7 +143,6 @@ def _keys(side: str, m: Matching) -> Column:
     names = F.transform("a_names", lambda n: key(NAME, n)) if side == "a" else F.array_compact(F.array(F.when(F.col("b_name").isNotNull(), key(NAME, F.col("b_name")))))
     # A number's end says something only if it is whole; a shortened copy has another length and meets no end.
     numbers = [F.when(ref.isNotNull(), key(HEAD, F.substring(ref, 1, k))), F.when(ref.isNotNull() & F.col(f"{side}_whole"), key(TAIL, F.length(ref), F.substring(ref, -k, k)))]
-    numbers += [_head(ref, n) for n in m.longer] if side == "a" else []
     r = 2 * math.sin(math.radians(m.radius / 3600) / 2)
     box = 4 * r
     v = unit_vector(F.col(f"{side}_ra"), F.col(f"{side}_dec"))
@@ -158,73 +157,32 @@ def _keys(side: str, m: Matching) -> Column:
     return F.concat(*(F.coalesce(x, none) for x in every))
 
 
-def _head(ref: Column, digits: int) -> Column:
-    nowhere = [F.lit(None).cast("double").alias(n) for n in "xyz"]
-    return F.when(F.length(ref) >= digits, F.struct(F.lit(HEAD).alias("way"), F.xxhash64(F.lit(HEAD), F.substring(ref, 1, digits)).alias("key"), *nowhere))
-
-
 def candidates(rows: DataFrame, things: DataFrame, m: Matching = Matching()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Distinct candidate pairs (cat_id, obj_id, crowd), and both tables as they are compared.
+    """Distinct candidate pairs (cat_id, obj_id, weight), and both tables as they are compared.
 
-    All things of a key are candidates of its rows where the key is shared by ``m.shared`` things at most (``m.packed`` for a
-    cell of the sky).  A number's head that more things share is lengthened.  Of whatever more things share, the
-    nearest by magnitude are candidates; ``crowd`` then counts the things farther off on that side.  Nothing else can match
-    by such a key alone: things which agree in it and in magnitude share the row's probability of one.
+    All things of a key are candidates of all its rows.  Where more than ``m.shared`` things share it (``m.packed`` for a
+    cell of the sky) they meet the rows in blocks of about ``m.block``, so that no task has a key to itself, and each
+    pair has one part of as many as there are things for its ``weight``; of a pair that meets by several keys the largest counts.
     """
     a, b = (cut(side) for side in _sides(rows, things))
-    keyed_a = a.select("cat_id", "a_mag", F.explode(_keys("a", m)).alias("k")).select("cat_id", "a_mag", "k.*")
-    keyed_b = b.select("obj_id", "b_mag", "b_ref", F.explode(_keys("b", m)).alias("k")).select("obj_id", "b_mag", "b_ref", "k.*")
+    keyed_a = a.select("cat_id", F.explode(_keys("a", m)).alias("k")).select("cat_id", "k.*")
+    keyed_b = b.select("obj_id", F.explode(_keys("b", m)).alias("k")).select("obj_id", "k.*")
     most = F.when(F.col("way") == PLACE, m.packed).otherwise(m.shared)
-    counts = keyed_b.groupBy("way", "key").agg(F.count("*").alias("n")).filter(F.col("n") > most).select("way", "key")
-    many = cut(keyed_b.join(counts, ["way", "key"], "left_semi"))  # things of crowded keys; few, as a rule
-    few = keyed_b.join(counts, ["way", "key"], "left_anti")
-    # Heads that are shared by many, lengthened: of each thing the shortest head that is not.
-    heads = F.array_compact(F.array(*(F.struct(F.lit(n).alias("digits"), _head(F.col("b_ref"), n).alias("h")) for n in m.longer)))
-    longer = many.filter(F.col("way") == HEAD).select("obj_id", "b_mag", F.explode(heads).alias("l")).select("obj_id", "b_mag", "l.digits", "l.h.*").filter("key is not null")
-    full = longer.groupBy("key").agg(F.count("*").alias("n")).filter(f"n > {m.shared}").select("key")
-    single = longer.join(full, "key", "left_anti").groupBy("obj_id").agg(F.min(F.struct("digits", "key")).alias("s")).select("obj_id", "s.key")
-    known = few.select("obj_id", "key", "x", "y", "z").unionByName(single, allowMissingColumns=True)
+    many = cut(keyed_b.groupBy("way", "key").agg(F.count("*").alias("n")).filter(F.col("n") > most))  # crowded keys; few, as a rule
+    blocks = F.ceil(F.col("n") / m.block).cast("int")
     chord2 = sum(((F.col(f"a.{n}") - F.col(f"b.{n}")) ** 2 for n in "xyz"), F.lit(0.0))
     reach = (2 * math.sin(math.radians(m.radius / 3600) / 2)) ** 2 * (1 + 1e-9)
     near = F.col("a.x").isNull() | (chord2 <= reach)
-    pairs = keyed_a.alias("a").join(known.alias("b"), F.col("a.key") == F.col("b.key")).filter(near).select("cat_id", "obj_id", F.lit(0).cast("long").alias("crowd"))
-    crowded = many.select("obj_id", "b_mag", "key").unionByName(longer.join(full, "key", "left_semi").select("obj_id", "b_mag", "key"))
-    pairs = pairs.unionByName(nearest_by_magnitude(keyed_a.select("cat_id", "a_mag", "key"), crowded))
-    return pairs.groupBy("cat_id", "obj_id").agg(F.min("crowd").alias("crowd")), a, b
 
+    def met(one: DataFrame, other: DataFrame, on: list[str], weight: Column) -> DataFrame:
+        return one.alias("a").join(other.alias("b"), on).filter(near).select("cat_id", "obj_id", weight.alias("weight"))
 
-def nearest_by_magnitude(rows: DataFrame, things: DataFrame) -> DataFrame:
-    """(cat_id, obj_id, crowd): of the things of each row's crowded key those nearest in magnitude, two different ones on either side.
-
-    Magnitudes count in thousandths, so a key has 45,000 of them at most, however many things and rows share it; things alike
-    in that are represented by two, which share their probability.  ``crowd`` is the number of things beyond the
-    outer one of a side.  Things without a magnitude are candidates of every row of the key, by two as well.
-    """
-    milli = lambda x: F.round(F.col(x) * 1000).cast("int").alias("milli")
-    entry = things.select("key", "obj_id", milli("b_mag")).groupBy("key", "milli").agg(F.count("*").alias("n"), F.min("obj_id").alias("lo"), F.max("obj_id").alias("hi"))
-    line = Window.partitionBy("key").orderBy("milli")
-    dark = entry.filter("milli is null").select("key", "n", "lo", "hi")
-    ids = F.struct("lo", "hi")
-    t = entry.filter("milli is not null").withColumns(
-        {"before": F.lag(ids).over(line), "after": F.lead(ids).over(line), "below": F.sum("n").over(line), "all": F.sum("n").over(Window.partitionBy("key"))}
-    )
-    own = F.struct("lo", "hi", "before", "after", (F.col("below") - F.col("n")).alias("under"), (F.col("all") - F.col("below")).alias("over"))
-    asks = rows.filter("a_mag is not null").select("key", milli("a_mag")).distinct()
-    both = t.select("key", "milli", own.alias("t")).unionByName(asks.join(entry.select("key").distinct(), "key", "left_semi"), allowMissingColumns=True)
-    rising, falling = (Window.partitionBy("key").orderBy(o, F.col("t").isNull()).rowsBetween(Window.unboundedPreceding, 0) for o in (F.asc("milli"), F.desc("milli")))
-    seen = both.withColumns({"p": F.last("t", ignorenulls=True).over(rising), "q": F.last("t", ignorenulls=True).over(falling)}).filter("t is null")
-    zero = F.lit(0).cast("long")
-    side = []
-    for c, outer, beyond in (("p", "before", "under"), ("q", "after", "over")):
-        has = F.col(f"{c}.{outer}").isNotNull()
-        count = F.greatest(F.col(f"{c}.{beyond}") - 2, zero)
-        side += [F.struct(F.col(f"{c}.{x}").alias("obj_id"), F.when(has, zero).otherwise(F.col(f"{c}.{beyond}")).alias("crowd")) for x in ("lo", "hi")]
-        side += [F.struct(F.col(f"{c}.{outer}.{x}").alias("obj_id"), count.alias("crowd")) for x in ("lo", "hi")]
-    found = seen.select("key", "milli", F.explode(F.array(*side)).alias("s")).select("key", "milli", "s.*").filter("obj_id is not null").distinct()
-    asked = rows.filter("a_mag is not null").select("cat_id", "key", milli("a_mag"))
-    lit = asked.join(found, ["key", "milli"]).select("cat_id", "obj_id", "crowd")
-    unlit = rows.select("cat_id", "key").join(dark.select("key", F.greatest(F.col("n") - 2, zero).alias("crowd"), F.explode(F.array_distinct(F.array("lo", "hi"))).alias("obj_id")), "key")
-    return lit.unionByName(unlit.select("cat_id", "obj_id", "crowd"))
+    pairs = met(keyed_a, keyed_b.join(many, ["way", "key"], "left_anti"), ["way", "key"], F.lit(1.0))
+    if not many.isEmpty():
+        rows_in = keyed_a.join(many, ["way", "key"]).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).drop("n")
+        things_in = keyed_b.join(many, ["way", "key"]).withColumn("block", F.pmod(F.xxhash64("obj_id"), blocks).cast("int"))
+        pairs = pairs.unionByName(met(rows_in, things_in, ["way", "key", "block"], 1 / F.col("n")))
+    return pairs.groupBy("cat_id", "obj_id").agg(F.max("weight").alias("weight")), a, b
 
 
 def separation(one: str = "a", other: str = "b") -> Column:
@@ -256,11 +214,11 @@ ROW = ("a_ra", "a_dec", "a_mag")
 
 
 def similarities(pairs: DataFrame, a: DataFrame, b: DataFrame, m: Matching = Matching()) -> DataFrame:
-    """(cat_id, obj_id, crowd, one column per feature, the row's own columns), the pairs of a row side by side."""
+    """(cat_id, obj_id, weight, one column per feature, the row's own columns), the pairs of a row side by side."""
     both = pairs.join(a.drop("a_whole"), "cat_id").join(b.drop("b_whole"), "obj_id")
     name = F.array_compact(F.array("b_name"))
     features = _compared(F.col("a_names"), name, F.col("a_ref"), F.col("b_ref"), separation(), F.col("a_mag") - F.col("b_mag"), m)
-    return both.select("cat_id", "obj_id", "crowd", *features, *ROW).repartition("cat_id").sortWithinPartitions("cat_id", "obj_id")
+    return both.select("cat_id", "obj_id", "weight", *features, *ROW).repartition("cat_id").sortWithinPartitions("cat_id", "obj_id")
 
 
 def log_odds(g: Gaussians, features: dict[str, np.ndarray]) -> np.ndarray:
@@ -274,13 +232,13 @@ def log_odds(g: Gaussians, features: dict[str, np.ndarray]) -> np.ndarray:
     return np.clip(out, -300, 300)
 
 
-def _sums(p: np.ndarray, features: dict[str, np.ndarray]) -> list[float]:
+def _sums(p: np.ndarray, weight: np.ndarray, features: dict[str, np.ndarray]) -> list[float]:
     """What the next parameters are made of: pairs, posteriors, and for each feature and class weight, weighted values and squares."""
-    out = [float(len(p)), float(p.sum())]
+    out = [float(weight.sum()), float((weight * p).sum())]
     for f in FEATURES:
         x = features[f]
         seen = ~np.isnan(x)
-        for w in (p[seen], 1 - p[seen]):
+        for w in ((weight * p)[seen], (weight * (1 - p))[seen]):
             out += [float(w.sum()), float((w * x[seen]).sum()), float((w * x[seen] ** 2).sum())]
     return out
 
@@ -288,7 +246,7 @@ def _sums(p: np.ndarray, features: dict[str, np.ndarray]) -> list[float]:
 def _competition(g: Gaussians, m: Matching):
     """Kernel over pairs sorted by row: claims (posterior from ``m.claim`` on) as they are, all other pairs as one row of sums a batch.
 
-    A row's candidates, those beyond them and 'none of them' share a probability of one.
+    A row's candidates and 'none of them' share a probability of one.
     """
 
     def scored(t: pa.Table) -> pa.RecordBatch:
@@ -296,12 +254,12 @@ def _competition(g: Gaussians, m: Matching):
         start = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
         features = {f: t[f].to_numpy().astype(float) for f in FEATURES}
         odds = np.exp(log_odds(g, features))
-        total = np.add.reduceat(odds * (1 + t["crowd"].to_numpy()), start)
+        total = np.add.reduceat(odds, start)
         p = odds / (1 + np.repeat(total, np.diff(np.append(start, len(ids)))))
         claims = p >= m.claim
-        sums = _sums(p[~claims], {f: features[f][~claims] for f in FEATURES})
+        sums = _sums(p[~claims], t["weight"].to_numpy()[~claims], {f: features[f][~claims] for f in FEATURES})
         at = pa.array(np.flatnonzero(claims))
-        kept = t.take(at).append_column("p", pa.array(p[claims])).append_column("sums", pa.nulls(len(at), pa.list_(pa.float64()))).drop_columns(["crowd"])
+        kept = t.take(at).append_column("p", pa.array(p[claims])).append_column("sums", pa.nulls(len(at), pa.list_(pa.float64())))
         rest = pa.table({n: pa.nulls(1, kept.schema.field(n).type) if n != "sums" else pa.array([sums], pa.list_(pa.float64())) for n in kept.column_names})
         return pa.concat_tables([kept, rest]).combine_chunks().to_batches()[0]
 
@@ -330,7 +288,7 @@ def expectation(pairs: DataFrame, g: Gaussians, m: Matching = Matching()) -> Dat
     Parameters only enter the kernels, so the plan's code is the same in every round.
     """
     types = dict(pairs.dtypes)
-    schema = ", ".join(f"{n} {types[n]}" for n in pairs.columns if n != "crowd") + ", p double, sums array<double>"
+    schema = ", ".join(f"{n} {types[n]}" for n in pairs.columns) + ", p double, sums array<double>"
     scored = pairs.mapInArrow(_competition(g, m), schema)
     # The surest claim of a thing: one row per thing, combined before the shuffle, so a thing may have any number of claims.
     first = F.max(F.struct("p", (-F.col("cat_id")).alias("who"), *ROW)).alias("b")
@@ -338,7 +296,7 @@ def expectation(pairs: DataFrame, g: Gaussians, m: Matching = Matching()) -> Dat
     best = best.select("obj_id", F.col("b.p").alias("b_p"), (-F.col("b.who")).alias("b_id"), *(F.col(f"b.{c}").alias(f"b{c[1:]}") for c in ROW))
     joined = scored.join(best, "obj_id", "left")
     other = F.when(F.col("b_id") != F.col("cat_id"), F.col("b_p")).alias("b_p")
-    columns = ["cat_id", "obj_id", *FEATURES, "p", "sums", other, *ROW, *(f"b{c[1:]}" for c in ROW)]
+    columns = ["cat_id", "obj_id", "weight", *FEATURES, "p", "sums", other, *ROW, *(f"b{c[1:]}" for c in ROW)]
     return joined.select(*columns).mapInArrow(_likeness(g, m), f"cat_id {types['cat_id']}, obj_id {types['obj_id']}, p double, sums array<double>")
 
 
@@ -360,14 +318,14 @@ def _likeness(g: Gaussians, m: Matching):
         for batch in batches:
             t = pa.Table.from_batches([batch])
             claims = t.filter(pc.is_valid(t["p"]))
-            v = {n: claims[n].to_numpy().astype(float) for n in ("p", "b_p", *FEATURES, *ROW, *(f"b{c[1:]}" for c in ROW))}
+            v = {n: claims[n].to_numpy().astype(float) for n in ("p", "b_p", "weight", *FEATURES, *ROW, *(f"b{c[1:]}" for c in ROW))}
             none = np.full(len(v["p"]), np.nan)
             sep, step = arcseconds(v["a_ra"], v["a_dec"], v["b_ra"], v["b_dec"]), v["a_mag"] - v["b_mag"]
             told = {"f_name": none, "f_ref": none, "f_sep": np.minimum(sep, m.far), "f_mag": np.clip(step, -3, 3)}
             alike = 1 / (1 + np.exp(-log_odds(like, told)))
             alone = np.isnan(v["b_p"])
             p = np.minimum(v["p"], np.where(alone, 1.0, alike / np.where(alone, 1.0, v["b_p"])))
-            total = np.array(_sums(p, {f: v[f] for f in FEATURES}))
+            total = np.array(_sums(p, v["weight"], {f: v[f] for f in FEATURES}))
             for row in t.filter(pc.is_valid(t["sums"]))["sums"].to_pylist():
                 total += row
             ids = [pa.concat_arrays(claims[n].chunks) if claims[n].num_chunks else pa.array([], claims[n].type) for n in ("cat_id", "obj_id")]

@@ -96,3 +96,14 @@ def test_rows_of_one_thing_must_be_alike(spark):
     far = [(1, "C", "V900 Ind", None, None, "200.00000", "10.00000", 13.2, 0.0, 0.0), (2, "C", "V900 Ind", None, None, "20.00000", "-60.00000", 13.9, 0.0, 0.0)]
     run = lambda more: {r["cat_id"] for r in match_entities(spark.createDataFrame(rows + more, ROWS), things, QUICK).collect() if r["obj_id"] == 50}
     assert run(twice) == {1, 2} and run(far) == {1}
+
+
+def test_crowded_keys_leave_no_candidate_out(spark):
+    """Of many things of one name, one is told by its number alone: read with gaps at both ends, with and without magnitudes."""
+    number = lambda i: f"{(i * 7919 + 13) * 10**13 + (i * 104729) % 10**13:019d}"
+    for n, block in ((60, 1000), (60, 20)):
+        things = spark.createDataFrame([(i, None, None, number(i), "V300 Ind", 11.0 + 0.01 * i, 0.0) for i in range(n)], THINGS)
+        ref = "x" + number(41)[1:-1] + "x"
+        for mag in (None, 11.0 + 0.01 * 20):
+            got = match_entities(one_row(spark, designation="V300 Ind", source_ref=ref, gmag=mag), things, Matching(rounds=3, block=block)).collect()
+            assert [r["obj_id"] for r in got] == [41], (block, mag)
