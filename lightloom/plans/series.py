@@ -6,8 +6,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from lightloom.functions import kernels as G
 from lightloom.functions import scalar as X
@@ -23,19 +26,54 @@ BIN = 0.001
 NIGHTS, EPOCHS = 2, 20
 
 
-def per_series(df: DataFrame, key: list[str], run: Callable[[pd.DataFrame], dict | None], schema: str, order: str = "t") -> DataFrame:
-    """One row per group for which ``run`` (of the rows in order) gives a result.  Groups are single series of a night, or a
-    star's epochs averaged within ``BIN``, so their size is bounded by time and not by the number of rows."""
-    names = [x.split()[0] for x in schema.split(", ")]
+#: Columns of one series, by name.
+Rows = dict[str, np.ndarray]
 
-    def grouped(rows: pd.DataFrame) -> pd.DataFrame:
-        got = run(rows.sort_values(order, kind="stable"))
-        if got is None:
-            return pd.DataFrame({n: pd.Series([], dtype=object) for n in [*key, *names]})
-        return pd.DataFrame([{k: rows[k].iloc[0] for k in key} | {n: got[n] for n in names}])
 
+def per_series(df: DataFrame, key: list[str], run: Callable[[Rows], dict | None], schema: str, order: str = "t") -> DataFrame:
+    """One row per group for which ``run`` (of the rows in order) gives a result.  Groups are single series of a night, or a
+    star's epochs averaged within ``BIN``, so their size is bounded by time and not by the number of rows.
+
+    Groups lie side by side in batches of many, as one a batch would cost more than most kernels do.
+    """
     types = dict(df.dtypes)
-    return df.groupBy(*key).applyInPandas(grouped, ", ".join(f"{k} {types[k]}" for k in key) + ", " + schema)
+    ddl = ", ".join(f"{k} {types[k]}" for k in key) + ", " + schema
+    fields = list(to_arrow_schema(StructType.fromDDL(ddl)))
+
+    def done(t: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        columns = {n: t[n].to_numpy() for n in t.column_names}
+        rows = []
+        for i, j in zip(starts[:-1], starts[1:]):
+            one = {n: v[i:j] for n, v in columns.items()}
+            if (got := run(one)) is not None:
+                rows.append({k: one[k][0] for k in key} | got)
+        return pa.RecordBatch.from_arrays([pa.array([r[f.name] for r in rows], f.type, from_pandas=True) for f in fields], names=[f.name for f in fields])
+
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []  # the last group's rows may go on in the next batch
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([batch])
+            ids = [t[k].to_numpy() for k in key]
+            cuts = np.flatnonzero(np.logical_or.reduce([v[1:] != v[:-1] for v in ids])) + 1
+            if held and last != tuple(v[0] for v in ids):
+                cuts = np.concatenate([[0], cuts])
+            if len(cuts):
+                begun = pa.concat_tables([*held, t.slice(0, int(cuts[-1]))])
+                before = sum(x.num_rows for x in held)
+                yield done(begun, np.unique(np.concatenate([[0], before + cuts])))
+                held = [t.slice(int(cuts[-1]))]
+            else:
+                held.append(t)
+            last = tuple(v[-1] for v in ids)
+        if held:
+            rest = pa.concat_tables(held)
+            yield done(rest, np.array([0, rest.num_rows]))
+
+    # By a hash of the key: an exchange by the key itself would be dropped after a join by it, which may split its partitions.
+    return df.repartition(F.xxhash64(*key)).sortWithinPartitions(*key, order).mapInArrow(grouped, ddl)
 
 
 def good_frames(t: Inputs) -> DataFrame:
@@ -80,8 +118,8 @@ def tied(t: Inputs) -> DataFrame:
     return x.select("star_id", "night_id", "frame_index", "t", (c("m") - c("z") - 2.5 * F.log10(c("flux") / c("med"))).alias("y"), error.alias("e"))
 
 
-def _arrays(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return tuple(rows[k].to_numpy(float) for k in "tye")  # type: ignore[return-value]
+def _arrays(rows: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return tuple(rows[k].astype(float) for k in "tye")  # type: ignore[return-value]
 
 
 _BOX = "aper int, snr double, depth double, tc double, duration_h double, n_in int, coverage double, beta double, gain double, depths array<double>, errors array<double>, flags string"
@@ -93,8 +131,9 @@ def dips(t: Inputs) -> DataFrame:
     Apertures that disagree by more than three deviations are flagged.
     """
 
-    def run(rows: pd.DataFrame) -> dict | None:
-        parts = {int(a): _arrays(g) for a, g in rows.groupby("aper", sort=True)}
+    def run(rows: Rows) -> dict | None:
+        aper, every = rows["aper"], _arrays(rows)
+        parts = {int(a): tuple(v[aper == a] for v in every) for a in np.unique(aper)}
         spread = {a: np.median(np.abs(y - np.median(y))) for a, (_, y, _) in parts.items()}
         best = min(parts, key=lambda a: (spread[a], a))
         got = G.box_search(*parts[best])
@@ -165,9 +204,9 @@ _VARIABLE = "n long, rms_robust double, rms_std double, chi2 double, eta double,
 def _(t: Inputs) -> DataFrame:
     """How every star varies within a night: scatter, smoothness, slope, eclipses, period; and the class that these make."""
 
-    def run(rows: pd.DataFrame) -> dict | None:
+    def run(rows: Rows) -> dict | None:
         x, y, e = _arrays(rows)
-        n = len(rows)
+        n = len(x)
         if n < 20:
             return None
         r, d = y - np.median(y), np.diff(y)
@@ -189,10 +228,10 @@ def _(t: Inputs) -> DataFrame:
 
 @query("g7_g9_combined_periods")
 def _(t: Inputs) -> DataFrame:
-    def run(rows: pd.DataFrame) -> dict | None:
+    def run(rows: Rows) -> dict | None:
         a = _arrays(rows)
         got = G.best_period(*a)
-        fine = got and G.refine_period(*a, got["period"], night=rows["night_id"].to_numpy())
+        fine = got and G.refine_period(*a, got["period"], night=rows["night_id"])
         return got and got | {"refined": fine["period"] if fine else float("nan"), "error": fine["period_err"] if fine else float("nan")}
 
     return per_series(long_series(t), ["star_id"], run, "period double, power double, fap double, second double, coarsened boolean, refined double, error double")
@@ -202,7 +241,7 @@ def _(t: Inputs) -> DataFrame:
 def _(t: Inputs) -> DataFrame:
     """The best periodic dip of every star over its nights: 0.2 to 30 days, ten periods a resolution element, half an hour to five hours."""
 
-    def run(rows: pd.DataFrame) -> dict | None:
+    def run(rows: Rows) -> dict | None:
         a = _arrays(rows)
         span = np.ptp(a[0])
         f, coarsened = G.frequencies(a[0], 0.2, min(30.0, span / 1.5))
@@ -210,7 +249,7 @@ def _(t: Inputs) -> DataFrame:
         if got is None:
             return None
         inside = np.abs(np.mod(a[0] - got["t0"] + got["period"] / 2, got["period"]) - got["period"] / 2) <= got["duration_h"] / 48
-        return got | {"coarsened": coarsened, "nights_in": len(set(rows["night_id"].to_numpy()[inside].tolist()))}
+        return got | {"coarsened": coarsened, "nights_in": len(set(rows["night_id"][inside].tolist()))}
 
     return per_series(long_series(t), ["star_id"], run, "snr double, period double, depth double, duration_h double, t0 double, coarsened boolean, nights_in int")
 
@@ -224,10 +263,10 @@ def _(t: Inputs) -> DataFrame:
     """The period of every star over its nights, refined, compared with its catalogued one, and what it may stand for instead."""
     known = t.obj.filter("period > 0").select(c("obj_id").alias("star_id"), c("period").alias("known"))
 
-    def run(rows: pd.DataFrame) -> dict | None:
-        p = rows["known"].iloc[0]
-        p = float(p) if p == p and p is not None else None
-        return G.period_estimate(*_arrays(rows), rows["night_id"].to_numpy(), p, 1e-4 * p if p else 0.0)
+    def run(rows: Rows) -> dict | None:
+        p = float(rows["known"][0])
+        p = None if np.isnan(p) else p
+        return G.period_estimate(*_arrays(rows), rows["night_id"], p, 1e-4 * p if p else 0.0)
 
     return per_series(long_series(t).join(known, "star_id", "left"), ["star_id"], run, _ESTIMATE)
 
@@ -237,10 +276,10 @@ def _(t: Inputs) -> DataFrame:
     """The same over tied magnitudes, which also show what is slower than a night."""
     known = t.obj.filter("period > 0").select(c("obj_id").alias("star_id"), c("period").alias("known"))
 
-    def run(rows: pd.DataFrame) -> dict | None:
-        p = rows["known"].iloc[0]
-        p = float(p) if p == p and p is not None else None
-        return G.period_estimate(*_arrays(rows), rows["night_id"].to_numpy(), p, 1e-4 * p if p else 0.0, tied=True)
+    def run(rows: Rows) -> dict | None:
+        p = float(rows["known"][0])
+        p = None if np.isnan(p) else p
+        return G.period_estimate(*_arrays(rows), rows["night_id"], p, 1e-4 * p if p else 0.0, tied=True)
 
     return per_series(long_series(t, tied(t)).join(known, "star_id", "left"), ["star_id"], run, _ESTIMATE)
 
@@ -257,7 +296,7 @@ def _(t: Inputs) -> DataFrame:
 def _(t: Inputs) -> DataFrame:
     """Trapezoids at the best dip of each series of a night that stands out by six sigma, and whether it is seen only in part."""
 
-    def run(rows: pd.DataFrame) -> dict | None:
+    def run(rows: Rows) -> dict | None:
         a = _arrays(rows)
         dip = G.box_search(*a)
         if dip is None or dip["snr"] < 6:
