@@ -428,12 +428,13 @@ def refine_period(t: np.ndarray, y: np.ndarray, e: np.ndarray, period: float, te
     for _ in range(rounds):
         arg = 2 * np.pi * f * d
         raw = np.column_stack([g(k * arg) for k in range(1, terms + 1) for g in (np.cos, np.sin)])
-        fit = weighted_fit(level(raw), z, w)
+        flat = level(raw)
+        fit = weighted_fit(flat, z, w)
         if fit is None:
             return None
         b = fit[0]
         slope = sum(2 * np.pi * k * d * (-b[2 * k - 2] * np.sin(k * arg) + b[2 * k - 1] * np.cos(k * arg)) for k in range(1, terms + 1))
-        full = weighted_fit(level(np.column_stack([raw, slope])), z, w)
+        full = weighted_fit(np.column_stack([flat, level(slope)]), z, w)
         if full is None:
             return None
         beta, cov, chi2 = full

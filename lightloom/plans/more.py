@@ -12,6 +12,7 @@ from lightloom.functions import scalar as X
 from lightloom.operators import robust as R
 from lightloom.plans.registry import ORACLE, QUERIES, Inputs, query  # noqa: F401
 from lightloom.plans.statistics import _ENS, _Z, ensemble_terms, light_curves, r6, standardised
+from lightloom.session import cut
 
 c = F.col
 
@@ -83,14 +84,14 @@ z{i + 1} AS (SELECT night_id, sum((m - mean) / v) / sum(1 / v) AS z FROM k JOIN
 
 
 def tie(t: Inputs, rounds: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(star_id, night_id, m, v) of stars seen on several nights, and (night_id, z): zero points that tie their nights.
+    """(star_id, night_id, med, m, v) of stars seen on several nights, and (night_id, z): zero points that tie their nights.
 
-    Star means and night offsets in turn, from sums only.
+    Star means and night offsets in turn, from sums only; the means of the nights are taken from the epochs once for all rounds.
     """
     one = t.ep.filter("aper = 0")
     error = 1.0857 * 1.2533 * R.median(c("fluxerr") / c("flux")) / F.sqrt(F.count("*"))
-    s = one.groupBy("star_id", "night_id").agg((-2.5 * F.log10(R.median("flux"))).alias("m"), (error**2 + 0.003**2).alias("v"))
-    k = s.withColumn("n", F.count("*").over(Window.partitionBy("star_id"))).filter("n >= 2").drop("n")
+    s = one.groupBy("star_id", "night_id").agg(R.median("flux").alias("med"), (error**2 + 0.003**2).alias("v")).withColumn("m", -2.5 * F.log10("med"))
+    k = cut(s.withColumn("n", F.count("*").over(Window.partitionBy("star_id"))).filter("n >= 2").select("star_id", "night_id", "med", "m", "v"))
     z = k.select("night_id").distinct().withColumn("z", F.lit(0.0))
     for _ in range(rounds):
         mean = k.join(z, "night_id").groupBy("star_id").agg((F.sum((c("m") - c("z")) / c("v")) / F.sum(1 / c("v"))).alias("mean"))

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -90,9 +90,9 @@ def combined(t: Inputs) -> DataFrame:
     """(star_id, night_id, frame_index, t, y, e): all epochs of stars seen on several nights, relative to their median of the night."""
     one = t.ep.filter("aper = 0")
     level = one.groupBy("night_id", "star_id").agg(R.median("flux").alias("m"))
-    several = level.groupBy("star_id").agg(F.count("*").alias("n")).filter(f"n >= {NIGHTS}").select("star_id")
+    several = level.withColumn("n", F.count("*").over(Window.partitionBy("star_id"))).filter(f"n >= {NIGHTS}").drop("n")
     frames = t.fr.filter("bjd_tdb is not null").select("night_id", "frame_index", c("bjd_tdb").alias("t"))
-    x = one.join(level.join(several, "star_id", "left_semi"), ["night_id", "star_id"]).join(frames, ["night_id", "frame_index"])
+    x = one.join(several, ["night_id", "star_id"]).join(frames, ["night_id", "frame_index"])
     return x.select("star_id", "night_id", "frame_index", "t", (c("flux") / c("m")).alias("y"), (c("fluxerr") / c("m")).alias("e"))
 
 
@@ -101,8 +101,7 @@ def long_series(t: Inputs, epochs: DataFrame | None = None) -> DataFrame:
     w = 1 / c("e") ** 2
     mean = lambda x: F.sum(w * c(x)) / F.sum(w)
     out = (combined(t) if epochs is None else epochs).groupBy("star_id", "night_id", F.floor(c("t") / BIN).alias("b")).agg(mean("t").alias("t"), mean("y").alias("y"), (1 / F.sqrt(F.sum(w))).alias("e"))
-    enough = out.groupBy("star_id").agg(F.count("*").alias("n")).filter(f"n >= {EPOCHS}").select("star_id")
-    return out.join(enough, "star_id", "left_semi").drop("b")
+    return out.withColumn("n", F.count("*").over(Window.partitionBy("star_id"))).filter(f"n >= {EPOCHS}").drop("b", "n")
 
 
 def tied(t: Inputs) -> DataFrame:
@@ -111,9 +110,8 @@ def tied(t: Inputs) -> DataFrame:
     An epoch's own error and that of its night's mean add up.
     """
     k, z = tie(t)
-    level = t.ep.filter("aper = 0").groupBy("night_id", "star_id").agg(R.median("flux").alias("med"))
     frames = t.fr.filter("bjd_tdb is not null").select("night_id", "frame_index", c("bjd_tdb").alias("t"))
-    x = t.ep.filter("aper = 0").join(level, ["night_id", "star_id"]).join(k, ["night_id", "star_id"]).join(z, "night_id").join(frames, ["night_id", "frame_index"])
+    x = t.ep.filter("aper = 0").join(k, ["night_id", "star_id"]).join(z, "night_id").join(frames, ["night_id", "frame_index"])
     error = F.hypot(2.5 / np.log(10) * c("fluxerr") / c("flux"), F.sqrt("v"))
     return x.select("star_id", "night_id", "frame_index", "t", (c("m") - c("z") - 2.5 * F.log10(c("flux") / c("med"))).alias("y"), error.alias("e"))
 
@@ -318,8 +316,6 @@ SELECT e.det_id, i < a AS early, o > b AS late, coalesce(bool_or(i > g0 AND i <
 FROM e LEFT JOIN g ON g.night_id = e.night_id AND ((i > g0 AND i < g1) OR (o > g0 AND o < g1)) GROUP BY e.det_id, i, o, a, b""")
 def _(t: Inputs) -> DataFrame:
     """How much of every transit its night shows: ends before the first or after the last frame, or in a gap of twice the median spacing."""
-    from pyspark.sql import Window
-
     from lightloom.plans.statistics import cadence
 
     nights = cadence(t)

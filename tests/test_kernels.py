@@ -160,3 +160,30 @@ def test_long_periods_need_tied_nights():
     got = G.period_estimate(t, y, np.full(len(t), 0.004), night, known=3.1, known_err=0.001, tied=True)
     assert got["status"] == "verified" and got["harmonic"] == 1.0 and abs(got["period"] / 3.1 - 1) < 2e-3 and got["period_err"] > 0
     assert G.period_estimate(t, y, np.full(len(t), 0.004), night, tied=False)["status"] in ("long_period_needs_tie", "no_literature")
+
+
+def test_fast_sums_are_exact():
+    rng = np.random.default_rng(11)
+    for n, m in ((900, 40_000), (90, 13_001)):
+        t, h, f = rng.uniform(0, 70, n), rng.normal(size=(2, n)), np.linspace(0.02, 50, m)
+        arg = 2 * np.pi * np.outer(t, f[::97])
+        for got, plain in zip(G._trig_sums(t, h, f), (h @ np.cos(arg), h @ np.sin(arg))):
+            assert np.abs(got[:, ::97] - plain).max() < 1e-8
+
+
+def test_series_come_whole_through_batches(spark):
+    """One long series and many short ones, joined by their key before, in batches of a few rows."""
+    from pyspark.sql import functions as F
+
+    from lightloom.plans.series import per_series
+
+    rows = spark.range(6000).select(F.when(F.col("id") < 3000, 0).otherwise(F.col("id") % 500).alias("star"), (-F.col("id")).cast("double").alias("t"))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        joined = rows.join(rows.select("star").distinct(), "star", "left_semi")
+        got = per_series(joined, ["star"], lambda r: {"n": len(r["t"]), "first": r["t"][0], "none": float("nan")} if r["star"][0] != 3 else None, "n int, first double, none double").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    want = {(r["star"], r["n"], r["first"]) for r in rows.groupBy("star").agg(F.count("*").alias("n"), F.min("t").alias("first")).collect() if r["star"] != 3}
+    assert {(r["star"], r["n"], r["first"]) for r in got} == want and len(got) == 499 and all(r["none"] is None for r in got)
