@@ -129,7 +129,8 @@ def box_search(
     best, beta = np.unravel_index(int(np.argmax(white)), white.shape), np.ones(len(d))
     for _ in range(3):
         rest = fit.without(int(i[best]), int(j[best]))
-        beta = np.array([red_noise(rest, t, x) for x in d[:, 0]])
+        one = _scatter(rest)
+        beta = np.array([red_noise(rest, t, x, one=one) for x in d[:, 0]])
         again = np.unravel_index(int(np.argmax(white / beta[:, None])), white.shape)
         if again == best:
             break
@@ -161,10 +162,25 @@ def box_depth(t: np.ndarray, y: np.ndarray, e: np.ndarray, tc: float, duration_h
     return (-c, math.sqrt(max(fit.chi2 - c * c * info, 0) / spare / info)) if info > 0 else (math.nan, math.nan)
 
 
-def red_noise(r: np.ndarray, t: np.ndarray, width: float, least: int = 8) -> float:
-    """Scatter of residuals' means over stretches of ``width`` days, over what white noise would give; 1 at least (Pont et al. 2006)."""
-    one = 1.4826 * np.median(np.abs(r - np.median(r))) if len(r) else 0.0
-    if len(r) < 4 or width <= 0 or one <= 0:
+def _scatter(x: np.ndarray) -> float:
+    """Robust scatter of finite values; ``np.median`` costs more than these short series do."""
+
+    def median(v: np.ndarray) -> float:
+        v = np.sort(v)
+        return (v[(len(v) - 1) // 2] + v[len(v) // 2]) / 2
+
+    return 1.4826 * median(np.abs(x - median(x)))
+
+
+def red_noise(r: np.ndarray, t: np.ndarray, width: float, least: int = 8, one: float | None = None) -> float:
+    """Scatter of residuals' means over stretches of ``width`` days, over what white noise would give; 1 at least (Pont et al. 2006).
+
+    ``one``: the residuals' own scatter, where it is known.
+    """
+    if len(r) < 4 or width <= 0 or t[-1] - t[0] < (least - 1) * width * (1 - 1e-9):  # too short for so many stretches
+        return 1.0
+    one = _scatter(r) if one is None else one
+    if one <= 0:
         return 1.0
     k = ((t - t[0]) / width).astype(int)
     n = np.bincount(k)
@@ -172,7 +188,7 @@ def red_noise(r: np.ndarray, t: np.ndarray, width: float, least: int = 8) -> flo
     if some.sum() < least:
         return 1.0
     m = np.bincount(k, r)[some] / n[some]
-    return float(max(1.0, 1.4826 * np.median(np.abs(m - np.median(m))) / (one / math.sqrt(n[some].mean()))))
+    return float(max(1.0, _scatter(m) / (one / math.sqrt(n[some].mean()))))
 
 
 #: Points on either side to which the fast sums spread a term; twelve leave a relative error of 1e-12 on a grid of twice the frequencies.

@@ -187,3 +187,16 @@ def test_series_come_whole_through_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     want = {(r["star"], r["n"], r["first"]) for r in rows.groupBy("star").agg(F.count("*").alias("n"), F.min("t").alias("first")).collect() if r["star"] != 3}
     assert {(r["star"], r["n"], r["first"]) for r in got} == want and len(got) == 499 and all(r["none"] is None for r in got)
+
+
+def test_red_noise_of_many_widths():
+    """With the residuals' scatter told once, and with series too short for eight stretches, as by the definition."""
+    rng = np.random.default_rng(12)
+    for n, span in ((38, 0.3), (400, 0.3), (7, 0.3)):
+        t, r = np.sort(rng.uniform(0, span, n)), np.cumsum(rng.standard_normal(n))
+        one = 1.4826 * np.median(np.abs(r - np.median(r)))
+        for width in (*G.DURATIONS, np.ptp(t) / 7):
+            k = ((t - t[0]) / width).astype(int)
+            means = np.array([r[k == j].mean() for j in np.unique(k)])
+            want = 1.4826 * np.median(np.abs(means - np.median(means))) / (one / np.sqrt(n / len(means))) if len(means) >= 8 else 1.0
+            assert G.red_noise(r, t, width, one=one) == pytest.approx(max(1.0, want)) == pytest.approx(G.red_noise(r, t, width))
