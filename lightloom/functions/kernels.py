@@ -191,36 +191,52 @@ def red_noise(r: np.ndarray, t: np.ndarray, width: float, least: int = 8, one: f
     return float(max(1.0, _scatter(m) / (one / math.sqrt(n[some].mean()))))
 
 
-#: Points on either side to which the fast sums spread a term; twelve leave a relative error of 1e-12 on a grid of twice the frequencies.
-SPREAD = 12
+#: Points to which the fast sums spread a term, least ratio of their grid to the frequencies, and the kernel's shape for both: an error of about 1e-12 of the terms' sum.
+SPREAD, RATIO = 18, 1.5
+SHAPE = math.pi * SPREAD * (1 - 1 / (2 * RATIO))
+
+
+def _spreading(degree: int = 17, nodes: int = 60) -> np.ndarray:
+    """Kaiser-Bessel weights of the ``SPREAD`` points (columns) as polynomials, highest power first, of where a term lies between two points (-1 to 1)."""
+    v = np.cos(np.pi * (np.arange(nodes) + 0.5) / nodes)
+    z = ((v[:, None] + 1) / 2 + np.arange(SPREAD)) * 2 / SPREAD - 1
+    return np.linalg.lstsq(np.vander(v, degree + 1), np.i0(SHAPE * np.sqrt(1 - z * z)) * math.exp(-SHAPE), rcond=None)[0]
+
+
+_WEIGHTS = _spreading()
+#: Lengths that transform fast.
+_LENGTHS = np.array(sorted(2**a * 3**b * 5**c for a in range(21) for b in range(13) for c in range(9) if 2**a * 3**b * 5**c < 1 << 20))
 
 
 def _trig_sums(t: np.ndarray, h: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of h * cos and h * sin of 2 pi f t over a uniform grid of frequencies; of each row of ``h`` where it has several.
 
-    Few terms are summed as they are; many are spread to a time grid of two points per shortest period by Gaussian
-    weights, transformed at once and divided by the weights' transform (Greengard & Lee 2004).
+    Few terms are summed as they are; many are spread to a time grid of one and a half points a frequency by Kaiser-Bessel
+    weights, transformed and divided by the weights' transform (Fessler & Sutton 2003).
     """
-    if len(t) * len(f) <= 20_000 or len(f) < 64:
+    n, half = len(f), len(f) // 2
+    if len(t) * n <= 20_000 or n < 64:
         arg = 2 * np.pi * np.outer(t, f)
         return h @ np.cos(arg), h @ np.sin(arg)
-    n, half = len(f), len(f) // 2
-    size = min(p << max(int(np.ceil(np.log2((2 * n + 2 * SPREAD) / p))), 0) for p in (1, 3, 5))
-    ratio = size / n
-    tau = np.pi * SPREAD / (n * n * ratio * (ratio - 0.5))
+    least = max(math.ceil(RATIO * n), n + 2 * SPREAD)
+    size = int(_LENGTHS[np.searchsorted(_LENGTHS, least)]) if least <= _LENGTHS[-1] else least
     x = np.mod(t * ((f[-1] - f[0]) / (n - 1)), 1.0) * size
-    first = np.floor(x).astype(np.int64) - SPREAD + 1
-    off = np.arange(2 * SPREAD)
-    weights = np.exp(-((((x - first)[:, None] - off) * (2 * np.pi / size)) ** 2) / (4 * tau))
-    cell = ((first[:, None] + off) % size).ravel()
-    turn = np.exp(2j * np.pi * f[half] * t)
-    grid = np.empty((*h.shape[:-1], size), complex)
-    for row, value in zip(grid.reshape(-1, size), (h * turn).reshape(-1, len(t))):
-        row.real = np.bincount(cell, (weights * value.real[:, None]).ravel(), size)
-        row.imag = np.bincount(cell, (weights * value.imag[:, None]).ravel(), size)
-    k = np.arange(-half, n - half)
-    out = np.fft.ifft(grid)[..., k] * (np.sqrt(np.pi / tau) * np.exp(k * k * tau))
-    return out.real, out.imag
+    first = np.ceil(x - SPREAD / 2)
+    weights = np.vander(2 * (first - x) + SPREAD - 1, len(_WEIGHTS)) @ _WEIGHTS
+    cell = ((first.astype(np.int64)[:, None] + np.arange(SPREAD)) % size).ravel()
+    turned = h * np.exp(2j * np.pi * f[half] * t)
+    k = np.arange(-half, n - half) * (np.pi * SPREAD / size)
+    root = np.sqrt(SHAPE * SHAPE - k * k)
+    scale = root * np.exp(SHAPE - root) * (2 / SPREAD)  # the transform's hyperbolic sine is half an exponential here
+    real, imag = np.empty((*h.shape[:-1], n)), np.empty((*h.shape[:-1], n))
+    for value, a, b in zip(turned.reshape(-1, len(t)), real.reshape(-1, n), imag.reshape(-1, n)):
+        grid = np.zeros(size, complex)
+        np.add.at(grid, cell, (weights * value[:, None]).ravel())
+        np.fft.ifft(grid, norm="forward", out=grid)
+        z = np.concatenate([grid[size - half :], grid[: n - half]])
+        np.multiply(z.real, scale, out=a)
+        np.multiply(z.imag, scale, out=b)
+    return real, imag
 
 
 def lomb_scargle(t: np.ndarray, y: np.ndarray, e: np.ndarray, f: np.ndarray) -> np.ndarray:
@@ -449,13 +465,13 @@ def refine_period(t: np.ndarray, y: np.ndarray, e: np.ndarray, period: float, te
         if fit is None:
             return None
         b = fit[0]
-        slope = sum(2 * np.pi * k * d * (-b[2 * k - 2] * np.sin(k * arg) + b[2 * k - 1] * np.cos(k * arg)) for k in range(1, terms + 1))
+        slope = sum(2 * np.pi * k * d * (-b[2 * k - 2] * raw[:, 2 * k - 1] + b[2 * k - 1] * raw[:, 2 * k - 2]) for k in range(1, terms + 1))
         full = weighted_fit(np.column_stack([flat, level(slope)]), z, w)
         if full is None:
             return None
         beta, cov, chi2 = full
-        f = float(np.clip(f + beta[-1], f0 - 0.5 / span, f0 + 0.5 / span))
-        if abs(beta[-1]) < 1e-10:
+        before, f = f, float(np.clip(f + beta[-1], f0 - 0.5 / span, f0 + 0.5 / span))
+        if abs(beta[-1]) < 1e-10 or f == before:  # at its bound: all further rounds would be this one again
             break
     sf = math.sqrt(max(cov[-1, -1], 0) * max(1.0, chi2 / spare))
     return {"period": 1 / f, "period_err": sf / f**2, "chi2": chi2}

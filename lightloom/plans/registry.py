@@ -65,12 +65,15 @@ class Inputs:
 
     @property
     def ep(self) -> DataFrame:
+        return self.epochs(self.table("matched_epoch"), "snr", "flags")
+
+    def epochs(self, rows: DataFrame, *rest: str) -> DataFrame:
+        """Of repeated rows of epochs the last loaded, where its flux is good; ``rest`` of the columns snr and flags, which do not decide it."""
         key = ["night_id", "star_id", "frame_index", "aper"]
-        last = self.table("matched_epoch").groupBy(*key).agg(
-            F.max(F.struct("loaded_at", F.when(~F.isnan("flux"), F.col("flux")).alias("flux"), "fluxerr", F.col("snr").cast("double").alias("snr"), "flags")).alias("r")
-        )
+        more = {"snr": F.col("snr").cast("double").alias("snr"), "flags": F.col("flags")}
+        last = rows.groupBy(*key).agg(F.max(F.struct("loaded_at", F.when(~F.isnan("flux"), F.col("flux")).alias("flux"), "fluxerr", *(more[x] for x in rest))).alias("r"))
         good = "flux > 0 and flux < double('infinity') and fluxerr > 0 and fluxerr < double('infinity')"
-        return last.select(*key, "r.flux", "r.fluxerr", "r.snr", "r.flags").filter(good)
+        return last.select(*key, "r.flux", "r.fluxerr", *(f"r.{x}" for x in rest)).filter(good)
 
     @property
     def det(self) -> DataFrame:

@@ -87,13 +87,19 @@ def night_series(t: Inputs) -> DataFrame:
 
 
 def combined(t: Inputs) -> DataFrame:
-    """(star_id, night_id, frame_index, t, y, e): all epochs of stars seen on several nights, relative to their median of the night."""
-    one = t.ep.filter("aper = 0")
-    level = one.groupBy("night_id", "star_id").agg(R.median("flux").alias("m"))
-    several = level.withColumn("n", F.count("*").over(Window.partitionBy("star_id"))).filter(f"n >= {NIGHTS}").drop("n")
-    frames = t.fr.filter("bjd_tdb is not null").select("night_id", "frame_index", c("bjd_tdb").alias("t"))
-    x = one.join(several, ["night_id", "star_id"]).join(frames, ["night_id", "frame_index"])
-    return x.select("star_id", "night_id", "frame_index", "t", (c("flux") / c("m")).alias("y"), (c("fluxerr") / c("m")).alias("e"))
+    """(star_id, night_id, frame_index, t, y, e): all epochs of stars seen on several nights, relative to their median of the night.
+
+    Epochs move once to their frames and once to their stars.  Frames come as lists of times, empty for those without one, as
+    medians and nights count all epochs.
+    """
+    frame = ["night_id", "frame_index"]
+    times = t.fr.groupBy(*frame).agg(F.collect_list("bjd_tdb").alias("ts"))
+    one = t.epochs(t.table("matched_epoch").filter("aper = 0 and star_id is not null").repartition(*frame))
+    x = one.join(times, frame, "left").repartition("star_id")
+    star, night = Window.partitionBy("star_id"), Window.partitionBy("star_id", "night_id")
+    x = x.withColumn("k", F.row_number().over(night.orderBy("frame_index"))).withColumn("m", R.median("flux").over(night))
+    x = x.withColumn("n", F.count(F.when(c("k") == 1, 1)).over(star)).filter(f"n >= {NIGHTS}")
+    return x.select("star_id", "night_id", "frame_index", F.explode("ts").alias("t"), (c("flux") / c("m")).alias("y"), (c("fluxerr") / c("m")).alias("e"))
 
 
 def long_series(t: Inputs, epochs: DataFrame | None = None) -> DataFrame:
