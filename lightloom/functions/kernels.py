@@ -7,6 +7,8 @@ numbers, never raises on degenerate input, and answers None or NaN where a serie
 from __future__ import annotations
 
 import math
+from collections.abc import Generator
+from functools import lru_cache
 
 import numpy as np
 
@@ -208,6 +210,14 @@ _WEIGHTS = _spreading()
 _LENGTHS = np.array(sorted(2**a * 3**b * 5**c for a in range(21) for b in range(13) for c in range(9) if 2**a * 3**b * 5**c < 1 << 20))
 
 
+@lru_cache(maxsize=2)
+def _scale(n: int, size: int) -> np.ndarray:
+    """One over the transform of the weights; its hyperbolic sine is half an exponential here."""
+    k = np.arange(-(n // 2), n - n // 2) * (np.pi * SPREAD / size)
+    root = np.sqrt(SHAPE * SHAPE - k * k)
+    return root * np.exp(SHAPE - root) * (2 / SPREAD)
+
+
 def _trig_sums(t: np.ndarray, h: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of h * cos and h * sin of 2 pi f t over a uniform grid of frequencies; of each row of ``h`` where it has several.
 
@@ -225,9 +235,7 @@ def _trig_sums(t: np.ndarray, h: np.ndarray, f: np.ndarray) -> tuple[np.ndarray,
     weights = np.vander(2 * (first - x) + SPREAD - 1, len(_WEIGHTS)) @ _WEIGHTS
     cell = ((first.astype(np.int64)[:, None] + np.arange(SPREAD)) % size).ravel()
     turned = h * np.exp(2j * np.pi * f[half] * t)
-    k = np.arange(-half, n - half) * (np.pi * SPREAD / size)
-    root = np.sqrt(SHAPE * SHAPE - k * k)
-    scale = root * np.exp(SHAPE - root) * (2 / SPREAD)  # the transform's hyperbolic sine is half an exponential here
+    scale = _scale(n, size)
     real, imag = np.empty((*h.shape[:-1], n)), np.empty((*h.shape[:-1], n))
     for value, a, b in zip(turned.reshape(-1, len(t)), real.reshape(-1, n), imag.reshape(-1, n)):
         grid = np.zeros(size, complex)
@@ -354,11 +362,17 @@ def phase_stats(t: np.ndarray, period: float, bins: int = 20) -> tuple[float, fl
     return len(np.unique(k)) / bins, float(np.ptp(t) / period)
 
 
-def period_estimate(
+#: A series to be refined: times, values, errors, period, and the night of each point or None.
+ToRefine = tuple[np.ndarray, np.ndarray, np.ndarray, float, np.ndarray | None]
+
+
+def _estimating(
     t: np.ndarray, y: np.ndarray, e: np.ndarray, night: np.ndarray, known: float | None = None, known_err: float = 0.0, guess: float | None = None, tied: bool = False,
     shortest: float = 0.02, longest: float = 100.0, long: float = 1.0, window: float = 0.05, guided: float = 0.2,
-) -> dict:
-    """The period of a star over its nights, and how it compares with a known one.
+) -> Generator[ToRefine, dict | None, dict]:
+    """``period_estimate`` in two steps, between which it asks for a period to be refined.
+
+    The period of a star over its nights, and how it compares with a known one.
 
     The peak is the highest of all, or with a guess or a known period the highest within its windows.  A period beyond ``long`` days
     cannot be measured on nights that each have their own level (``tied`` says that they do not).  All others are refined by a
@@ -388,7 +402,7 @@ def period_estimate(
     if period > long and not tied:
         coverage, cycles = phase_stats(t, period)
         return out | {"period": period, "coverage": coverage, "n_cycles": cycles, "status": "long_period_needs_tie"}
-    fine = refine_period(t, y, e, period, night=None if period > long else night)
+    fine = yield t, y, e, period, None if period > long else night
     error = None
     if fine is not None:
         period, error = fine["period"], fine["period_err"]
@@ -404,6 +418,29 @@ def period_estimate(
     return out | {"period": period, "period_err": error, "fap": baluev_fap(out["power"], len(t), float(f[-1]), t, e), "coverage": coverage, "n_cycles": cycles, "status": status}
 
 
+def period_estimates(series: list[tuple], **how: float | bool) -> list[dict]:
+    """``period_estimate`` of each series' arguments; all are refined together."""
+    out: list[dict] = [{}] * len(series)
+    asked = []
+    for i, one in enumerate(series):
+        steps = _estimating(*one, **how)
+        try:
+            asked.append((i, steps, next(steps)))
+        except StopIteration as told:
+            out[i] = told.value
+    for (i, steps, _), fine in zip(asked, refine_periods([a for *_, a in asked])):
+        try:
+            steps.send(fine)
+        except StopIteration as told:
+            out[i] = told.value
+    return out
+
+
+def period_estimate(*one: np.ndarray | float | None, **how: float | bool | None) -> dict:
+    """The period of a star over its nights, and how it compares with a known one (arguments of ``_estimating``)."""
+    return period_estimates([one], **how)[0]
+
+
 def box_period(t: np.ndarray, y: np.ndarray, e: np.ndarray, periods: np.ndarray, durations: np.ndarray, bins: int = 200, chunk: int = 256) -> dict | None:
     """Box least squares over folded bins: period, duration and start of greatest signal to noise (Kovacs et al. 2002)."""
     if len(t) < 20 or not len(periods):
@@ -433,48 +470,86 @@ def box_period(t: np.ndarray, y: np.ndarray, e: np.ndarray, periods: np.ndarray,
     return best
 
 
-def refine_period(t: np.ndarray, y: np.ndarray, e: np.ndarray, period: float, terms: int = 2, rounds: int = 8, night: np.ndarray | None = None) -> dict | None:
-    """Frequency of a Fourier series fitted by Gauss-Newton within half a resolution element, with its error.
+def _fits(x: np.ndarray, z: np.ndarray, w: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``weighted_fit`` of series that lie behind one another: columns ``x`` (column, row), each series' first row and number of rows.
 
-    ``night`` names each point's night: every night then has its own level (its weighted mean is taken from all columns).
+    (which could be fitted, coefficients, covariances, chi-squared), a row per series.
+    """
+    k, wx = len(x), w * x
+    m = np.empty((len(starts), k, k))
+    for i in range(k):
+        m[:, i, i:] = m[:, i:, i] = np.add.reduceat(wx[i] * x[i:], starts, axis=1).T
+    good = np.isfinite(m).all(axis=(1, 2))
+    m[~good] = np.eye(k)
+    value, vector = np.linalg.eigh(m)
+    least, most = np.abs(value).min(axis=1), np.abs(value).max(axis=1)
+    good &= (least > 0) & (most <= 1e14 * least)
+    value[~good] = 1.0
+    cov = (vector / value[:, None, :]) @ vector.transpose(0, 2, 1)
+    beta = (cov @ np.add.reduceat(wx * z, starts, axis=1).T[:, :, None])[:, :, 0]
+    r = z - (np.repeat(beta.T, size, axis=1) * x).sum(axis=0)
+    return good, beta, cov, np.add.reduceat(w * r * r, starts)
+
+
+def refine_periods(series: list[ToRefine], terms: int = 2, rounds: int = 8) -> list[dict | None]:
+    """Frequency of a Fourier series fitted to each series by Gauss-Newton within half a resolution element, with its error.
+
+    Where each point's night is told every night has its own level (its weighted mean is taken from all columns).  Rounds
+    are taken by all series at once, each until its own end; their rows lie behind one another, by night.
     """
-    w, span = 1 / e**2, max(np.ptp(t), 1e-9)
-    if night is None:
-        night = np.zeros(len(t), int)
-    _, group = np.unique(night, return_inverse=True)
-    levels = int(group.max()) + 1 if len(group) else 0
-    total = np.bincount(group, w)
+    out: list[dict | None] = [None] * len(series)
+    which = np.array([i for i, s in enumerate(series) if len(s[0]) - 2 * terms - 1 >= 3], int)
+    if not len(which):
+        return out
+    size = np.array([len(series[i][0]) for i in which])
+    t, y, e = (np.concatenate([series[i][k] for i in which]) for k in range(3))
+    star = np.repeat(np.arange(len(which)), size)
+    night = np.concatenate([np.zeros(len(series[i][0]), int) if series[i][4] is None else np.unique(series[i][4], return_inverse=True)[1] for i in which])
+    order = np.lexsort((night, star))
+    t, y, w, night = t[order], y[order], 1 / e[order] ** 2, night[order]
+    starts = np.cumsum(size) - size
+    span = np.maximum(np.maximum.reduceat(t, starts) - np.minimum.reduceat(t, starts), 1e-9)
+    begun = np.flatnonzero(np.concatenate([[True], (star[1:] != star[:-1]) | (night[1:] != night[:-1])]))
+    spare = size - np.bincount(star[begun], minlength=len(which)) - 2 * terms - 1
+    d = t - np.repeat(np.array([series[i][0].mean() for i in which]), size)
+    f0 = np.array([1 / series[i][3] for i in which])
 
     def level(v: np.ndarray) -> np.ndarray:
-        v = v if v.ndim == 2 else v[:, None]
-        k = v.shape[1]
-        sums = np.bincount((group[:, None] * k + np.arange(k)).ravel(), (w[:, None] * v).ravel()).reshape(-1, k)
-        return v - (sums / total[:, None])[group]
-
-    z = level(y)[:, 0]
-    spare = len(t) - levels - 2 * terms - 1
-    if spare < 1:
-        return None
-    f0 = f = 1 / period
-    d = t - t.mean()
-    for _ in range(rounds):
-        arg = 2 * np.pi * f * d
-        raw = np.column_stack([g(k * arg) for k in range(1, terms + 1) for g in (np.cos, np.sin)])
-        flat = level(raw)
-        fit = weighted_fit(flat, z, w)
-        if fit is None:
-            return None
-        b = fit[0]
-        slope = sum(2 * np.pi * k * d * (-b[2 * k - 2] * raw[:, 2 * k - 1] + b[2 * k - 1] * raw[:, 2 * k - 2]) for k in range(1, terms + 1))
-        full = weighted_fit(np.column_stack([flat, level(slope)]), z, w)
-        if full is None:
-            return None
-        beta, cov, chi2 = full
-        before, f = f, float(np.clip(f + beta[-1], f0 - 0.5 / span, f0 + 0.5 / span))
-        if abs(beta[-1]) < 1e-10 or f == before:  # at its bound: all further rounds would be this one again
+        many = np.diff(np.append(begun, len(w)))
+        return v - np.repeat(np.add.reduceat(w * v, begun, axis=-1) / np.add.reduceat(w, begun), many, axis=-1)
+
+    z, f, going = level(y), f0.copy(), spare >= 1
+    for turn in range(rounds):
+        if not going.all():  # rows of series that have ended go
+            row, group = np.repeat(going, size), going[star[begun]]
+            first = np.zeros(len(w), bool)
+            first[begun[group]] = True
+            begun = np.flatnonzero(first[row])
+            d, w, z = d[row], w[row], z[row]
+            which, size, span, spare, f0, f = which[going], size[going], span[going], spare[going], f0[going], f[going]
+            star, starts = np.repeat(np.arange(len(which)), size), np.cumsum(size) - size
+        if not len(which):
             break
-    sf = math.sqrt(max(cov[-1, -1], 0) * max(1.0, chi2 / spare))
-    return {"period": 1 / f, "period_err": sf / f**2, "chi2": chi2}
+        arg = 2 * np.pi * np.repeat(f, size) * d
+        raw = np.stack([g(k * arg) for k in range(1, terms + 1) for g in (np.cos, np.sin)])
+        flat = level(raw)
+        fitted, b, _, _ = _fits(flat, z, w, starts, size)
+        b = np.repeat(b.T, size, axis=1)
+        slope = sum(2 * np.pi * k * d * (-b[2 * k - 2] * raw[2 * k - 1] + b[2 * k - 1] * raw[2 * k - 2]) for k in range(1, terms + 1))
+        good, beta, cov, chi2 = _fits(np.concatenate([flat, level(slope)[None]]), z, w, starts, size)
+        good &= fitted
+        step, before = beta[:, -1], f
+        f = np.clip(f + step, f0 - 0.5 / span, f0 + 0.5 / span)
+        going = good & (np.abs(step) >= 1e-10) & (f != before)  # one that stays at its bound would stay there
+        for i in np.flatnonzero(good & ~going if turn < rounds - 1 else good):
+            sf = math.sqrt(max(cov[i, -1, -1], 0) * max(1.0, chi2[i] / spare[i]))
+            out[which[i]] = {"period": float(1 / f[i]), "period_err": float(sf / f[i] ** 2), "chi2": float(chi2[i])}
+    return out
+
+
+def refine_period(t: np.ndarray, y: np.ndarray, e: np.ndarray, period: float, terms: int = 2, rounds: int = 8, night: np.ndarray | None = None) -> dict | None:
+    """``refine_periods`` of one series."""
+    return refine_periods([(t, y, e, period, night)], terms, rounds)[0]
 
 
 def trapezoid_fit(t: np.ndarray, y: np.ndarray, e: np.ndarray, tc: float, total: float, depth: float, rounds: int = 60) -> dict | None:

@@ -30,8 +30,8 @@ NIGHTS, EPOCHS = 2, 20
 Rows = dict[str, np.ndarray]
 
 
-def per_series(df: DataFrame, key: list[str], run: Callable[[Rows], dict | None], schema: str, order: str = "t") -> DataFrame:
-    """One row per group for which ``run`` (of the rows in order) gives a result.  Groups are single series of a night, or a
+def per_series(df: DataFrame, key: list[str], run: Callable, schema: str, order: str = "t", together: bool = False) -> DataFrame:
+    """One row per group for which ``run`` (of the rows in order; ``together``: of a list of groups, with a list of results) gives a result.  Groups are single series of a night, or a
     star's epochs averaged within ``BIN``, so their size is bounded by time and not by the number of rows.
 
     Groups lie side by side in batches of many, as one a batch would cost more than most kernels do.
@@ -42,11 +42,9 @@ def per_series(df: DataFrame, key: list[str], run: Callable[[Rows], dict | None]
 
     def done(t: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
         columns = {n: t[n].to_numpy() for n in t.column_names}
-        rows = []
-        for i, j in zip(starts[:-1], starts[1:]):
-            one = {n: v[i:j] for n, v in columns.items()}
-            if (got := run(one)) is not None:
-                rows.append({k: one[k][0] for k in key} | got)
+        series = [{n: v[i:j] for n, v in columns.items()} for i, j in zip(starts[:-1], starts[1:])]
+        found = run(series) if together else [run(one) for one in series]
+        rows = [{k: one[k][0] for k in key} | got for one, got in zip(series, found) if got is not None]
         return pa.RecordBatch.from_arrays([pa.array([r[f.name] for r in rows], f.type, from_pandas=True) for f in fields], names=[f.name for f in fields])
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,30 +260,26 @@ _ESTIMATE = ("n_nights int, status string, period double, period_err double, pow
              "alias_periods array<double>, alias_powers array<double>")
 
 
-@query("g14_g15_o6_period_estimates")
-def _(t: Inputs) -> DataFrame:
-    """The period of every star over its nights, refined, compared with its catalogued one, and what it may stand for instead."""
+def estimates(t: Inputs, series: DataFrame, **how: bool) -> DataFrame:
     known = t.obj.filter("period > 0").select(c("obj_id").alias("star_id"), c("period").alias("known"))
 
-    def run(rows: Rows) -> dict | None:
-        p = float(rows["known"][0])
-        p = None if np.isnan(p) else p
-        return G.period_estimate(*_arrays(rows), rows["night_id"], p, 1e-4 * p if p else 0.0)
+    def run(series: list[Rows]) -> list[dict]:
+        known = [None if np.isnan(rows["known"][0]) else float(rows["known"][0]) for rows in series]
+        return G.period_estimates([(*_arrays(rows), rows["night_id"], p, 1e-4 * p if p else 0.0) for rows, p in zip(series, known)], **how)
 
-    return per_series(long_series(t).join(known, "star_id", "left"), ["star_id"], run, _ESTIMATE)
+    return per_series(series.join(known, "star_id", "left"), ["star_id"], run, _ESTIMATE, together=True)
 
 
-@query("g15_tied_period_estimates")
+@query("g14_g15_o6_period_estimates")
 def _(t: Inputs) -> DataFrame:
-    """The same over tied magnitudes, which also show what is slower than a night."""
-    known = t.obj.filter("period > 0").select(c("obj_id").alias("star_id"), c("period").alias("known"))
+    """The period of every star over its nights, refined, compared with its catalogued one, and what it may stand for instead."""
+    return estimates(t, long_series(t))
 
-    def run(rows: Rows) -> dict | None:
-        p = float(rows["known"][0])
-        p = None if np.isnan(p) else p
-        return G.period_estimate(*_arrays(rows), rows["night_id"], p, 1e-4 * p if p else 0.0, tied=True)
 
-    return per_series(long_series(t, tied(t)).join(known, "star_id", "left"), ["star_id"], run, _ESTIMATE)
+@query("g15_tied_period_estimates")
+def _(t: Inputs) -> DataFrame:
+    """The same over tied magnitudes, which also show what is slower than a night."""
+    return estimates(t, long_series(t, tied(t)), tied=True)
 
 
 @query("g16_g31_tied_series", f"""

@@ -1,6 +1,7 @@
 """Epochs of all nights of a star: each epoch read once, medians of all of a night's epochs; and the exactness of the sums over them."""
 
 import datetime as dt
+import math
 from collections import defaultdict
 from statistics import median
 
@@ -62,3 +63,66 @@ def test_fast_sums_lose_nothing_on_short_grids():
         arg = 2 * np.pi * np.outer(t, f[::31])
         for got, plain in zip(G._trig_sums(t, h, f), (h @ np.cos(arg), h @ np.sin(arg))):
             assert (np.abs(got[:, ::31] - plain).max(axis=1) < 1e-12 * np.abs(h).sum(axis=1)).all()
+
+
+def refined(t, y, e, period, night):
+    """The definition, one series at a time: a level per night as columns of the fit's weighted means."""
+    w, span, f = 1 / e**2, np.ptp(t), 1 / period
+    night = np.zeros(len(t), int) if night is None else night
+    in_night = (night[:, None] == np.unique(night)).astype(float)
+    level = lambda v: v - in_night @ ((in_night.T @ (w * v)) / (in_night.T @ w))
+    z, d, spare = level(y), t - t.mean(), len(t) - in_night.shape[1] - 5
+    if spare < 1:
+        return None
+    for _ in range(8):
+        arg = 2 * np.pi * f * d
+        flat = np.column_stack([level(g(k * arg)) for k in (1, 2) for g in (np.cos, np.sin)])
+        fit = G.weighted_fit(flat, z, w)
+        if fit is None:
+            return None
+        b = fit[0]
+        slope = sum(2 * np.pi * k * d * (-b[2 * k - 2] * np.sin(k * arg) + b[2 * k - 1] * np.cos(k * arg)) for k in (1, 2))
+        full = G.weighted_fit(np.column_stack([flat, level(slope)]), z, w)
+        if full is None:
+            return None
+        f = float(np.clip(f + full[0][-1], 1 / period - 0.5 / span, 1 / period + 0.5 / span))
+        if abs(full[0][-1]) < 1e-10:
+            break
+    return {"period": 1 / f, "period_err": math.sqrt(max(full[1][-1, -1], 0) * max(1.0, full[2] / spare)) / f**2, "chi2": full[2]}
+
+
+def test_periods_refined_together_are_those_of_each_series():
+    """Series that end early, go to their bound, are too short or flat, with nights that overlap in time or without nights."""
+    rng = np.random.default_rng(17)
+    series = []
+    for k in range(60):
+        n = int(rng.integers(20, 140))
+        t = 2_460_000 + np.sort(rng.uniform(0, 0.4, n) + rng.integers(0, 9, n))
+        night = np.floor(t).astype(int) * 2 + (rng.random(n) < 0.2)
+        y = 1 + 0.02 * np.sin(2 * np.pi * t / 0.31) * (k % 3 > 0) + 0.004 * rng.standard_normal(n)
+        series.append((t, y, rng.uniform(0.003, 0.005, n), 0.31 * (1 + 0.002 * rng.standard_normal()) if k % 4 else 0.07, None if k % 5 == 0 else night))
+    t, y, e, p, _ = series[1]
+    series += [(t[:7], y[:7], e[:7], p, None), (t[:12], y[:12], e[:12], p, np.arange(12)), (t, y, e, 1e9, None), (np.full(30, t[0]), y[:30].repeat(2)[:30], np.full(30, 0.01), p, None)]
+    got = G.refine_periods(series)
+    for one, found, single in zip(series, got, (G.refine_period(*s[:4], night=s[4]) for s in series)):
+        want = refined(*one) if len(one[0]) and np.ptp(one[0]) else None
+        assert (found is None) == (want is None) == (single is None)
+        if want is not None:
+            for k in want:
+                assert found[k] == pytest.approx(want[k], rel=1e-6) and single[k] == pytest.approx(want[k], rel=1e-6)
+    assert sum(x is not None for x in got) >= 60 and G.refine_periods([]) == []
+
+
+def test_estimates_together_are_those_of_each_series():
+    rng = np.random.default_rng(19)
+    series = []
+    for k in range(12):
+        t = np.sort(rng.uniform(0, 0.4, 60) + rng.integers(0, 9, 60))[: 4 if k == 3 else 60]
+        y = 1 + 0.02 * np.sin(2 * np.pi * t / (0.3 if k % 2 else 3.1)) + 0.003 * rng.standard_normal(len(t))
+        series.append((t, y, np.full(len(t), 0.003), np.floor(t).astype(int), [None, 0.3, 0.6, 900.0][k % 4], 1e-4))
+    for tied in (False, True):
+        together = G.period_estimates(series, tied=tied)
+        assert len({x["status"] for x in together}) >= 3
+        for one, got in zip(series, together):
+            for k, want in G.period_estimate(*one, tied=tied).items():
+                assert got[k] == pytest.approx(want, rel=1e-9) if isinstance(want, (float, list)) else got[k] == want
