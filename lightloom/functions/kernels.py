@@ -481,11 +481,11 @@ def _fits(x: np.ndarray, z: np.ndarray, w: np.ndarray, starts: np.ndarray, size:
         m[:, i, i:] = m[:, i:, i] = np.add.reduceat(wx[i] * x[i:], starts, axis=1).T
     good = np.isfinite(m).all(axis=(1, 2))
     m[~good] = np.eye(k)
-    value, vector = np.linalg.eigh(m)
-    least, most = np.abs(value).min(axis=1), np.abs(value).max(axis=1)
+    value = np.abs(np.linalg.eigvalsh(m))
+    least, most = value.min(axis=1), value.max(axis=1)
     good &= (least > 0) & (most <= 1e14 * least)
-    value[~good] = 1.0
-    cov = (vector / value[:, None, :]) @ vector.transpose(0, 2, 1)
+    m[~good] = np.eye(k)
+    cov = np.linalg.inv(m)
     beta = (cov @ np.add.reduceat(wx * z, starts, axis=1).T[:, :, None])[:, :, 0]
     r = z - (np.repeat(beta.T, size, axis=1) * x).sum(axis=0)
     return good, beta, cov, np.add.reduceat(w * r * r, starts)
